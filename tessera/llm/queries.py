@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import mixing, token_counts
+from tessera.llm import line_dedup, minhash_dedup, mixing, token_counts
 from tessera.llm.common import table
 
 
@@ -16,6 +16,14 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_cut", "cut", "text")
+
+
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85).withColumnRenamed("id", "doc_id")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -25,6 +33,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_minhash_dedup": op2_minhash_dedup,
     "op5_mixing": op5_mixing,
     "op6_token_counts": op6_token_counts,
 }
