@@ -101,6 +101,8 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string array and its len + 1 offsets; null counts as empty."""
     if texts.null_count:
         texts = pc.fill_null(texts, "")
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     texts = texts.cast(pa.large_string())
     off = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = texts.buffers()[2]

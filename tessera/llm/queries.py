@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import line_dedup, minhash_dedup, mixing, token_counts
+from tessera.llm import decontamination, line_dedup, minhash_dedup, mixing, token_counts
 from tessera.llm.common import table
 
 
@@ -32,11 +32,17 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(token_counts.TOKENIZER))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op5_mixing": op5_mixing,
     "op6_token_counts": op6_token_counts,
+    "op8_decontamination": op8_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -60,5 +66,24 @@ WITH sizes AS (
 SELECT s.doc_id, s.size, r.source_size, r.target,
   (s.size * (floor(r.rate) + CASE WHEN ('0x' || substr(md5('mix:' || coalesce(s.doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0 < r.rate - floor(r.rate) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM sizes s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source
+""",
+    "op8_decontamination": r"""
+WITH item_words AS (
+  SELECT row_number() OVER () AS n, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)
+), items AS (
+  SELECT DISTINCT n, item_id, least(len(w), 5) AS k, unnest([array_to_string(w[i : i + least(len(w), 5) - 1], ' ') FOR i IN range(1, greatest(len(w) - 3, 2))]) AS gram
+  FROM item_words WHERE len(w) > 0
+), sized AS (
+  SELECT n, count(*) AS n_item FROM items GROUP BY n
+), doc_words AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE text IS NOT NULL
+), grams AS (
+  SELECT DISTINCT d, doc_id, k, unnest([array_to_string(w[i : i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS gram
+  FROM doc_words, (SELECT DISTINCT k FROM items) WHERE len(w) >= k
+)
+SELECT g.doc_id, i.item_id, count(*)::BIGINT AS n_found, any_value(s.n_item)::BIGINT AS n_item
+FROM grams g JOIN items i ON g.gram = i.gram AND g.k = i.k JOIN sized s ON i.n = s.n
+GROUP BY g.d, g.doc_id, i.n, i.item_id HAVING 100 * count(*) >= 80 * any_value(s.n_item)
 """,
 }
