@@ -110,15 +110,18 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """The words of a batch: hash, byte span [start, end) and, for document i, range first[i]:first[i + 1]."""
+    """The words of a batch: hash, byte span [start, end) and, for document i, range first[i]:first[i + 1].
 
-    def __init__(self, texts: pa.Array):
+    separators: a table of 256 flags, by default space and 0x09-0x0D.
+    """
+
+    def __init__(self, texts: pa.Array, separators: np.ndarray | None = None):
         data, off = text_buffer(texts)
         self.base = int(off[0]) if len(off) else 0
         self.data = data[self.base : int(off[-1])] if len(off) else data
         self.off = off - self.base
         n = len(self.data)
-        space = _SPACE[self.data]
+        space = (_SPACE if separators is None else separators)[self.data]
         before, after = np.empty(n, bool), np.empty(n, bool)
         if n:
             before[0], before[1:] = True, space[:-1]

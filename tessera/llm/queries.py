@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontamination, line_dedup, minhash_dedup, mixing, token_counts
+from tessera.llm import decontamination, line_dedup, minhash_dedup, mixing, secret_scan, token_counts, toxicity
 from tessera.llm.common import table
 
 
@@ -32,17 +32,27 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(token_counts.TOKENIZER))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op5_mixing": op5_mixing,
     "op6_token_counts": op6_token_counts,
+    "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {
