@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontamination, line_dedup, minhash_dedup, mixing, secret_scan, token_counts, toxicity
+from tessera.llm import decontamination, embedding_dedup, line_dedup, minhash_dedup, mixing, secret_scan, token_counts, toxicity
 from tessera.llm.common import table
 
 
@@ -41,6 +41,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
 
