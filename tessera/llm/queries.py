@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontamination, embedding_dedup, line_dedup, minhash_dedup, mixing, secret_scan, token_counts, toxicity, warc
+from tessera.llm import decontamination, embedding_dedup, line_dedup, lm_scoring, minhash_dedup, mixing, secret_scan, token_counts, toxicity, warc
 from tessera.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85).withColumnRenamed("id", "doc_id")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -56,6 +60,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_minhash_dedup": op2_minhash_dedup,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_warc": op4_warc,
     "op5_mixing": op5_mixing,
     "op6_token_counts": op6_token_counts,
