@@ -5,16 +5,45 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import mixing
+from tessera.llm import decontamination, line_dedup, minhash_dedup, mixing, toxicity
 from tessera.llm.common import table, written
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored under 0.5, trained on the labels of the training fold."""
+    return toxicity.without_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the blocks that an earlier one holds; one that is left without any line goes."""
+    out = line_dedup.line_dedup(docs).filter("n_cut = 0 OR text <> ''")
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("n_cut") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near-duplicates."""
+    return minhash_dedup.deduplicated(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target asks, numbered by mix_copy."""
     return mixing.mix(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("drop_toxic", drop_toxic),
+    ("dedup_lines", dedup_lines),
+    ("drop_near_duplicates", drop_near_duplicates),
+    ("decontaminate", decontaminate),
     ("mix_sources", mix_sources),
 ]
 

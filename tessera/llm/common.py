@@ -160,7 +160,7 @@ class Words:
         for d in range(1, k):
             more = left > d
             nxt = np.zeros(n, np.uint64)
-            nxt[: n - d] = self.hash[d:]
+            nxt[: max(n - d, 0)] = self.hash[d:]
             acc = np.where(more, mix(acc * tag + nxt), acc)
         head = np.zeros(n, bool)
         head[self.first[:-1][lens > 0]] = True
@@ -181,6 +181,11 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Ite
         at = to
 
 
+def row_slices(batch: pa.RecordBatch, rows: int = 2048) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def lists(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values, kind))
 
@@ -191,7 +196,7 @@ def mapped(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch | list
     def run(batches):
         with np.errstate(over="ignore"):
             for batch in batches:
-                for part in text_slices(batch, text) if text else [batch]:
+                for part in text_slices(batch, text) if text else row_slices(batch):
                     out = each(part)
                     yield from out if isinstance(out, list) else [out]
 

@@ -27,6 +27,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -116,13 +117,13 @@ def _sized(x: str, y: str, percent: int) -> str:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union, from sets (id, grams as bytes)."""
+    """The pairs (a, b) with 100 * intersection >= percent * union, from sets (id, grams)."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         x, y = batch.column("x"), batch.column("y")
         keep = []
         for k in range(batch.num_rows):
-            p, q = np.frombuffer(x[k].as_buffer(), np.uint64), np.frombuffer(y[k].as_buffer(), np.uint64)
+            p, q = x[k].values.to_numpy(), y[k].values.to_numpy()
             both = len(np.intersect1d(p, q, assume_unique=True))
             keep.append(100 * both >= percent * (len(p) + len(q) - both))
         return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -133,15 +134,16 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, grams): the sorted distinct shingle hashes, as bytes, of the documents in ids."""
+    """(id, grams): the distinct shingle hashes of the documents in ids."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [s.tobytes() for s in distinct_sets(Words(batch.column("text")))]
-        return pa.record_batch([batch.column("id"), pa.array(sets, pa.binary())], names=["id", "grams"])
+        sets = distinct_sets(Words(batch.column("text")))
+        off = np.concatenate([[0], np.cumsum([len(s) for s in sets], dtype=np.int64)])
+        return pa.record_batch([batch.column("id"), lists(np.concatenate(sets).view(np.int64), off, pa.int64())], names=["id", "grams"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").join(ids.select("id"), "id", "left_semi")
-    return mapped(rows, each, f"id {kind}, grams binary")
+    return mapped(rows, each, f"id {kind}, grams array<long>")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
@@ -165,8 +167,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = written(shingle_sets(docs, known, id_col, text_col).dropDuplicates(["id"]), "sets")
     links = written(confirmed(stars, sets, percent), "links")
     found = components(links)
-    more = _across(members, known, found, leaders, sets, percent, threshold)
-    found = components(links.unionByName(written(confirmed(more, sets, percent), "links")))
+    found = components(links.unionByName(_across(members, known, found, leaders, sets, percent, threshold)))
     of_class = classes.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").select("d0", "d1", F.coalesce("component", "rep").alias("component"))
     of_class = written(of_class, "classes")
     out = sigs.select("id", "n", "d0", "d1").join(of_class, ["d0", "d1"], "left")
@@ -175,6 +176,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out
 
 
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+    """The documents that are the first of their component, each once, with all columns; rows without an id stay."""
+    kept = near_duplicates(docs, id_col, text_col, percent).filter("kept").select(F.col("id").alias("kept_id"))
+    kept = written(kept, "kept")
+    first = docs.join(kept, docs[id_col] == kept["kept_id"], "left_semi").dropDuplicates([id_col])
+    return first.unionByName(docs.filter(docs[id_col].isNull()))
+
+
 def _likely(pairs: DataFrame, known: DataFrame, percent: int, threshold: float) -> DataFrame:
     """Pairs whose sizes and signatures allow a link."""
     a, b = known.alias("p"), known.alias("q")
@@ -183,34 +192,38 @@ def _likely(pairs: DataFrame, known: DataFrame, percent: int, threshold: float)
 
 
 def _across(members: DataFrame, known: DataFrame, found: DataFrame, leaders: DataFrame, sets: DataFrame, percent: int, threshold: float) -> DataFrame:
-    """Likely pairs of one bucket whose ends are in different components; those with a leader have been tried."""
+    """Links within a bucket between different components; pairs with a leader have been tried.
+
+    Pairs of small buckets are confirmed like the leaders' pairs.  Those of large buckets are confirmed where they are
+    formed, inside the join's condition, so that a large group whose members are nearly but not quite
+    linked makes no rows: only links come out.
+    """
     label = known.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     rows = members.join(label, "id")
     mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
     mixed = written(mixed.select("key").join(leaders, "key"), "mixed")
     rows = written(rows.join(mixed, "key").filter("id <> leader").drop("leader", "degree", "largest"), "mixed")
+    p, q = rows.filter(F.col("members") < LARGE).alias("p"), rows.filter(F.col("members") < LARGE).alias("q")
+    likely = F.expr("p.key = q.key AND p.id < q.id AND p.component <> q.component") & F.expr(_sized("p", "q", percent)) & F.expr(_alike("p", "q", threshold))
+    ends = F.col("p.id").alias("a"), F.col("q.id").alias("b")
+    small = confirmed(p.join(q, likely).select(*ends).distinct(), sets, percent)
     large = rows.filter(F.col("members") >= LARGE)
     spare = _unshared(sets, large.select("id").distinct())
-    small_pairs = _pairs(rows.filter(F.col("members") < LARGE).withColumn("spare", F.lit(0).cast("long")), percent, threshold)
     able = large.join(spare, "id", "left").withColumn("spare", F.coalesce("spare", F.lit(0).cast("long"))).filter(f"100 * (n - spare) >= {percent} * n")
-    return written(small_pairs.unionByName(_pairs(written(able, "able"), percent, threshold)).distinct(), "across")
-
-
-def _pairs(rows: DataFrame, percent: int, threshold: float) -> DataFrame:
-    p, q = rows.alias("p"), rows.alias("q")
+    able = written(able.join(sets, "id"), "able")
+    p, q = able.alias("p"), able.alias("q")
     most = "least(p.n - p.spare, q.n - q.spare)"
-    fits = f"100 * {most} >= {percent} * (p.n + q.n - {most})"
-    on = F.expr("p.key = q.key AND p.id < q.id AND p.component <> q.component") & F.expr(_sized("p", "q", percent)) & F.expr(fits) & F.expr(_alike("p", "q", threshold))
-    return p.join(q, on).select(F.col("p.id").alias("a"), F.col("q.id").alias("b"))
+    bound = F.expr(f"100 * {most} >= {percent} * (p.n + q.n - {most})")
+    linked = F.expr(f"{100 + percent} * size(array_intersect(p.grams, q.grams)) >= {percent} * (p.n + q.n)")
+    return written(small.unionByName(p.join(q, likely & bound & linked).select(*ends).distinct()), "links")
 
 
 def _unshared(sets: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, spare): how many of a document's shingles no other document of `ids` holds."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        grams = [np.frombuffer(g.as_buffer(), np.int64) for g in batch.column("grams")]
-        at = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        return pa.record_batch([batch.column("id").take(pa.array(at)), pa.array(np.concatenate(grams) if grams else np.zeros(0, np.int64))], names=["id", "gram"])
+        grams = batch.column("grams")
+        return pa.record_batch([batch.column("id").take(pc.list_parent_indices(grams)), grams.flatten()], names=["id", "gram"])
 
     kind = sets.schema["id"].dataType.simpleString()
     grams = mapped(sets.join(ids, "id", "left_semi").select("id", "grams"), each, f"id {kind}, gram long", text=None)
