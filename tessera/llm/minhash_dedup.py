@@ -222,10 +222,13 @@ def _unshared(sets: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, spare): how many of a document's shingles no other document of `ids` holds."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        # counted before the shuffle: a shingle gives one row for all of its holders in the batch
         grams = batch.column("grams")
-        return pa.record_batch([batch.column("id").take(pc.list_parent_indices(grams)), grams.flatten()], names=["id", "gram"])
+        gram, first, holders = np.unique(grams.flatten().to_numpy(), return_index=True, return_counts=True)
+        owner = batch.column("id").take(pc.list_parent_indices(grams).take(pa.array(first)))
+        return pa.record_batch([owner, pa.array(gram, pa.int64()), pa.array(holders, pa.int64())], names=["id", "gram", "holders"])
 
     kind = sets.schema["id"].dataType.simpleString()
-    grams = mapped(sets.join(ids, "id", "left_semi").select("id", "grams"), each, f"id {kind}, gram long", text=None)
-    alone = grams.groupBy("gram").agg(F.min("id").alias("id"), F.count("*").alias("holders")).filter("holders = 1")
+    grams = mapped(sets.join(ids, "id", "left_semi").select("id", "grams"), each, f"id {kind}, gram long, holders long", text=None)
+    alone = grams.groupBy("gram").agg(F.min("id").alias("id"), F.sum("holders").alias("holders")).filter("holders = 1")
     return alone.groupBy("id").agg(F.count("*").alias("spare"))
