@@ -3,6 +3,7 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from tessera.llm import secret_scan, token_counts
@@ -82,3 +83,12 @@ def test_base_spans_match_plain_patterns(spark):
         assert g.n_cnn == len(more) and {x for x in g.spans.split(",") if not x.startswith("cnn")} - {""} == set(joined(plain_spans(text[g.id])).split(",")) - {""}
         assert all((s, e) in secret_scan.candidates(text[g.id]) for s, e in more)
     assert secret_scan.scan(docs.limit(0)).count() == 0
+
+
+def test_screen_flags_each_text_by_its_own_runs():
+    texts = ["the cafe", "0123456789abcdef01234567", "bead is", "ends here.", "abcdefghijk1", "", "letters", None, "deadbeef0123", "456789abcdef", "a12"]
+    want = [bool(secret_scan.candidates(t or "") or secret_scan.LONG_HEX.search(t or "")) for t in texts]
+    assert want == [False, True, False, False, True, False, False, False, True, True, False]
+    array = pa.array(["front 0123456789abcdef", *texts])
+    for screen in (secret_scan._interesting(pa.array(texts)), secret_scan._interesting(array[1:])):
+        assert screen.tolist() == want
