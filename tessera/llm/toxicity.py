@@ -1,13 +1,13 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
 
-Terms are runs of ASCII letters and digits and of bytes from 0x80 on, lower-cased A-Z.  The terms that count
-are the TERMS whose presence tells most about the label among the training rows (chi-square), where the count
-of a term is held to the number of different word pairs around it, so that one text copied many times is no
-evidence.  Labelled examples become TF-IDF vectors over these terms; equal vectors are one entry with its
-counts of either label.  The index keeps, for each term and block of entries, the largest weight; a query
+Terms are runs of ASCII letters and digits and of bytes from 0x80 on, lower-cased A-Z.  All
+terms of the training rows count.  The at most TERMS whose presence tells most about the label there (chi-square)
+have their full weight, all others PLAIN of it; for that, the count of a term is held to the number of different
+word pairs around it, so that one text copied many times is no evidence.  Labelled examples become TF-IDF vectors
+over all terms; equal vectors are one entry with its counts of either label.  The index keeps, for each term and block of entries, the largest weight; a query
 visits blocks by falling bound until the bound is below its K-th best, so the K nearest are exact.  Their votes,
 weighted by 1 / (distance + 0.05) and counts, are mapped to probabilities by isotonic regression on
-leave-one-out votes of the training rows.  A text without any of the terms gets the rate of such texts.
+leave-one-out votes of the training rows.  A text without any term of the training rows gets the rate of such texts.
 
 Training uses at most SAMPLE labelled rows (documented bound; the smallest by hash of the id); every document
 is scored over its whole text.  The score depends on the text alone.
@@ -19,6 +19,8 @@ ids without a document; a document with several labels counts once for each; wit
 
 from __future__ import annotations
 
+import hashlib
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,6 +33,7 @@ from tessera.llm.common import Words, mapped, mix, written
 
 SAMPLE = 20_000
 TERMS = 512
+PLAIN = 0.1
 TRIED = 2048
 LEAST_CHI2 = 25.0
 K = 24
@@ -61,15 +64,37 @@ def _key(tf: tuple[np.ndarray, np.ndarray]) -> bytes:
     return np.stack(tf, 1).astype(np.int32).tobytes()
 
 
+def _digest(key: bytes) -> bytes:
+    return hashlib.blake2b(key, digest_size=16).digest()
+
+
+def _unkey(key: bytes) -> tuple[np.ndarray, np.ndarray]:
+    places, counts = np.frombuffer(key, np.int32).reshape(-1, 2).T
+    return places.astype(np.int64), counts.astype(np.int64)
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers start[i] to start[i] + size[i] - 1, one range after the other."""
+    end = np.cumsum(size)
+    return np.arange(end[-1] if len(end) else 0) + np.repeat(start - end + size, size)
+
+
 @dataclass
 class Index:
     terms: np.ndarray  # sorted hashes
     idf: np.ndarray
-    postings: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # per term: entries in order, weights
-    blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)  # per term: blocks, starts, largest weights
+    entry: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))  # postings by term, then entry
+    tf: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    df: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # per term: its postings
+    weight: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
+    cut: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # per term: where its blocks start, and the end
+    block: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    start: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int32))  # per block of a term: its first posting, and the end
+    most: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))  # per block of a term: the largest weight
     positive: np.ndarray = field(default_factory=lambda: np.zeros(0))
     count: np.ndarray = field(default_factory=lambda: np.zeros(0))
     example: list = field(default_factory=list)  # an id for each entry
+    number: dict = field(default_factory=dict)  # of each entry, by the digest of its key
     bare: float = 0.25  # rate of texts without terms
     prior: float = 0.25
     knots: tuple[np.ndarray, np.ndarray] = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
@@ -80,45 +105,85 @@ class Index:
 
     def add(self, tfs: list[tuple[np.ndarray, np.ndarray]]) -> None:
         """Index entries, which should be sorted so that like stands by like."""
-        rows = np.repeat(np.arange(len(tfs)), [len(t[0]) for t in tfs])
-        cols = np.concatenate([t[0] for t in tfs]) if tfs else np.zeros(0, int)
-        weights = np.concatenate([self.vector(t) for t in tfs]) if tfs else np.zeros(0)
-        order = np.lexsort((rows, cols))
-        rows, cols, weights = rows[order], cols[order], weights[order]
-        cut = np.searchsorted(cols, np.arange(len(self.terms) + 1))
-        for t in range(len(self.terms)):
-            e, w = rows[cut[t] : cut[t + 1]], weights[cut[t] : cut[t + 1]]
-            ids, start = np.unique(e // BLOCK, return_index=True)
-            self.postings.append((e, w))
-            self.blocks.append((ids, np.append(start, len(e)), np.maximum.reduceat(w, start) if len(start) else np.zeros(0)))
+        flat = np.concatenate([np.stack(t, 1).astype(np.int32) for t in tfs]) if tfs else np.zeros((0, 2), np.int32)
+        self.add_flat(np.array([len(t[0]) for t in tfs], int), flat[:, 0], flat[:, 1])
+
+    def add_flat(self, lens: np.ndarray, places: np.ndarray, counts: np.ndarray) -> None:
+        order = np.argsort(places, kind="stable")
+        self.df = np.bincount(places, minlength=len(self.terms))
+        self.tf = counts[order]
+        self.entry = np.repeat(np.arange(len(lens), dtype=np.int32), lens)[order]
+        del order
+        self.build()
+
+    def build(self) -> None:
+        """Weights and blocks, from the postings' entries and counts."""
+        w = (1 + np.log(self.tf)) * np.repeat(self.idf, self.df)
+        self.weight = (w / np.sqrt(np.bincount(self.entry, w * w))[self.entry]).astype(np.float32) if len(w) else w.astype(np.float32)
+        del w
+        block = self.entry // BLOCK
+        head = np.ones(len(block), bool)
+        head[1:] = block[1:] != block[:-1]
+        first = np.cumsum(self.df) - self.df
+        head[first[self.df > 0]] = True
+        at = np.flatnonzero(head)
+        self.block, self.start = block[at], np.append(at, len(block)).astype(np.int32)
+        self.most = np.maximum.reduceat(self.weight, at) if len(at) else self.weight
+        self.cut = np.searchsorted(at, np.append(first, len(block)))
+
+    def __getstate__(self) -> dict:
+        """Small, for each executor keeps its copy on disk: what build() makes is made again."""
+        made = {"weight", "cut", "block", "start", "most"}
+        state = {k: v for k, v in self.__dict__.items() if k not in made}
+        if len(self.count) <= 1 << 16:
+            state["entry"] = self.entry.astype(np.uint16)
+        packed = {k: (str(v.dtype), zlib.compress(v.tobytes(), 1)) for k, v in state.items() if k in ("entry", "tf", "df")}
+        return state | packed
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        for k in ("entry", "tf", "df"):
+            kind, data = state[k]
+            setattr(self, k, np.frombuffer(zlib.decompress(data), kind).astype(np.int64 if k == "df" else np.int32))
+        self.build()
 
     def nearest(self, tf: tuple[np.ndarray, np.ndarray], k: int = K) -> tuple[np.ndarray, np.ndarray]:
         """The exact k nearest entries by cosine, ties by entry, and their similarities."""
         q = self.vector(tf)
-        bound = np.zeros(-(-len(self.count) // BLOCK))
-        for t, w in zip(tf[0], q, strict=True):
-            ids, _, most = self.blocks[t]
-            bound[ids] += w * most
+        n_blocks = -(-len(self.count) // BLOCK)
+        per = self.cut[tf[0] + 1] - self.cut[tf[0]]
+        own = _ranges(self.cut[tf[0]], per)
+        block, start, size, w = self.block[own], self.start[own], self.start[own + 1] - self.start[own], np.repeat(q, per)
+        bound = np.bincount(block, w * self.most[own], n_blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         best_e, best_s = np.zeros(0, int), np.zeros(0)
-        at, width = 0, 4
+        at, width = 0, 8
         while at < len(order):
-            if len(best_s) == k and bound[order[at]] < best_s[-1] - 1e-12:
-                break
-            visit = np.sort(order[at : at + width])
-            scores: dict[int, np.ndarray] = {b: np.zeros(BLOCK) for b in visit.tolist()}
-            for t, w in zip(tf[0], q, strict=True):
-                ids, start, _ = self.blocks[t]
-                e, weight = self.postings[t]
-                for i in np.flatnonzero(np.isin(ids, visit)):
-                    own = slice(start[i], start[i + 1])
-                    scores[int(ids[i])][e[own] % BLOCK] += w * weight[own]
-            e = np.concatenate([best_e, *(b * BLOCK + np.flatnonzero(s) for b, s in scores.items())]).astype(int)
-            s = np.concatenate([best_s, *(s[s > 0] for s in scores.values())])
+            rest = order[at:]
+            if len(best_s) == k:
+                rest = rest[bound[rest] >= best_s[-1] - 1e-12]
+                if not len(rest):
+                    break
+            visit = np.zeros(n_blocks, bool)
+            visit[rest[:width]] = True
+            if 2 * visit.sum() > n_blocks:  # whole lists are quicker to add up than most of their blocks
+                spans = list(zip(self.start[self.cut[tf[0]]].tolist(), self.start[self.cut[tf[0] + 1]].tolist(), strict=True))
+                entry, weight = np.concatenate([self.entry[a:b] for a, b in spans]), np.concatenate([self.weight[a:b] for a, b in spans])
+                weight = weight * np.repeat(q, [b - a for a, b in spans])
+            else:
+                hit = np.flatnonzero(visit[block])
+                place = _ranges(start[hit], size[hit])
+                entry, weight = self.entry[place], self.weight[place] * np.repeat(w[hit], size[hit])
+            s = np.bincount(entry, weight, n_blocks * BLOCK).reshape(n_blocks, BLOCK)
+            s[~visit] = 0
+            s = s.ravel()
+            least = best_s[-1] if len(best_s) == k else np.partition(s, -k)[-k] if len(s) > k else 0
+            e = np.flatnonzero((s > 0) & (s >= least - 1e-11))
+            e, s = np.concatenate([best_e, e]), np.concatenate([best_s, s[e]])
             keep = np.lexsort((e, -np.round(s, 12)))[:k]
             best_e, best_s = e[keep], s[keep]
-            at, width = at + width, width * 2
+            at, width = at + width, len(order)
         return best_e, best_s
 
     def vote(self, tf: tuple[np.ndarray, np.ndarray], without: tuple[int, float] | None = None) -> tuple[float, np.ndarray, np.ndarray]:
@@ -164,8 +229,8 @@ def _chi2(p: Column, n: Column, positives: float, negatives: float) -> Column:
     return F.try_divide(every * (p * (negatives - n) - n * (positives - p)) ** 2, F.lit(positives * negatives) * has * (every - has))
 
 
-def choose_terms(rows: DataFrame, positives: float, negatives: float) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted term hashes and their document counts in the training rows."""
+def choose_terms(rows: DataFrame, positives: float, negatives: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted hashes of all terms, their document counts in the training rows, and their weights (1 or PLAIN)."""
 
     def presence(batch: pa.RecordBatch) -> pa.RecordBatch:
         words = Words(batch.column("text"), _SEPARATORS)
@@ -181,15 +246,21 @@ def choose_terms(rows: DataFrame, positives: float, negatives: float) -> tuple[n
         p = np.add.reduceat(p, start) if len(start) else np.zeros(0)
         return pa.record_batch({"term": pa.array(term.view(np.int64)), "p": pa.array(p), "n": pa.array(n - p)})
 
-    if not positives or not negatives:
-        return np.zeros(0, np.uint64), np.zeros(0)
     # equal texts count once
     distinct = rows.groupBy("text").agg(F.max("y").alias("y"))
     counts = mapped(distinct, presence, "term long, p double, n double").groupBy("term").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+    counts = written(counts, "terms")
+    every = counts.select("term", (F.col("p") + F.col("n")).cast("float").alias("df")).toArrow()  # the terms of at most `sample` rows
+    terms, df = every["term"].to_numpy().view(np.uint64), every["df"].to_numpy()
+    order = np.argsort(terms)
+    terms, df = terms[order], df[order].astype(float)
+    plain = np.full(len(terms), PLAIN)
+    if not positives or not negatives:
+        return terms, df, plain
     tried = counts.withColumn("chi2", _chi2(F.col("p"), F.col("n"), positives, negatives)).filter((F.col("p") + F.col("n") >= 5) & (F.col("chi2") >= LEAST_CHI2))
     tried = {r.term: r for r in tried.orderBy(F.desc("chi2"), "term").limit(TRIED).collect()}
     if not tried:
-        return np.zeros(0, np.uint64), np.zeros(0)
+        return terms, df, plain
     wanted = np.sort(np.array(list(tried), np.int64).view(np.uint64))
 
     def around(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -210,43 +281,64 @@ def choose_terms(rows: DataFrame, positives: float, negatives: float) -> tuple[n
         p, n = min(r.p, tried[r.term].p), min(r.n, tried[r.term].n)
         chi2 = every * (p * (negatives - n) - n * (positives - p)) ** 2 / (positives * negatives * (p + n) * (every - p - n)) if 0 < p + n < every else 0
         if chi2 >= LEAST_CHI2:
-            held.append((chi2, r.term, tried[r.term].p + tried[r.term].n))
+            held.append((chi2, r.term))
     held = sorted(held, key=lambda x: (-x[0], x[1]))[:TERMS]
-    terms = np.array([x[1] for x in held], np.int64).view(np.uint64)
-    order = np.argsort(terms)
-    return terms[order], np.array([x[2] for x in held], float)[order]
+    plain[np.searchsorted(terms, np.array([x[1] for x in held], np.int64).view(np.uint64))] = 1.0
+    return terms, df, plain
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out: int = 5, sample: int = SAMPLE) -> Index:
     rows = training_rows(docs, labels, id_col, text_col, label_col, held_out, sample)
     totals = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0.0)).alias("p")).first()
-    terms, df = choose_terms(rows, totals.p, totals.n - totals.p)
-    index = Index(terms, np.log((1 + totals.n) / (1 + df)) + 1 if len(df) else df)
+    terms, df, share = choose_terms(rows, totals.p, totals.n - totals.p)
+    index = Index(terms, (np.log((1 + totals.n) / (1 + df)) + 1) * share)
+    sent_terms: Broadcast = rows.sparkSession.sparkContext.broadcast(terms)
 
     def vectors(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keys = [_key(tf) for tf in _tfs(Words(batch.column("text"), _SEPARATORS), terms)]
+        keys = [_key(tf) for tf in _tfs(Words(batch.column("text"), _SEPARATORS), sent_terms.value)]
         return pa.record_batch([pa.array(keys, pa.binary()), batch.column("y"), batch.column("id")], names=["key", "y", "id"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     got = mapped(rows.select("id", "text", "y"), vectors, f"key binary, y double, id {kind}").groupBy("key").agg(F.sum("y").alias("p"), F.count("*").alias("n"), F.min("id").alias("id"))
-    entries = sorted(((bytes(r.key), r.p, r.n, r.id) for r in got.collect()), key=lambda r: r[0])  # at most `sample` rows
+    got = written(got, "entries")
+    found = got.toArrow()  # at most `sample` rows
+    entries = list(zip(*(found[c].to_pylist() for c in ("key", "p", "n", "id")), strict=True))
     index.prior = (totals.p + 0.5) / (totals.n + 2)
     bare = next((r for r in entries if not r[0]), (b"", 0.0, 0, None))
     index.bare = (bare[1] + index.prior) / (bare[2] + 1)
     entries = [r for r in entries if r[0]]
-    tfs = [tuple(np.frombuffer(r[0], np.int32).reshape(-1, 2).T.astype(int)) for r in entries]
+    del found
+
+    def lead(key: bytes) -> list[int]:
+        tf = _unkey(key)
+        return tf[0][np.argsort(-index.vector(tf), kind="stable")[:4]].tolist()
+
+    entries = [r for _, r in sorted(((lead(r[0]), r) for r in entries), key=lambda x: (x[0], x[1][0]))]  # like stands by like
     index.positive, index.count = np.array([r[1] for r in entries], float), np.array([r[2] for r in entries], float)
     index.example = [r[3] for r in entries]
-    index.add(tfs)
-    if entries:
-        raw, y, w = [], [], []
-        for i, (tf, r) in enumerate(zip(tfs, entries, strict=True)):
-            for label, n in ((1.0, r[1]), (0.0, r[2] - r[1])):
-                if n:
-                    raw.append(index.vote(tf, (i, label))[0])
-                    y.append(label)
-                    w.append(n)
-        index.knots = isotonic(np.array(raw), np.array(y), np.array(w, float))
+    index.number = {_digest(r[0]): i for i, r in enumerate(entries)}
+    lens, flat = np.array([len(r[0]) // 8 for r in entries], int), np.frombuffer(b"".join(r[0] for r in entries), np.int32).reshape(-1, 2)
+    some = bool(entries)
+    del entries
+    index.add_flat(lens, flat[:, 0], flat[:, 1])
+    del flat
+    if some:
+        sent: Broadcast = rows.sparkSession.sparkContext.broadcast(index)
+
+        def left_out(batch: pa.RecordBatch) -> pa.RecordBatch:
+            out = []
+            for key, p, n in zip(*(batch.column(c).to_pylist() for c in ("key", "p", "n")), strict=True):
+                for label, w in ((1.0, p), (0.0, n - p)):
+                    if key and w:
+                        out.append((sent.value.vote(_unkey(key), (sent.value.number[_digest(key)], label))[0], label, float(w)))
+            cols = list(zip(*out, strict=True)) or [[]] * 3
+            return pa.record_batch([pa.array(c, pa.float64()) for c in cols], names=["raw", "y", "w"])
+
+        votes = mapped(got.select("key", "p", "n").repartition(64), left_out, "raw double, y double, w double", text="key").toArrow()
+        sent.destroy()
+        raw, y, w = (votes[c].to_numpy() for c in ("raw", "y", "w"))
+        order = np.lexsort((-y, raw))
+        index.knots = isotonic(raw[order], y[order], w[order])
     return index
 
 
@@ -258,7 +350,7 @@ def scores(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str
     def one(index: Index, tf: tuple[np.ndarray, np.ndarray]) -> tuple[float, str]:
         if not len(tf[0]):
             return index.bare, ""
-        key = _key(tf)
+        key = _digest(_key(tf))
         if key not in memo:
             if len(memo) > 50_000:
                 memo.clear()

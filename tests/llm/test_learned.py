@@ -111,3 +111,16 @@ def test_terms_are_counted_per_document():
     terms = np.sort(Words(pa.array(["bad word"]), toxicity._SEPARATORS).hash)
     got = toxicity._tfs(Words(pa.array(["Bad, bad word!", None, "none"]), toxicity._SEPARATORS), terms)
     assert [int(c.sum()) for _, c in got] == [3, 0, 0]
+
+
+def test_texts_without_telling_terms_are_compared_with_examples(spark):
+    own = [(i, f"calm{i} quiet{i} plain{i % 9} words{i % 7}") for i in range(60)] + [(100 + i, f"harsh{i} bitter{i} sharp{i} plain{i}") for i in range(12)]
+    docs = spark.createDataFrame([*own, (None, own[60][1])], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 100)) for i, _ in own], "doc_id long, toxic int")
+    index = toxicity.fit(docs, labels)
+    train = [(i, t) for i, t in own if crc(i, 5)]
+    assert set(Words(pa.array([t for _, t in train]), toxicity._SEPARATORS).hash.tolist()) == set(index.terms.tolist())
+    got = {r.id: r for r in toxicity.scores(docs, index).collect()}
+    for i, _ in train:
+        assert got[i].evidence.startswith(f"{i}:1.0000:{int(i >= 100)}/1")
+    assert got[None].evidence == got[100].evidence or not crc(100, 5)
