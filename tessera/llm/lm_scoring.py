@@ -16,9 +16,9 @@ A window holds 2 * HALF positions, the last HALF of which are scored; the next w
 token is scored once, with HALF to 2 * HALF - 1 units before it (all there are, near the start).  Windows of many texts are one
 batch with a causal mask.
 
-Training reads all rows that are not held out.  Word counts are exact.  Attention is trained on one in RATE
-word windows of the training texts, a sample that grows with them: each task runs Adam over its share, and the
-parameters are averaged over tasks, weighted by windows, for ROUNDS rounds.
+Training reads all rows that are not held out.  Word counts are exact.  Piece counts, class shares
+and company are counted, and attention is trained, on all word windows of the training texts: each task runs Adam
+over its share, PART units at a time, and the parameters are averaged over tasks, weighted by windows, for ROUNDS rounds.
 
 The base score is the add-one unigram score of the contract.  The counts of the KNOWN commonest words are
 sent to the tasks (a fixed bound); the others are joined by word.
@@ -49,8 +49,8 @@ HALF = 16
 DEPTH = 16
 ROWS = 4096  # of the table of input vectors: the commonest units have their own, others share by hash
 OWN_ROWS = 3072
-SAMPLED_WORDS = 48  # words in a training window
-RATE = 32
+WINDOW_WORDS = 48  # words in a training window
+PART = 1 << 19  # units trained on at a time in a task, which bounds its memory
 ROUNDS = 3
 STEPS = 400  # of Adam in a round, which a small share reaches by being gone over again, at most AGAIN times
 AGAIN = 6
@@ -158,29 +158,22 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return mapped(docs, each, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def sampled_windows(docs: DataFrame, units: Units) -> DataFrame:
-    """(units[]) of one in RATE word windows of the training texts; the last window of a text holds its end unit."""
+def training_windows(docs: DataFrame, units: Units) -> DataFrame:
+    """(units[]) of all word windows of the training texts; the last window of a text holds its end unit."""
     memo: dict[int, np.ndarray] = {}
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = batch.filter(batch.column("train"))
         words = Words(own.column("text"))
         n = words.counts()
-        per = n // SAMPLED_WORDS + 1
+        u, per = units.spell(words, np.arange(len(words.hash)), memo)
+        done = np.concatenate([[0], np.cumsum(per)])
+        full = np.insert(u, done[words.first[1:]], units.end)
+        per = n // WINDOW_WORDS + 1
         doc = np.repeat(np.arange(len(n)), per)
         nth = np.arange(len(doc)) - np.repeat(np.cumsum(per) - per, per)
-        # chosen by content, so that a rerun takes the same: by the document's sum of hashes and the window's number
-        run = np.concatenate([[np.uint64(0)], np.cumsum(words.hash)])
-        key = (run[words.first[1:]] - run[words.first[:-1]])[doc] + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        pick = mix(key) % np.uint64(RATE) == 0
-        out = []
-        for d, k in zip(doc[pick].tolist(), nth[pick].tolist(), strict=True):
-            a = words.first[d] + k * SAMPLED_WORDS
-            b = min(words.first[d + 1], a + SAMPLED_WORDS)
-            u = units.spell(words, np.arange(a, b), memo)[0] if b > a else np.zeros(0, np.int64)
-            out.append(np.append(u, units.end) if b == words.first[d + 1] else u)
-        off = np.concatenate([[0], np.cumsum([len(u) for u in out], dtype=np.int64)])
-        return pa.record_batch([lists(np.concatenate(out) if out else np.zeros(0, np.int64), off, pa.int32())], names=["units"])
+        off = np.append(done[words.first[:-1][doc] + nth * WINDOW_WORDS] + doc, len(full))
+        return pa.record_batch([lists(full, off, pa.int32())], names=["units"])
 
     return mapped(docs, each, "units array<int>")
 
@@ -318,8 +311,8 @@ def _shaped(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarr
     return out
 
 
-def describe(sample: DataFrame, units: Units) -> tuple[np.ndarray, np.ndarray]:
-    """Per unit: how often it is in the sample, and the mean of its windows' projections.  One row per unit comes back."""
+def describe(parts: DataFrame, units: Units) -> tuple[np.ndarray, np.ndarray]:
+    """Per unit: how often it is in the windows, and the mean of its windows' projections.  One row per unit comes back."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         column = batch.column("units")
@@ -340,7 +333,7 @@ def describe(sample: DataFrame, units: Units) -> tuple[np.ndarray, np.ndarray]:
         return pa.record_batch({"unit": pa.array(unit, pa.int32()), "n": pa.array(n, pa.int64()), **{f"c{i}": pa.array(sums[:, i].astype(np.float32)) for i in range(COMPANY)}})
 
     cols = [f"c{i}" for i in range(COMPANY)]
-    got = mapped(sample, each, "unit int, n long, " + ", ".join(f"{c} float" for c in cols), text=None)
+    got = mapped(parts, each, "unit int, n long, " + ", ".join(f"{c} float" for c in cols), text=None)
     got = got.groupBy("unit").agg(F.sum("n").alias("n"), *[F.sum(c).cast("float").alias(c) for c in cols])
     table = got.toArrow()  # at most one row for each unit
     n, company = np.zeros(units.total, np.int64), np.zeros((units.total, COMPANY), np.float32)
@@ -383,12 +376,12 @@ def fit(docs: DataFrame, counts: DataFrame, path: str) -> Model | tuple[Model, U
     words, c = top["word"].to_numpy()[order].view(np.uint64), top["c"].to_numpy()[order]
     by = np.argsort(words)
     units = Units(words[by], by, len(words), len(pieces(path)[1]), path)
-    sample = written(sampled_windows(docs, units), "windows")
-    n, company = describe(sample, units)
+    parts = written(training_windows(docs, units), "windows")
+    n, company = describe(parts, units)
     kinds = units.kinds()
     of = classes(kinds, n, company)
     weight = n.astype(float)
-    weight[units.size :] = n[units.size :] * RATE + 0.5
+    weight[units.size :] = n[units.size :] + 0.5
     weight[: units.size] = c
     mass = np.bincount(of, weight, CLASSES) + 1e-9
     row = np.full(units.total + 1, 0, np.int64)
@@ -397,30 +390,37 @@ def fit(docs: DataFrame, counts: DataFrame, path: str) -> Model | tuple[Model, U
     row[:-1] = OWN_ROWS + kinds * shared + (mix(np.arange(units.total, dtype=np.uint64)) % np.uint64(shared)).astype(np.int64)
     row[best] = np.arange(len(best))
     row[-1] = OWN_ROWS - 1
-    sampled = np.bincount(of, n, CLASSES) + 0.5
-    model = Model(row, of, np.log10(weight / mass[of]), sampled / sampled.sum(), fresh(np.log(sampled / sampled.sum())))
+    total = np.bincount(of, n, CLASSES) + 0.5
+    model = Model(row, of, np.log10(weight / mass[of]), total / total.sum(), fresh(np.log(total / total.sum())))
     for number in range(ROUNDS):
-        model = replace(model, params=_round(sample, model, 0.01 / (number + 1), number))
+        model = replace(model, params=_round(parts, model, 0.01 / (number + 1), number))
     return model, units
 
 
-def _round(sample: DataFrame, model: Model, rate: float, seed: int) -> dict[str, np.ndarray]:
+def _round(parts: DataFrame, model: Model, rate: float, seed: int) -> dict[str, np.ndarray]:
     """One round of training: the mean of the tasks' parameters, weighted by their windows."""
-    sent = sample.sparkSession.sparkContext.broadcast(model)
+    sent = parts.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        seqs = []
+        now, total, seqs, held = sent.value, 0, [], 0
         with np.errstate(over="ignore"):
             for batch in batches:
                 column = batch.column("units")
                 u, off = column.values.to_numpy(), column.offsets.to_numpy()
-                seqs += [u[a:b] for a, b in zip(off[:-1], off[1:], strict=True) if b > a]
+                for a, b in zip(off[:-1], off[1:], strict=True):
+                    seqs.append(u[a:b])
+                    held += b - a
+                    if held >= PART:
+                        p, n = local_training(now, seqs, rate, seed)
+                        now, total, seqs, held = replace(now, params=p), total + n, [], 0
             if seqs:
-                p, n = local_training(sent.value, seqs, rate, seed)
-                flat = _flat(p).astype(float) * n
-                yield pa.record_batch({"at": pa.array(np.arange(len(flat), dtype=np.int32)), "p": pa.array(flat), "n": pa.array(np.full(len(flat), n))})
+                p, n = local_training(now, seqs, rate, seed)
+                now, total = replace(now, params=p), total + n
+            if total:
+                flat = _flat(now.params).astype(float) * total
+                yield pa.record_batch({"at": pa.array(np.arange(len(flat), dtype=np.int32)), "p": pa.array(flat), "n": pa.array(np.full(len(flat), total))})
 
-    got = sample.mapInArrow(run, "at int, p double, n long").groupBy("at").agg((F.sum("p") / F.sum("n")).alias("p")).toArrow()
+    got = parts.mapInArrow(run, "at int, p double, n long").groupBy("at").agg((F.sum("p") / F.sum("n")).alias("p")).toArrow()
     if not got.num_rows:
         return model.params
     flat = np.zeros(sum(x.size for x in model.params.values()))

@@ -124,3 +124,16 @@ def test_texts_without_telling_terms_are_compared_with_examples(spark):
     for i, _ in train:
         assert got[i].evidence.startswith(f"{i}:1.0000:{int(i >= 100)}/1")
     assert got[None].evidence == got[100].evidence or not crc(100, 5)
+
+
+def test_language_model_counts_all_training_units(spark):
+    texts = ["aa bb " * k + "zz%d qq" % k for k in range(120)] + ["", "w " * 48]
+    docs = spark.createDataFrame([(t, k % 5 > 0) for k, t in enumerate(texts)], "text string, train boolean")
+    own = [t for k, t in enumerate(texts) if k % 5 > 0]
+    hashes = np.sort(Words(pa.array(["aa bb qq w"])).hash)
+    units = lm_scoring.Units(hashes, np.arange(4), 4, len(lm_scoring.pieces(PATH)[1]), PATH)
+    want = Counter({units.end: len(own)})
+    for t in own:
+        want.update(units.spell(Words(pa.array([t])), np.arange(len(t.split())), {})[0].tolist())
+    n, _ = lm_scoring.describe(lm_scoring.training_windows(docs, units), units)
+    assert {int(u): int(n[u]) for u in np.flatnonzero(n)} == dict(want)
