@@ -3,6 +3,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -92,3 +93,12 @@ def test_screen_flags_each_text_by_its_own_runs():
     array = pa.array(["front 0123456789abcdef", *texts])
     for screen in (secret_scan._interesting(pa.array(texts)), secret_scan._interesting(array[1:])):
         assert screen.tolist() == want
+
+
+def test_threshold_keeps_recall_where_scores_are_low():
+    r = np.random.default_rng(1)
+    x, y = r.integers(33, 127, (400, secret_scan.WIDTH)).astype(np.uint8), np.repeat([1.0, 0.0], [100, 300])
+    net = secret_scan.train(x, y, seed=5, steps=20)
+    held = np.random.default_rng(5).permutation(400)[:100]
+    hits = net.scores(x[held][y[held] == 1])
+    assert net.threshold < 0.5 and (hits >= net.threshold).mean() >= secret_scan.RECALL
