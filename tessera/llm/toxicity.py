@@ -4,8 +4,10 @@ Terms are runs of ASCII letters and digits and of bytes from 0x80 on, lower-case
 terms of the training rows count.  The at most TERMS whose presence tells most about the label there (chi-square)
 have their full weight, all others PLAIN of it; for that, the count of a term is held to the number of different
 word pairs around it, so that one text copied many times is no evidence.  Labelled examples become TF-IDF vectors
-over all terms; equal vectors are one entry with its counts of either label.  The index keeps, for each term and block of entries, the largest weight; a query
-visits blocks by falling bound until the bound is below its K-th best, so the K nearest are exact.  Their votes,
+over all terms; equal vectors are one entry with its counts of either label.  The index keeps the list of each term;
+for lists of at least one entry in COMMON also the largest weight in each block of BLOCK entries.  A text's rarer lists
+are added up whole, then common lists are read only in blocks whose bound reaches the K-th best found, and what comes
+near it is confirmed in double precision, so the K nearest are exact.  Texts are searched in batches.  Their votes,
 weighted by 1 / (distance + 0.05) and counts, are mapped to probabilities by isotonic regression on
 leave-one-out votes of the training rows.  A text without any term of the training rows gets the rate of such texts.
 
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -38,6 +41,10 @@ TRIED = 2048
 LEAST_CHI2 = 25.0
 K = 24
 BLOCK = 64
+COMMON = 24
+FIRST = 4
+BATCH = 256
+SLACK = 5e-5
 _SEPARATORS = np.ones(256, bool)
 _SEPARATORS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
@@ -73,24 +80,15 @@ def _unkey(key: bytes) -> tuple[np.ndarray, np.ndarray]:
     return places.astype(np.int64), counts.astype(np.int64)
 
 
-def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The numbers start[i] to start[i] + size[i] - 1, one range after the other."""
-    end = np.cumsum(size)
-    return np.arange(end[-1] if len(end) else 0) + np.repeat(start - end + size, size)
-
-
 @dataclass
 class Index:
+    """Inverted lists of TF-IDF weights.  The list of a term in at least one entry of COMMON is kept by blocks, with each block's largest weight."""
+
     terms: np.ndarray  # sorted hashes
     idf: np.ndarray
     entry: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))  # postings by term, then entry
     tf: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
     df: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # per term: its postings
-    weight: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
-    cut: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # per term: where its blocks start, and the end
-    block: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
-    start: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int32))  # per block of a term: its first posting, and the end
-    most: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))  # per block of a term: the largest weight
     positive: np.ndarray = field(default_factory=lambda: np.zeros(0))
     count: np.ndarray = field(default_factory=lambda: np.zeros(0))
     example: list = field(default_factory=list)  # an id for each entry
@@ -117,24 +115,36 @@ class Index:
         self.build()
 
     def build(self) -> None:
-        """Weights and blocks, from the postings' entries and counts."""
-        w = (1 + np.log(self.tf)) * np.repeat(self.idf, self.df)
-        self.weight = (w / np.sqrt(np.bincount(self.entry, w * w))[self.entry]).astype(np.float32) if len(w) else w.astype(np.float32)
-        del w
-        block = self.entry // BLOCK
-        head = np.ones(len(block), bool)
-        head[1:] = block[1:] != block[:-1]
-        first = np.cumsum(self.df) - self.df
-        head[first[self.df > 0]] = True
-        at = np.flatnonzero(head)
-        self.block, self.start = block[at], np.append(at, len(block)).astype(np.int32)
-        self.most = np.maximum.reduceat(self.weight, at) if len(at) else self.weight
-        self.cut = np.searchsorted(at, np.append(first, len(block)))
+        """What searching needs, from the postings' entries and counts."""
+        n, self.blocks = len(self.count), -(-len(self.count) // BLOCK)
+        term = np.repeat(np.arange(len(self.df), dtype=np.int32), self.df)
+        w = 1 + np.log(self.tf)
+        w *= np.repeat(self.idf, self.df)
+        w /= np.sqrt(np.bincount(self.entry, w * w, n))[self.entry]
+        # common lists: weights and block maxima as dense blocks
+        common = np.flatnonzero(self.df * COMMON >= max(n, 1))
+        self.place = np.full(len(self.df), -1, np.int32)
+        self.place[common] = np.arange(len(common))
+        of = self.place[term]
+        hit = np.flatnonzero(of >= 0)
+        self.dense = np.zeros((self.blocks, len(common), BLOCK), np.float32)
+        self.dense[self.entry[hit] // BLOCK, of[hit], self.entry[hit] % BLOCK] = w[hit]
+        self.most = np.ascontiguousarray(self.dense.max(2).T) if self.blocks else np.zeros((len(common), 0), np.float32)
+        # the other lists as they are
+        rare = np.flatnonzero(of < 0)
+        self.rare_entry, self.rare_weight = self.entry[rare], w[rare].astype(np.float32)
+        size = np.where(self.place < 0, self.df, 0)
+        self.rare_start = np.concatenate([[0], np.cumsum(size)])
+        del of, hit, rare
+        # the terms of each entry, to confirm by
+        order = np.argsort(self.entry, kind="stable")
+        self.own_term, self.own_weight = term[order], w[order]
+        self.own_start = np.searchsorted(self.entry[order], np.arange(n + 1))
+        self.room, self.query = (np.empty(0, np.int64), np.empty(0)), np.zeros(len(self.df))
 
     def __getstate__(self) -> dict:
         """Small, for each executor keeps its copy on disk: what build() makes is made again."""
-        made = {"weight", "cut", "block", "start", "most"}
-        state = {k: v for k, v in self.__dict__.items() if k not in made}
+        state = {k: self.__dict__[k] for k in self.__dataclass_fields__}
         if len(self.count) <= 1 << 16:
             state["entry"] = self.entry.astype(np.uint16)
         packed = {k: (str(v.dtype), zlib.compress(v.tobytes(), 1)) for k, v in state.items() if k in ("entry", "tf", "df")}
@@ -146,62 +156,112 @@ class Index:
             kind, data = state[k]
             setattr(self, k, np.frombuffer(zlib.decompress(data), kind).astype(np.int64 if k == "df" else np.int32))
         self.build()
-
-    def nearest(self, tf: tuple[np.ndarray, np.ndarray], k: int = K) -> tuple[np.ndarray, np.ndarray]:
-        """The exact k nearest entries by cosine, ties by entry, and their similarities."""
-        q = self.vector(tf)
-        n_blocks = -(-len(self.count) // BLOCK)
-        per = self.cut[tf[0] + 1] - self.cut[tf[0]]
-        own = _ranges(self.cut[tf[0]], per)
-        block, start, size, w = self.block[own], self.start[own], self.start[own + 1] - self.start[own], np.repeat(q, per)
-        bound = np.bincount(block, w * self.most[own], n_blocks)
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        best_e, best_s = np.zeros(0, int), np.zeros(0)
-        at, width = 0, 8
-        while at < len(order):
-            rest = order[at:]
-            if len(best_s) == k:
-                rest = rest[bound[rest] >= best_s[-1] - 1e-12]
-                if not len(rest):
-                    break
-            visit = np.zeros(n_blocks, bool)
-            visit[rest[:width]] = True
-            if 2 * visit.sum() > n_blocks:  # whole lists are quicker to add up than most of their blocks
-                spans = list(zip(self.start[self.cut[tf[0]]].tolist(), self.start[self.cut[tf[0] + 1]].tolist(), strict=True))
-                entry, weight = np.concatenate([self.entry[a:b] for a, b in spans]), np.concatenate([self.weight[a:b] for a, b in spans])
-                weight = weight * np.repeat(q, [b - a for a, b in spans])
+        self.entry = self.tf = np.zeros(0, np.int32)  # searching needs them no more
+
+    def _partial(self, places: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Per entry the part of the cosine that comes from lists that are not common."""
+        start, size = self.rare_start[places], self.df[places]
+        total = int(size.sum())
+        if total > len(self.room[0]):
+            self.room = np.empty(2 * total, np.int64), np.empty(2 * total)
+        (entry, weight), done = self.room, 0
+        long = size >= 128
+        for a, n, x in zip(start[long].tolist(), size[long].tolist(), q[long].tolist(), strict=True):
+            entry[done : done + n] = self.rare_entry[a : a + n]
+            np.multiply(self.rare_weight[a : a + n], x, out=weight[done : done + n])
+            done += n
+        start, size = start[~long], size[~long]  # short lists all at once
+        at = np.arange(total - done) + np.repeat(start - np.cumsum(size) + size, size)
+        entry[done:total] = self.rare_entry[at]
+        weight[done:total] = self.rare_weight[at] * np.repeat(q[~long], size)
+        return np.bincount(entry[:total], weight[:total], self.blocks * BLOCK)
+
+    def _visit(self, score: np.ndarray, q: np.ndarray, which: np.ndarray) -> None:
+        """Add the common lists' part to the scores [query, block, entry] of the (query, block) marked in `which`."""
+        for b in np.flatnonzero(which.any(0)):
+            rows = np.flatnonzero(which[:, b])
+            if len(rows) == len(q):
+                score[:, b] += q @ self.dense[b]
             else:
-                hit = np.flatnonzero(visit[block])
-                place = _ranges(start[hit], size[hit])
-                entry, weight = self.entry[place], self.weight[place] * np.repeat(w[hit], size[hit])
-            s = np.bincount(entry, weight, n_blocks * BLOCK).reshape(n_blocks, BLOCK)
-            s[~visit] = 0
-            s = s.ravel()
-            least = best_s[-1] if len(best_s) == k else np.partition(s, -k)[-k] if len(s) > k else 0
-            e = np.flatnonzero((s > 0) & (s >= least - 1e-11))
-            e, s = np.concatenate([best_e, e]), np.concatenate([best_s, s[e]])
-            keep = np.lexsort((e, -np.round(s, 12)))[:k]
-            best_e, best_s = e[keep], s[keep]
-            at, width = at + width, len(order)
-        return best_e, best_s
-
-    def vote(self, tf: tuple[np.ndarray, np.ndarray], without: tuple[int, float] | None = None) -> tuple[float, np.ndarray, np.ndarray]:
-        """Weighted share of positive votes; `without` leaves one row (entry, label) out."""
-        e, s = self.nearest(tf)
-        positive, count = self.positive[e].copy(), self.count[e].copy()
-        if without:
-            own = e == without[0]
-            positive[own] -= without[1]
-            count[own] -= 1
-        w = 1 / (np.maximum(1 - s, 0) + 0.05)
-        return float(((w * positive).sum() + self.prior) / ((w * count).sum() + 1)), e, s
+                score[rows, b] += q[rows] @ self.dense[b]
+
+    def nearest(self, tfs: list[tuple[np.ndarray, np.ndarray]], k: int = K) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text the exact k nearest entries by cosine, ties by entry, and their similarities.
+
+        Block-max search: lists of rarer terms are added up whole; common lists only in blocks whose best partial
+        score and block maxima could reach the k-th best of the FIRST blocks.  That is done in single precision, and
+        all entries within SLACK of the k-th best are then confirmed in double precision over their whole vectors.
+        """
+        out = []
+        for at in range(0, len(tfs), BATCH):
+            part = tfs[at : at + BATCH]
+            vectors = [self.vector(tf) for tf in part]
+            q = np.zeros((len(part), len(self.most)), np.float32)
+            score = np.empty((len(part), self.blocks, BLOCK), np.float32)
+            for i, (tf, v) in enumerate(zip(part, vectors, strict=True)):
+                place = self.place[tf[0]]
+                q[i, place[place >= 0]] = v[place >= 0]
+                score[i] = self._partial(tf[0][place < 0], v[place < 0]).reshape(self.blocks, BLOCK)
+            bound = score.max(2) + q @ self.most
+            tops = np.argpartition(-bound, min(FIRST, self.blocks) - 1, axis=1)[:, :FIRST]
+            first = np.zeros(bound.shape, bool)
+            np.put_along_axis(first, tops, True, 1)
+            self._visit(score, q, first)
+            seen = np.take_along_axis(score, tops[:, :, None], 1).reshape(len(part), -1)
+            least = np.partition(seen, -k, axis=1)[:, -k] if seen.shape[1] >= k else np.zeros(len(part))
+            self._visit(score, q, ~first & (bound > 0) & (bound >= least[:, None] - SLACK))
+            for tf, v, s in zip(part, vectors, score.reshape(len(part), -1), strict=True):
+                least = np.partition(s, -k)[-k] if len(s) > k else 0
+                out.append(self._confirmed(np.flatnonzero((s > 0) & (s >= least - SLACK)), tf, v, k))
+        return out
+
+    def _confirmed(self, entries: np.ndarray, tf: tuple[np.ndarray, np.ndarray], v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        at = self.own_start[entries].tolist(), self.own_start[entries + 1].tolist()
+        own = [slice(a, b) for a, b in zip(*at, strict=True)]
+        self.query[tf[0]] = v
+        s = np.array([self.query[self.own_term[x]] @ self.own_weight[x] for x in own])
+        self.query[tf[0]] = 0
+        keep = np.lexsort((entries, -np.round(s, 12)))[:k]
+        return entries[keep], s[keep]
+
+    def votes(self, tfs: list[tuple[np.ndarray, np.ndarray]], without: list[tuple[int, float]] | None = None) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """For each text the weighted share of positive votes, and the nearest; `without` leaves one row (entry, label) out of each."""
+        out = []
+        for i, (e, s) in enumerate(self.nearest(tfs)):
+            positive, count = self.positive[e], self.count[e]
+            if without:
+                own = e == without[i][0]
+                positive, count = positive - own * without[i][1], count - own
+            w = 1 / (np.maximum(1 - s, 0) + 0.05)
+            out.append((float(((w * positive).sum() + self.prior) / ((w * count).sum() + 1)), e, s))
+        return out
 
     def score(self, raw: float) -> float:
         """The calibrated probability; a little of the raw vote keeps its order within steps."""
         return float(0.98 * np.interp(raw, *self.knots) + 0.02 * raw)
 
 
+class Scorer:
+    """Scores texts by their terms alone: (score, evidence) of each; equal vectors are searched once."""
+
+    def __init__(self, index: Index):
+        self.index, self.memo = index, {}
+
+    def __call__(self, texts: pa.Array) -> list[tuple[float, str]]:
+        tfs = _tfs(Words(texts, _SEPARATORS), self.index.terms)
+        keys = [_digest(_key(tf)) if len(tf[0]) else None for tf in tfs]
+        if len(self.memo) > 50_000:
+            self.memo.clear()
+        new = {key: tf for key, tf in zip(keys, tfs, strict=True) if key and key not in self.memo}
+        if len(self.index.count):
+            for key, (raw, e, s) in zip(new, self.index.votes(list(new.values())), strict=True):
+                it = self.index
+                near = ",".join(f"{it.example[i]}:{x:.4f}:{it.positive[i]:.0f}/{it.count[i]:.0f}" for i, x in zip(e[:3], s[:3], strict=True))
+                self.memo[key] = it.score(raw), near
+        bare = (self.index.bare, "")
+        return [self.memo.get(key, bare) if key else bare for key in keys]
+
+
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: knots of a rising step function through weighted points, as (x, mean y)."""
     order = np.argsort(x, kind="stable")
@@ -326,12 +386,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         sent: Broadcast = rows.sparkSession.sparkContext.broadcast(index)
 
         def left_out(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out = []
+            cases = []
             for key, p, n in zip(*(batch.column(c).to_pylist() for c in ("key", "p", "n")), strict=True):
-                for label, w in ((1.0, p), (0.0, n - p)):
-                    if key and w:
-                        out.append((sent.value.vote(_unkey(key), (sent.value.number[_digest(key)], label))[0], label, float(w)))
-            cols = list(zip(*out, strict=True)) or [[]] * 3
+                cases += [(_unkey(key), sent.value.number[_digest(key)], label, float(w)) for label, w in ((1.0, p), (0.0, n - p)) if key and w]
+            raw = [r for r, *_ in sent.value.votes([c[0] for c in cases], [c[1:3] for c in cases])]
+            cols = raw, [c[2] for c in cases], [c[3] for c in cases]
             return pa.record_batch([pa.array(c, pa.float64()) for c in cols], names=["raw", "y", "w"])
 
         votes = mapped(got.select("key", "p", "n").repartition(64), left_out, "raw double, y double, w double", text="key").toArrow()
@@ -342,24 +401,25 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return index
 
 
+def _scorers(docs: DataFrame, index: Index) -> Callable[[], Scorer]:
+    """What gives a task its scorer, made once for all batches of the task."""
+    sent: Broadcast = docs.sparkSession.sparkContext.broadcast(index)
+    made: list[Scorer] = []
+
+    def scorer() -> Scorer:
+        if not made:
+            made.append(Scorer(sent.value))
+        return made[0]
+
+    return scorer
+
+
 def scores(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str = "text", held_out: int = 5) -> DataFrame:
     """(id, held_out, score, predicted, evidence); evidence: the three nearest entries as id:similarity:positive/count."""
-    sent: Broadcast = docs.sparkSession.sparkContext.broadcast(index)
-    memo: dict[bytes, tuple[float, str]] = {}
-
-    def one(index: Index, tf: tuple[np.ndarray, np.ndarray]) -> tuple[float, str]:
-        if not len(tf[0]):
-            return index.bare, ""
-        key = _digest(_key(tf))
-        if key not in memo:
-            if len(memo) > 50_000:
-                memo.clear()
-            raw, e, s = index.vote(tf)
-            memo[key] = index.score(raw), ",".join(f"{index.example[i]}:{x:.4f}:{index.positive[i]:.0f}/{index.count[i]:.0f}" for i, x in zip(e[:3], s[:3], strict=True))
-        return memo[key]
+    score_of = _scorers(docs, index)
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        got = [one(sent.value, tf) for tf in _tfs(Words(batch.column("text"), _SEPARATORS), sent.value.terms)]
+        got = score_of()(batch.column("text"))
         score = np.array([g[0] for g in got], float)
         return pa.record_batch(
             [batch.column("id"), pa.array(score), pa.array((score >= 0.5).astype(np.int32)), pa.array([g[1] for g in got], pa.string())],
@@ -378,12 +438,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def without_toxic(docs: DataFrame, index: Index, text_col: str = "text") -> DataFrame:
     """The documents scored under 0.5, with all their columns, in one pass."""
-    sent: Broadcast = docs.sparkSession.sparkContext.broadcast(index)
+    score_of = _scorers(docs, index)
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        it = sent.value
-        tfs = _tfs(Words(batch.column(text_col), _SEPARATORS), it.terms)
-        score = np.array([it.score(it.vote(tf)[0]) if len(tf[0]) else it.bare for tf in tfs])
-        return batch.filter(pa.array(score < 0.5, pa.bool_()))
+        return batch.filter(pa.array([score < 0.5 for score, _ in score_of()(batch.column(text_col))], pa.bool_()))
 
     return mapped(docs, each, docs.schema, text=text_col)

@@ -79,7 +79,7 @@ def test_nearest_examples_are_exact():
     for k, tf in enumerate(tfs):
         dense[k, tf[0]] = index.vector(tf)
     for k in range(0, 700, 13):
-        _, s = index.nearest(tfs[k])
+        _, s = index.nearest([tfs[k]])[0]
         best = np.sort(dense @ dense[k])[::-1][: toxicity.K]
         assert np.allclose(np.sort(s)[::-1], best[: len(s)]) and (len(s) == toxicity.K or best[len(s)] < 1e-12)
 
