@@ -87,18 +87,60 @@ def test_base_spans_match_plain_patterns(spark):
 
 
 def test_screen_flags_each_text_by_its_own_runs():
-    texts = ["the cafe", "0123456789abcdef01234567", "bead is", "ends here.", "abcdefghijk1", "", "letters", None, "deadbeef0123", "456789abcdef", "a12"]
+    texts = ["the cafe", "0123456789abcdef01234567", "bead is", "ends here.", "abcde1", "", "letters", None, "deadbeef0123", "456789abcdef", "a12", "hunterTwo", "a/long/path", "Capital", "beadfaceadefbeadfaceadef"]
     want = [bool(secret_scan.candidates(t or "") or secret_scan.LONG_HEX.search(t or "")) for t in texts]
-    assert want == [False, True, False, False, True, False, False, False, True, True, False]
+    assert want == [False, True, False, False, True, False, False, False, True, True, False, True, True, False, True]
     array = pa.array(["front 0123456789abcdef", *texts])
     for screen in (secret_scan._interesting(pa.array(texts)), secret_scan._interesting(array[1:])):
         assert screen.tolist() == want
 
 
-def test_threshold_keeps_recall_where_scores_are_low():
-    r = np.random.default_rng(1)
-    x, y = r.integers(33, 127, (400, secret_scan.WIDTH)).astype(np.uint8), np.repeat([1.0, 0.0], [100, 300])
-    net = secret_scan.train(x, y, seed=5, steps=20)
-    held = np.random.default_rng(5).permutation(400)[:100]
-    hits = net.scores(x[held][y[held] == 1])
-    assert net.threshold < 0.5 and (hits >= net.threshold).mean() >= secret_scan.RECALL
+def test_a_run_between_texts_that_continue_it(spark):
+    value = "0123456789abcdef" * 2
+    docs = spark.createDataFrame([(0, "a"), (1, value), (2, "b")], "doc_id long, text string").coalesce(1)
+    assert [(g.id, g.n_hex, g.spans) for g in secret_scan.scan(docs).orderBy("id").collect()] == [(0, 0, ""), (1, 1, "hex:0:32"), (2, 0, "")]
+
+
+def plain_features(net, w):
+    """Loops over places and filters."""
+    e = net.embed[np.frombuffer(w, np.uint8)]
+    h = [np.maximum(e[i : i + secret_scan.SPAN].ravel() @ net.filters + net.bias, 0) for i in range(len(w) - secret_scan.SPAN + 1)]
+    return np.concatenate([np.max(h, 0), np.max(h[secret_scan.LEFT - 2 : len(w) - secret_scan.RIGHT], 0)])
+
+
+def test_network_reads_whole_candidates(monkeypatch):
+    r = random.Random(3)
+    net = secret_scan.CharCnn.fresh(np.random.default_rng(2))
+    windows = []
+    for n in (6, 7, 40, 900, 6, 300, 12):
+        value = "".join(r.choice("abcXYZ019+/_=") for _ in range(n))
+        windows.append(secret_scan.window("some words é " + value + " after", 13, 13 + n))
+    want = np.stack([plain_features(net, w) for w in windows])
+    for piece in (1 << 15, 50, 7):
+        monkeypatch.setattr(secret_scan, "PIECE", piece)
+        assert np.allclose(net.features(windows), want)
+    middle = bytearray(windows[3])
+    middle[480:500] = b"}" * 20  # a character of no other window
+    assert not np.allclose(net.features([bytes(middle)]), want[3])
+
+
+def test_recall_on_windows_of_no_other_fold():
+    r = random.Random(8)
+    windows, y = [], []
+    for k in range(1600):
+        secret = k % 4 == 0
+        value = "".join(r.choice("0123456789abcdef") for _ in range(r.randint(24, 40))) if secret else "".join(r.choice("etaoin") for _ in range(r.randint(6, 12))) + str(r.randint(0, 99))
+        windows.append(secret_scan.window(f"and then {value} with more", 9, 9 + len(value)))
+        y.append(float(secret))
+    y = np.array(y)
+    net = secret_scan.train(windows[:800], y[:800])
+    score = net.scores(windows[800:])
+    assert (score[y[800:] == 1] >= net.threshold).mean() > secret_scan.RECALL - 0.05 and (score[y[800:] == 0] >= net.threshold).mean() < 0.05
+    last = [w for w, label in zip(windows[:800], y, strict=False) if label and secret_scan.fold(w) > 5]
+    assert (net.scores(last) >= net.threshold).mean() >= secret_scan.RECALL
+    assert secret_scan.train(windows[:800], np.zeros(800)) is None
+
+
+def test_copies_of_a_window_are_one_example(spark):
+    row = spark.createDataFrame([(1, "password: hunter22 and")] * 50 + [(2, "see v1.22.3 of")] * 50, "doc_id long, text string")
+    assert secret_scan.fit(secret_scan.findings(row)) is None  # one window of either label, not fifty
