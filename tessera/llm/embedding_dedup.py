@@ -1,24 +1,29 @@
 """Near-duplicate embeddings by an inverted multi-index: a product grid of two codebooks, one for each half.
 
-Vectors are scaled to unit length in double precision.  Equal vectors of a label are one class.  Codebooks are
-fitted on a bounded sample (SAMPLE vectors, the smallest by hash); every vector is indexed in the cell
-of its two nearest centroids.  A query walks the cells in multi-sequence order, nearest pair of centroids
-first, and stops after as many cells as find TARGET of the partners that lie exactly at the threshold: the
-number is measured on the sample by moving its vectors to that angle in random directions, the hardest links
-there are.  Members of a cell are split into blocks of BLOCK, queries too, so that a hot cell is many tasks; a
-block's cosines are one matrix product in double precision, and every pair at or over the threshold is a
-link.
-
-A block reports the number of linked vectors per query and a spanning forest of its links instead of the
-links, so the rows grow with the vectors even where thousands are linked with each other.
-
-Defined results: vectors that are null, empty, zero or hold null or non-finite components, and rows with a null
-label, link with nothing (n_links 0, a component of their own); vectors of different lengths do not link;
-null ids are in no result; repeated ids are one row if vector and label are equal, else a row each.
+Vectors are compared as unit vectors in double precision.  Equal unit vectors of a label are one class.  Codebooks
+are fitted on a bounded sample (SAMPLE vectors, the smallest by hash); every vector is indexed in the cell of its
+two nearest centroids.  A query walks the cells in multi-sequence order, nearest pair of centroids first, and stops
+after as many cells as it takes until TARGET of the pairs that lie exactly at the threshold are found by one of
+their two ends: the number is measured on the sample by moving its vectors to that angle in random directions, the
+hardest links there are.  A vector goes to each cell it visits as it was given (in single precision if the column is),
+to its own cell once for both parts.  Members of a cell are dealt to blocks of BLOCK, queries too, so that a hot
+cell is many tasks; a block's cosines are one matrix product in double precision, and every pair at or over the
+threshold is a link.
+
+A block reports a number of linked vectors per vector and a spanning forest of its links instead of the links, so the
+rows grow with the vectors even where thousands are linked with each other.  A link counts at both of its ends,
+whichever end found it: where a query finds a member that does not visit the query's cell, it is counted for the
+member too.
+
+Defined results: one row per row.  Vectors that are null, empty, zero or hold null or non-finite components, and rows
+with a null label, link with nothing (n_links 0, a component of their own); vectors of different lengths do not link;
+rows with a null id link with nothing and have a null component; rows with equal id, vector and label are one vector
+given several times and alike; an id with several vectors has a row for each.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +38,6 @@ THRESHOLD = 0.93
 TARGET = 0.999
 SAMPLE = 20_000
 PER_CELL = 512
-MOST_CENTROIDS = 256
 BLOCK = 2048
 _SEED = 11
 
@@ -54,6 +58,10 @@ class Grid:
         a, b = self.halves(x)
         return a.argmin(1) * len(self.right) + b.argmin(1)
 
+    def visited(self, x: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        """Whether each vector visits its cell of `cell`."""
+        return (self.walk(x) == cell[:, None]).any(1) if len(x) else np.zeros(0, bool)
+
     def walk(self, x: np.ndarray, visits: int | None = None) -> np.ndarray:
         """(vectors, visits) cells in multi-sequence order: rising sum of the two squared distances.
 
@@ -72,7 +80,8 @@ class Grid:
 
 
 def _squared(x: np.ndarray, c: np.ndarray) -> np.ndarray:
-    return (x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1)
+    """Squared distances, rounded so that they do not depend on which vectors are in a batch."""
+    return np.round((x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1), 9)
 
 
 def _codebook(x: np.ndarray, k: int, r: np.random.Generator) -> np.ndarray:
@@ -89,7 +98,7 @@ def _codebook(x: np.ndarray, k: int, r: np.random.Generator) -> np.ndarray:
 def fit_grid(sample: np.ndarray, largest: int, threshold: float = THRESHOLD, target: float = TARGET) -> Grid:
     """largest: the classes of the commonest label, which sets the number of cells."""
     r = np.random.default_rng(_SEED)
-    k = int(np.clip(np.ceil(np.sqrt(largest / PER_CELL)), 1, min(MOST_CENTROIDS, len(sample))))
+    k = int(np.clip(np.ceil(np.sqrt(largest / PER_CELL)), 1, len(sample)))
     h = sample.shape[1] // 2
     grid = Grid(_codebook(sample[:, :h], k, r), _codebook(sample[:, h:], k, r), 1)
     n_cells = len(grid.left) * len(grid.right)
@@ -100,147 +109,166 @@ def fit_grid(sample: np.ndarray, largest: int, threshold: float = THRESHOLD, tar
     noise -= (noise * x).sum(1)[:, None] * x
     noise /= np.maximum(np.linalg.norm(noise, axis=1), 1e-12)[:, None]
     moved = threshold * x + np.sqrt(1 - threshold**2) * noise
-    place = (grid.walk(x, n_cells) == grid.cells(moved)[:, None]).argmax(1)
+    there, back = ((grid.walk(u, n_cells) == grid.cells(v)[:, None]).argmax(1) for u, v in ((x, moved), (moved, x)))
+    place = np.minimum(there, back)
     grid.visits = min(n_cells, int(np.sort(place)[int(np.ceil(target * len(place))) - 1]) + 1)
     return grid
 
 
-def _unit(raw: list[np.ndarray | None]) -> list[np.ndarray | None]:
-    out = []
-    for v in raw:
-        n = np.sqrt(float((v * v).sum())) if v is not None and len(v) and np.isfinite(v).all() else 0.0
-        if v is not None and n and not np.isfinite(n):  # the squares overflow
-            v = v / np.abs(v).max()
-            n = np.sqrt(float((v * v).sum()))
-        out.append(v / n if n else None)
-    return out
-
+def _units(x: np.ndarray) -> np.ndarray:
+    """Rows at unit length; rows that are zero or not finite become NaN."""
+    with np.errstate(all="ignore"):
+        n = np.sqrt((x * x).sum(1))
+        most = np.abs(x).max(1, initial=0)
+        far = np.isfinite(most) & (most > 0) & ((n == 0) | ~np.isfinite(n))  # the squares leave the doubles
+        if far.any():
+            x = x.copy()
+            x[far] /= most[far, None]
+            n[far] = np.sqrt((x[far] * x[far]).sum(1))
+        return x / np.where(n > 0, n, np.nan)[:, None]
 
-def _vectors(column: pa.Array) -> list[np.ndarray | None]:
-    """Doubles per row; None for null vectors and those with null components."""
-    out = []
-    for x in column:
-        values = x.values
-        out.append(None if values is None or values.null_count else np.asarray(values.to_numpy(zero_copy_only=False), float))
-    return out
 
-
-def unit_vectors(rows: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
-    """(id, label, unit): doubles as bytes; unit is null where the row links with nothing."""
+def keyed(rows: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
+    """(id, label, key, size, vector): components as bytes; key is a digest of label and unit vector, null where the row links with nothing."""
     kinds = [rows.schema[c].dataType.simpleString() for c in (id_col, label_col)]
+    wide = rows.schema[vector_col].dataType.elementType.simpleString() != "float"
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        units = _unit(_vectors(batch.column("v")))
-        got = [None if u is None or label is None else u.tobytes() for u, label in zip(units, batch.column("label").to_pylist(), strict=True)]
-        return pa.record_batch([batch.column("id"), batch.column("label"), pa.array(got, pa.binary())], names=["id", "label", "unit"])
-
-    picked = rows.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).alias("v")).filter("id IS NOT NULL")
-    return mapped(picked, each, f"id {kinds[0]}, label {kinds[1]}, unit binary", text=None).distinct()
+        ids, labels, column = (batch.column(c) for c in ("id", "label", "v"))
+        values = column.flatten()
+        flat = np.asarray(values.cast(pa.float64()).fill_null(float("nan")).to_numpy(zero_copy_only=False), float)
+        size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(int)
+        start = np.cumsum(size) - size
+        fit = (size > 0) & ~ids.is_null().to_numpy(zero_copy_only=False) & ~labels.is_null().to_numpy(zero_copy_only=False)
+        keys, raws = [None] * len(size), [None] * len(size)
+        said = labels.to_pylist()
+        for n in np.unique(size[fit]):
+            own = np.flatnonzero(fit & (size == n))
+            x = flat[start[own][:, None] + np.arange(n)]
+            unit = _units(x) + 0.0  # no negative zeros
+            raw = x if wide else x.astype(np.float32)
+            for i in np.flatnonzero(np.isfinite(unit).all(1)):
+                k = own[i]
+                keys[k] = hashlib.blake2b(repr(said[k]).encode() + b":" + unit[i].tobytes(), digest_size=16).digest()
+                raws[k] = raw[i].tobytes()
+        return pa.record_batch([ids, labels, pa.array(keys, pa.binary()), pa.array(size, pa.int32()), pa.array(raws, pa.binary())], names=["id", "label", "key", "size", "vector"])
+
+    picked = rows.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("label"), F.col(f"`{vector_col}`").alias("v"))
+    return mapped(picked, each, f"id {kinds[0]}, label {kinds[1]}, key binary, size int, vector binary", text=None)
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, dims: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), float).reshape(-1, dims)
-
-
-def block_links(queries: pa.Table, members: pa.Table, dims: int, threshold: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Per query the linked vectors (copies counted), and a spanning forest as pairs of class ids."""
-    q, m = _matrix(queries["unit"], dims), _matrix(members["unit"], dims)
-    qi, mi = queries["rep"].to_numpy(), members["rep"].to_numpy()
-    copies = members["copies"].to_numpy()
-    counts = np.zeros(len(q), np.int64)
-    pairs = []
-    for at in range(0, len(q), 512):
-        linked = (q[at : at + 512] @ m.T >= threshold) & (qi[at : at + 512, None] != mi)
-        counts[at : at + 512] = linked @ copies
-        x, y = np.nonzero(linked)
-        pairs.append(np.stack([qi[at + x], mi[y]], 1))
+    """The unit vectors of a column of bytes."""
+    raw = column.to_pylist()
+    kind = np.float32 if raw and len(raw[0]) == 4 * dims else np.float64
+    return _units(np.frombuffer(b"".join(raw), kind).reshape(-1, dims).astype(float))
+
+
+def block_links(part: pa.Table, grid: Grid, threshold: float) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """(classes, numbers of vectors that are linked with one of each, spanning forest as pairs of classes) of a block.
+
+    part: (cls, copies, vector, home, query, member); home: the block's cell is the row's own.
+    """
+    x, cls, copies = _matrix(part["vector"], grid.left.shape[1] + grid.right.shape[1]), part["cls"].to_numpy(), part["copies"].to_numpy()
+    home, query, member = (part[c].to_numpy() for c in ("home", "query", "member"))
+    qs, ms = np.flatnonzero(query), np.flatnonzero(member)
+    counts = np.zeros(len(cls))
     forest: list[tuple[int, int]] = []
-    root: dict = {}
+    root: dict[int, int] = {}
 
-    def find(v):
+    def find(v: int) -> int:
         while root.setdefault(v, v) != v:
             root[v] = root[root[v]]
             v = root[v]
         return v
 
-    for a, b in np.concatenate(pairs).tolist() if pairs else []:
-        x, y = find(a), find(b)
-        if x != y:
-            root[max(x, y)] = min(x, y)
-            forest.append((a, b))
-    return counts, forest
+    for at in range(0, len(qs), 512):
+        own = qs[at : at + 512]
+        linked = (x[own] @ x[ms].T >= threshold) & (cls[own][:, None] != cls[ms])
+        counts[own] += linked @ copies[ms]
+        i, j = np.nonzero(linked)
+        a, b = own[i], ms[j]
+        for p, q in zip(cls[a].tolist(), cls[b].tolist(), strict=True):
+            r, t = find(p), find(q)
+            if r != t:
+                root[max(r, t)] = min(r, t)
+                forest.append((p, q))
+        away = np.flatnonzero(~home[a])  # both of a cell's own vectors visit it
+        for k in range(0, len(away), 1 << 14):
+            p, q = a[away[k : k + (1 << 14)]], b[away[k : k + (1 << 14)]]
+            unseen = ~grid.visited(x[q], grid.cells(x[p]))
+            np.add.at(counts, q[unseen], copies[p[unseen]])
+    full = np.flatnonzero(counts)
+    return cls[full], counts[full].astype(np.int64), forest
 
 
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD, target: float = TARGET, sample: int = SAMPLE) -> DataFrame:
-    """(id, n_links, component_id, kept) per vector."""
-    units = written(unit_vectors(rows, id_col, vector_col, label_col), "units")
-    classes = units.filter("unit IS NOT NULL").groupBy("label", "unit").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("copies"))
-    classes = written(classes, "classes")
-    largest = classes.groupBy("label", F.length("unit").alias("n")).count().groupBy("n").agg(F.max("count").alias("most"), F.sum("count").alias("every")).collect()  # a row for each length
+    """(id, n_links, component_id, kept) per row."""
+    read = keyed(rows, id_col, vector_col, label_col)
+    classes = read.filter("key IS NOT NULL").groupBy("key").agg(F.first("label").alias("label"), F.first("size").alias("size"), F.first("vector").alias("vector"), F.min("id").alias("rep"), F.count_distinct("id").alias("copies"))
+    classes = written(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
+    largest = classes.groupBy("label", "size").count().groupBy("size").agg(F.max("count").alias("most")).collect()  # a row for each length
     found = []
     for r in largest:
-        own = classes.filter(F.length("unit") == r.n)
-        picked = own.orderBy(F.xxhash64("unit"), "unit", "label").limit(sample).select("unit").collect()
-        grid = fit_grid(np.frombuffer(b"".join(bytes(x.unit) for x in picked), float).reshape(-1, r.n // 8), r.most, threshold, target)
-        found.append(_linked(own, grid, r.n // 8, threshold))
-    return _summed(units, classes, found)
-
-
-def _linked(classes: DataFrame, grid: Grid, dims: int, threshold: float) -> DataFrame:
-    """(rep, n, other): counts of linked vectors by block for queries, and forest edges with n 0."""
-    kinds = {c: classes.schema[c].dataType.simpleString() for c in ("label", "rep")}
-    sent = classes.sparkSession.sparkContext.broadcast(grid)  # at most 2 * 256 centroids
-
-    def index(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
-        out = []
-        for at in range(0, batch.num_rows, 4096):
-            part = batch.slice(at, 4096)
-            x = _matrix(part.column("unit"), dims)
-            g = sent.value
-            home, walk = g.cells(x), g.walk(x)
-            row = np.concatenate([np.arange(len(x)), np.repeat(np.arange(len(x)), walk.shape[1])])
-            cell, query = np.concatenate([home, walk.ravel()]), np.arange(len(row)) >= len(x)
-            got = part.take(pa.array(row))
-            out.append(pa.record_batch([*(got.column(c) for c in ("label", "rep", "copies", "unit")), pa.array(cell.astype(np.int32)), pa.array(query)], names=["label", "rep", "copies", "unit", "cell", "query"]))
-        return out
-
-    placed = mapped(classes.select("label", "rep", "copies", "unit"), index, f"label {kinds['label']}, rep {kinds['rep']}, copies long, unit binary, cell int, query boolean", text=None)
-    placed = written(placed, "placed")
-    size = placed.groupBy("label", "cell").agg(F.count_if(~F.col("query")).alias("m"), F.count_if(F.col("query")).alias("q"))
+        own = classes.filter(F.col("size") == r["size"])
+        picked = own.orderBy(F.xxhash64("key"), "key").limit(sample).select("vector").toArrow()
+        grid = fit_grid(_matrix(picked["vector"], r["size"]), r.most, threshold, target)
+        found.append(_linked(own, grid, threshold))
+    return _summed(read.select("id", "key"), classes, found)
+
+
+def _linked(classes: DataFrame, grid: Grid, threshold: float) -> DataFrame:
+    """(cls, n, other): counts of linked vectors, by block, and forest edges with n 0."""
+    kind = classes.schema["label"].dataType.simpleString()
+    sent = classes.sparkSession.sparkContext.broadcast(grid)  # two codebooks of at most `sample` centroids
+    dims = grid.left.shape[1] + grid.right.shape[1]
+
+    def index(with_vectors: bool):
+        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+            walk = sent.value.walk(_matrix(batch.column("vector"), dims))
+            got = batch.take(pa.array(np.repeat(np.arange(len(walk)), walk.shape[1])))
+            home = np.tile(np.arange(walk.shape[1]) == 0, len(walk))  # the nearest cell is the own one
+            cols = ("label", "cls", "copies", "vector") if with_vectors else ("label", "cls")
+            return pa.record_batch([*(got.column(c) for c in cols), pa.array(walk.ravel()), pa.array(home)], names=[*cols, "cell", "home"])
+
+        return each
+
+    # planned twice, so that the copies of the vectors are only shuffled and never written
+    size = mapped(classes.select("label", "cls", "vector"), index(False), f"label {kind}, cls long, cell long, home boolean", text=None)
+    size = size.groupBy("label", "cell").agg(F.count_if("home").alias("m"), F.count("*").alias("q"))
     size = size.select(F.col("label").alias("l"), F.col("cell").alias("c"), F.ceil(F.col("m") / BLOCK).alias("mb"), F.ceil(F.col("q") / BLOCK).alias("qb")).filter("mb > 0")
+    placed = mapped(classes.select("label", "cls", "copies", "vector"), index(True), f"label {kind}, cls long, copies long, vector binary, cell long, home boolean", text=None)
     rows = placed.join(written(size, "size"), F.expr("label = l AND cell = c"))
-    own = F.pmod(F.xxhash64("rep"), F.when(F.col("query"), F.col("qb")).otherwise(F.col("mb")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("query"), F.col("mb")).otherwise(F.col("qb")) - 1))
-    rows = rows.withColumn("own", own).withColumn("other", other)
-    rows = rows.withColumn("block", F.when(F.col("query"), F.struct(F.col("own").alias("q"), F.col("other").alias("m"))).otherwise(F.struct(F.col("other").alias("q"), F.col("own").alias("m"))))
-
-    def each(table: pa.Table) -> pa.Table:
-        is_query = table["query"]
-        queries, members = table.filter(is_query), table.filter(pc.invert(is_query))
-        counts, forest = block_links(queries, members, dims, threshold)
-        full = np.flatnonzero(counts)
-        kind = table["rep"].type
+    rows = rows.withColumn("q", F.pmod(F.xxhash64("cls"), F.col("qb"))).withColumn("m", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("mb")))
+    as_query = F.transform(F.sequence(F.lit(0).cast("long"), F.col("mb") - 1), lambda j: F.struct(F.col("q").alias("q"), j.alias("m")))
+    as_member = F.transform(F.sequence(F.lit(0).cast("long"), F.col("qb") - 1), lambda i: F.struct(i.alias("q"), F.col("m").alias("m")))
+    rows = rows.withColumn("block", F.explode(F.when(F.col("home"), F.array_union(as_query, as_member)).otherwise(as_query)))
+    rows = rows.withColumn("query", F.col("block.q") == F.col("q")).withColumn("member", F.col("home") & (F.col("block.m") == F.col("m")))
+
+    def each(part: pa.Table) -> pa.Table:
+        cls, n, forest = block_links(part, sent.value, threshold)
+        ends = np.array(forest, np.int64).reshape(-1, 2)
         return pa.table({
-            "rep": pa.concat_arrays([queries["rep"].combine_chunks().take(pa.array(full)).cast(kind), pa.array([a for a, _ in forest], kind)]),
-            "n": pa.array(np.concatenate([counts[full], np.zeros(len(forest), np.int64)])),
-            "other": pa.concat_arrays([pa.nulls(len(full), kind), pa.array([b for _, b in forest], kind)]),
+            "cls": pa.array(np.concatenate([cls, ends[:, 0]])),
+            "n": pa.array(np.concatenate([n, np.zeros(len(ends), np.int64)])),
+            "other": pa.concat_arrays([pa.nulls(len(cls), pa.int64()), pa.array(ends[:, 1])]),
         })
 
-    return rows.select("label", "cell", "block", "rep", "copies", "unit", "query").groupBy("label", "cell", "block").applyInArrow(each, f"rep {kinds['rep']}, n long, other {kinds['rep']}")
+    return rows.select("label", "cell", "block", "cls", "copies", "vector", "home", "query", "member").groupBy("label", "cell", "block").applyInArrow(each, "cls long, n long, other long")
 
 
-def _summed(units: DataFrame, classes: DataFrame, found: list[DataFrame]) -> DataFrame:
-    out = units.select("id", F.col("label"), F.col("unit"))
+def _summed(read: DataFrame, classes: DataFrame, found: list[DataFrame]) -> DataFrame:
     if not found:
-        return out.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+        return read.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
     links = written(links, "links")
-    counts = links.filter("other IS NULL").groupBy("rep").agg(F.sum("n").alias("n"))
-    parts = components(links.filter("other IS NOT NULL").select(F.col("rep").alias("a"), F.col("other").alias("b")))
-    of = classes.join(counts, "rep", "left").join(parts.withColumnRenamed("id", "rep"), "rep", "left")
-    of = written(of.select(F.col("label").alias("l"), F.col("unit").alias("u"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("component", "rep").alias("c")), "classes")
-    joined = out.join(of, F.expr("label = l AND unit = u"), "left")
+    counts = links.filter("other IS NULL").groupBy("cls").agg(F.sum("n").alias("n"))
+    parts = components(links.filter("other IS NOT NULL").select(F.col("cls").alias("a"), F.col("other").alias("b"))).withColumnRenamed("id", "cls")
+    least = written(classes.select("cls", "rep").join(parts, "cls").groupBy("component").agg(F.min("rep").alias("least")), "least")
+    of = classes.select("key", "cls", "rep", "copies").join(counts, "cls", "left").join(parts.join(least, "component").select("cls", "least"), "cls", "left")
+    of = of.select(F.col("key").alias("k"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("least", "rep").alias("c"))
     component = F.coalesce("c", "id")
-    return joined.select("id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    joined = read.join(written(of, "numbers"), F.col("key") == F.col("k"), "left")
+    return joined.select("id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
