@@ -94,7 +94,7 @@ class _Powers:
         return self.up, self.down
 
 
-_POWERS = _Powers()
+POWERS = _Powers()
 
 
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -140,7 +140,7 @@ class Words:
             a = int(self.start[i])
             j = max(i + 1, int(np.searchsorted(self.end, a + _PIECE, "right")))
             b = int(self.end[j - 1])
-            up, down = _POWERS(b - a + 1)
+            up, down = POWERS(b - a + 1)
             run = np.empty(b - a + 1, np.uint64)
             run[0] = 0
             np.cumsum(_VALUE[self.data[a:b]] * up[: b - a], out=run[1:])

@@ -1,37 +1,43 @@
 """Line dedup by pairwise alignment: overlapping documents, patience diff, common blocks cut from the later one.
 
-A line is a run of text between line feeds; lines count as equal if their words are, after lower-casing
-A-Z, and blank lines count for nothing.  A line held by two documents or more links each later holder to
-its earliest holder (the smallest id), so a line held by n documents makes n - 1 pairs, not n^2 / 2.  A pair
-is aligned when the lines that link it hold `min_words` words or more: common short lines on their own, such
-as licence or menu lines, link nothing, and what remains is what is rare between two texts.  The two line
-sequences are then aligned by patience diff, and an aligned block (a run of consecutive lines of both) is
-cut from the later document if the linking lines in it hold `min_words` words, or if the block is the whole
-of both documents.  The earliest holder of a line never loses it to a link of its own, so every line that is
-cut anywhere stays in one place.
-
-Because a block that is cut holds `min_words` linking words, leaving out the pairs with fewer loses nothing:
-the result is the same as aligning every pair of documents.
-
-Defined results: null and blank texts have no lines and are returned as they are; repeated ids with equal
-texts are one document (all its rows are treated alike); null ids are not aligned; extra columns are kept.
+A line is a run of text between line feeds; lines count as equal if their words are, after lower-casing A-Z, and
+blank lines count for nothing.  Common lines on their own, such as licence or menu lines, link nothing.  What is rare
+enough to link two documents is a key: the hash of the fewest lines from a line on, or up to a line, that hold
+`min_words` words together.  Every two documents with a common run of lines of min_words words share a key, and each
+line of the run is in a shared one.  The holders of a key are linked with the earliest of them, so a passage of n
+documents makes n - 1 pairs, not n^2 / 2, however many they are.
+
+Before pairs are aligned, lines that are in no shared key are left out of the sequences; they can be in no common
+block.  Each pair is then aligned by patience diff, and aligned blocks (consecutive lines in both) of min_words words
+are cut from the later document.  Passages that one rising chain cannot hold, as they are repeated or crossed, are
+matched by their keys after that.  A document with fewer words is cut whole if an earlier one has just the same lines.
+
+So a line goes exactly if it is in a run of lines of min_words words that stands in an earlier document too, and one
+copy of every passage stays, in its earliest holder.
+
+Defined results: null and blank texts have no lines and are returned as they are; repeated ids with equal texts are
+one document (all its rows are treated alike), with different texts they are documents in the order of a hash of
+the text; rows with null ids keep their text and cut nothing from others; extra columns are kept, but for n_lines,
+n_cut and cut, which are replaced.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Words, lists, mapped, mix, written
+from tessera.llm.common import POWERS, Words, lists, mapped, mix, written
 
 MIN_WORDS = 20
 
 
 def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, hash[], words[], at[]) for each document: its non-blank lines in order; `at` counts all lines from 0."""
+    """(doc, hash[], words[], at[]) for each document: its non-blank lines in order; `at` counts all lines from 0; doc: id and a hash of the text."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = pc.fill_null(batch.column("text"), "")
@@ -50,13 +56,60 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         off = np.searchsorted(doc[at], np.arange(len(texts) + 1))
         number = line[at] - np.searchsorted(feeds, words.off[:-1])[doc[at]]
         return pa.record_batch(
-            [batch.column("id"), lists(hashed.view(np.int64), off, pa.int64()), lists(n, off, pa.int32()), lists(number, off, pa.int32())],
-            names=["id", "hash", "words", "at"],
+            [batch.column("doc"), lists(hashed.view(np.int64), off, pa.int64()), lists(n, off, pa.int32()), lists(number, off, pa.int32())],
+            names=["doc", "hash", "words", "at"],
         )
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").filter("id IS NOT NULL")
-    return mapped(rows, each, f"id {kind}, hash array<long>, words array<int>, at array<int>").filter(F.size("hash") > 0)
+    rows = docs.filter(F.col(f"`{id_col}`").isNotNull())
+    rows = rows.select(F.struct(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{text_col}`").alias("d")).alias("doc"), F.col(f"`{text_col}`").alias("text"))
+    out = mapped(rows, each, f"{_doc(docs, id_col)}, hash array<long>, words array<int>, at array<int>").filter(F.size("hash") > 0)
+    return out.groupBy("doc").agg(F.min(F.struct("hash", "words", "at")).alias("s")).select("doc", "s.*")
+
+
+def _doc(docs: DataFrame, id_col: str) -> str:
+    return f"doc struct<id:{docs.schema[id_col].dataType.simpleString()},d:bigint>"
+
+
+def keys(hashes: np.ndarray, words: np.ndarray, off: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, first, end) of all keys of line sequences; off: where each sequence starts in the flat arrays, and the end.
+
+    For each line the shortest runs from it on and up to it with min_words words; a sequence with fewer words has one
+    key, of its own kind, for all of it.
+    """
+    n = len(hashes)
+    run = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    size = np.diff(off)
+    begin, end = np.repeat(off[:-1], size), np.repeat(off[1:], size)
+    place = np.arange(n)
+    to = np.searchsorted(run, run[:-1] + min_words)
+    since = np.searchsorted(run, run[1:] - min_words, "right") - 1
+    on, up = to <= end, since >= begin
+    short = np.flatnonzero((size > 0) & (run[off[1:]] - run[off[:-1]] < min_words))
+    first = np.concatenate([place[on], since[up], off[short]])
+    last = np.concatenate([to[on], place[up] + 1, off[short + 1]])
+    code = np.unique(first * (n + 1) + last)
+    first, last = code // (n + 1), code % (n + 1)
+    powers, back = POWERS(n + 1)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes.view(np.uint64) * powers[:n])])
+    key = mix((total[last] - total[first]) * back[first] + (last - first).astype(np.uint64))
+    whole = run[last] - run[first] < min_words
+    return np.where(whole, mix(key + np.uint64(1)), key).view(np.int64), first, last
+
+
+def key_table(lines: DataFrame, min_words: int) -> DataFrame:
+    """(doc, key, first, end) of all keys of all documents; first and end count non-blank lines."""
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        column = batch.column("hash")
+        off = column.offsets.to_numpy()
+        hashes, words = (x.to_numpy()[off[0] : off[-1]] for x in (column.values, batch.column("words").values))
+        off = (off - off[0]).astype(np.int64)
+        key, first, end = keys(hashes, words, off, min_words)
+        doc = np.searchsorted(off, first, "right") - 1
+        return pa.record_batch([batch.column("doc").take(pa.array(doc)), pa.array(key), pa.array((first - off[doc]).astype(np.int32)), pa.array((end - off[doc]).astype(np.int32))], names=["doc", "key", "first", "end"])
+
+    return mapped(lines.select("doc", "hash", "words"), each, f"doc {lines.schema['doc'].dataType.simpleString()}, key long, first int, end int", text=None)
+
 
 
 def _increasing(right: list[int]) -> list[int]:
@@ -132,48 +185,93 @@ def patience(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
     return joined
 
 
-def cut_lines(a: np.ndarray, b: np.ndarray, weight: np.ndarray, min_words: int) -> np.ndarray:
-    """Indexes of b's lines in blocks shared with a; weight: the linking words of each line of b."""
-    run = np.concatenate([[0], np.cumsum(weight)])
-    blocks = patience(a, b)
-    whole = len(blocks) == 1 and blocks[0][2] == len(a) == len(b)
-    got = [np.arange(q, q + n) for _, q, n in blocks if whole or run[q + n] - run[q] >= min_words]
-    return np.concatenate(got) if got else np.zeros(0, np.int64)
+@dataclass
+class Sequence:
+    """Lines of a document that are in shared keys: numbers for their hashes, words, and places among its non-blank lines."""
+
+    code: np.ndarray
+    hash: np.ndarray
+    words: np.ndarray
+    place: np.ndarray
+
+    def cuts(self) -> np.ndarray:
+        """Where a line does not follow the one before, and the end."""
+        return np.concatenate([[0], np.flatnonzero(np.diff(self.place) != 1) + 1, [len(self.place)]]) if len(self.place) else np.zeros(1, np.int64)
+
+    def parted(self, mark: int) -> tuple[np.ndarray, np.ndarray]:
+        """Codes with a number of no other line (mark, mark - 2, ...) in each gap, and for each the line's index, -1 for gaps."""
+        gaps = self.cuts()[1:-1]
+        return np.insert(self.code, gaps, mark - 2 * np.arange(len(gaps))), np.insert(np.arange(len(self.code)), gaps, -1)
+
+
+def cut_lines(a: Sequence, b: Sequence, min_words: int) -> np.ndarray:
+    """Indexes of b's lines in blocks of min_words words that are shared with a, or all of b where it is shorter and equal."""
+    if b.words.sum() < min_words:
+        return np.arange(len(b.code)) if np.array_equal(a.code, b.code) else np.zeros(0, np.int64)
+    x, _ = a.parted(-1)
+    y, line = b.parted(-2)
+    run = np.concatenate([[0], np.cumsum(np.where(line >= 0, b.words[line], 0))])
+    cut = np.zeros(len(b.code), bool)
+    for _, q, n in patience(x, y):
+        if run[q + n] - run[q] >= min_words:
+            cut[line[q : q + n]] = True
+    known, _, _ = keys(a.hash, a.words, a.cuts(), min_words)
+    mine, first, end = keys(b.hash, b.words, b.cuts(), min_words)
+    for i, j in zip(*(v[np.isin(mine, known)].tolist() for v in (first, end)), strict=True):
+        cut[i:j] = True
+    return np.flatnonzero(cut)
 
 
 def line_cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, cut[]): line numbers to cut from each document that has any."""
-    seqs = line_table(docs, id_col, text_col).groupBy("id").agg(F.min(F.struct("hash", "words", "at")).alias("s"))
-    seqs = written(seqs.select("id", "s.*"), "lines")
-    each = seqs.select("id", F.explode(F.arrays_zip("hash", "words")).alias("l")).select("id", "l.hash", "l.words")
-    # owners are written, so that the join reads both sides by a plain shuffle and Spark can split a hot line's rows
-    held = F.min("id").alias("owner"), F.max("id").alias("last")
-    owners = written(each.groupBy("hash").agg(*held).filter("owner < last").select("hash", "owner"), "owners")
-    links = each.join(owners, "hash").filter("owner < id").select("id", "owner", "hash", "words")
-    digest = F.xxhash64("hash").alias("digest")
-    equal = written(seqs.groupBy(digest).agg(*held).filter("owner < last").select("digest", "owner"), "equal")
-    equal = seqs.select("id", digest).join(equal, "digest").filter("owner < id")
-    links = links.unionByName(equal.select("id", "owner", F.lit(None).cast("long").alias("hash"), F.lit(min_words).alias("words")))
-    pairs = links.groupBy("id", "owner").agg(F.sum("words").alias("total"), F.collect_set("hash").alias("link")).filter(F.col("total") >= min_words)
-    pairs = written(pairs.select("id", "owner", "link"), "pairs")
-    both = pairs.join(seqs.select(F.col("id").alias("owner"), F.col("hash").alias("a")), "owner").join(seqs, "id")
+    """(doc, cut[]): line numbers to cut from each document that has any."""
+    lines = written(line_table(docs, id_col, text_col), "lines")
+    table = key_table(lines, min_words)
+    # shared keys are written, so that the join reads both sides by a plain shuffle and Spark can split a hot key's rows
+    ends = [f(F.col("doc").getField(c)).alias(f"{n}_{c}") for c in ("id", "d") for n, f in (("lo", F.min), ("hi", F.max))]
+    held = written(table.groupBy("key").agg(*ends).filter("lo_id < hi_id OR lo_d < hi_d").select("key"), "shared")
+    shared = written(table.join(held, "key"), "holders")
+    owners = written(shared.groupBy("key").agg(F.min("doc").alias("owner")), "owners")
+    pairs = written(shared.select("key", "doc").join(owners, "key").filter("owner < doc").select("doc", "owner").distinct(), "pairs")
+    spans = shared.groupBy("doc").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
+
+    def trim(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep, sizes, places = [], [], []
+        start = batch.column("hash").offsets.to_numpy()
+        for k in range(batch.num_rows):
+            n = start[k + 1] - start[k]
+            spans = batch.column("spans")[k].values
+            first, end = (spans.field(c).to_numpy() for c in ("first", "end"))
+            inside = np.flatnonzero(np.cumsum(np.bincount(first, minlength=n + 1) - np.bincount(end, minlength=n + 1))[:n] > 0)
+            keep.append(start[k] + inside)
+            places.append(inside)
+            sizes.append(len(inside))
+        off = np.concatenate([[0], np.cumsum(sizes)])
+        at, place = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keep, places))
+        got = [lists(batch.column(c).values.to_numpy()[at], off, batch.column(c).type.value_type) for c in ("hash", "words", "at")]
+        return pa.record_batch([batch.column("doc"), *got, lists(place, off, pa.int32())], names=["doc", "hash", "words", "at", "place"])
+
+    kind = lines.schema["doc"].dataType.simpleString()
+    parts = mapped(lines.join(spans, "doc"), trim, f"doc {kind}, hash array<long>, words array<int>, at array<int>, place array<int>", text=None)
+    parts = written(parts, "parts")
+    earlier = parts.select(F.col("doc").alias("owner"), *[F.col(c).alias(f"{c}_a") for c in ("hash", "words", "place")])
+    both = pairs.join(earlier, "owner").join(parts, "doc")
 
     def align(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows, cuts = [], []
-        cols = [batch.column(c) for c in ("link", "a", "hash", "words", "at")]
+        cols = [batch.column(c) for c in ("hash_a", "words_a", "place_a", "hash", "words", "place", "at")]
         for k in range(batch.num_rows):
-            link, a, b, words, at = (c[k].values.to_numpy(zero_copy_only=False) for c in cols)
-            got = cut_lines(a, b, np.where(np.isin(b, link), words, 0), min_words)
+            *a, h, w, p, at = (c[k].values.to_numpy() for c in cols)
+            code = np.unique(np.concatenate([a[0], h]), return_inverse=True)[1]
+            got = cut_lines(Sequence(code[: len(a[0])], *a), Sequence(code[len(a[0]) :], h, w, p), min_words)
             if len(got):
                 rows.append(k)
                 cuts.append(at[got])
         off = np.concatenate([[0], np.cumsum([len(c) for c in cuts], dtype=np.int64)])
         flat = np.concatenate(cuts) if cuts else np.zeros(0, np.int32)
-        return pa.record_batch([batch.column("id").take(pa.array(rows, pa.int32())), lists(flat, off, pa.int32())], names=["id", "cut"])
+        return pa.record_batch([batch.column("doc").take(pa.array(rows, pa.int32())), lists(flat, off, pa.int32())], names=["doc", "cut"])
 
-    kind = seqs.schema["id"].dataType.simpleString()
-    cuts = mapped(both.select("id", "link", "a", "hash", "words", "at"), align, f"id {kind}, cut array<int>", text=None)
-    return cuts.select("id", F.explode("cut").alias("cut")).groupBy("id").agg(F.collect_set("cut").alias("cut"))
+    cuts = mapped(both.select("doc", "hash_a", "words_a", "place_a", "hash", "words", "place", "at"), align, f"doc {kind}, cut array<int>", text=None)
+    return cuts.select("doc", F.explode("cut").alias("cut")).groupBy("doc").agg(F.collect_set("cut").alias("cut"))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -183,9 +281,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     is left with an empty text.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_cut", "cut")]
-    cuts = line_cuts(docs, id_col, text_col, min_words).withColumnRenamed("id", "cut_id")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{id_col}`").alias("join_id"))
-    rows = rows.join(cuts, F.col("join_id") == F.col("cut_id"), "left")
+    cuts = line_cuts(docs, id_col, text_col, min_words).withColumnRenamed("doc", "of")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{id_col}`").alias("join_id"), F.xxhash64(f"`{text_col}`").alias("join_d"))
+    rows = rows.join(cuts, F.expr("join_id = of.id AND join_d = of.d"), "left")
     text = F.col("row").getField(text_col)
     n_lines = F.when(text.isNull() | (text == ""), 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
     lines = F.split(text, "\n", -1)

@@ -105,14 +105,14 @@ class Index:
         """Index entries, which should be sorted so that like stands by like."""
         flat = np.concatenate([np.stack(t, 1).astype(np.int32) for t in tfs]) if tfs else np.zeros((0, 2), np.int32)
         self.add_flat(np.array([len(t[0]) for t in tfs], int), flat[:, 0], flat[:, 1])
+        self.build()
 
     def add_flat(self, lens: np.ndarray, places: np.ndarray, counts: np.ndarray) -> None:
+        """The entries' lists alone; build() makes them ready for searching, where that is done."""
         order = np.argsort(places, kind="stable")
         self.df = np.bincount(places, minlength=len(self.terms))
         self.tf = counts[order]
         self.entry = np.repeat(np.arange(len(lens), dtype=np.int32), lens)[order]
-        del order
-        self.build()
 
     def build(self) -> None:
         """What searching needs, from the postings' entries and counts."""

@@ -86,26 +86,22 @@ def test_components_of_chains_and_stars(spark):
 
 
 def brute_cuts(texts, min_words):
-    """Aligns every pair of documents."""
-    seq = {}
-    for i, t in texts:
-        seq[i] = [(n, b" ".join(words(line)), len(words(line))) for n, line in enumerate((t or "").split("\n")) if words(line)]
-    code = {}
-    for s in seq.values():
-        for _, line, _ in s:
-            code.setdefault(line, len(code))
-    owner = {}
-    for i in sorted(seq):
-        for _, line, _ in seq[i]:
-            owner.setdefault(line, i)
+    """Every pair of documents, every run of lines of the later one: it goes if the earlier one has the same run and it has min_words words."""
+    seq = {i: [(n, b" ".join(words(line)), len(words(line))) for n, line in enumerate((t or "").split("\n")) if words(line)] for i, t in texts}
     out = {}
     for b in seq:
+        mine = [x for _, x, _ in seq[b]]
         for a in seq:
-            if a < b and seq[a] and seq[b]:
-                x, y = (np.array([code[line] for _, line, _ in seq[k]]) for k in (a, b))
-                weight = np.array([n if owner[line] == a else 0 for _, line, n in seq[b]])
-                for k in line_dedup.cut_lines(x, y, weight, min_words):
-                    out.setdefault(b, set()).add(seq[b][k][0])
+            theirs = [x for _, x, _ in seq[a]]
+            if a >= b or not set(mine) & set(theirs):
+                continue
+            for i in range(len(mine)):
+                for j in range(i + 1, len(mine) + 1):
+                    whole = j - i == len(mine) and mine == theirs
+                    if not any(theirs[k : k + j - i] == mine[i:j] for k in range(len(theirs))):
+                        break
+                    if whole or sum(n for _, _, n in seq[b][i:j]) >= min_words:
+                        out.setdefault(b, set()).update(n for n, _, _ in seq[b][i:j])
     return out
 
 
@@ -131,6 +127,56 @@ def test_line_dedup_matches_all_pairs(spark):
         assert got[i] == (cut, want, len(cut))
 
 
+def cut_of(spark, texts):
+    got = line_dedup.line_dedup(spark.createDataFrame(rows(texts), SCHEMA)).collect()
+    return sorted((x.doc_id, list(x.cut), x.text) for x in got)
+
+
+def line(name, n=12):
+    return " ".join(f"{name}{k}" for k in range(n))
+
+
+def test_a_block_whose_lines_have_different_earliest_holders_is_cut(spark):
+    x, y = line("x"), line("y")
+    texts = [(1, f"{x}\nown one"), (2, f"{x}\n{y}\nown two"), (3, f"own\n{x}\n{y}\nown three")]
+    assert cut_of(spark, texts) == [(1, [], texts[0][1]), (2, [], texts[1][1]), (3, [1, 2], "own\nown three")]
+
+
+def test_short_lines_held_elsewhere_do_not_hide_a_passage(spark):
+    lines = [line(f"q{k}") for k in range(5)]
+    quotes = [(k, f"own {k}\n{lines[k]}") for k in range(5)]
+    passage = "\n".join(lines)
+    got = cut_of(spark, [*quotes, (10, f"{passage}\nend ten"), (11, f"start eleven\n{passage}")])
+    assert [(i, cut) for i, cut, _ in got] == [*((k, []) for k in range(5)), (10, []), (11, [1, 2, 3, 4, 5])]
+
+
+def test_repeated_and_crossed_passages_are_cut(spark):
+    p, q, r = (line(c, 25) for c in "pqr")
+    texts = [(1, f"a\n{p}\n{q}\n{r}"), (2, f"b\n{r}\nc\n{p}\nd\n{p}\ne"), (3, f"f\n{q}\n{p}")]
+    assert [(i, cut) for i, cut, _ in cut_of(spark, texts)] == [(1, []), (2, [1, 3, 5]), (3, [1, 2])]
+
+
+def test_tails_of_blocks_and_many_holders(spark):
+    head, tail, menu = line("h", 20), line("t", 4), line("m", 3)
+    texts = [(1, f"{head}\nother"), (2, f"{head}\n{tail}\nsecond"), (3, f"third\n{head}\n{tail}")] + [(10 + k, f"{menu}\nown {k}\n{head}") for k in range(40)]
+    assert [(i, cut) for i, cut, _ in cut_of(spark, texts)] == [(1, []), (2, [0]), (3, [1, 2]), *((10 + k, [2]) for k in range(40))]
+
+
+def test_rows_with_odd_ids_and_columns(spark):
+    p = line("p", 30)
+    docs = [(7, f"{p}\none", 1, "hash", 5), (7, f"{p}\ntwo", 1, "hash", 5), (7, f"{p}\ntwo", 2, None, 5), (None, p, 1, "x", 5), (9, f"z\n{p}", 1, "doc", None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, n_cut int, doc string, d int")
+    got = sorted((x.doc_id or 0, x.n_cut, x.doc or "", x.text) for x in line_dedup.line_dedup(df).collect())
+    first, second = [(7, 0, "hash", f"{p}\none"), (7, 1, "", "two"), (7, 1, "hash", "two")], [(7, 0, "", f"{p}\ntwo"), (7, 0, "hash", f"{p}\ntwo"), (7, 1, "hash", "one")]
+    assert got in [sorted([(0, 0, "x", p), (9, 1, "doc", "z"), *own]) for own in (first, second)]
+
+
+def test_very_long_text_is_aligned_whole(spark):
+    many = [line(f"l{k}x", 9) for k in range(4000)]
+    texts = [(1, "\n".join(many)), (2, "\n".join([*many[:1000], "own", *many[1000:], "tail"]))]
+    assert cut_of(spark, texts)[1][2] == "own\ntail"
+
+
 def test_patience_aligns_moved_and_repeated_lines():
     a, b = np.array([1, 2, 3, 4, 5, 6]), np.array([9, 2, 3, 8, 5, 6])
     assert line_dedup.patience(a, b) == [(1, 1, 2), (4, 4, 2)]
