@@ -27,9 +27,11 @@ _FALLBACK: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    """The folder every executor sees: spark.checkpoint.dir; where that is unset a local one, on a local master only."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.conf.get("spark.master", "").startswith("local") or spark.conf.get("spark.master").startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         at = _FALLBACK.setdefault("dir", f"file://{tempfile.mkdtemp(prefix='tessera-')}")
     return at.rstrip("/")
 
@@ -242,5 +244,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if now == was:
             break
         was = now
+    else:
+        raise RuntimeError(f"labels still changed after {rounds} rounds")
     roots = e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return written(e.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots), "components")

@@ -2,7 +2,7 @@
 
 One pass over the texts makes, for each document, the digest of its shingle set, `PERMUTATIONS` minima, the
 band keys (hashes of ROWS minima each) and a signature of the low 2 bits of the minima, packed into longs.
-Documents with equal sets are one class from there on, so copies are never paired.  In each band bucket the
+Documents with equal sets are one class from there on, under a number of its own, so copies are never paired.  In each band bucket the
 member that shares most buckets is the leader; every other member is compared with it.  After components
 are found over confirmed links, only members of one bucket that are still in different components are
 compared, so a large group that has grown together costs nothing more.
@@ -12,13 +12,16 @@ share m of agreeing places, counted by xor and bit_count.  Pairs below threshold
 standard deviations) are dropped; the rest are confirmed on the full sets of 64-bit shingle hashes.
 
 In large buckets a bound that needs no estimate comes first: shingles that no other document of any large
-bucket holds cannot be shared, so with u such shingles |x & y| <= min(|x| - ux, |y| - uy).
+bucket holds cannot be shared, so with u such shingles |x & y| <= min(|x| - ux, |y| - uy).  The members left are
+dealt to blocks of BLOCK, and each pair of blocks is a group: the first pass over the groups tells which members
+have a likely partner there by sizes and signatures, the second gets only those members' sets and reports a spanning
+forest of the links, so neither one task nor the rows grow with the square of a bucket.
 
 Chance of missing a link of similarity 0.85 in all bands: (1 - 0.85^5)^24, under 1e-6; at 0.8, 8e-5.
 
-Defined results: null, empty and blank texts have no shingles and are linked with nothing; texts of fewer
-than five words are one shingle; null ids are in no result; repeated ids count once (their sets are equal or,
-if not, one of the rows is taken); other columns are ignored.
+Defined results: one row per row.  Null, empty and blank texts have no shingles and are linked with nothing; texts of
+fewer than five words are one shingle; rows with a null id are linked with nothing and have a null component; repeated
+ids with equal sets are alike, with different sets they are documents of their own; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,6 +43,7 @@ LOW_BITS = 2
 LONGS = PERMUTATIONS * LOW_BITS // 64
 MARGIN = 0.16
 LARGE = 64  # members from which a bucket's unshared shingles are counted first
+BLOCK = 512  # members of a large bucket in a block
 _SEED = 20240501
 _PAIRS_OF_BITS = 0x5555555555555555
 
@@ -77,13 +81,16 @@ def distinct_sets(words: Words) -> list[np.ndarray]:
     return [np.unique(grams[off[i] : off[i + 1]]) for i in range(len(off) - 1)]
 
 
+def digests(sets: list[np.ndarray]) -> np.ndarray:
+    return np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), np.int64).reshape(-1, 2)
+
+
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n, d0, d1, sig[], bands[]) per document; n: distinct shingles, d0 and d1: the set's digest."""
+    """(id, t, n, d0, d1, sig[], bands[]) per row; t: a hash of the text, n: distinct shingles, d0 and d1: the set's digest."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = distinct_sets(Words(batch.column("text")))
-        n = np.array([len(s) for s in sets], np.int64)
-        digest = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), np.int64).reshape(-1, 2)
+        n, digest = np.array([len(s) for s in sets], np.int64), digests(sets)
         full = np.flatnonzero(n)
         sig, keys = np.zeros((len(full), LONGS), np.uint64), np.zeros((len(full), BANDS), np.uint64)
         if len(full):
@@ -92,13 +99,13 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         has = (n > 0).astype(np.int64)
         offsets = np.concatenate([[0], np.cumsum(has)])
         return pa.record_batch(
-            [batch.column("id"), pa.array(n), pa.array(digest[:, 0]), pa.array(digest[:, 1]), lists(sig.ravel().view(np.int64), offsets * LONGS, pa.int64()), lists(keys.ravel().view(np.int64), offsets * BANDS, pa.int64())],
-            names=["id", "n", "d0", "d1", "sig", "bands"],
+            [batch.column("id"), batch.column("t"), pa.array(n), pa.array(digest[:, 0]), pa.array(digest[:, 1]), lists(sig.ravel().view(np.int64), offsets * LONGS, pa.int64()), lists(keys.ravel().view(np.int64), offsets * BANDS, pa.int64())],
+            names=["id", "t", "n", "d0", "d1", "sig", "bands"],
         )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").filter("id IS NOT NULL")
-    return mapped(rows, each, f"id {kind}, n long, d0 long, d1 long, sig array<long>, bands array<long>")
+    rows = docs.selectExpr(f"`{id_col}` AS id", f"xxhash64(`{text_col}`) AS t", f"`{text_col}` AS text")
+    return mapped(rows, each, f"id {kind}, t long, n long, d0 long, d1 long, sig array<long>, bands array<long>")
 
 
 def _alike(x: str, y: str, threshold: float) -> str:
@@ -128,33 +135,35 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep.append(100 * both >= percent * (len(p) + len(q) - both))
         return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    kind = sets.schema["id"].dataType.simpleString()
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b")
-    return mapped(both.select("a", "b", "x", "y"), each, f"a {kind}, b {kind}", text=None)
+    return mapped(both.select("a", "b", "x", "y"), each, "a long, b long", text=None)
 
 
-def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, grams): the distinct shingle hashes of the documents in ids."""
+def shingle_sets(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, grams): the distinct shingle hashes of the classes (id, rep, d0, d1), from the document `rep` of each."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = distinct_sets(Words(batch.column("text")))
+        found, want = digests(sets), np.stack([batch.column(c).to_numpy() for c in ("d0", "d1")], 1)
+        own = np.flatnonzero((found == want).all(1))  # not so for other texts of a repeated id
+        sets = [sets[i] for i in own]
         off = np.concatenate([[0], np.cumsum([len(s) for s in sets], dtype=np.int64)])
-        return pa.record_batch([batch.column("id"), lists(np.concatenate(sets).view(np.int64), off, pa.int64())], names=["id", "grams"])
+        grams = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+        return pa.record_batch([batch.column("id").take(pa.array(own)), lists(grams, off, pa.int64())], names=["id", "grams"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").join(ids.select("id"), "id", "left_semi")
-    return mapped(rows, each, f"id {kind}, grams array<long>")
+    rows = docs.selectExpr(f"`{id_col}` AS rep", f"`{text_col}` AS text").join(classes.select("id", "rep", "d0", "d1"), "rep")
+    return mapped(rows.select("id", "d0", "d1", "text"), each, "id long, grams array<long>").dropDuplicates(["id"])
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
-    """(id, n_shingles, component_id, kept) per document; links need 100 * intersection >= percent * union."""
+def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+    """(id, t, n, component, root) per row; root: a number of the component, null where nothing can be linked; links need 100 * intersection >= percent * union."""
     threshold = percent / 100
     sigs = written(signatures(docs, id_col, text_col), "signatures")
-    classes = written(sigs.filter("n > 0").groupBy("d0", "d1").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "classes")
-    reps = sigs.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
-    reps = written(reps.select("id", "n", *[F.col("sig")[k].alias(f"s{k}") for k in range(LONGS)], "bands"), "classes")
-    light = reps.drop("bands")
-    every = reps.select("id", F.explode("bands").alias("key"))
+    classes = sigs.filter("n > 0 AND id IS NOT NULL").groupBy("d0", "d1").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+    classes = classes.select(F.monotonically_increasing_id().alias("id"), "d0", "d1", "rep", "n", *[F.col("sig")[k].alias(f"s{k}") for k in range(LONGS)], "bands")
+    classes = written(classes, "classes")  # the numbers are fixed from here on
+    light = classes.drop("bands")
+    every = classes.select("id", F.explode("bands").alias("key"))
     buckets = written(every.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1"), "buckets")
     members = written(every.join(buckets, "key"), "members")
     # the leader of a bucket: the member that shares most buckets with others
@@ -164,24 +173,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     leaders = written(ranked.groupBy("key").agg(F.max_by("id", F.struct("degree", "id")).alias("leader")), "leaders")
     stars = members.join(leaders, "key").filter("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
     stars = _likely(stars, known, percent, threshold)
-    sets = written(shingle_sets(docs, known, id_col, text_col).dropDuplicates(["id"]), "sets")
+    sets = written(shingle_sets(docs, known, id_col, text_col), "sets")
     links = written(confirmed(stars, sets, percent), "links")
     found = components(links)
     found = components(links.unionByName(_across(members, known, found, leaders, sets, percent, threshold)))
-    of_class = classes.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").select("d0", "d1", F.coalesce("component", "rep").alias("component"))
-    of_class = written(of_class, "classes")
-    out = sigs.select("id", "n", "d0", "d1").join(of_class, ["d0", "d1"], "left")
-    component = F.coalesce("component", "id")
-    out = out.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
-    return out
+    least = written(classes.select("id", "rep").join(found, "id").groupBy("component").agg(F.min("rep").alias("least")), "least")
+    roots = written(found.join(least, "component"), "roots")
+    of_class = classes.select("id", "d0", "d1", "rep").join(roots, "id", "left")
+    of_class = of_class.select("d0", "d1", F.coalesce("component", "id").alias("root"), F.coalesce("least", "rep").alias("component"))
+    out = sigs.select("id", "t", "n", "d0", "d1").join(written(of_class, "classes"), ["d0", "d1"], "left")
+    named = F.col("id").isNotNull()
+    return out.select("id", "t", "n", F.when(named, F.coalesce("component", "id")).alias("component"), F.when(named, F.col("root")).alias("root"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+    """(id, n_shingles, component_id, kept) per row."""
+    out = labelled(docs, id_col, text_col, percent)
+    return out.select("id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
-    """The documents that are the first of their component, each once, with all columns; rows without an id stay."""
-    kept = near_duplicates(docs, id_col, text_col, percent).filter("kept").select(F.col("id").alias("kept_id"))
-    kept = written(kept, "kept")
-    first = docs.join(kept, docs[id_col] == kept["kept_id"], "left_semi").dropDuplicates([id_col])
-    return first.unionByName(docs.filter(docs[id_col].isNull()))
+    """The first document of each component, once, with all columns; rows without an id stay."""
+    first = labelled(docs, id_col, text_col, percent).filter("id = component")
+    first = first.groupBy("id", F.coalesce("root", "t").alias("root")).agg(F.min("t").alias("t"))
+    first = written(first.select(F.col("id").alias("kept_id"), F.col("t").alias("kept_t")).distinct(), "kept")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("join_id"), F.xxhash64(f"`{text_col}`").alias("join_t"))
+    got = rows.join(first, F.expr("join_id = kept_id AND join_t = kept_t"), "left_semi").dropDuplicates(["join_id", "join_t"])
+    return got.unionByName(rows.filter("join_id IS NULL")).select("row.*")
 
 
 def _likely(pairs: DataFrame, known: DataFrame, percent: int, threshold: float) -> DataFrame:
@@ -195,8 +213,7 @@ def _across(members: DataFrame, known: DataFrame, found: DataFrame, leaders: Dat
     """Links within a bucket between different components; pairs with a leader have been tried.
 
     Pairs of small buckets are confirmed like the leaders' pairs.  Those of large buckets are confirmed where they are
-    formed, inside the join's condition, so that a large group whose members are nearly but not quite
-    linked makes no rows: only links come out.
+    formed, so that a large group whose members are nearly but not quite linked makes no rows for its pairs.
     """
     label = known.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     rows = members.join(label, "id")
@@ -210,12 +227,64 @@ def _across(members: DataFrame, known: DataFrame, found: DataFrame, leaders: Dat
     large = rows.filter(F.col("members") >= LARGE)
     spare = _unshared(sets, large.select("id").distinct())
     able = large.join(spare, "id", "left").withColumn("spare", F.coalesce("spare", F.lit(0).cast("long"))).filter(f"100 * (n - spare) >= {percent} * n")
-    able = written(able.join(sets, "id"), "able")
-    p, q = able.alias("p"), able.alias("q")
-    most = "least(p.n - p.spare, q.n - q.spare)"
-    bound = F.expr(f"100 * {most} >= {percent} * (p.n + q.n - {most})")
-    linked = F.expr(f"{100 + percent} * size(array_intersect(p.grams, q.grams)) >= {percent} * (p.n + q.n)")
-    return written(small.unionByName(p.join(q, likely & bound & linked).select(*ends).distinct()), "links")
+    return written(small.unionByName(_blocked(written(able, "able"), sets, percent, threshold)), "links")
+
+
+def _blocked(able: DataFrame, sets: DataFrame, percent: int, threshold: float) -> DataFrame:
+    """A spanning forest (a, b) of the links within the buckets of `able`, block by block, between different components."""
+    sized = able.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    rows = able.join(written(sized, "blocks"), "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    pair = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("i"), F.greatest("own", j).alias("j")))
+    rows = rows.select("key", F.explode(pair).alias("pair"), "own", "id", "n", "spare", "component", *[f"s{k}" for k in range(LONGS)])
+    low = 1 / (1 << LOW_BITS)
+    most = PERMUTATIONS * (1 - (low + (1 - low) * (threshold - MARGIN)))
+
+    def likely(part: pa.Table) -> np.ndarray:
+        """(member, member): may be linked, are of different components, and are of different blocks where the pair of blocks has two."""
+        n, spare, component, own = (part[c].to_numpy() for c in ("n", "spare", "component", "own"))
+        sig = np.stack([part[f"s{k}"].to_numpy() for k in range(LONGS)], 1).view(np.uint64)
+        both = np.minimum((n - spare)[:, None], (n - spare)[None])
+        able = (100 * both >= percent * (n[:, None] + n[None] - both)) & (component[:, None] != component[None])
+        able &= (own[:, None] != own[None]) | (own.min() == own.max())
+        differ = np.zeros(able.shape, np.uint16)
+        for k in range(LONGS):
+            bits = sig[:, k, None] ^ sig[None, :, k]
+            differ += np.bitwise_count((bits | (bits >> np.uint64(1))) & np.uint64(_PAIRS_OF_BITS))
+        return able & (differ <= most)
+
+    def tried(part: pa.Table) -> pa.Table:
+        return part.filter(pa.array(likely(part).any(1)))
+
+    def linked(part: pa.Table) -> pa.Table:
+        pairs, ids, component = likely(part), part["id"].to_numpy(), part["component"].to_numpy()
+        grams = part["grams"].combine_chunks()
+        n = pc.list_value_length(grams).to_numpy()
+        code = np.unique(grams.flatten().to_numpy(), return_inverse=True)[1]
+        start, size = np.cumsum(n) - n, np.zeros(int(code.max(initial=-1)) + 1, bool)
+        root: dict[int, int] = {}
+
+        def find(v: int) -> int:
+            while root.setdefault(v, v) != v:
+                root[v] = root[root[v]]
+                v = root[v]
+            return v
+
+        out = []
+        for x in np.flatnonzero(pairs.any(1)):
+            own = code[start[x] : start[x] + n[x]]
+            size[own] = True
+            both = np.add.reduceat(size[code], start, dtype=np.int64)
+            size[own] = False
+            for y in np.flatnonzero(pairs[x] & (100 * both >= percent * (n[x] + n - both))):
+                p, q = find(int(component[x])), find(int(component[y]))
+                if p != q:
+                    root[p] = q
+                    out.append((ids[x], ids[y]))
+        a, b = np.array(out, np.int64).reshape(-1, 2).T
+        return pa.table({"a": pa.array(a), "b": pa.array(b)})
+
+    near = written(rows.groupBy("key", "pair").applyInArrow(tried, rows.schema), "near")
+    return near.join(sets, "id").groupBy("key", "pair").applyInArrow(linked, "a long, b long").distinct()
 
 
 def _unshared(sets: DataFrame, ids: DataFrame) -> DataFrame:
@@ -228,7 +297,6 @@ def _unshared(sets: DataFrame, ids: DataFrame) -> DataFrame:
         owner = batch.column("id").take(pc.list_parent_indices(grams).take(pa.array(first)))
         return pa.record_batch([owner, pa.array(gram, pa.int64()), pa.array(holders, pa.int64())], names=["id", "gram", "holders"])
 
-    kind = sets.schema["id"].dataType.simpleString()
-    grams = mapped(sets.join(ids, "id", "left_semi").select("id", "grams"), each, f"id {kind}, gram long, holders long", text=None)
+    grams = mapped(sets.join(ids, "id", "left_semi").select("id", "grams"), each, "id long, gram long, holders long", text=None)
     alone = grams.groupBy("gram").agg(F.min("id").alias("id"), F.sum("holders").alias("holders")).filter("holders = 1")
     return alone.groupBy("id").agg(F.count("*").alias("spare"))

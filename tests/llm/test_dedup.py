@@ -73,6 +73,43 @@ def test_large_group_of_near_copies(spark):
     assert got == brute_components(pairs, sets)
 
 
+def test_blocks_of_large_buckets_match_brute_force(spark, monkeypatch):
+    """Groups whose members are linked with some but not all others, in buckets dealt to many blocks."""
+    monkeypatch.setattr(minhash_dedup, "LARGE", 3)
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 4)
+    r = random.Random(9)
+    texts = []
+    for g in range(6):
+        w = ["g%d_%d" % (g, i) for i in range(120)]
+        for i in range(40):
+            if r.random() < 0.5:  # drifts away from the first
+                w[r.randrange(120)] = "y%d" % r.randrange(10**6)
+            v = list(w)
+            for _ in range(r.randint(0, 2)):
+                v[r.randrange(120)] = "z%d" % r.randrange(10**6)
+            texts.append((len(texts), " ".join(v)))
+    got = {x.id: x.component_id for x in minhash_dedup.near_duplicates(spark.createDataFrame(rows(texts), SCHEMA), percent=85).collect()}
+    sets = {i: shingles(t) for i, t in texts}
+    pairs = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    want = brute_components(pairs, sets)
+    assert got == want and 12 < len(set(want.values())) < 200
+
+
+def test_repeated_ids_null_ids_and_other_columns(spark):
+    p, q = line("p", 30), line("q", 30)
+    docs = [(7, p, 1, "x"), (7, q, 1, "x"), (7, q, 2, "x"), (3, p + " end", 1, None), (4, q, 1, "x"), (None, p, 1, "x"), (None, None, 1, "x"), (9, " ", 1, "x")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, t int, component string")
+    got = sorted((x.id or 0, x.n_shingles, x.component_id or 0, x.kept) for x in minhash_dedup.near_duplicates(df, percent=85).collect())
+    assert got == sorted([(7, 26, 3, False), (7, 26, 4, False), (7, 26, 4, False), (3, 27, 3, True), (4, 26, 4, True), (0, 26, 0, True), (0, 0, 0, True), (9, 0, 9, True)])
+    kept = sorted((x.doc_id or 0, x.text or "") for x in minhash_dedup.deduplicated(df.filter("doc_id <> 4 OR doc_id IS NULL")).collect())
+    assert kept == sorted([(0, ""), (0, p), (3, p + " end"), (7, q), (9, " ")])
+
+
+def test_components_that_do_not_end_are_an_error(spark):
+    with pytest.raises(RuntimeError):
+        components(spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long"), rounds=1)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert minhash_dedup.near_duplicates(docs).count() == 0
