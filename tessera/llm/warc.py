@@ -1,8 +1,8 @@
 """Deterministic sharded WARC writer and reader.
 
-Records are ordered by id.  Shards are ranges of ids that hold about SHARD_BYTES of payload each, taken from an
-exact histogram, so the same rows give the same shards on any cluster.  A shard is written by one task,
-which rolls to a new file when a file's compressed size reaches ROLL_BYTES.  Headers and digests are made anew from
+Records are ordered by id.  Shards are ranges of ids that hold about SHARD_BYTES of payload each, taken from exact
+running sums, so the same rows give the same shards on any cluster; from MOST_SHARDS on they grow instead, so that
+their bounds stay a short list.  A shard is a partition of its own, written by one task, which rolls to a new file when a file's compressed size reaches ROLL_BYTES.  Headers and digests are made anew from
 the payload; of equal payloads of at least MIN_REVISIT bytes the smallest id is a response and the others are
 revisits of it.  Each attempt writes under a temporary name of its own and returns a manifest row per file
 (name, size, records, SHA-256); the files of the attempts that Spark accepted are renamed to their final names
@@ -11,7 +11,8 @@ temporary file behind, and a repeated rename finds its work done.
 
 Files are reached through pyarrow's file systems, so the folder may be any store that those open.
 
-Defined results: a null payload is empty; null ids have shards of their own, last, and are revisits of any other row
+Defined results: a null payload is empty; null ids have shards of their own, as many as their bytes ask for, dealt by
+payload; they are revisits of any other row
 with the payload; rows that repeat an id and payload are one response and revisits of it; a null url is written as
 an empty URI; an empty table gives a manifest without rows.
 """
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import fresh_path, mapped, written
@@ -36,7 +37,7 @@ DATE = "2024-01-01T00:00:00Z"
 SHARD_BYTES = 16 << 20
 ROLL_BYTES = 2 << 20
 MIN_REVISIT = 0
-BINS = 4096  # of the histogram of ids that the driver holds at a time
+MOST_SHARDS = 1 << 16
 _SPACE = uuid.UUID("6ba7b812-9dad-11d1-80b4-00c04fd430c8")
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
@@ -77,42 +78,30 @@ def _open(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
 
-def shard_bounds(sizes: DataFrame, shard_bytes: int) -> list[int]:
-    """The first ids of all shards but the first, from exact counts; integer ids.  At most BINS rows come to the driver at a time."""
-    ends = sizes.agg(F.min("id"), F.max("id")).first()
-    if ends[0] is None:
-        return []
-    todo, weights = [(int(ends[0]), int(ends[1]))], {}
-    while todo:  # bins over a shard's size are counted again in finer bins
-        lo, hi = todo.pop()
-        width = max(1, -(-(hi - lo + 1) // BINS))
-        bins = sizes.filter(F.col("id").between(lo, hi)).groupBy(F.expr(f"CAST((id - {lo}) DIV {width} AS BIGINT)").alias("bin")).agg(F.sum("n").alias("n"))
-        for r in bins.collect():
-            a = lo + r.bin * width
-            if width > 1 and r.n > shard_bytes:
-                todo.append((a, min(hi, a + width - 1)))
-            else:
-                weights[a] = r.n
-    bounds, held = [], 0
-    for a in sorted(weights):
-        if held and held + weights[a] > shard_bytes:
-            bounds.append(a)
-            held = 0
-        held += weights[a]
-    return bounds
-
-
-def _shard_of(bounds: list[int]) -> Column:
-    """How many bounds are at or below the id: first among every 256th, then among the 256 there.  Null ids
-    have shards of their own at the end, dealt by content."""
+def shard_bounds(sizes: DataFrame, shard_bytes: int) -> tuple[list, int]:
+    """The first ids of all shards but the first, and the number of shards for rows without an id; from sizes (id, n)."""
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(F.col("id").isNull(), F.col("n"))), F.lit(0)).alias("bare"), F.count_if(F.col("id").isNull()).alias("rows")).first()
+    step = max(shard_bytes, -(-total.n // MOST_SHARDS))
+    per = sizes.filter("id IS NOT NULL").groupBy("id").agg(F.sum("n").alias("n"))
+    ranged = per.repartitionByRange("id").select("id", "n", F.spark_partition_id().alias("part"))
+    ranged = written(ranged, "ranged")  # the partitions' numbers are fixed from here on
+    # a row for each partition; what is before it
+    before = ranged.groupBy("part").agg(F.sum("n").alias("held")).select("part", (F.sum("held").over(Window.orderBy("part")) - F.col("held")).alias("before"))
+    run = F.sum("n").over(Window.partitionBy("part").orderBy("id")) - F.col("n")
+    shards = ranged.join(written(before, "before"), "part").select("id", F.floor((F.col("before") + run) / step).alias("shard"))
+    firsts = shards.groupBy("shard").agg(F.min("id").alias("id")).orderBy("id").collect()  # at most MOST_SHARDS + 1
+    return [r.id for r in firsts[1:]], -(-total.bare // step) or min(total.rows, 1)
+
+
+def _shard_of(bounds: list, bare: int, kind: str) -> Column:
+    """How many bounds are at or below the id: first among every 256th, then among the 256 there."""
     step = 256
     groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-    heads = F.from_json(F.lit(json.dumps([g[0] for g in groups])), "array<bigint>")
-    inner = F.from_json(F.lit(json.dumps(groups)), "array<array<bigint>>")
-    number = F.col("id").cast("long")
-    at = F.size(F.filter(heads, lambda b: b <= number))
-    within = F.when(at == 0, 0).otherwise((at - 1) * step + F.size(F.filter(F.get(inner, at - 1), lambda b: b <= number)))
-    spread = F.lit(len(bounds) + 1) + F.pmod(F.xxhash64("hexed"), F.lit(16))
+    heads = F.from_json(F.lit(json.dumps([g[0] for g in groups])), f"array<{kind}>")
+    inner = F.from_json(F.lit(json.dumps(groups)), f"array<array<{kind}>>")
+    at = F.size(F.filter(heads, lambda b: b <= F.col("id")))
+    within = F.when(at == 0, 0).otherwise((at - 1) * step + F.size(F.filter(F.get(inner, at - 1), lambda b: b <= F.col("id"))))
+    spread = F.lit(len(bounds) + 1) + F.pmod(F.xxhash64("hexed"), F.lit(max(bare, 1)))
     return F.when(F.col("id").isNull(), spread).otherwise(within).cast("long")
 
 
@@ -159,7 +148,7 @@ def _key(value) -> str:
 
 
 def write(pages: DataFrame, to: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES, min_revisit: int = MIN_REVISIT) -> DataFrame:
-    """Write `pages` (integer ids) under the folder `to`; returns the manifest (shard, part, name, records, bytes, sha256)."""
+    """Write `pages` (integer or string ids) under the folder `to`; returns the manifest (shard, part, name, records, bytes, sha256)."""
     spark = pages.sparkSession
     payload = F.coalesce(F.col(payload_col), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"), F.sha1(payload.cast("binary")).alias("hexed"))
@@ -168,10 +157,10 @@ def write(pages: DataFrame, to: str, id_col: str = "page_id", url_col: str = "ur
     firsts = written(firsts.filter("copies > 1").select("h", "first"), "firsts")
     # rows that share a payload are marked by id, so that no partition gathers the pages of a common payload
     marks = sizes.select(F.col("id").alias("of_id"), "hexed").distinct().join(firsts, F.col("hexed") == F.col("h")).select("of_id", "h", "first")
-    bounds = shard_bounds(sizes, shard_bytes)
+    bounds, bare = shard_bounds(sizes, shard_bytes)
     rows = rows.join(written(marks, "marks"), F.col("id").eqNullSafe(F.col("of_id")) & (F.col("hexed") == F.col("h")), "left")
-    rows = rows.select(_shard_of(bounds).alias("shard"), "id", "url", "payload", F.col("h").isNotNull().alias("shared"), "first")
-    rows = rows.repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", "id", F.col("url").asc_nulls_first(), "payload")
+    rows = rows.select(_shard_of(bounds, bare, pages.schema[id_col].dataType.simpleString()).alias("shard"), "id", "url", "payload", F.col("h").isNotNull().alias("shared"), "first")
+    rows = rows.repartitionById(len(bounds) + 1 + bare, F.col("shard").cast("int")).sortWithinPartitions("shard", "id", F.col("url").asc_nulls_first(), "payload")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _write_sorted(batches, to, roll_bytes)
