@@ -2,12 +2,13 @@
 
 The projection is the public transverse Mercator series on the Bessel 1841 ellipsoid with a seven-parameter
 shift to WGS84 (position vector).  Other software may choose other shift parameters for EPSG:5174 and differ by
-metres; `projected` and `geographic` agree with each other to a millimetre.
+metres; `projected` and `geographic` agree with each other to a centimetre.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -53,51 +54,79 @@ def _arc(lat, sin) -> Column | float:
     return BESSEL_A / (1 + n) * (lat * c[0] - sin(2 * lat) * c[1] + sin(4 * lat) * c[2] - sin(6 * lat) * c[3] + sin(8 * lat) * c[4])
 
 
-def _to_space(lon: Column, lat: Column, a: float, f: float) -> tuple[Column, Column, Column]:
+def let(values: dict[str, Column], body: Callable[[Column], Column]) -> Column:
+    """The body over a struct of values that are each computed once, where plain expressions would repeat them without end."""
+    return F.element_at(F.transform(F.array(F.struct(*(v.alias(n) for n, v in values.items()))), body), 1)
+
+
+def _to_space(lon: Column, lat: Column, a: float, f: float, then: Callable[[Column, Column, Column], Column]) -> Column:
     e2 = f * (2 - f)
-    n = F.lit(a) / F.sqrt(1 - e2 * F.pow(F.sin(lat), 2))
-    return n * F.cos(lat) * F.cos(lon), n * F.cos(lat) * F.sin(lon), n * (1 - e2) * F.sin(lat)
+    trig = {"slon": F.sin(lon), "clon": F.cos(lon), "s": F.sin(lat), "c": F.cos(lat)}
+    return let(trig, lambda t: let({"n": F.lit(a) / F.sqrt(1 - e2 * t["s"] * t["s"]), "t": t}, lambda v: then(v["n"] * v["t"]["c"] * v["t"]["clon"], v["n"] * v["t"]["c"] * v["t"]["slon"], v["n"] * (1 - e2) * v["t"]["s"])))
 
 
-def _from_space(x: Column, y: Column, z: Column, a: float, f: float) -> tuple[Column, Column]:
-    """Bowring's closed form, exact to far below a millimetre at the ground."""
+def _from_space(x: Column, y: Column, z: Column, a: float, f: float, then: Callable[[Column, Column], Column]) -> Column:
+    """Bowring's closed form, exact to far below a millimetre at the ground; `then` gets longitude and latitude."""
     e2, b = f * (2 - f), a * (1 - f)
-    p = F.sqrt(x * x + y * y)
-    turn = F.atan2(z * a, p * b)
-    lat = F.atan2(z + e2 / (1 - e2) * b * F.pow(F.sin(turn), 3), p - e2 * a * F.pow(F.cos(turn), 3))
-    return F.atan2(y, x), lat
+
+    def turned(v: Column) -> Column:
+        return let({"turn": F.atan2(v["z"] * a, v["p"] * b), "v": v}, lambda w: then(F.atan2(w["v"]["y"], w["v"]["x"]), F.atan2(w["v"]["z"] + e2 / (1 - e2) * b * F.pow(F.sin(w["turn"]), 3), w["v"]["p"] - e2 * a * F.pow(F.cos(w["turn"]), 3))))
+
+    return let({"x": x, "y": y, "z": z}, lambda v: let({"p": F.sqrt(v["x"] * v["x"] + v["y"] * v["y"]), "x": v["x"], "y": v["y"], "z": v["z"]}, turned))
 
 
 def projected(lon: Column, lat: Column) -> Column:
     """WGS84 degrees to struct (x, y) in metres of EPSG:5174."""
-    x, y, z = _to_space(F.radians(lon), F.radians(lat), WGS_A, WGS_F)
-    x, y, z = ((v - t) / SCALE for v, t in zip((x, y, z), SHIFT, strict=True))
     rx, ry, rz = TURN
-    lon1, lat1 = _from_space(x + rz * y - ry * z, y - rz * x + rx * z, z + ry * x - rx * y, BESSEL_A, BESSEL_F)
     e2 = BESSEL_F * (2 - BESSEL_F)
     second = e2 / (1 - e2)
-    sin, cos, tan = F.sin(lat1), F.cos(lat1), F.tan(lat1)
-    n = F.lit(BESSEL_A) / F.sqrt(1 - e2 * sin * sin)
-    t, c, a = tan * tan, second * cos * cos, (lon1 - LON0) * cos
-    east = n * (a + (1 - t + c) * F.pow(a, 3) / 6 + (5 - 18 * t + t * t + 72 * c - 58 * second) * F.pow(a, 5) / 120)
-    north = _arc(lat1, F.sin) - _arc(LAT0, math.sin) + n * tan * (a * a / 2 + (5 - t + 9 * c + 4 * c * c) * F.pow(a, 4) / 24 + (61 - 58 * t + t * t + 600 * c - 330 * second) * F.pow(a, 6) / 720)
-    return F.struct((east + FALSE_X).alias("x"), (north + FALSE_Y).alias("y"))
+
+    def shifted(x: Column, y: Column, z: Column) -> Column:
+        moved = {n: (v - t) / SCALE for n, v, t in zip("xyz", (x, y, z), SHIFT, strict=True)}
+        return let(moved, lambda m: _from_space(m["x"] + rz * m["y"] - ry * m["z"], m["y"] - rz * m["x"] + rx * m["z"], m["z"] + ry * m["x"] - rx * m["y"], BESSEL_A, BESSEL_F, flat))
+
+    def flat(lon1: Column, lat1: Column) -> Column:
+        return let({"lon": lon1, "lat": lat1}, lambda p: let({"sin": F.sin(p["lat"]), "cos": F.cos(p["lat"]), "tan": F.tan(p["lat"]), "p": p}, series))
+
+    def series(v: Column) -> Column:
+        made = {"n": F.lit(BESSEL_A) / F.sqrt(1 - e2 * v["sin"] * v["sin"]), "t": v["tan"] * v["tan"], "c": second * v["cos"] * v["cos"], "a": (v["p"]["lon"] - LON0) * v["cos"], "tan": v["tan"], "lat": v["p"]["lat"]}
+        return let(made, placed)
+
+    def placed(v: Column) -> Column:
+        n, t, c, a = v["n"], v["t"], v["c"], v["a"]
+        east = n * (a + (1 - t + c) * F.pow(a, 3) / 6 + (5 - 18 * t + t * t + 72 * c - 58 * second) * F.pow(a, 5) / 120)
+        north = _arc(v["lat"], F.sin) - _arc(LAT0, math.sin) + n * v["tan"] * (a * a / 2 + (5 - t + 9 * c + 4 * c * c) * F.pow(a, 4) / 24 + (61 - 58 * t + t * t + 600 * c - 330 * second) * F.pow(a, 6) / 720)
+        return F.struct((east + FALSE_X).alias("x"), (north + FALSE_Y).alias("y"))
+
+    return let({"lon": F.radians(lon), "lat": F.radians(lat)}, lambda p: _to_space(p["lon"], p["lat"], WGS_A, WGS_F, shifted))
 
 
 def geographic(x: Column, y: Column) -> Column:
     """Metres of EPSG:5174 to struct (lon, lat) in WGS84 degrees."""
     e2, third = BESSEL_F * (2 - BESSEL_F), BESSEL_F / (2 - BESSEL_F)
-    mu = (y - FALSE_Y + _arc(LAT0, math.sin)) / (BESSEL_A / (1 + third) * _meridian(BESSEL_F)[0])
-    foot = mu + (3 * third / 2 - 27 * third**3 / 32) * F.sin(2 * mu) + (21 * third**2 / 16 - 55 * third**4 / 32) * F.sin(4 * mu) + 151 * third**3 / 96 * F.sin(6 * mu) + 1097 * third**4 / 512 * F.sin(8 * mu)
     second = e2 / (1 - e2)
-    sin, cos, tan = F.sin(foot), F.cos(foot), F.tan(foot)
-    w = 1 - e2 * sin * sin
-    n, r = F.lit(BESSEL_A) / F.sqrt(w), BESSEL_A * (1 - e2) / F.pow(w, 1.5)
-    t, c, d = tan * tan, second * cos * cos, (x - FALSE_X) / (F.lit(BESSEL_A) / F.sqrt(w))
-    lat1 = foot - n * tan / r * (d * d / 2 - (5 + 3 * t + 10 * c - 4 * c * c - 9 * second) * F.pow(d, 4) / 24 + (61 + 90 * t + 298 * c + 45 * t * t - 252 * second - 3 * c * c) * F.pow(d, 6) / 720)
-    lon1 = LON0 + (d - (1 + 2 * t + c) * F.pow(d, 3) / 6 + (5 - 2 * c + 28 * t - 3 * c * c + 8 * second + 24 * t * t) * F.pow(d, 5) / 120) / cos
-    a, b, h = _to_space(lon1, lat1, BESSEL_A, BESSEL_F)
     rx, ry, rz = TURN
-    moved = (a - rz * b + ry * h, b + rz * a - rx * h, h - ry * a + rx * b)
-    lon, lat = _from_space(*(v * SCALE + s for v, s in zip(moved, SHIFT, strict=True)), WGS_A, WGS_F)
-    return F.struct(F.degrees(lon).alias("lon"), F.degrees(lat).alias("lat"))
+
+    def footed(m: Column) -> Column:
+        mu = m["mu"]
+        foot = mu + (3 * third / 2 - 27 * third**3 / 32) * F.sin(2 * mu) + (21 * third**2 / 16 - 55 * third**4 / 32) * F.sin(4 * mu) + 151 * third**3 / 96 * F.sin(6 * mu) + 1097 * third**4 / 512 * F.sin(8 * mu)
+        return let({"foot": foot, "x": m["x"]}, lambda v: let({"sin": F.sin(v["foot"]), "cos": F.cos(v["foot"]), "tan": F.tan(v["foot"]), "foot": v["foot"], "x": v["x"]}, radii))
+
+    def radii(v: Column) -> Column:
+        return let({"w": 1 - e2 * v["sin"] * v["sin"], "v": v}, lambda u: let({"n": F.lit(BESSEL_A) / F.sqrt(u["w"]), "r": BESSEL_A * (1 - e2) / F.pow(u["w"], 1.5), "t": u["v"]["tan"] * u["v"]["tan"], "c": second * u["v"]["cos"] * u["v"]["cos"], "d": (u["v"]["x"] - FALSE_X) / (F.lit(BESSEL_A) / F.sqrt(u["w"])), "tan": u["v"]["tan"], "cos": u["v"]["cos"], "foot": u["v"]["foot"]}, inverse))
+
+    def inverse(v: Column) -> Column:
+        t, c, d = v["t"], v["c"], v["d"]
+        lat1 = v["foot"] - v["n"] * v["tan"] / v["r"] * (d * d / 2 - (5 + 3 * t + 10 * c - 4 * c * c - 9 * second) * F.pow(d, 4) / 24 + (61 + 90 * t + 298 * c + 45 * t * t - 252 * second - 3 * c * c) * F.pow(d, 6) / 720)
+        lon1 = LON0 + (d - (1 + 2 * t + c) * F.pow(d, 3) / 6 + (5 - 2 * c + 28 * t - 3 * c * c + 8 * second + 24 * t * t) * F.pow(d, 5) / 120) / v["cos"]
+        return let({"lon": lon1, "lat": lat1}, lambda p: _to_space(p["lon"], p["lat"], BESSEL_A, BESSEL_F, shifted))
+
+    def shifted(a: Column, b: Column, h: Column) -> Column:
+        def back(p: Column) -> Column:
+            moved = (p["a"] - rz * p["b"] + ry * p["h"], p["b"] + rz * p["a"] - rx * p["h"], p["h"] - ry * p["a"] + rx * p["b"])
+            return _from_space(*(v * SCALE + s for v, s in zip(moved, SHIFT, strict=True)), WGS_A, WGS_F, lambda lon, lat: F.struct(F.degrees(lon).alias("lon"), F.degrees(lat).alias("lat")))
+
+        return let({"a": a, "b": b, "h": h}, back)
+
+    start = (y - FALSE_Y + _arc(LAT0, math.sin)) / (BESSEL_A / (1 + third) * _meridian(BESSEL_F)[0])
+    return let({"mu": start, "x": x}, footed)

@@ -18,8 +18,8 @@ def first_filled(*columns: Column) -> Column:
 
 
 def strict_date(text: Column) -> Column:
-    """yyyyMMdd or yyyy-MM-dd (also with . or /); other text and impossible days are null."""
-    digits = F.regexp_replace(F.trim(text), r"^(\d{4})[-./](\d{2})[-./](\d{2})$", "$1$2$3")
+    """yyyyMMdd, with one of - . / or nothing between the parts; other text and impossible days are null."""
+    digits = F.regexp_replace(F.trim(text), r"^(\d{4})[-./]?(\d{2})[-./]?(\d{2})$", "$1$2$3")
     return F.when(digits.rlike(r"^\d{8}$"), F.try_to_timestamp(digits, F.lit("yyyyMMdd")).cast("date"))
 
 
@@ -28,13 +28,13 @@ def date_quality(text: Column) -> Column:
 
 
 def lenient_date(text: Column) -> Column:
-    """Of the first ten characters, or the first eight if those are digits."""
-    head = F.substring(F.trim(text), 1, 10)
-    return F.coalesce(strict_date(head), strict_date(F.regexp_extract(head, r"^\d{8}", 0)))
+    """Of the first ten characters, so that a time behind a date is ignored, but not more digits behind eight."""
+    return strict_date(F.substring(F.trim(text), 1, 10))
 
 
 def whole_number(text: Column) -> Column:
-    plain = F.trim(text)
+    """Thousands commas are allowed; parts of a whole are not."""
+    plain = F.regexp_replace(F.trim(text), ",", "")
     return F.when(plain.rlike(r"^[-+]?\d+(\.0+)?$"), plain.try_cast("decimal(38,10)").try_cast("bigint"))
 
 
@@ -62,8 +62,8 @@ def digit_code(text: Column, width: int) -> Column:
 
 
 def lot_number(text: Column) -> Column:
-    """'산 12-3' to struct (mountain '1', main '0012', sub '0003')."""
-    pattern = r"(산)?\s*(\d+)(?:-(\d+))?$"
+    """'산 12 - 3' to struct (mountain '1', main '0012', sub '0003'); null where there is more than that."""
+    pattern = r"^(산)?\s*(\d+)(?:\s*-\s*(\d+))?$"
     found = F.trim(text).rlike(pattern)
     part = lambda n: F.regexp_extract(F.trim(text), pattern, n)
     return F.when(
@@ -77,9 +77,9 @@ def lot_number(text: Column) -> Column:
 
 
 def unit_tokens(text: Column) -> Column:
-    """Floors and rooms of an address in order of appearance, as '3층|301호'; null without any."""
-    tokens = F.regexp_extract_all(text, F.lit(r"(\d+\s*[층호])"), F.lit(1))
-    return F.nullif(F.array_join(F.transform(tokens, lambda x: F.regexp_replace(x, r"\s+", "")), "|"), F.lit(""))
+    """The digits of an address's floors (up to 3) and then of its rooms (up to 5), as '3|301'; null without any."""
+    tokens = [F.regexp_extract_all(text, F.lit(rf"(?<!\d)(\d{{1,{n}}})\s*{kind}"), F.lit(1)) for n, kind in ((3, "층"), (5, "호"))]
+    return F.nullif(F.array_join(F.concat(*tokens), "|"), F.lit(""))
 
 
 def phone_digits(text: Column) -> Column:
@@ -90,9 +90,15 @@ def address_key(text: Column) -> Column:
     return F.nullif(F.trim(F.regexp_replace(text, r"\s+", " ")), F.lit(""))
 
 
-def district_token(text: Column) -> Column:
-    """The first token that ends as a district does."""
-    return F.nullif(F.regexp_extract(address_key(text), r"(?:^| )(\S+[구군])(?= |$)", 1), F.lit(""))
+def in_city(text: Column, city: str = "부산") -> Column:
+    """Whether an address names the city as a word, with or without its suffix."""
+    return F.coalesce(address_key(text).rlike(rf"(?:^|\s){city}(?:광역시|시)?(?=\s|$)"), F.lit(False))
+
+
+def district_token(text: Column, city: str = "부산") -> Column:
+    """The first run of letters that ends as a district does, in addresses of the city only."""
+    found = F.nullif(F.regexp_extract(address_key(text), r"([가-힣]+(?:구|군))", 1), F.lit(""))
+    return F.when(in_city(text, city), found)
 
 
 def slug(text: Column) -> Column:
@@ -160,6 +166,22 @@ def name_uuid(namespace: str, name: Column) -> Column:
     )
 
 
+def rounded_position(value: Column) -> Column:
+    """Nine decimals, in which a coordinate is published."""
+    return F.round(value, 9)
+
+
+def year_month(year: Column, month: Column) -> Column:
+    """First day of the month of a year and a month in columns of their own; null unless both are numbers of a calendar."""
+    y, m = whole_number(year.cast("string")), whole_number(month.cast("string"))
+    return F.when(y.between(1, 9999) & m.between(1, 12), F.make_date(y.cast("int"), m.cast("int"), F.lit(1)))
+
+
+def is_finite(value: Column) -> Column:
+    """Neither null, NaN nor infinite."""
+    return F.coalesce(~F.isnan(value) & (F.abs(value) < float("inf")), F.lit(False))
+
+
 def close(a: Column, b: Column, relative: float = 1e-9, absolute: float = 0.0) -> Column:
     return F.abs(a - b) <= F.greatest(F.lit(absolute), F.lit(relative) * F.greatest(F.abs(a), F.abs(b)))
 

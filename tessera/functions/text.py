@@ -39,3 +39,9 @@ def indel_similarity(left: pd.Series, right: pd.Series) -> pd.Series:
         return 2 * common_length(a, b) / both if both else 1.0
 
     return pd.Series([one(a, b) for a, b in zip(left, right, strict=True)], dtype="float64")
+
+
+@F.pandas_udf(StringType())
+def nfkc(texts: pd.Series) -> pd.Series:
+    """Compatibility forms, such as full-width digits and spaces, in their plain form."""
+    return texts.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))

@@ -31,6 +31,11 @@ def weighted_mean(value: Column, weight: Column) -> Column:
     return F.try_divide(F.sum(F.when(used, value * weight)), F.sum(F.when(used, weight)))
 
 
+def sorted_distinct(value: Column) -> Column:
+    """The different values in order: evidence for people, for groups of few values."""
+    return F.array_sort(F.collect_set(value))
+
+
 def complete_sum(value: Column) -> Column:
     """The sum if every row is known, else null."""
     return F.when(F.count(value) == F.count(F.lit(1)), F.sum(value))

@@ -28,6 +28,11 @@ def latest_ready(status: DataFrame, source: str, run: str, newest_status: Sequen
     return latest(last.filter(ready), [source], newest_run)
 
 
+def latest_snapshot(snapshots: DataFrame, keys: Sequence[str], newest: Sequence[Column], members: DataFrame, snapshot: Sequence[str]) -> DataFrame:
+    """The members of each key's newest snapshot; a newest snapshot that is empty stays, as a row without a member."""
+    return latest(snapshots, keys, newest).join(members, list(snapshot), "left")
+
+
 def revision_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[Column], content: str) -> DataFrame:
     """Adds `revision`: 0 for a key's first row, one more where the content differs from the row before."""
     by_key = Window.partitionBy(*keys).orderBy(*order)

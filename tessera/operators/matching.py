@@ -20,17 +20,24 @@ NEAR_M, NEAR_NAME = 30, 0.80
 LON_STEP = NEAR_M / (111_000 * math.cos(math.radians(39)))  # at least 30 m anywhere within 33..39 N
 LAT_STEP = NEAR_M / 111_000
 SPLIT_BLOCK = 64
+LARGE_BLOCK = 10_000
 
 
 def _pairs_sharing(records: DataFrame, value: Column) -> DataFrame:
     """Pairs with a value in common.  Each side of a large block is dealt into parts, so that no task holds it whole."""
     keyed = records.select("key", value.alias("v")).filter("v IS NOT NULL").distinct()
+    return _dealt_pairs(keyed, keyed)
+
+
+def _dealt_pairs(keyed: DataFrame, others: DataFrame) -> DataFrame:
+    """Pairs (left_key < right_key) with equal v of two tables (key, v)."""
     part = F.pmod(F.xxhash64("key"), F.lit(SPLIT_BLOCK))
-    size = Window.partitionBy("v")
-    dealt = keyed.withColumn("large", F.count(F.lit(1)).over(size) > 10_000)
+    # counted with partial sums and joined back, so that no task gathers a large block to count it
+    blocks = keyed.groupBy("v").agg((F.count(F.lit(1)) > LARGE_BLOCK).alias("large"))
+    dealt, others = keyed.join(blocks, "v"), others.join(blocks, "v")
     left = dealt.select(F.col("key").alias("left_key"), "v", F.when(F.col("large"), part).otherwise(F.lit(0).cast("bigint")).alias("p"))
     zero, last = F.lit(0).cast("bigint"), F.lit(SPLIT_BLOCK - 1).cast("bigint")
-    right = dealt.select(F.col("key").alias("right_key"), "v", F.explode(F.when(F.col("large"), F.sequence(zero, last)).otherwise(F.array(zero))).alias("p"))
+    right = others.select(F.col("key").alias("right_key"), "v", F.explode(F.when(F.col("large"), F.sequence(zero, last)).otherwise(F.array(zero))).alias("p"))
     return left.join(right, ["v", "p"]).filter("left_key < right_key").select("left_key", "right_key")
 
 
@@ -38,8 +45,8 @@ def _near_pairs(records: DataFrame) -> DataFrame:
     """Pairs in the same or a neighbouring cell of at least 30 m: one side in its cell, the other in all nine."""
     placed = records.filter("lon BETWEEN 124 AND 132 AND lat BETWEEN 33 AND 39").select("key", F.floor(F.col("lon") / LON_STEP).alias("x"), F.floor(F.col("lat") / LAT_STEP).alias("y"))
     around = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    spread = placed.withColumn("d", F.explode(around)).select(F.col("key").alias("right_key"), (F.col("x") + F.col("d.i")).alias("x"), (F.col("y") + F.col("d.j")).alias("y"))
-    return placed.withColumnRenamed("key", "left_key").join(spread, ["x", "y"]).filter("left_key < right_key").select("left_key", "right_key")
+    spread = placed.withColumn("d", F.explode(around)).select("key", F.struct((F.col("x") + F.col("d.i")).alias("x"), (F.col("y") + F.col("d.j")).alias("y")).alias("v"))
+    return _dealt_pairs(placed.select("key", F.struct("x", "y").alias("v")), spread)
 
 
 def candidate_pairs(records: DataFrame, adjudicated: DataFrame | None = None) -> DataFrame:
@@ -161,12 +168,24 @@ def attach_designations(decided: DataFrame, facility: DataFrame, pensions: DataF
     )
 
 
-def surviving_ids(facility: DataFrame, anchors: DataFrame) -> DataFrame:
+def _unaliased(anchors: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Anchors with the end of each id's chain; ids of a circle of aliases stand for the least of them."""
+    to = aliases.groupBy("alias").agg(F.min("canonical_id").alias("next")).filter("alias <> next")
+    circles = connected_components(to, "alias", "next")
+    ends = to.select(F.col("next").alias("node")).distinct().join(to.select(F.col("alias").alias("node")), "node", "left_anti")
+    # a component of aliases has one end, for each alias has one target, or it is a circle and has none
+    end = circles.join(ends, "node").groupBy("component").agg(F.min("node").alias("end"))
+    of = circles.join(end, "component", "left").select(F.col("node").alias("canonical_id"), F.coalesce("end", "component").alias("_to"))
+    return anchors.join(of, "canonical_id", "left").withColumn("canonical_id", F.coalesce("_to", "canonical_id")).drop("_to")
+
+
+def surviving_ids(facility: DataFrame, anchors: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """(facility, canonical_id): the id of the anchor (key, canonical_id, since) that a facility's members hold longest.
 
     An id goes to one facility only, that of its oldest anchor, so after a split the others get an id of their own.
+    aliases: (alias, canonical_id) of earlier merges; an anchor's id stands for the end of its chain of aliases.
     """
-    held = facility.join(anchors, "key")
+    held = facility.join(anchors if aliases is None else _unaliased(anchors, aliases), "key")
     first = Window.partitionBy("canonical_id").orderBy("since", "key")
     own = held.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
     chosen = own.groupBy("facility").agg(F.min_by("canonical_id", F.struct("since", "key")).alias("canonical_id"))

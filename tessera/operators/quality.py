@@ -95,3 +95,91 @@ def gate(checks: DataFrame, canonical: Sequence[str]) -> DataFrame:
 
 def all_checks(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, (p.select(*COLUMNS) for p in parts))
+
+
+# The authorities whose licences count, and the overall status codes.
+AUTHORITIES = tuple(str(n) for n in range(3250000, 3410000, 10000))
+STATUS_CODES = ("01", "02", "03", "04")
+
+
+def register_coverage(records: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows, and the parts of them with a known authority, all dates and a known status, by keys; each must be all of them.
+
+    A closed or cancelled licence needs its closure date.
+    """
+    c = F.col
+    parsed = lambda day: c(day).isNotNull() & (c(f"{day.removesuffix('_on')}_date_quality" if day.endswith("_on") else f"{day}_quality") == "parsed")
+    dates = parsed("license_date") & parsed("source_modified_on") & parsed("data_updated_on")
+    closed = ~c("status_code").isin("03", "04") | parsed("closure_date")
+    status = c("status_code").isin(*STATUS_CODES) & (c("status_class") != "unknown") & c("detailed_status_code").isNotNull() & c("detailed_status_name").isNotNull() & closed
+    n = F.count(F.lit(1))
+    counts = [n.alias("n_rows"), *(F.count_if(x).alias(name) for name, x in (("jurisdiction", c("jurisdiction_code").isin(*AUTHORITIES)), ("dates", dates), ("status", status)))]
+    out = records.groupBy(*keys).agg(*counts)
+    whole = {f"{name}_coverage": F.try_divide(c(name), c("n_rows")) for name in ("jurisdiction", "dates", "status")}
+    good = (c("n_rows") > 0) & (c("jurisdiction") == c("n_rows")) & (c("dates") == c("n_rows")) & (c("status") == c("n_rows"))
+    return out.withColumns(whole).withColumn("status_of_check", F.when(good, "pass").otherwise("fail")).drop("jurisdiction", "dates", "status")
+
+
+def designation_coverage(designations: DataFrame, linked: DataFrame, reviewed: DataFrame, key: str = "key") -> DataFrame:
+    """One row: designations that are linked or explicitly under review, of all; none at all is skipped."""
+    flag = lambda df, name: df.select(key, F.lit(True).alias(name)).distinct()
+    j = designations.select(key).distinct().join(flag(linked, "_l"), key, "left").join(flag(reviewed, "_r"), key, "left")
+    n, by_link = F.count(F.lit(1)), F.count("_l")
+    explicit = F.count_if(F.col("_l").isNull() & F.col("_r").isNotNull())
+    out = j.agg(n.alias("designations"), by_link.alias("linked"), explicit.alias("explicit_reviews"))
+    coverage = F.try_divide(F.col("linked") + F.col("explicit_reviews"), F.col("designations"))
+    return out.withColumn("coverage", coverage).withColumn("status", F.when(F.col("designations") == 0, "skipped").when(coverage < 1, "warning").otherwise("passed"))
+
+
+def active_change(current: DataFrame, published: DataFrame, most: float = 0.20) -> DataFrame:
+    """One row each (n): the change of the number of active facilities against the publication; none without one above 0."""
+    both = current.select(F.col("n").alias("current")).crossJoin(published.filter("n > 0").select(F.col("n").alias("previous")))  # one row each
+    change = F.abs(F.col("current") - F.col("previous")) / F.col("previous")
+    return both.select("current", "previous", change.alias("change"), F.when(change <= most, "passed").otherwise("warning").alias("status"))
+
+
+def calibration_notice(labelled: DataFrame) -> DataFrame:
+    """Automatic merges stay for review until labelled pairs were evaluated: an informational row that says whether there are any."""
+    return labelled.agg(F.count(F.lit(1)).alias("n_pairs")).select(
+        F.lit("entity_auto_merge_calibration").alias("check_name"), F.when(F.col("n_pairs") == 0, "skipped").otherwise("available").alias("status"), "n_pairs", F.lit("informational").alias("severity")
+    )
+
+
+def preferred(df: DataFrame, keys: Sequence[str], choice: str, wanted: Column) -> DataFrame:
+    """Of the rows whose `choice` is the wanted one or '*', one a key: the exact one before the general."""
+    from tessera.operators.latest import latest
+
+    return latest(df.filter((F.col(choice) == wanted) | (F.col(choice) == "*")), keys, [F.when(F.col(choice) == wanted, 0).otherwise(1)])
+
+
+# What no published text may hold.
+UNSAFE = (
+    r"[A-Za-z]:[\\/]|\\\\[^\\/\s]+[\\/]",
+    r"(?<![A-Za-z0-9])/[A-Za-z0-9._~-]+(?:/|$)",
+    r"(?:^|[\\/])\.\.(?:[\\/]|$)",
+    r"(?i)(?:https?|ftp|file)://|\bwww\.",
+    r"(?i)(?:password|passwd|secret|token|api[_-]?key|servicekey|authorization)\s*[:=]\s*\S+",
+    r"(?i)\bbearer\s+[A-Za-z0-9._~+/=-]+",
+    r"(?i)\bgh[pousr]_[A-Za-z0-9]{20,255}\b|\bAKIA[0-9A-Z]{16}\b|\b(?:sk|pk)_(?:live|test)_[A-Za-z0-9]+",
+)
+
+
+def public_text(text: Column) -> Column:
+    """Whether a text may be published: not empty, and no path, address, climbing path or credential in it; null is not."""
+    fine = F.length(text) > 0
+    for pattern in UNSAFE:
+        fine = fine & ~text.rlike(pattern)
+    return F.coalesce(fine, F.lit(False))
+
+
+def public_number(value: Column, most: float | None = None) -> Column:
+    """Whether a number may be published: null, or finite, not negative and at most `most`."""
+    v = value.cast("double")
+    fine = ~F.isnan(v) & (F.abs(v) < float("inf")) & (v >= 0)
+    if most is not None:
+        fine = fine & (v <= most)
+    return v.isNull() | fine
+
+
+def public_position(lon: Column, lat: Column) -> Column:
+    return F.coalesce(lon.between(-180, 180) & lat.between(-90, 90), F.lit(False))

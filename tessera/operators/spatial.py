@@ -8,22 +8,34 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.geo import CELL_M, cell_index, geographic, grid_id, projected
+from tessera.functions.parsing import is_finite
 
 RING = "array<array<struct<x:double,y:double>>>"
 TIE = 1e-5
 
 
-def room_rating(rooms: Column) -> Column:
-    return F.when(rooms <= 10, "high").when(rooms <= 20, "medium").when(rooms.isNotNull(), "low").otherwise("unavailable")
+def room_rating(rooms: Column, quality: Column | None = None) -> Column:
+    """Of a reported count above 0; without `quality` every count is taken as reported."""
+    fit = is_finite(rooms.cast("double")) & (rooms > 0)
+    if quality is not None:
+        fit = fit & F.coalesce(quality.isin("good", "reported"), F.lit(False))
+    return F.when(~fit, "unavailable").when(rooms <= 10, "high").when(rooms <= 20, "medium").otherwise("low")
 
 
-def age_rating(years: Column) -> Column:
-    return F.when(years >= 30, "high").when(years >= 20, "medium").when(years.isNotNull(), "low").otherwise("unavailable")
+def age_rating(years: Column, quality: Column | None = None, buildings: Column | None = None) -> Column:
+    """Of a reported age of 0 or more, of a facility with exactly one building."""
+    fit = is_finite(years.cast("double")) & (years >= 0)
+    if quality is not None:
+        fit = fit & F.coalesce(quality == "reported", F.lit(False))
+    if buildings is not None:
+        fit = fit & F.coalesce(buildings == 1, F.lit(False))
+    return F.when(~fit, "unavailable").when(years >= 30, "high").when(years >= 20, "medium").otherwise("low")
 
 
 def context_rating(demand: Column, supply: Column) -> Column:
@@ -68,66 +80,76 @@ def resolve_points(df: DataFrame) -> DataFrame:
     return out.withColumn("grid_id", F.when(F.col("exception_code").isNull(), grid_id(F.col("x"), F.col("y"))))
 
 
-def covers(rings: list[list[tuple[float, float]]], x: float, y: float) -> bool:
-    """Even-odd rule over all rings; points on an edge are covered."""
-    inside = False
+def ring_arrays(value) -> list[np.ndarray]:
+    """Rings as (points, 2) arrays."""
+    return [np.array([(p["x"], p["y"]) for p in ring], float).reshape(-1, 2) for ring in value]
+
+
+def covers(rings: list[np.ndarray], points: np.ndarray) -> np.ndarray:
+    """Which of (n, 2) points a polygon covers: even-odd rule over all rings, edges included; all edges and points at once."""
+    inside, edge = np.zeros(len(points), bool), np.zeros(len(points), bool)
+    x, y = points[:, 0, None], points[:, 1, None]
     for ring in rings:
-        for (x1, y1), (x2, y2) in zip(ring, [*ring[1:], ring[0]], strict=True):
-            turn = (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1)
-            if turn == 0 and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2):
-                return True
-            if (y1 > y) != (y2 > y) and (turn > 0) == (y2 > y1):
-                inside = not inside
-    return inside
+        (x1, y1), (x2, y2) = ring.T, np.roll(ring, -1, 0).T
+        turn = (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1)
+        edge |= ((turn == 0) & (np.minimum(x1, x2) <= x) & (x <= np.maximum(x1, x2)) & (np.minimum(y1, y2) <= y) & (y <= np.maximum(y1, y2))).any(1)
+        inside ^= (((y1 > y) != (y2 > y)) & ((turn > 0) == (y2 > y1))).sum(1) % 2 == 1
+    return inside | edge
 
 
-def _cut(ring: list[tuple[float, float]], axis: int, bound: float, keep_above: bool) -> list[tuple[float, float]]:
-    out = []
+def cut(ring: np.ndarray, axis: int, bound: float, keep_above: bool) -> np.ndarray:
+    """The part of a ring on one side of a line parallel to an axis."""
+    after = np.roll(ring, -1, 0)
     sign = 1 if keep_above else -1
-    for p, q in zip(ring, [*ring[1:], *ring[:1]], strict=True):
-        dp, dq = sign * (p[axis] - bound), sign * (q[axis] - bound)
-        if dp >= 0:
-            out.append(p)
-        if dp * dq < 0:
-            t = dp / (dp - dq)
-            out.append((p[0] + t * (q[0] - p[0]), p[1] + t * (q[1] - p[1])))
-    return out
+    dp, dq = sign * (ring[:, axis] - bound), sign * (after[:, axis] - bound)
+    crosses = dp * dq < 0
+    t = np.divide(dp, dp - dq, out=np.zeros(len(dp)), where=crosses)
+    met = ring + t[:, None] * (after - ring)
+    return np.stack([ring, met], 1).reshape(-1, 2)[np.stack([dp >= 0, crosses], 1).ravel()]
 
 
-def area(ring: list[tuple[float, float]]) -> float:
-    return abs(sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(ring, [*ring[1:], *ring[:1]], strict=True))) / 2
+def area(ring: np.ndarray) -> float:
+    x, y = ring.T
+    return abs(float((x * np.roll(y, -1) - np.roll(x, -1) * y).sum())) / 2
 
 
-def area_in_square(rings: list[list[tuple[float, float]]], west: float, south: float, side: float) -> float:
+def area_in_square(rings: list[np.ndarray], west: float, south: float, side: float) -> float:
     total = 0.0
     for n, ring in enumerate(rings):
         for axis, low in ((0, west), (1, south)):
-            ring = _cut(_cut(ring, axis, low, True), axis, low + side, False)
-        total += area(ring) * (-1 if n else 1)
+            if len(ring):
+                ring = cut(ring, axis, low, True)
+            if len(ring):
+                ring = cut(ring, axis, low + side, False)
+        total += area(ring) * (-1 if n else 1) if len(ring) else 0.0
     return total
 
 
-def _rings(value) -> list[list[tuple[float, float]]]:
-    return [[(p["x"], p["y"]) for p in ring] for ring in value]
+def _column_cells(rings: list[np.ndarray], i: int) -> list[tuple[int, float]]:
+    """(row of cells, area) of a polygon in one column of cells, cut to the column once."""
+    strip = [cut(cut(r, 0, i * CELL_M, True), 0, (i + 1) * CELL_M, False) if len(r) else r for r in rings]
+    ys = np.concatenate([r[:, 1] for r in strip if len(r)] or [np.zeros(0)])
+    if not len(ys):
+        return []
+    rows = range(int(np.floor(ys.min() / CELL_M)), int(np.floor(ys.max() / CELL_M)) + 1)
+    return [(j, area_in_square(strip, i * CELL_M, j * CELL_M, CELL_M)) for j in rows]
 
 
 def _overlaps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        areas = [area_in_square(_rings(r), i * CELL_M, j * CELL_M, CELL_M) for r, i, j in zip(b.rings, b.i, b.j, strict=True)]
-        yield b.drop(columns="rings").assign(area=areas)
+        rows = [(r.district, r.dong_code, r.dong_name, r.i, j, a) for r in b.itertuples() for j, a in _column_cells(ring_arrays(r.rings), r.i)]
+        yield pd.DataFrame(rows, columns=["district", "dong_code", "dong_name", "i", "j", "area"])
 
 
 def grid_cells(polygons: DataFrame) -> DataFrame:
     """Cells of polygons (district, dong_code, dong_name, rings in metres): each with its share inside, and the dong with most of it.
 
-    Each polygon is first spread over the cells of its bounding box, which deals the cutting out evenly.  Areas within
-    TIE of the largest tie, and the least code then name wins.
+    Each polygon is first spread over the columns of cells it touches, which deals the cutting out.  Areas within TIE of
+    the largest tie, and the least code then name wins.
     """
-    flat = F.flatten("rings")
-    span = lambda axis: F.sequence(cell_index(F.array_min(F.transform(flat, lambda p: p[axis]))), cell_index(F.array_max(F.transform(flat, lambda p: p[axis]))))
-    boxed = polygons.select("district", "dong_code", "dong_name", "rings", F.explode(span("x")).alias("i"), F.col("rings").alias("_r"))
-    cells = boxed.select("district", "dong_code", "dong_name", "rings", "i", F.explode(span("y")).alias("j"))
-    cut = cells.mapInPandas(_overlaps, "district string, dong_code string, dong_name string, i long, j long, area double").filter("area > 0")
+    x = F.transform(F.flatten("rings"), lambda p: p["x"])
+    columns = polygons.select("district", "dong_code", "dong_name", "rings", F.explode(F.sequence(cell_index(F.array_min(x)), cell_index(F.array_max(x)))).alias("i"))
+    cut = columns.repartition("dong_code", "i").mapInPandas(_overlaps, "district string, dong_code string, dong_name string, i long, j long, area double").filter("area > 0")
     by_cell = Window.partitionBy("i", "j")
     tied = F.when(F.col("area") >= F.max("area").over(by_cell) - TIE, 0).otherwise(1)
     place = F.row_number().over(by_cell.orderBy("_tied", "dong_code", "dong_name"))
@@ -150,16 +172,20 @@ def points_in(points: DataFrame, polygons: DataFrame, cell: float = CELL_M) -> D
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b[[covers(_rings(r), x, y) for r, x, y in zip(b.rings, b.x, b.y, strict=True)]].drop(columns="rings")
+            hit = np.zeros(len(b), bool)
+            for _, own in b.groupby("_polygon", sort=False).indices.items():  # the rings are read once for all of a polygon's points
+                hit[own] = covers(ring_arrays(b.rings.iloc[own[0]]), b[["x", "y"]].to_numpy(float)[own])
+            yield b[hit].drop(columns=["rings", "_polygon"])
 
-    return joined.mapInPandas(keep, joined.drop("rings").schema)
+    joined = joined.withColumn("_polygon", F.xxhash64("name", "rings"))
+    return joined.mapInPandas(keep, joined.drop("rings", "_polygon").schema)
 
 
 def grid_grades(facilities: DataFrame, coverage: DataFrame) -> DataFrame:
     """Cells from facilities (grid_id, district, rooms, age, context) and each district's coordinate coverage.
 
     A band comes from the median, and only if every facility of the cell has the value; under 0.8 coverage nothing is graded;
-    a graded cell of fewer than three is a small sample.
+    a cell with a score of fewer than three has the grade small_sample.
     """
     whole = lambda c: F.when(F.count(c) == F.count(F.lit(1)), F.median(c))
     cells = facilities.groupBy("grid_id", "district").agg(F.count(F.lit(1)).alias("n_facilities"), whole("rooms").alias("rooms"), whole("age").alias("age"), F.min("context").alias("context"))
@@ -168,8 +194,7 @@ def grid_grades(facilities: DataFrame, coverage: DataFrame) -> DataFrame:
     score = F.when(enough, F.col("_c.score"))
     return graded.select(
         "grid_id", "district", "n_facilities", "rooms", "age", "coverage", score.alias("score"),
-        F.when(enough, F.col("_c.grade")).otherwise("insufficient_evidence").alias("grade"),
-        (score.isNotNull() & (F.col("n_facilities") < 3)).alias("small_sample"),
+        F.when(~enough, "insufficient_evidence").when(score.isNotNull() & (F.col("n_facilities") < 3), "small_sample").otherwise(F.col("_c.grade")).alias("grade"),
     )
 
 

@@ -56,12 +56,18 @@ def month_islands(df: DataFrame, keys: Sequence[str], month: str) -> DataFrame:
 def public_keys(df: DataFrame, order: str, prefix: str, width: int = 6) -> DataFrame:
     """Adds public_key <prefix>-000001, ... in the order of a unique column, without one task for all rows.
 
-    Rows are counted by range partition; only the counts, one a partition, are joined back.
+    A row's number is its place in its range partition after the rows of the partitions before.  The partitions come from a
+    fixed list of bounds and not from where rows happen to lie, so both uses of them agree however they are read.
     """
-    ranged = df.repartitionByRange(F.col(order)).withColumn("_part", F.spark_partition_id())
-    placed = ranged.withColumn("_place", F.row_number().over(Window.partitionBy("_part").orderBy(order)))
-    sizes = placed.groupBy("_part").agg(F.max("_place").alias("_size"), F.min(order).alias("_first"))
-    before = sizes.select("_part", F.coalesce(F.sum("_size").over(Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    kind = df.schema[order].dataType.simpleString()
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    sampled = df.select(order).sample(min(1.0, 1000 * parts / max(df.count(), 1)), seed=7)  # about 1,000 rows a partition
+    tops = [r.top for r in sampled.withColumn("_n", F.ntile(parts).over(Window.orderBy(order))).groupBy("_n").agg(F.max(order).alias("top")).orderBy("top").collect()][:-1]
+    bounds = F.array(*(F.lit(t) for t in tops)).cast(f"array<{kind}>")
+    placed = df.withColumn("_part", F.size(F.filter(bounds, lambda b: b < F.col(order))))
+    placed = placed.withColumn("_place", F.row_number().over(Window.partitionBy("_part").orderBy(order)))
+    sizes = df.groupBy(F.size(F.filter(bounds, lambda b: b < F.col(order))).alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
+    before = sizes.select("_part", F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     number = (F.col("_place") + F.col("_before")).cast("string")
     key = F.concat(F.lit(f"{prefix}-"), F.when(F.length(number) >= width, number).otherwise(F.lpad(number, width, "0")))
     return placed.join(before, "_part").withColumn("public_key", key).drop("_part", "_place", "_before")

@@ -11,24 +11,54 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.aggregates import comparison_band, complete_sum, evidence_band, evidence_value, known_share, quantile, share, weighted_mean
+from tessera.operators.aggregates import comparison_band, complete_sum, evidence_band, evidence_value, known_share, least_known, quantile, share, weighted_mean
 
 SMALL_ROOMS, YOUNGER, OLDER = 20, 20, 30
 
 
-def building_age(buildings: DataFrame, as_of: str, key: str = "facility_id") -> DataFrame:
-    """Age in years from the one distinct approval date of a facility's buildings, and whether a permit is at most 1825 days old."""
-    day = F.lit(as_of).cast("date")
-    low, high = F.min("approved_on"), F.max("approved_on")
-    age = F.greatest(F.lit(0.0), F.datediff(day, low) / F.lit(365.2425))
-    permit = F.datediff(day, F.col("permit_on")).between(0, 1825)
-    return buildings.groupBy(key).agg(
-        F.when(low == high, age).alias("age"),
-        F.bool_or(permit).alias("recent_permit"),
-        F.when(low == high, "reported").when(low.isNull(), "missing_use_approval").otherwise("ambiguous").alias("age_quality"),
+YEAR_DAYS, RECENT_DAYS = 365.2425, 5 * 365
+
+
+def building_age(facilities: DataFrame, buildings: DataFrame, key: str = "facility_id") -> DataFrame:
+    """(key, age, recent_permit, age_quality) of every facility, from its buildings (key, approved_on, permit_on, observed_on).
+
+    The age needs one distinct approval date and counts to the newest observation.  Of a facility with an age, permits
+    count from that day too, else from each building's own.  No permit is False; a facility without buildings is
+    missing, with both unknown.
+    """
+    low, high, seen = F.min("approved_on"), F.max("approved_on"), F.max("observed_on")
+    aged = F.coalesce(low == high, F.lit(False))
+    own = F.coalesce(F.bool_or(F.datediff("observed_on", "permit_on").between(0, RECENT_DAYS)), F.lit(False))
+    # permits are within the range that ends at the newest observation if any lies there: kept as days, a bounded set a facility
+    days = F.collect_set("permit_on")
+    found = buildings.groupBy(key).agg(low.alias("_low"), aged.alias("_aged"), seen.alias("_seen"), own.alias("_own"), days.alias("_days"))
+    recent = F.when(F.col("_aged"), F.exists("_days", lambda d: F.datediff(F.col("_seen"), d).between(0, RECENT_DAYS))).otherwise(F.col("_own"))
+    joined = facilities.select(key).distinct().join(found, key, "left")
+    return joined.select(
+        key,
+        F.when(F.col("_aged"), F.greatest(F.lit(0.0), F.datediff("_seen", "_low") / F.lit(YEAR_DAYS))).alias("age"),
+        F.when(F.col("_aged").isNotNull(), recent).alias("recent_permit"),
+        F.when(F.col("_aged").isNull(), "missing").when(F.col("_aged"), "reported").when(F.col("_low").isNull(), "missing_use_approval").otherwise("ambiguous").alias("age_quality"),
     )
 
 
+def past_building_measures(buildings: DataFrame, rooms: DataFrame, keys: Sequence[str], key: str = "facility_id", younger: int = YOUNGER, older: int = OLDER) -> DataFrame:
+    """Building measures of a past month by `keys`, from buildings (keys, key, approved_on, permit_on, observed_on) and rooms (key, rooms).
+
+    Unlike the current mart these need exactly one building a facility, and a permit is known only where the age is.
+    """
+    one = buildings.groupBy(*keys, key).agg(F.count(F.lit(1)).alias("_n"), *(F.max(c).alias(c) for c in ("approved_on", "permit_on", "observed_on"))).filter("_n = 1")
+    known = one.filter("approved_on IS NOT NULL AND observed_on IS NOT NULL")
+    recent = F.coalesce(F.datediff("observed_on", "permit_on").between(0, RECENT_DAYS), F.lit(False))
+    aged = known.select(*keys, key, F.greatest(F.lit(0.0), F.datediff("observed_on", "approved_on") / F.lit(YEAR_DAYS)).alias("age"), recent.alias("recent"))
+    n, age = F.count(F.lit(1)), F.col("age")
+    return aged.join(rooms.select(key, "rooms"), key, "left").groupBy(*keys).agg(
+        n.alias("age_known"), F.avg(age).alias("age_mean"), F.median(age).alias("age_median"), weighted_mean(age, F.col("rooms")).alias("age_by_rooms"),
+        F.count_if(age >= younger).alias("age20_count"), F.count_if(age >= older).alias("age30_count"), share(age >= younger).alias("age20_share"), share(age >= older).alias("age30_share"),
+        n.alias("permit_known"), F.count_if("recent").alias("permit_count"), share(F.col("recent")).alias("permit_share"),
+    )
+
+
 def stock_measures(small: int = SMALL_ROOMS, younger: int = YOUNGER, older: int = OLDER) -> list[Column]:
     """The measures of a group of facilities; what isn't known is null, a true zero is 0."""
     rooms, age, tourism = F.col("rooms"), F.col("age"), F.col("tourism")
@@ -142,6 +172,46 @@ def metric_evidence(df: DataFrame, keys: Sequence[str], specs: Sequence[tuple[st
     return df.select(*keys, F.explode(F.array(*rows)).alias("e")).select(*keys, "e.*")
 
 
+def evidence_counts(small: int = SMALL_ROOMS, younger: int = YOUNGER, older: int = OLDER) -> list[Column]:
+    """Counts that only the evidence gives, beside `stock_measures`."""
+    return [
+        F.count_if(F.col("rooms") <= small).alias("small"), F.sum("foreigner").alias("foreigner"), F.sum("foreign_capable").alias("foreign_capable"), F.count_if(F.col("age") >= younger).alias("age20_count"), F.count_if(F.col("age") >= older).alias("age30_count"),
+        F.count("recent_permit").alias("permit_known"), F.count_if("recent_permit").alias("permit_count"),
+    ]
+
+
+def district_evidence_specs(flows: dict[str, tuple[Column, Column, Column]]) -> list[tuple[str, Column, Column, float, Column, Column]]:
+    """The 14 metrics of a district and month for `metric_evidence`, over `stock_measures` and `evidence_counts`.
+
+    flows: (numerator, its coverage, source) of the three metrics that come from facts.  Rates over rooms need every room
+    count, and their coverage is the least of both sides, unknown if either is.
+    """
+    c = F.col
+    whole, one = F.when(c("rooms_known") == c("facilities"), c("room_sum")), F.lit(1.0)
+    stock, ages, permits = F.lit("inventory"), c("age_known") / c("facilities"), c("permit_known") / c("facilities")
+
+    def flow(name: str, factor: float) -> tuple[str, Column, Column, float, Column, Column]:
+        top, coverage, source = flows[name]
+        return name, top, whole, factor, least_known(coverage, c("room_coverage")), source
+
+    return [
+        ("physical_facility_count", c("facilities"), one, 1.0, one, stock),
+        ("room_coverage", c("rooms_known"), c("facilities"), 1.0, c("room_coverage"), stock),
+        ("small_facility_share", c("small"), c("rooms_known"), 1.0, c("room_coverage"), stock),
+        flow("visitor_person_days_per_100_rooms", 100.0),
+        flow("lodging_consumption_per_room", 1.0),
+        flow("transport_inflow_per_room", 1.0),
+        ("tourism_registration_facility_share", c("tourism_facilities"), c("facilities"), 1.0, one, stock),
+        ("tourism_registration_room_share", c("tourism_rooms"), whole, 1.0, least_known(c("room_coverage"), c("tourism_room_coverage")), stock),
+        ("foreigner_city_homestay_registration_share", c("foreigner"), c("registrations"), 1.0, one, stock),
+        ("foreign_visitor_capable_registration_share", c("foreign_capable"), c("registrations"), 1.0, one, stock),
+        ("building_20y_share", c("age20_count"), c("age_known"), 1.0, ages, F.lit("building_register")),
+        ("building_30y_share", c("age30_count"), c("age_known"), 1.0, ages, F.lit("building_register")),
+        ("recent_five_year_permit_event_share", c("permit_count"), c("permit_known"), 1.0, permits, F.lit("building_register")),
+        ("visitor_growth_minus_room_supply_growth", F.lit(None), F.lit(None), 1.0, F.lit(None).cast("double"), F.lit("no_consecutive_comparable_period")),
+    ]
+
+
 def event_counts(records: DataFrame, day: str, keys: Sequence[str]) -> DataFrame:
     """Distinct facilities' events (openings or closures) by key and month; pensions don't count."""
     kept = records.filter(~F.coalesce(F.col("pension"), F.lit(False)) & F.col(day).isNotNull())
@@ -175,18 +245,57 @@ def policy_signals(df: DataFrame, keys: Sequence[str], coverage: dict[str, Colum
     return df.select(*keys, F.explode(F.array(*rows)).alias("r")).select(*keys, "r.*")
 
 
-def visible_runs(lineage: DataFrame, approved: DataFrame, run_id: str) -> DataFrame:
-    """Runs reachable by (run_id, input_run_id) from a run, itself included; only approved ones are visible.
+APPROVED = ("PUBLISHED", "PUBLISHED_WITH_WARNINGS")
+
+
+def visible_runs(lineage: DataFrame, runs: DataFrame, run_id: str, published: str | None = None, most_depth: int = 100) -> DataFrame:
+    """The audited inputs (run) of a run, itself included; an error if its lineage can't be trusted.
 
-    A cycle exceeds the recursion limit and is an error.
+    lineage: (run_id, input_run_id); runs: (run_id, status, business_date, rebuildable).  Every run that is reached must
+    list itself; inputs must be rebuildable, published (or running while they are the current publication) and not
+    dated after the run; no run may reach itself by way of others.
     """
-    spark = lineage.sparkSession
-    lineage.createOrReplaceTempView("_lineage")
-    found = spark.sql(
-        "WITH RECURSIVE seen(run) AS (SELECT :run UNION ALL SELECT input_run_id FROM seen JOIN _lineage ON run = run_id) SELECT DISTINCT run FROM seen",
-        args={"run": run_id},
-    )
-    return found.join(approved.select(F.col("run_id").alias("run")), "run", "left_semi")
+    edges = lineage.select(F.col("run_id").alias("parent"), F.col("input_run_id").alias("run")).distinct()
+    target = runs.filter(F.col("run_id") == run_id).select("rebuildable", "business_date").first()
+    if target is not None and target.rebuildable is not True:
+        raise ValueError(f"run {run_id} can't be rebuilt")
+    # all simple steps from the run on, level by level; a level is small, for it holds runs and not rows of data
+    level = edges.filter((F.col("parent") == run_id) & (F.col("run") != run_id)).select("run", F.array("parent", "run").alias("path"))
+    reached = edges.filter(F.col("parent") == run_id).limit(1).select(F.lit(run_id).alias("run"))
+    for _ in range(most_depth):
+        if level.isEmpty():
+            break
+        reached = reached.unionByName(level.select("run")).distinct()
+        onward = level.join(edges.filter("parent <> run").select(F.col("parent").alias("run"), F.col("run").alias("next")), "run")
+        if not onward.filter(F.array_contains("path", F.col("next"))).isEmpty():
+            raise ValueError(f"the lineage of {run_id} has a cycle")
+        level = onward.select(F.col("next").alias("run"), F.concat("path", F.array("next")).alias("path")).dropDuplicates(["run"])
+    else:
+        raise ValueError(f"the lineage of {run_id} is deeper than {most_depth}")
+    alone = reached.join(edges.filter("parent = run").select("run"), "run", "left_anti")
+    if reached.isEmpty() or not alone.isEmpty():
+        raise ValueError(f"the lineage of {run_id} lacks a run's own membership")
+    approved = F.col("status").isin(*APPROVED) | ((F.col("status") == "RUNNING") & (F.col("run") == F.lit(published)))
+    dated = F.col("business_date") <= F.lit(None if target is None else target.business_date).cast("date")
+    good = F.coalesce(F.col("rebuildable") & approved & dated, F.lit(False))
+    told = reached.filter(F.col("run") != run_id).join(runs.withColumnRenamed("run_id", "run"), "run", "left")
+    if not told.filter(~good).isEmpty():
+        raise ValueError(f"the lineage of {run_id} has an unapproved, undated or later run")
+    return edges.filter(F.col("parent") == run_id).select("run")
+
+
+def district_periods(districts: DataFrame, dated: Sequence[tuple[DataFrame, str]], texts: Sequence[tuple[DataFrame, str]] = ()) -> DataFrame:
+    """(district, period) of every month in which a district has a fact or an event, and `current` for each.
+
+    dated: tables with district and a date; texts: with district and a period as text, of which the month counts.
+    """
+    parts = [districts.select("district", F.lit("current").alias("period"))]
+    parts += [df.filter(F.col(day).isNotNull()).select("district", F.date_format(day, "yyyy-MM").alias("period")) for df, day in dated]
+    parts += [df.filter(F.col(text).isNotNull()).select("district", F.substring(text, 1, 7).alias("period")) for df, text in texts]
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p.join(districts.select("district"), "district", "left_semi").distinct())
+    return found.distinct()
 
 
 def month_spine(df: DataFrame, first: str, last: str, keys: DataFrame, month: str = "month") -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import geo, parsing, status
@@ -36,6 +36,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pick(values: list, index: str) -> Column:
+    """The value at index modulo the number of values; odd inputs for every row."""
+    return F.element_at(F.array(*(F.lit(v).cast("string") for v in values)), (F.expr(f"pmod({index}, {len(values)})") + 1).cast("int"))
+
+
+def sql_pick(values: list, index: str) -> str:
+    """The same in SQL."""
+    quoted = ", ".join("NULL" if v is None else "'" + v.replace("'", "''") + "'" for v in values)
+    return f"list_extract([{quoted}], (({index}) % {len(values)} + 1)::BIGINT)"
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c, kind in df.dtypes if kind == "double"})
 
@@ -142,17 +153,25 @@ def revisions_or_legacy(spark, d):
 # -- filters and status ------------------------------------------------------
 
 
-@query("""
-SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN false WHEN o_orderstatus = 'F' THEN true WHEN o_orderstatus = 'P' THEN false ELSE o_orderpriority = '5-LOW' END AS active,
-  CASE WHEN o_orderkey % 11 = 0 THEN true WHEN o_orderstatus = 'P' THEN true WHEN o_orderstatus = 'F' THEN false ELSE o_orderpriority = '1-URGENT' END AS inactive
-FROM orders
+STATUS_CODES = [None, "", "1", "01", "02", "3", " 04 ", "9", "  "]
+STATUS_NAMES = [None, "", "영업/정상", "영업(정상)", "폐업", "휴업 중", " 정상 ", "영업중.", "취소/말소", "미상", "정상영업"]
+STATUS_TEXT = f"SELECT o_orderkey, {sql_pick(STATUS_CODES, 'o_orderkey')} AS code, {sql_pick(STATUS_NAMES, 'o_custkey')} AS name, o_orderkey % 11 = 0 AS gone, o_orderkey % 13 = 0 AS later FROM orders"
+
+
+@query(f"""
+WITH t AS (SELECT o_orderkey, gone AND NOT later AS gone, nullif(trim(code), '') AS code, nullif(trim(name), '') AS name FROM ({STATUS_TEXT})),
+m AS (SELECT *, coalesce(regexp_matches(name, '폐업|휴업|취소|말소|정지|폐쇄'), false) AS marked, lpad(code, 2, '0') AS two FROM t)
+SELECT o_orderkey, CASE WHEN gone THEN false WHEN code IS NOT NULL THEN two = '01' WHEN name IS NULL OR marked THEN false ELSE regexp_replace(name, '[^0-9A-Za-z가-힣]', '', 'g') IN ('영업', '영업정상', '정상', '영업중') END AS active,
+  gone OR coalesce(two IN ('02', '03', '04'), false) OR marked AS inactive,
+  CASE WHEN code IS NOT NULL THEN coalesce(map_extract(MAP {{'01': 'active', '02': 'suspended', '03': 'closed', '04': 'cancelled_or_expired_or_stopped'}}, code)[1], 'unknown') END AS class
+FROM m
 """)
 def active_status(spark, d):
-    code = F.when(F.col("o_orderstatus") == "F", "1").when(F.col("o_orderstatus") == "P", "03")
-    name = F.when(F.col("o_orderpriority") == "5-LOW", "영업/정상").when(F.col("o_orderpriority") == "1-URGENT", "폐업")
-    closed = F.when(F.col("o_orderkey") % 11 == 0, F.col("o_orderdate"))
-    args = (code, name, closed, F.col("o_orderdate"))
-    return table(spark, d, "orders").select("o_orderkey", status.is_active(*args).alias("active"), status.is_inactive(*args).alias("inactive"))
+    key = F.col("o_orderkey")
+    closed = F.when(key % 11 == 0, F.when(key % 13 == 0, F.date_add("o_orderdate", 1)).otherwise(F.to_date("o_orderdate")))
+    o = table(spark, d, "orders").select(key, pick(STATUS_CODES, "o_orderkey").alias("code"), pick(STATUS_NAMES, "o_custkey").alias("name"), closed.alias("closed"), F.to_date("o_orderdate").alias("seen"))
+    args = [F.col(c) for c in ("code", "name", "closed", "seen")]
+    return o.select("o_orderkey", status.is_active(*args).alias("active"), status.is_inactive(*args).alias("inactive"), status.status_class(F.col("code")).alias("class"))
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '1997-03-01' AND o_orderdate < TIMESTAMP '1997-04-01'")
@@ -226,14 +245,14 @@ def enrichment_by_identity(spark, d):
 
 
 @query("""
-WITH v AS (SELECT l_partkey, l_suppkey % 3 AS slot, CASE WHEN l_quantity < 5 THEN -1 ELSE floor(l_quantity / 25) END AS rooms, l_returnflag FROM lineitem WHERE l_partkey % 4 = 0)
+WITH v AS (SELECT l_partkey, l_suppkey % 3 AS slot, CASE WHEN l_quantity < 5 THEN -1 ELSE floor(l_quantity / 25) END AS rooms, l_returnflag FROM lineitem)
 SELECT l_partkey, slot, CASE WHEN min(rooms) FILTER (rooms >= 0) = max(rooms) FILTER (rooms >= 0) THEN max(rooms) FILTER (rooms >= 0)::BIGINT END AS rooms,
   CASE WHEN count(*) FILTER (rooms >= 0) = 0 THEN 'missing' WHEN min(rooms) FILTER (rooms >= 0) = max(rooms) FILTER (rooms >= 0) THEN 'reported' ELSE 'conflicting' END AS rooms_quality,
   bool_or(l_returnflag = 'R') AS has_return, count(*) AS registrations
 FROM v GROUP BY 1, 2
 """)
 def facility_collapse_single_value(spark, d):
-    v = table(spark, d, "lineitem").filter("l_partkey % 4 = 0").select("l_partkey", (F.col("l_suppkey") % 3).alias("slot"), F.when(F.col("l_quantity") < 5, -1).otherwise(F.floor(F.col("l_quantity") / 25)).alias("rooms"), "l_returnflag")
+    v = table(spark, d, "lineitem").select("l_partkey", (F.col("l_suppkey") % 3).alias("slot"), F.when(F.col("l_quantity") < 5, -1).otherwise(F.floor(F.col("l_quantity") / 25)).alias("rooms"), "l_returnflag")
     return agg.single_value(v, ["l_partkey", "slot"], "rooms", {"has_return": F.bool_or(F.col("l_returnflag") == "R"), "registrations": F.count(F.lit(1))})
 
 
@@ -282,13 +301,13 @@ def dedupe_sum(spark, d):
 
 
 @query("""
-WITH b AS (SELECT event_type, date_trunc('month', ts)::DATE AS month, ts::DATE AS day, count(DISTINCT user_id) AS dims FROM events WHERE user_id % 3 = 0 GROUP BY ALL)
+WITH b AS (SELECT event_type, date_trunc('month', ts)::DATE AS month, ts::DATE AS day, count(DISTINCT user_id) AS dims FROM events GROUP BY ALL)
 SELECT event_type, month, count(*) AS observed_days, day(last_day(month)) AS expected_days, round(count(*) / day(last_day(month)), 6) AS day_coverage, round(sum(dims) / max(dims) / count(*), 6)::DOUBLE AS dimension_coverage,
   1.0::DOUBLE AS unit_coverage, round(least(count(*) / day(last_day(month)), sum(dims) / max(dims) / count(*)), 6)::DOUBLE AS overall
 FROM b GROUP BY event_type, month
 """)
 def coverage_decomposition(spark, d):
-    return rounded(agg.day_coverage(table(spark, d, "events").filter("user_id % 3 = 0").withColumn("unit", F.lit("count")), ["event_type"], "ts", "user_id", "unit"))
+    return rounded(agg.day_coverage(table(spark, d, "events").withColumn("unit", F.lit("count")), ["event_type"], "ts", "user_id", "unit"))
 
 
 @query("""
@@ -338,10 +357,13 @@ def wilson_lower_bound(spark, d):
     return rounded(out.withColumn("lower_bound", agg.wilson_lower(F.col("positive"), F.col("total"))))
 
 
-@query()
+@query("""
+WITH h AS (SELECT sha256('{"o_orderkey":"' || o_orderkey || '","o_custkey":"' || o_custkey || '","o_orderstatus":"' || o_orderstatus || '","o_orderpriority":"' || o_orderpriority || '"}') AS h FROM orders),
+p AS (SELECT count(*) AS n_rows, sum(('0x' || substr(h, 1, 15))::BIGINT) AS a, sum(('0x' || substr(h, 16, 15))::BIGINT) AS b, sum(('0x' || substr(h, 31, 15))::BIGINT) AS c, sum(('0x' || substr(h, 46, 15))::BIGINT) AS d FROM h)
+SELECT n_rows, sha256(a || '-' || b || '-' || c || '-' || d) AS digest FROM p
+""")
 def manifest_digest(spark, d):
-    o = table(spark, d, "orders")
-    return agg.table_digest(o, o.columns)
+    return agg.table_digest(table(spark, d, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
 
 
 # -- windows -----------------------------------------------------------------
@@ -444,28 +466,47 @@ def date_parse_quality(spark, d):
     return table(spark, d, "orders").withColumn("raw", raw).select("o_orderkey", parsing.strict_date(F.col("raw")).alias("parsed"), parsing.date_quality(F.col("raw")).alias("quality"), parsing.period_month(F.col("raw")).alias("month"))
 
 
-@query("""
-WITH t AS (SELECT c_custkey, c_acctbal, c_custkey % 5 AS k FROM customer)
-SELECT c_custkey, CASE k WHEN 0 THEN c_custkey WHEN 1 THEN c_custkey END AS whole, CASE k WHEN 0 THEN c_custkey::DOUBLE WHEN 1 THEN c_custkey::DOUBLE WHEN 2 THEN c_acctbal WHEN 3 THEN 1234.5 END AS num,
-  CASE WHEN k = 0 THEN lpad(c_custkey::VARCHAR, 5, '0') END AS code FROM t
+NUMBERS = [None, "", " 12 ", "12.00", "1,234", "1,234.5", "-7", "+3.0", "n/a", "1e3", "NaN", "Infinity", "12.5.1", ".5", "0012"]
+
+
+@query(f"""
+WITH t AS (SELECT c_custkey, replace(trim({sql_pick(NUMBERS, 'c_custkey')}), ',', '') AS plain, trim({sql_pick(NUMBERS, 'c_custkey')}) AS raw FROM customer)
+SELECT c_custkey, CASE WHEN regexp_full_match(plain, '[-+]?[0-9]+([.]0+)?') THEN plain::DOUBLE::BIGINT END AS whole,
+  CASE WHEN regexp_full_match(plain, '[-+]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][-+]?[0-9]+)?') THEN plain::DOUBLE END AS num, CASE WHEN regexp_full_match(raw, '[0-9]+') THEN lpad(raw, 5, '0') END AS code FROM t
 """)
 def number_parse(spark, d):
-    k = F.col("c_custkey") % 5
-    key = F.col("c_custkey").cast("string")
-    raw = F.when(k == 0, key).when(k == 1, F.concat(key, F.lit(".00"))).when(k == 2, F.col("c_acctbal").cast("string")).when(k == 3, "1,234.5").otherwise("n/a")
-    c = table(spark, d, "customer").withColumn("raw", raw)
-    whole = F.when(k < 2, parsing.whole_number(F.col("raw")))
-    return c.select("c_custkey", whole.alias("whole"), parsing.number(F.col("raw")).alias("num"), parsing.digit_code(F.col("raw"), 5).alias("code"))
+    c = table(spark, d, "customer").select("c_custkey", pick(NUMBERS, "c_custkey").alias("raw"))
+    return c.select("c_custkey", parsing.whole_number(F.col("raw")).alias("whole"), parsing.number(F.col("raw")).alias("num"), parsing.digit_code(F.col("raw"), 5).alias("code"))
 
 
-@query("""
-SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN '1' ELSE '0' END AS mountain, lpad(p_size::VARCHAR, 4, '0') AS main, lpad((p_partkey % 100)::VARCHAR, 4, '0') AS sub, p_size || '층|' || p_partkey || '호' AS units FROM part
+LOTS = [None, "", "12-3", "산 12 - 3", "산12-3", "12", "산 7", "하단동 12-3", "12-3 외 1", "12 -", "0012- 0003", "a12"]
+UNITS = ["", "3층", "로 12 3층 301호", "301호, 3 층", "지하1층 B101호", "1234층", "123456호", "3층 4층 12호 99호"]
+
+
+@query(f"""
+WITH t AS (SELECT p_partkey, regexp_extract(trim({sql_pick(LOTS, 'p_partkey')}), '^(산)?\\s*([0-9]+)(?:\\s*-\\s*([0-9]+))?$', ['hill', 'main', 'sub']) AS l, {sql_pick(UNITS, 'p_partkey + p_size')} AS u FROM part),
+w AS (SELECT *, ' ' || u AS v FROM t)
+SELECT p_partkey, CASE WHEN l.main <> '' THEN CASE WHEN l.hill = '산' THEN '1' ELSE '0' END END AS mountain, CASE WHEN l.main <> '' THEN lpad(l.main, 4, '0') END AS main, CASE WHEN l.main <> '' THEN lpad(CASE WHEN l.sub = '' THEN '0' ELSE l.sub END, 4, '0') END AS sub,
+  nullif(array_to_string(list_concat(regexp_extract_all(v, '[^0-9]([0-9]{{1,3}})\\s*층', 1), regexp_extract_all(v, '[^0-9]([0-9]{{1,5}})\\s*호', 1)), '|'), '') AS units
+FROM w
 """)
 def lot_and_unit_parse(spark, d):
-    text = F.concat(F.when(F.col("p_partkey") % 2 == 0, "산").otherwise(""), F.col("p_size"), F.lit("-"), F.col("p_partkey") % 100)
-    lot = parsing.lot_number(text)
-    units = parsing.unit_tokens(F.concat(F.lit("로 "), F.col("p_size"), F.lit(" 층, "), F.col("p_partkey"), F.lit("호")))
-    return table(spark, d, "part").select("p_partkey", lot["mountain"].alias("mountain"), lot["main"].alias("main"), lot["sub"].alias("sub"), units.alias("units"))
+    t = table(spark, d, "part").select("p_partkey", pick(LOTS, "p_partkey").alias("lot"), pick(UNITS, "p_partkey + p_size").alias("unit"))
+    lot = parsing.lot_number(F.col("lot"))
+    return t.select("p_partkey", lot["mountain"].alias("mountain"), lot["main"].alias("main"), lot["sub"].alias("sub"), parsing.unit_tokens(F.col("unit")).alias("units"))
+
+
+DATES = [None, "", "20240131", "2024-01-31", "2024.01-31", "2024/0131", "20240230", "2024-01-31T10:00", "202401311", "2024-1-3", "20240131 05:00", "n/a"]
+
+
+@query(f"""
+WITH t AS (SELECT o_orderkey, nullif(trim({sql_pick(DATES, 'o_orderkey')}), '') AS raw FROM orders),
+s AS (SELECT *, CASE WHEN regexp_full_match(raw, '[0-9]{{4}}[-./]?[0-9]{{2}}[-./]?[0-9]{{2}}') THEN regexp_replace(raw, '[-./]', '', 'g') END AS whole, CASE WHEN regexp_full_match(left(raw, 10), '[0-9]{{4}}[-./]?[0-9]{{2}}[-./]?[0-9]{{2}}') THEN regexp_replace(left(raw, 10), '[-./]', '', 'g') END AS head FROM t)
+SELECT o_orderkey, try_strptime(whole, '%Y%m%d')::DATE AS strict, CASE WHEN raw IS NULL THEN 'missing' WHEN try_strptime(whole, '%Y%m%d') IS NULL THEN 'invalid' ELSE 'parsed' END AS quality, try_strptime(head, '%Y%m%d')::DATE AS lenient FROM s
+""")
+def odd_dates(spark, d):
+    t = table(spark, d, "orders").select("o_orderkey", pick(DATES, "o_orderkey").alias("raw"))
+    return t.select("o_orderkey", parsing.strict_date(F.col("raw")).alias("strict"), parsing.date_quality(F.col("raw")).alias("quality"), parsing.lenient_date(F.col("raw")).alias("lenient"))
 
 
 @query("""
@@ -482,7 +523,9 @@ def json_extract_props(spark, d):
     return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))
 
 
-@query("SELECT event_type, 1::BIGINT AS n_fields, sha256('k') AS fingerprint FROM events GROUP BY 1")
+@query("""
+SELECT event_type, count(*) AS n_fields, sha256(string_agg(field, ',' ORDER BY field)) AS fingerprint FROM (SELECT DISTINCT event_type, unnest(json_keys(props)) AS field FROM events) GROUP BY 1
+""")
 def schema_fingerprint(spark, d):
     return quality.schema_fingerprint(table(spark, d, "events"), ["event_type"], "props")
 
@@ -515,9 +558,9 @@ def grid_cell_floor(spark, d):
 @query(f"""
 WITH g AS ({GRID_SQL}), c AS (SELECT district, count(*) FILTER (rooms IS NOT NULL) / count(*) AS coverage FROM g GROUP BY 1),
 m AS (SELECT grid_id, district, count(*) AS n_facilities, CASE WHEN count(rooms) = count(*) THEN median(rooms) END AS rooms, CASE WHEN count(age) = count(*) THEN median(age) END AS age, min(context) AS context FROM g GROUP BY 1, 2),
-s AS (SELECT m.*, coverage, CASE WHEN rooms <= 10 THEN 2 WHEN rooms <= 20 THEN 1 WHEN rooms IS NOT NULL THEN 0 END + CASE WHEN age >= 30 THEN 2 WHEN age >= 20 THEN 1 WHEN age IS NOT NULL THEN 0 END + CASE context WHEN 'high' THEN 2 ELSE 0 END AS raw FROM m JOIN c USING (district))
+s AS (SELECT m.*, coverage, CASE WHEN rooms <= 0 THEN NULL WHEN rooms <= 10 THEN 2 WHEN rooms <= 20 THEN 1 WHEN rooms IS NOT NULL THEN 0 END + CASE WHEN age >= 30 THEN 2 WHEN age >= 20 THEN 1 WHEN age IS NOT NULL THEN 0 END + CASE context WHEN 'high' THEN 2 ELSE 0 END AS raw FROM m JOIN c USING (district))
 SELECT grid_id, district, n_facilities, rooms, age, round(coverage, 6) AS coverage, CASE WHEN coverage >= 0.8 THEN raw END::INTEGER AS score,
-  CASE WHEN coverage < 0.8 OR raw IS NULL THEN 'insufficient_evidence' WHEN raw >= 5 THEN 'priority_1' WHEN raw >= 3 THEN 'priority_2' WHEN raw >= 1 THEN 'monitor' ELSE 'general' END AS grade, coverage >= 0.8 AND raw IS NOT NULL AND n_facilities < 3 AS small_sample
+  CASE WHEN coverage < 0.8 OR raw IS NULL THEN 'insufficient_evidence' WHEN n_facilities < 3 THEN 'small_sample' WHEN raw >= 5 THEN 'priority_1' WHEN raw >= 3 THEN 'priority_2' WHEN raw >= 1 THEN 'monitor' ELSE 'general' END AS grade
 FROM s
 """)
 def grid_grades(spark, d):
@@ -676,10 +719,13 @@ def pending_months(spark, d):
     return marts.month_spine(monthly(spark, d).select("district", "month", "rooms"), "1995-01-01", "1995-06-01", districts(spark, d).select("district"))
 
 
-@query("SELECT run FROM (VALUES ('r0'), ('r1'), ('r2')) t(run)")
+@query("SELECT 'r' || b.n_nationkey AS run FROM nation a, nation b WHERE a.n_nationkey = 23 AND (a.n_nationkey = b.n_nationkey OR (b.n_nationkey < a.n_nationkey AND a.n_nationkey % (b.n_nationkey + 1) = 2))")
 def run_lineage(spark, d):
-    lineage = spark.createDataFrame([("r2", "r1"), ("r1", "r0"), ("r0", "rx"), ("r9", "r8")], "run_id string, input_run_id string")
-    return marts.visible_runs(lineage, spark.createDataFrame([("r0",), ("r1",), ("r2",), ("r8",)], "run_id string"), "r2")
+    n = table(spark, d, "nation").select(F.col("n_nationkey").alias("a"))
+    name = lambda c: F.concat(F.lit("r"), c)
+    edges = n.join(n.withColumnRenamed("a", "b"), F.expr("a = b OR (b < a AND a % (b + 1) = 2)"))
+    runs = n.select(name("a").alias("run_id"), F.lit("PUBLISHED").alias("status"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("a")).alias("business_date"), F.lit(True).alias("rebuildable"))
+    return marts.visible_runs(edges.select(name("a").alias("run_id"), name("b").alias("input_run_id")), runs, "r23")
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:

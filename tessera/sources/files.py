@@ -28,38 +28,58 @@ def file_date(name: Column) -> Column:
 
 
 def read_delimited(spark: SparkSession, folder: str, sep: str = ",") -> DataFrame:
-    """CSV files with a header, each in UTF-8 or else CP949; headers must be filled and distinct."""
+    """CSV files with a header, each in UTF-8 or else CP949; headers must be filled and distinct.
+
+    The contents are read once to tell encoding and header line; files that have both in common are one read, so that
+    columns go by name, and a column that a file lacks is null there.  A folder without files is an error.  CP949 isn't
+    among the charsets that Spark takes by itself, so a session that meets it has spark.sql.legacy.javaCharsets set.
+    """
     files = spark.read.format("binaryFile").load(folder)
-    utf8 = [r.path for r in files.filter(F.is_valid_utf8(F.col("content").cast("string"))).select("path").collect()]
-    other = [r.path for r in files.filter(~F.is_valid_utf8(F.col("content").cast("string"))).select("path").collect()]
-    parts = [spark.read.csv(paths, header=True, sep=sep, encoding=encoding, multiLine=True) for paths, encoding in ((utf8, "UTF-8"), (other, "x-windows-949")) if paths]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    out = out.withColumnsRenamed({c: c.lstrip("﻿") for c in out.columns if c.startswith("﻿")})
-    if any(c.startswith("_c") and c[2:].isdigit() for c in out.columns) or len({c.lower() for c in out.columns}) < len(out.columns):
-        raise ValueError(f"headers must be filled and distinct: {out.columns}")
+    text = F.col("content").cast("string")
+    fine = F.is_valid_utf8(text)
+    first = F.when(fine, F.split_part(text, F.lit("\n"), F.lit(1))).otherwise(F.hex(F.split_part(F.decode("content", "ISO-8859-1"), F.lit("\n"), F.lit(1))))
+    kinds = files.select("path", fine.alias("utf8"), first.alias("header")).groupBy("utf8", "header").agg(F.array_sort(F.collect_list("path")).alias("paths")).orderBy("utf8", "header").collect()
+    if not kinds:
+        raise FileNotFoundError(f"no files in {folder}")
+    if not all(kind.utf8 for kind in kinds):
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    out = None
+    for kind in kinds:  # one for each encoding and header; paths are names, not contents
+        part = spark.read.csv(kind.paths, header=True, sep=sep, encoding="UTF-8" if kind.utf8 else "x-windows-949", multiLine=True)
+        part = part.withColumnsRenamed({c: c.lstrip("\ufeff") for c in part.columns if c.startswith("\ufeff")})
+        if any(c.startswith("_c") and c[2:].isdigit() for c in part.columns) or len({c.lower() for c in part.columns}) < len(part.columns):
+            raise ValueError(f"headers must be filled and distinct: {part.columns}")
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
 
+CLOSED_WORDS = ("폐지", "y", "true", "1")
+
+
 def place_codes(rows: DataFrame, code: str, name: str, closed: str, prefix: str) -> DataFrame:
-    """Active ten-digit codes with the prefix, one row a code."""
+    """Active ten-digit codes with the prefix, one row a code; a status of any other word is active."""
     kept = rows.select(F.trim(code).alias("code"), F.trim(name).alias("name"), blank_to_null(F.col(closed)).alias("closed"))
-    return kept.filter(F.col("code").rlike(rf"^{prefix}\d{{{10 - len(prefix)}}}$") & ~F.coalesce(F.col("closed").isin("폐지", "Y"), F.lit(False))).groupBy("code").agg(F.min("name").alias("name"))
+    return kept.filter(F.col("code").rlike(rf"^{prefix}\d{{{10 - len(prefix)}}}$") & ~F.coalesce(F.lower("closed").isin(*CLOSED_WORDS), F.lit(False))).groupBy("code").agg(F.min("name").alias("name"))
 
 
-_POSITION = "array<double>"
-_FEATURES = f"features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:array<array<{_POSITION}>>>>>"
+_RINGS = "array<array<array<double>>>"
+_FEATURES = "features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>>"
 
 
 def boundaries(spark: SparkSession, path: str) -> DataFrame:
-    """Polygons of a GeoJSON collection: (district, dong_code, dong_name, rings of (x, y)), closing points left out."""
+    """(district, dong_code, dong_name, rings of (x, y)) of a GeoJSON collection, closing points left out.
+
+    A MultiPolygon is a row for each of its polygons; a geometry of another type is a row with null rings.
+    """
     features = spark.read.schema(_FEATURES).json(path, multiLine=True).select(F.explode("features").alias("f"))
+    said, kind = F.col("f.geometry.coordinates"), F.col("f.geometry.type")
+    parts = F.when(kind == "Polygon", F.array(F.from_json(said, _RINGS))).when(kind == "MultiPolygon", F.from_json(said, f"array<{_RINGS}>"))
     ring = lambda r: F.transform(F.slice(r, 1, F.size(r) - 1), lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
-    return features.select(
+    flat = features.select(
         F.col("f.properties.district").alias("district"), F.col("f.properties.dong_code").alias("dong_code"), F.col("f.properties.dong_name").alias("dong_name"),
-        F.transform("f.geometry.coordinates", ring).alias("rings"),
+        F.explode_outer(parts).alias("part"),
     )
+    return flat.select("district", "dong_code", "dong_name", F.transform("part", ring).alias("rings"))
 
 
 def boundary_checks(polygons: DataFrame, districts: int, bounds: tuple[float, float, float, float]) -> DataFrame:
@@ -76,6 +96,6 @@ def boundary_checks(polygons: DataFrame, districts: int, bounds: tuple[float, fl
             Check("boundary_districts", F.count_distinct("district"), districts, districts),
             Check("boundary_rings", F.count_if(~F.coalesce(formed, F.lit(False))), most=0),
             Check("boundary_bounds", F.count_if(~F.coalesce(inside, F.lit(False))), most=0),
-            Check("boundary_codes", F.count(F.lit(1)) - F.count_distinct("dong_code"), most=0),
+            Check("boundary_codes", F.count_distinct("dong_code", "district", "dong_name") - F.count_distinct("dong_code"), most=0),
         ],
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.parsing import blank_to_null
+
 # Fixed values of the portals' result codes.
 AUTH_CODES = ("20", "30", "31")
 QUOTA_CODES = ("22", "23")
@@ -72,7 +74,7 @@ def aliased(df: DataFrame, aliases: dict[str, tuple[str, ...]], row: str = "row"
     known = {alias_key(a) for names in aliases.values() for a in names}
     out = df.withColumn("_row", plain)
     picked = {
-        column: F.coalesce(*(F.nullif(F.trim(F.try_element_at("_row", F.lit(alias_key(a)))), F.lit("")) for a in names))
+        column: blank_to_null(F.coalesce(*(F.nullif(F.try_element_at("_row", F.lit(alias_key(a))), F.lit("")) for a in names)))
         for column, names in aliases.items()
     }
     return out.withColumns(picked).withColumn("extra", F.map_filter("_row", lambda k, _: ~k.isin(*known))).drop("_row")

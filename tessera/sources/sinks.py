@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.aggregates import table_digest
+from tessera.operators.latest import latest
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -15,9 +16,30 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def _one_of_each(df: DataFrame, keys: Sequence[str], newest: Sequence[Column] = ()) -> DataFrame:
+    rest = [F.to_json(F.struct(c), {"ignoreNullFields": "false"}) for c in df.columns if c not in keys]
+    return latest(df, keys, [*newest, *rest]) if rest or newest else df.distinct()
+
+
+def upsert(df: DataFrame, path: str, keys: Sequence[str], newest: Sequence[Column], part: str) -> None:
+    """Rows by key, new ones over old: the partitions (by `part`, which follows from the key) that df touches are written anew.
+
+    Of equal keys in df the first by `newest` counts.  Rows that only the store has stay.
+    """
+    fresh = _one_of_each(df, keys, newest)
+    spark = df.sparkSession
+    if exists(spark, path):
+        old = spark.read.parquet(path).join(fresh.select(part).distinct(), part, "left_semi").join(fresh.select(*keys), list(keys), "left_anti")
+        fresh = fresh.unionByName(old.select(*fresh.columns))
+        staged = f"{path.rstrip('/')}_staged"
+        fresh.write.mode("overwrite").parquet(staged)  # what is overwritten can't be read at the same time
+        fresh = spark.read.schema(fresh.schema).parquet(staged)
+    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+
+
 def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Appends rows whose key isn't there; the first of equal keys is one of them, and a second call adds nothing."""
-    fresh = df.dropDuplicates(list(keys))
+    """Appends rows whose key isn't there; of equal keys the least row by its other columns, so a second call adds nothing and reruns agree."""
+    fresh = _one_of_each(df, keys)
     if exists(df.sparkSession, path):
         fresh = fresh.join(df.sparkSession.read.parquet(path).select(*keys), list(keys), "left_anti")
     fresh.write.mode("append").parquet(path)
@@ -32,16 +54,31 @@ def write_artifacts(pages: DataFrame, path: str, body: str = "body") -> None:
     """Raw bodies with their SHA-256, by source and day; the same body of a source and day is kept once."""
     hashed = pages.withColumns({"content_hash": F.sha2(F.col(body).cast("binary"), 256), "n_bytes": F.octet_length(body).cast("bigint")})
     keys = ["source_id", "ingest_date", "content_hash"]
-    fresh = hashed.dropDuplicates(keys)
+    fresh = _one_of_each(hashed, keys)
     if exists(pages.sparkSession, path):
         fresh = fresh.join(pages.sparkSession.read.parquet(path).select(*keys), keys, "left_anti")
     fresh.write.mode("append").partitionBy("source_id", "ingest_date").parquet(path)
 
 
+# What marks a name as secret, in its letters and digits.
+SECRET_MARKS = ("servicekey", "apikey", "token", "auth", "secret", "password", "credential")
+
+
 def redacted(df: DataFrame, column: str) -> DataFrame:
-    """A map's values under secret-like keys replaced."""
-    hidden = r"(?i)(key|token|secret|password|authorization)"
-    return df.withColumn(column, F.transform_values(column, lambda k, v: F.when(k.rlike(hidden), "[redacted]").otherwise(v)))
+    """A map's values under secret-like keys replaced, also inside values that are JSON objects or arrays."""
+    secret = lambda k: F.regexp_replace(F.lower(k), r"[^\p{L}\p{N}]", "").rlike("|".join(SECRET_MARKS))
+    inner = lambda v: F.when(v.rlike(r"^\s*[\[{]"), redacted_json(v)).otherwise(v)
+    return df.withColumn(column, F.transform_values(column, lambda k, v: F.when(secret(k), "[redacted]").otherwise(inner(v))))
+
+
+def redacted_json(text: Column) -> Column:
+    """JSON text with every value under a secret-like name replaced: strings, numbers, literals, and objects or arrays without others in them."""
+    chars = r'(?:[^"\\]|\\.)*'
+    marks = "|".join(r'[^\p{L}\p{N}"]*'.join(m) for m in SECRET_MARKS)
+    name = rf'("{chars}(?i:{marks}){chars}"\s*:\s*)'
+    for value in (r"(?:\{[^{}]*\}|\[[^\[\]]*\])", rf'(?:"{chars}"|[-+0-9.eE]+|true|false|null)'):
+        text = F.regexp_replace(text, name + value, '$1"[redacted]"')
+    return text
 
 
 def export(tables: dict[str, DataFrame], folder: str) -> DataFrame:

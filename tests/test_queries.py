@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from tessera.plans.queries import ORACLE_SQL, QUERIES
+from tessera.plans.catalogue import ORACLE_SQL, QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
