@@ -78,7 +78,7 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return low, space, value[low]
 
 
-_LOW, _SPACE, _VALUE = _tables()
+LOW, _SPACE, _VALUE = _tables()
 
 
 class _Powers:

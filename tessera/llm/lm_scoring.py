@@ -16,9 +16,12 @@ A window holds 2 * HALF positions, the last HALF of which are scored; the next w
 token is scored once, with HALF to 2 * HALF - 1 units before it (all there are, near the start).  Windows of many texts are one
 batch with a causal mask.
 
-Training reads all rows that are not held out.  Word counts are exact.  Piece counts, class shares
-and company are counted, and attention is trained, on all word windows of the training texts: each task runs Adam
-over its share, PART units at a time, and the parameters are averaged over tasks, weighted by windows, for ROUNDS rounds.
+Each text is spelled once; the table of units serves counting, training and scoring.  Training reads all rows that
+are not held out.  Word counts are exact.  Piece counts, class shares and company are counted, and attention is
+trained, on all training texts: the texts are dealt to ROUNDS rounds by a hash, in each round every task runs Adam
+once over its share, in sequences of up to SEQUENCE units and PART units at a time, and the parameters are averaged
+over tasks, weighted by windows.  Small shares are gone over up to AGAIN times, to reach STEPS steps.  The result depends a
+little on how rows fall into tasks, as the average does.
 
 The base score is the add-one unigram score of the contract.  The counts of the KNOWN commonest words are
 sent to the tasks (a fixed bound); the others are joined by word.
@@ -37,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Words, lists, mapped, mix, written
+from tessera.llm.common import LOW, Words, lists, mapped, mix, written
 from tessera.llm.toxicity import remainder
 
 DICTIONARY = 1 << 15
@@ -49,17 +52,17 @@ HALF = 16
 DEPTH = 16
 ROWS = 4096  # of the table of input vectors: the commonest units have their own, others share by hash
 OWN_ROWS = 3072
-WINDOW_WORDS = 48  # words in a training window
+SEQUENCE = 64  # units of a text that training takes in one go, with nothing from before
 PART = 1 << 19  # units trained on at a time in a task, which bounds its memory
 ROUNDS = 3
 STEPS = 400  # of Adam in a round, which a small share reaches by being gone over again, at most AGAIN times
 AGAIN = 6
 DECAY = 2e-3
 FLOOR = 0.1  # weight of the context-free class shares in the prediction
-BATCH = 64
+BATCH = 128
 COMPANY = 8  # numbers that describe the company of a unit
 END = np.uint64(0)  # stands for the end token among word hashes
-_CACHED = 200_000
+SPELLED_AT_ONCE = 8192  # words given to the tokenizer
 
 
 @functools.cache
@@ -99,9 +102,9 @@ class Units:
         """0 for words, 1 for pieces that open a word, 2 for others, 3 for the end."""
         return np.concatenate([np.zeros(self.size, int), np.repeat(np.where(pieces(self.path)[1], 1, 2), 2), [3]])
 
-    def spell(self, words: Words, chosen: np.ndarray, memo: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Units of the chosen words in order, and how many each has."""
-        h = words.hash[chosen]
+    def spell(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Units of the words in order, and how many each has."""
+        h = words.hash
         unit, n = np.zeros(len(h), np.int64), np.ones(len(h), np.int64)
         known = np.zeros(len(h), bool)
         if self.size:
@@ -111,36 +114,42 @@ class Units:
         rare = np.flatnonzero(~known)
         if not len(rare):
             return unit, n
-        distinct, first, which = np.unique(h[rare], return_index=True, return_inverse=True)
-        spelled: list[np.ndarray | None] = [memo.get(x) for x in distinct.tolist()]
-        missing = [i for i, s in enumerate(spelled) if s is None]
-        if missing:
-            if len(memo) > _CACHED:
-                memo.clear()
-            tokenizer, opens = pieces(self.path)
-            for a in range(0, len(missing), 4096):
-                part = missing[a : a + 4096]
-                spans = [(words.start[chosen[rare[first[i]]]], words.end[chosen[rare[first[i]]]]) for i in part]
-                text = b" " + b" ".join(words.data[s:e].tobytes().lower() for s, e in spans)
-                ids = np.array(tokenizer.encode(text.decode(), add_special_tokens=False).ids)
-                start = np.flatnonzero(opens[ids])
-                last = np.zeros(len(ids), np.int64)
-                last[np.append(start[1:], len(ids)) - 1] = 1
-                got = np.split(self.size + 2 * ids + last, start[1:])
-                for i, u in zip(part, got, strict=True):
-                    spelled[i] = memo[int(distinct[i])] = u
-        sizes = np.array([len(s) for s in spelled])
-        flat, begin = np.concatenate(spelled), np.cumsum(sizes) - sizes
-        n[rare] = sizes[which]
+        _, first, which = np.unique(h[rare], return_index=True, return_inverse=True)
+        flat, sizes = self._pieces(words, rare[first])
+        begin = np.cumsum(sizes) - sizes
+        k = sizes[which]
+        n[rare] = k
         total = np.cumsum(n)
         out = np.zeros(int(total[-1]), np.int64)
         out[(total - n)[known]] = unit[known]
-        to = (total - n)[rare]
-        k = sizes[which]
         inner = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-        out[np.repeat(to, k) + inner] = flat[np.repeat(begin[which], k) + inner]
+        out[np.repeat((total - n)[rare], k) + inner] = flat[np.repeat(begin[which], k) + inner]
         return out, n
 
+    def _pieces(self, words: Words, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece units of the chosen words, end to end, and how many each has."""
+        tokenizer, opens = pieces(self.path)
+        units, sizes = [], []
+        for a in range(0, len(chosen), SPELLED_AT_ONCE):
+            start, end = (x[chosen[a : a + SPELLED_AT_ONCE]] for x in (words.start, words.end))
+            size = end - start + 1  # with a space before
+            to = np.cumsum(size) - size
+            text = np.full(int(size.sum()), 32, np.uint8)
+            inner = np.arange(len(text)) - np.repeat(to, size)
+            own = inner > 0
+            text[own] = LOW[words.data[(np.repeat(start, size) + inner - 1)[own]]]
+            ids = np.array(tokenizer.encode(text.tobytes().decode(), add_special_tokens=False).ids)
+            open_at = np.append(np.flatnonzero(opens[ids]), len(ids))
+            last = np.zeros(len(ids), np.int64)
+            last[open_at[1:] - 1] = 1
+            units.append(self.size + 2 * ids + last)
+            sizes.append(np.diff(open_at))
+        return np.concatenate(units), np.concatenate(sizes)
+
+    def word_ends(self, u: np.ndarray) -> np.ndarray:
+        """Which units are the last of a word: whole words, and pieces marked so; the end unit is none."""
+        return (u < self.size) | ((u < self.end) & ((u - self.size) % 2 == 1))
+
 
 # ---------------------------------------------------------------- counts
 
@@ -158,24 +167,56 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return mapped(docs, each, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def training_windows(docs: DataFrame, units: Units) -> DataFrame:
-    """(units[]) of all word windows of the training texts; the last window of a text holds its end unit."""
-    memo: dict[int, np.ndarray] = {}
+def spelled_table(rows: DataFrame, units: Units, known: np.ndarray, c: np.ndarray, spread: float, tail_size: float) -> DataFrame:
+    """Each row (row, id, text, train) as its units, what the base score takes from the counts c of the `known` words, and the other words.
+
+    units: with the end unit; recalled: for each spelled word in order its share among the words outside the
+    dictionary, or -1 where its count is not among the known ones; words: the hashes of those.
+    """
+    kind = rows.schema["id"].dataType.simpleString()
+    sent = rows.sparkSession.sparkContext.broadcast((units, known, c))  # of fixed sizes
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = batch.filter(batch.column("train"))
-        words = Words(own.column("text"))
+        units, known, c = sent.value
+        words = Words(batch.column("text"))
         n = words.counts()
-        u, per = units.spell(words, np.arange(len(words.hash)), memo)
+        u, per = units.spell(words)
         done = np.concatenate([[0], np.cumsum(per)])
         full = np.insert(u, done[words.first[1:]], units.end)
-        per = n // WINDOW_WORDS + 1
-        doc = np.repeat(np.arange(len(n)), per)
-        nth = np.arange(len(doc)) - np.repeat(np.cumsum(per) - per, per)
-        off = np.append(done[words.first[:-1][doc] + nth * WINDOW_WORDS] + doc, len(full))
-        return pa.record_batch([lists(full, off, pa.int32())], names=["units"])
+        lens = np.diff(done[words.first]) + 1
+        doc = np.repeat(np.arange(len(n)), n)
+        h = words.hash
+        at = np.searchsorted(known, h).clip(0, max(len(known) - 1, 0))
+        hit = known[at] == h if len(known) else np.zeros(len(h), bool)
+        seen = c[at] if len(known) else np.zeros(len(h))
+        ends_known = int(c[known == END].sum()) if len(known) else 0
+        base = np.bincount(doc[hit], np.log10((seen[hit] + 1) / spread), len(n)) + np.log10((ends_known + 1) / spread)
+        n_known = np.bincount(doc[hit], minlength=len(n)) + (ends_known > 0)
+        spelled = u[done[:-1]] >= units.size
+        recalled = np.where(hit, (seen + 1) / tail_size, -1)[spelled].astype(np.float32)
+        rest = np.flatnonzero(~hit)
+        off = lambda chosen: np.searchsorted(doc[chosen], np.arange(len(n) + 1))
+        return pa.record_batch(
+            [batch.column("row"), batch.column("id"), batch.column("train"), pa.array(n + 1), pa.array(n_known), pa.array(base), lists(full, np.concatenate([[0], np.cumsum(lens)]), pa.int32()), lists(recalled, off(np.flatnonzero(spelled)), pa.float32()), lists(h[rest].view(np.int64), off(rest), pa.int64())],
+            names=["row", "id", "train", "n_tokens", "n_known", "base", "units", "recalled", "words"],
+        )
+
+    return mapped(rows, each, f"row long, id {kind}, train boolean, n_tokens long, n_known long, base double, units array<int>, recalled array<float>, words array<long>")
+
+
+def _flat_units(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The units of a batch end to end, and the len + 1 offsets of its texts."""
+    column = batch.column("units")
+    off = column.offsets.to_numpy()
+    return column.values.to_numpy()[off[0] : off[-1]].astype(np.int64), (off - off[0]).astype(np.int64)
 
-    return mapped(docs, each, "units array<int>")
+
+def _sequences(off: np.ndarray) -> np.ndarray:
+    """Offsets of the texts' runs of SEQUENCE units, the last of each text being shorter."""
+    lens = np.diff(off)
+    per = -(-lens // SEQUENCE)
+    nth = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
+    return np.append(np.repeat(off[:-1], per) + nth * SEQUENCE, off[-1])
 
 
 # ---------------------------------------------------------------- the model
@@ -272,13 +313,13 @@ def gradients(p: dict[str, np.ndarray], rows: np.ndarray, pad: np.ndarray, targe
     return g
 
 
-def local_training(model: Model, seqs: list[np.ndarray], rate: float, seed: int) -> tuple[dict[str, np.ndarray], int]:
-    """Adam over the windows of one share, from the model's parameters; the parameters and the number of windows."""
-    begin_row, row = model.row[-1], model.row
-    ins = [np.concatenate([[begin_row], row[s[:-1]]]) for s in seqs]
-    lens = np.array([len(s) for s in seqs])
-    begin = np.cumsum(lens) - lens
-    rows, classes = np.concatenate(ins), model.of[np.concatenate(seqs)]
+def local_training(model: Model, u: np.ndarray, off: np.ndarray, rate: float, seed: int) -> tuple[dict[str, np.ndarray], int]:
+    """Adam over the windows of one share (units and offsets of sequences), from the model's parameters; the parameters and the number of windows."""
+    begin, lens = off[:-1], np.diff(off)
+    rows = np.empty(len(u), np.int64)
+    rows[1:] = model.row[u[:-1]]
+    rows[begin] = model.row[-1]
+    classes = model.of[u]
     at, _ = windows(lens, begin)
     p = {n: x.copy() for n, x in model.params.items()}
     m, v = {n: np.zeros_like(x) for n, x in p.items()}, {n: np.zeros_like(x) for n, x in p.items()}
@@ -312,28 +353,25 @@ def _shaped(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarr
 
 
 def describe(parts: DataFrame, units: Units) -> tuple[np.ndarray, np.ndarray]:
-    """Per unit: how often it is in the windows, and the mean of its windows' projections.  One row per unit comes back."""
+    """Per unit: how often it is in the sequences of the texts, and the mean of their projections.  One row per unit comes back."""
+    signs = np.random.default_rng(9).normal(size=(2049, COMPANY)).astype(np.float32)
+    signs[2048] = 0  # for all units but the commonest
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        column = batch.column("units")
-        u, off = column.values.to_numpy(), column.offsets.to_numpy()
-        u, off = u[off[0] : off[-1]], off - off[0]
-        common = u < 2048  # numbers rise as counts fall
-        signs = np.random.default_rng(9).normal(size=(2048, COMPANY))
-        one = np.where(common[:, None], signs[np.where(common, u, 0)], 0)
-        run = np.concatenate([np.zeros((1, COMPANY)), np.cumsum(one, 0)])
-        window = np.repeat(np.arange(len(off) - 1), np.diff(off))
-        total = run[off[1:]] - run[off[:-1]]
-        around = total[window] - one
-        around /= np.maximum(np.linalg.norm(around, axis=1), 1e-9)[:, None]
+        u, texts = _flat_units(batch)
+        off = _sequences(texts)
+        one = signs[np.minimum(u, 2048)]  # numbers rise as counts fall
+        total = np.add.reduceat(one, off[:-1]) if len(u) else one
+        around = np.repeat(total, np.diff(off), axis=0) - one
+        around /= np.maximum(np.sqrt((around * around).sum(1)), 1e-9)[:, None]
         order = np.argsort(u, kind="stable")
         unit, start = np.unique(u[order], return_index=True)
-        sums = np.add.reduceat(around[order], start) if len(start) else np.zeros((0, COMPANY))
+        sums = np.add.reduceat(around[order], start) if len(start) else np.zeros((0, COMPANY), np.float32)
         n = np.diff(np.append(start, len(u)))
-        return pa.record_batch({"unit": pa.array(unit, pa.int32()), "n": pa.array(n, pa.int64()), **{f"c{i}": pa.array(sums[:, i].astype(np.float32)) for i in range(COMPANY)}})
+        return pa.record_batch({"unit": pa.array(unit, pa.int32()), "n": pa.array(n, pa.int64()), **{f"c{i}": pa.array(sums[:, i]) for i in range(COMPANY)}})
 
     cols = [f"c{i}" for i in range(COMPANY)]
-    got = mapped(parts, each, "unit int, n long, " + ", ".join(f"{c} float" for c in cols), text=None)
+    got = mapped(parts.select("units"), each, "unit int, n long, " + ", ".join(f"{c} float" for c in cols), text=None)
     got = got.groupBy("unit").agg(F.sum("n").alias("n"), *[F.sum(c).cast("float").alias(c) for c in cols])
     table = got.toArrow()  # at most one row for each unit
     n, company = np.zeros(units.total, np.int64), np.zeros((units.total, COMPANY), np.float32)
@@ -369,14 +407,17 @@ def classes(kinds: np.ndarray, n: np.ndarray, company: np.ndarray, seed: int = 8
     return of
 
 
-def fit(docs: DataFrame, counts: DataFrame, path: str) -> Model | tuple[Model, Units]:
-    """The model and its units, from rows (text, train) and the word counts."""
+def dictionary(counts: DataFrame, path: str) -> tuple[Units, np.ndarray]:
+    """The units, and the counts of the dictionary's words by number."""
     top = counts.filter(F.col("word") != int(END)).orderBy(F.desc("c"), "word").limit(DICTIONARY).toArrow()  # a fixed bound
     order = np.lexsort((top["word"].to_numpy(), -top["c"].to_numpy()))
     words, c = top["word"].to_numpy()[order].view(np.uint64), top["c"].to_numpy()[order]
     by = np.argsort(words)
-    units = Units(words[by], by, len(words), len(pieces(path)[1]), path)
-    parts = written(training_windows(docs, units), "windows")
+    return Units(words[by], by, len(words), len(pieces(path)[1]), path), c
+
+
+def fit(parts: DataFrame, units: Units, c: np.ndarray) -> Model:
+    """The model, from the spelled training texts (row, units) and the counts of the dictionary."""
     n, company = describe(parts, units)
     kinds = units.kinds()
     of = classes(kinds, n, company)
@@ -393,8 +434,9 @@ def fit(docs: DataFrame, counts: DataFrame, path: str) -> Model | tuple[Model, U
     total = np.bincount(of, n, CLASSES) + 0.5
     model = Model(row, of, np.log10(weight / mass[of]), total / total.sum(), fresh(np.log(total / total.sum())))
     for number in range(ROUNDS):
-        model = replace(model, params=_round(parts, model, 0.01 / (number + 1), number))
-    return model, units
+        share = parts.filter(F.pmod(F.xxhash64("row"), F.lit(ROUNDS)) == number)
+        model = replace(model, params=_round(share, model, 0.01 / (number + 1), number))
+    return model
 
 
 def _round(parts: DataFrame, model: Model, rate: float, seed: int) -> dict[str, np.ndarray]:
@@ -402,25 +444,31 @@ def _round(parts: DataFrame, model: Model, rate: float, seed: int) -> dict[str,
     sent = parts.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        now, total, seqs, held = sent.value, 0, [], 0
+        now, total, held = sent.value, 0, []
+
+        def trained() -> None:
+            nonlocal now, total, held
+            u = np.concatenate([x for x, _ in held])
+            lens = np.concatenate([np.diff(o) for _, o in held])
+            p, n = local_training(now, u, np.concatenate([[0], np.cumsum(lens)]), rate, seed)
+            now, total, held = replace(now, params=p), total + n, []
+
         with np.errstate(over="ignore"):
             for batch in batches:
-                column = batch.column("units")
-                u, off = column.values.to_numpy(), column.offsets.to_numpy()
-                for a, b in zip(off[:-1], off[1:], strict=True):
-                    seqs.append(u[a:b])
-                    held += b - a
-                    if held >= PART:
-                        p, n = local_training(now, seqs, rate, seed)
-                        now, total, seqs, held = replace(now, params=p), total + n, [], 0
-            if seqs:
-                p, n = local_training(now, seqs, rate, seed)
-                now, total = replace(now, params=p), total + n
+                u, texts = _flat_units(batch)
+                off = _sequences(texts)
+                for a in range(0, len(off) - 1, PART // SEQUENCE):  # so that no more than PART units are held
+                    own = off[a : a + PART // SEQUENCE + 1]
+                    if held and sum(len(x) for x, _ in held) + own[-1] - own[0] > PART:
+                        trained()
+                    held.append((u[own[0] : own[-1]], own - own[0]))
+            if held and sum(len(x) for x, _ in held):
+                trained()
             if total:
                 flat = _flat(now.params).astype(float) * total
                 yield pa.record_batch({"at": pa.array(np.arange(len(flat), dtype=np.int32)), "p": pa.array(flat), "n": pa.array(np.full(len(flat), total))})
 
-    got = parts.mapInArrow(run, "at int, p double, n long").groupBy("at").agg((F.sum("p") / F.sum("n")).alias("p")).toArrow()
+    got = parts.select("units").mapInArrow(run, "at int, p double, n long").groupBy("at").agg((F.sum("p") / F.sum("n")).alias("p")).toArrow()
     if not got.num_rows:
         return model.params
     flat = np.zeros(sum(x.size for x in model.params.values()))
@@ -458,57 +506,50 @@ def lm_scores(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("train", ~held)
     counts = written(word_counts(rows.select("text", "train")), "counts")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    model, units = fit(rows.select("text", "train"), counts, path)
+    units, top = dictionary(counts, path)
     known = counts.orderBy(F.desc("c"), "word").limit(KNOWN).toArrow()  # a fixed bound
     outside = counts.join(counts.orderBy(F.desc("c"), "word").limit(DICTIONARY).select("word"), "word", "left_anti").filter(F.col("word") != int(END))
     tail = outside.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("once")).first()
     recall = float(np.clip(1 - tail.once / max(tail.n, 1), 0.02, 0.98)) if tail.n else 0.02
     tail_size = float(max(tail.n + tail.v, 1))
     by = np.argsort(known["word"].to_numpy().view(np.uint64))
-    sent = docs.sparkSession.sparkContext.broadcast((model, units, known["word"].to_numpy().view(np.uint64)[by], known["c"].to_numpy()[by]))
     spread = float(total.n + total.v + 1)
-    memo: dict[int, np.ndarray] = {}
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "id", "text", "train")
+    spelled = spelled_table(numbered, units, known["word"].to_numpy().view(np.uint64)[by], known["c"].to_numpy()[by], spread, tail_size)
+    spelled = written(spelled, "spelled")  # the row numbers are fixed from here on
+    model = fit(spelled.filter("train").select("row", "units"), units, top)
+    sent = docs.sparkSession.sparkContext.broadcast((model, units))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        model, units, known, c = sent.value
-        words = Words(batch.column("text"))
-        n = words.counts()
-        u, per = units.spell(words, np.arange(len(words.hash)), memo)
-        done = np.concatenate([[0], np.cumsum(per)])
-        lens = np.diff(done[words.first]) + 1
-        ends = np.cumsum(lens) - 1
-        full = np.empty(int(lens.sum()), np.int64)
-        inner = np.ones(len(full), bool)
-        inner[ends] = False
-        full[inner], full[ends] = u, units.end
-        p, enter = score_units(model, full, lens)
-        at_end, p, enter = p[ends], p[inner], enter[inner]
-        doc = np.repeat(np.arange(len(n)), n)
-        spelled = u[done[:-1]] >= units.size
-        of_word = np.add.reduceat(p, done[:-1]) if len(doc) else np.zeros(0)
-        enter = enter[done[:-1]]
-        # counts of the commonest words are here, those of the others come by a join
-        h, d = words.hash, doc
-        at = np.searchsorted(known, h).clip(0, max(len(known) - 1, 0))
-        hit = known[at] == h if len(known) else np.zeros(len(h), bool)
-        seen = c[at] if len(known) else np.zeros(len(h))
-        recalled = hit & spelled
-        of_word[recalled] = np.log10((1 - recall) * 10 ** of_word[recalled] + recall * 10 ** enter[recalled] * (seen[recalled] + 1) / tail_size)
-        score = at_end + np.bincount(d[hit], of_word[hit], len(n))
-        ends_known = int(c[known == END].sum()) if len(known) else 0
-        base = np.bincount(d[hit], np.log10((seen[hit] + 1) / spread), len(n)) + np.log10((ends_known + 1) / spread)
-        n_known = np.bincount(d[hit], minlength=len(n)) + (ends_known > 0)
-        rest = np.flatnonzero(~hit)
-        off = np.searchsorted(d[rest], np.arange(len(n) + 1))
+        model, units = sent.value
+        u, off = _flat_units(batch)
+        p, enter = score_units(model, u, np.diff(off))
+        ends = units.word_ends(u)
+        stop = np.flatnonzero(ends)  # of each word; a word starts where no other goes on
+        inside = u != units.end
+        start = np.ones(len(u), bool)
+        start[1:] = ends[:-1] | ~inside[:-1]
+        start = np.flatnonzero(start & inside)
+        run = np.concatenate([[0], np.cumsum(p)])
+        of_word = run[stop + 1] - run[start]
+        doc = np.searchsorted(off, start, "right") - 1
+        spelled = np.flatnonzero(u[start] >= units.size)
+        r = batch.column("recalled").flatten().to_numpy().astype(float)
+        met = spelled[r >= 0]
+        of_word[met] = np.log10((1 - recall) * 10 ** of_word[met] + recall * 10 ** enter[start[met]] * r[r >= 0])
+        here = np.ones(len(start), bool)
+        here[spelled[r < 0]] = False
+        score = p[off[1:] - 1] + np.bincount(doc[here], of_word[here], len(off) - 1)
+        rest = spelled[r < 0]
+        cut = np.searchsorted(doc[rest], np.arange(len(off)))
         return pa.record_batch(
-            [batch.column("row"), batch.column("id"), pa.array(n + 1), pa.array(n_known), pa.array(base), pa.array(score), lists(h[rest].view(np.int64), off, pa.int64()), lists(of_word[rest], off, pa.float32()), lists(enter[rest], off, pa.float32())],
+            [*(batch.column(c) for c in ("row", "id", "n_tokens", "n_known", "base")), pa.array(score), batch.column("words"), lists(of_word[rest], cut, pa.float32()), lists(enter[start[rest]], cut, pa.float32())],
             names=["row", "id", "n_tokens", "n_known", "base", "score", "words", "spelled", "enter"],
         )
 
-    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "id", "text")
-    scored = mapped(numbered, each, f"row long, id {kind}, n_tokens long, n_known long, base double, score double, words array<long>, spelled array<float>, enter array<float>")
-    scored = written(scored, "scored")  # the row numbers are fixed from here on
+    scored = mapped(spelled.drop("train"), each, f"row long, id {kind}, n_tokens long, n_known long, base double, score double, words array<long>, spelled array<float>, enter array<float>", text=None)
+    scored = written(scored, "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("words", "spelled", "enter")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.spelled").cast("double").alias("spelled"), F.col("w.enter").cast("double").alias("enter"))
     c = F.coalesce("c", F.lit(0))
     recalled = F.when(c > 0, F.lit(recall) * F.pow(F.lit(10.0), "enter") * (c + 1) / F.lit(tail_size)).otherwise(0.0)

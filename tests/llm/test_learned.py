@@ -128,12 +128,95 @@ def test_texts_without_telling_terms_are_compared_with_examples(spark):
 
 def test_language_model_counts_all_training_units(spark):
     texts = ["aa bb " * k + "zz%d qq" % k for k in range(120)] + ["", "w " * 48]
-    docs = spark.createDataFrame([(t, k % 5 > 0) for k, t in enumerate(texts)], "text string, train boolean")
+    docs = spark.createDataFrame([(i, i, t, i % 5 > 0) for i, t in enumerate(texts)], "row long, id long, text string, train boolean")
     own = [t for k, t in enumerate(texts) if k % 5 > 0]
     hashes = np.sort(Words(pa.array(["aa bb qq w"])).hash)
     units = lm_scoring.Units(hashes, np.arange(4), 4, len(lm_scoring.pieces(PATH)[1]), PATH)
     want = Counter({units.end: len(own)})
     for t in own:
-        want.update(units.spell(Words(pa.array([t])), np.arange(len(t.split())), {})[0].tolist())
-    n, _ = lm_scoring.describe(lm_scoring.training_windows(docs, units), units)
+        want.update(units.spell(Words(pa.array([t])))[0].tolist())
+    table = lm_scoring.spelled_table(docs, units, hashes, np.array([5, 4, 3, 2]), 100.0, 10.0)
+    n, _ = lm_scoring.describe(table.filter("train"), units)
     assert {int(u): int(n[u]) for u in np.flatnonzero(n)} == dict(want)
+
+
+def test_spelling_is_the_tokenizers_own():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(PATH)
+    units = lm_scoring.Units(np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, len(lm_scoring.pieces(PATH)[1]), PATH)
+    text = "Plain words, ÉCLAIR über 日本語 don't x-y_z <|endoftext|> 12,345.67"
+    u, n = units.spell(Words(pa.array([text])))
+    want = [library.encode(" " + w.decode(), add_special_tokens=False).ids if w != b"<|endoftext|>" else None for w in words(text)]
+    at = 0
+    for k, ids in zip(n, want, strict=True):
+        own = u[at : at + k]
+        assert (own % 2).tolist() == [0] * (k - 1) + [1] and (ids is None or (own // 2).tolist() == ids)
+        at += k
+    assert units.word_ends(u).sum() == len(want) and not units.word_ends(np.array([units.end]))[0]
+
+
+def small_model(n_units=60, seed=4):
+    r = np.random.default_rng(seed)
+    of = np.arange(n_units) % lm_scoring.CLASSES
+    row = np.append(r.integers(0, lm_scoring.ROWS - 1, n_units), lm_scoring.ROWS - 1)
+    share = r.uniform(1, 5, n_units)
+    mass = np.bincount(of, share, lm_scoring.CLASSES)
+    plain = r.uniform(1, 2, lm_scoring.CLASSES)
+    params = lm_scoring.fresh(np.log(plain / plain.sum()))
+    for n, x in params.items():
+        params[n] = x + r.normal(0, 0.3, x.shape).astype(np.float32)
+    return lm_scoring.Model(row, of, np.log10(share / mass[of]), plain / plain.sum(), params)
+
+
+def plain_log10(model, seq, t):
+    """log10 p of unit t of a sequence, in loops over the positions that its window holds."""
+    p, half = model.params, lm_scoring.HALF
+    start = t // half * half - half
+    x = [p["x"][model.row[-1] if k == 0 else model.row[seq[k - 1]]].astype(float) for k in range(len(seq))]
+    q = x[t] @ p["q"]
+    logits = {k: q @ (x[k] @ p["k"]) * lm_scoring.DEPTH**-0.5 + p["near"][t % half, k - start] for k in range(max(start, 0), t + 1)}
+    top = max(logits.values())
+    weight = {k: math.exp(v - top) for k, v in logits.items()}
+    h = sum(w * (x[k] @ p["v"]) for k, w in weight.items()) / sum(weight.values())
+    z = h @ p["seen"] + x[t] @ p["last"] + p["bias"]
+    z = np.exp(z - z.max())
+    c = model.of[seq[t]]
+    return math.log10((1 - lm_scoring.FLOOR) * z[c] / z.sum() + lm_scoring.FLOOR * model.share[c]) + model.log_share[seq[t]]
+
+
+def test_attention_matches_plain_loops_and_sums_to_one():
+    model, r = small_model(), np.random.default_rng(6)
+    lens = np.array([1, 15, 16, 17, 50])
+    u = r.integers(0, 60, lens.sum())
+    got, _ = lm_scoring.score_units(model, u, lens)
+    at = 0
+    for n in lens:
+        for t in range(n):
+            assert math.isclose(got[at + t], plain_log10(model, u[at : at + n], t), rel_tol=1e-4, abs_tol=1e-5)
+        at += n
+    head = u[:40]
+    total = sum(10 ** lm_scoring.score_units(model, np.append(head, k), np.array([41]))[0][-1] for k in range(60))
+    assert abs(total - 1) < 1e-3
+
+
+def test_gradients_match_differences():
+    model, r = small_model(), np.random.default_rng(7)
+    at, _ = lm_scoring.windows(np.array([40, 7]), np.array([0, 40]))
+    rows = r.integers(0, lm_scoring.ROWS, 47)
+    target = np.where(at[:, lm_scoring.HALF :] >= 0, r.integers(0, lm_scoring.CLASSES, (len(at), lm_scoring.HALF)), -1)
+    p = {n: x.astype(np.float64) for n, x in model.params.items()}
+
+    def loss(q):
+        z, _, _ = lm_scoring.attend(q, lm_scoring.tables(q), rows[at], at < 0)
+        i, j = np.nonzero(target >= 0)
+        return -z[i, j, target[i, j]].mean()
+
+    g = lm_scoring.gradients(p, rows[at], at < 0, target)
+    for n in p:
+        for _ in range(3):
+            place = tuple(r.integers(0, d) for d in p[n].shape) if n != "x" else (rows[r.integers(47)], r.integers(lm_scoring.DEPTH))
+            change = np.zeros_like(p[n])
+            change[place] = 1e-4
+            slope = (loss(p | {n: p[n] + change}) - loss(p | {n: p[n] - change})) / 2e-4
+            assert math.isclose(slope, g[n][place], rel_tol=2e-2, abs_tol=2e-5), (n, slope, g[n][place])
