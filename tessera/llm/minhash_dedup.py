@@ -151,7 +151,9 @@ def shingle_sets(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", te
         grams = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
         return pa.record_batch([batch.column("id").take(pa.array(own)), lists(grams, off, pa.int64())], names=["id", "grams"])
 
-    rows = docs.selectExpr(f"`{id_col}` AS rep", f"`{text_col}` AS text").join(classes.select("id", "rep", "d0", "d1"), "rep")
+    # only ids decide which texts go on, so that few columns travel to the texts where Spark can send them all
+    rows = docs.selectExpr(f"`{id_col}` AS rep", f"`{text_col}` AS text").join(classes.select("rep"), "rep", "left_semi")
+    rows = rows.join(classes.select("id", "rep", "d0", "d1"), "rep")
     return mapped(rows.select("id", "d0", "d1", "text"), each, "id long, grams array<long>").dropDuplicates(["id"])
 
 
