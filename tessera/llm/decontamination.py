@@ -10,8 +10,8 @@ texts are hashed once for all partitions.
 Item and window share a band if one of PERMUTATIONS minima agrees (bands of one row: with containment 0.8 the
 Jaccard similarity is at least 0.19, and the chance that no minimum of 80 agrees is under 1e-7).  Candidates
 are verified by exact containment of the item's distinct shingles in the document's: found >= percent of the
-item's.  Items of four shingles or fewer are looked up by a shingle, as at 80 % they need all of them; items of
-fewer than five words are one run of so many words.
+item's.  Items of four shingles or fewer are looked up by each of their shingles; items of fewer than five words
+are one run of so many words.
 
 Items are taken in blocks of BLOCK words at most, each broadcast to all documents: the size sent is bounded
 whatever the size of the benchmark, and no document is shuffled.
@@ -38,7 +38,7 @@ from tessera.llm.common import SHINGLE_WORDS, Words, mapped, mix
 PERMUTATIONS = 80
 PERCENT = 80
 DIRECT = 4  # items of so many shingles are looked up
-BLOCK = 1 << 18  # words of items broadcast at once: 2 MB of shingles, and as much again in minima
+BLOCK = 1 << 18  # words of items broadcast at once: 2 MB of shingles, and at most 20 MB of minima
 _SEED = 77
 
 
@@ -69,7 +69,8 @@ def prepare(ids: list, texts: list[str | None]) -> Items:
     sizes, order = [], []
     for u in sorted(set(size.tolist()) - {0}):
         own = np.flatnonzero(size == u)
-        mins = np.array([[(sets[i] * a[k] + b[k]).min() for k in range(PERMUTATIONS)] for i in own], np.uint64)
+        flat, start = np.concatenate([sets[i] for i in own]), np.cumsum([0, *(len(sets[i]) for i in own[:-1])])
+        mins = np.stack([np.minimum.reduceat(flat * a[k] + b[k], start) for k in range(PERMUTATIONS)], 1)
         by = [np.argsort(mins[:, k], kind="stable") for k in range(PERMUTATIONS)]
         sizes.append((u, own, [mins[by[k], k] for k in range(PERMUTATIONS)]))
         order.append([own[by[k]] for k in range(PERMUTATIONS)])
@@ -77,9 +78,9 @@ def prepare(ids: list, texts: list[str | None]) -> Items:
     for k in range(1, SHINGLE_WORDS + 1):
         own = np.flatnonzero((np.minimum(lengths, SHINGLE_WORDS) == k) & (n <= DIRECT))
         if len(own):
-            h = np.array([sets[i][0] for i in own], np.uint64)
+            h, item = np.concatenate([sets[i] for i in own]), np.repeat(own, [len(sets[i]) for i in own])
             by = np.argsort(h, kind="stable")
-            short.append((k, h[by], own[by]))
+            short.append((k, h[by], item[by]))
     return Items(ids, sets, lengths, sizes, order, short)
 
 

@@ -82,3 +82,34 @@ def test_deduplicated_keeps_rows_without_ids(spark):
     docs = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (None, "a b"), (None, None), (3, None)], "doc_id long, text string")
     got = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in minhash_dedup.deduplicated(docs).collect())
     assert got == [(False, 1, "a b c d e f"), (False, 3, ""), (True, 0, ""), (True, 0, "a b")]
+
+
+def test_contamination_matches_brute_force_at_any_share(spark):
+    r = __import__("random").Random(4)
+    word = lambda: "w%d" % r.randrange(300)
+    items = [(i, " ".join(word() for _ in range(r.choice([1, 3, 4, 5, 6, 8, 12, 40, 200])))) for i in range(60)]
+    docs = []
+    for i in range(80):
+        parts = [word() for _ in range(r.randrange(200))]
+        for _ in range(r.randrange(3)):
+            own = r.choice(items)[1].split()
+            for _ in range(r.choice([0, 0, 1, 2])):
+                own[r.randrange(len(own))] = "x%d" % r.randrange(99)
+            at = r.randrange(len(parts) + 1)
+            parts[at:at] = own
+        docs.append((i, " ".join(parts).upper(), "clash", 1))
+    docs.append((900, "p " * 150_000 + items[5][1], "clash", 1))  # a very long text
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string, item_id string, n_found int"), spark.createDataFrame(items, "item_id long, text string")
+    for percent in (80, 50):
+        want = set()
+        for i, t, *_ in docs:
+            w = words(t)
+            own = shingles(t)
+            for j, x in items:
+                v = words(x)
+                s = shingles(x)
+                n = len(s & own) if len(v) >= 5 else int(any(w[k : k + len(v)] == v for k in range(len(w) - len(v) + 1)))
+                if 100 * n >= percent * len(s):
+                    want.add((i, j, n, len(s)))
+        got = {(g.id, g.item_id, g.n_found, g.n_item) for g in decontamination.contamination(df, bench, percent=percent, block=300).collect()}
+        assert got == want and len(want) > 40
