@@ -1,4 +1,4 @@
-"""Connected components of an edge table: least label of the neighbourhood, until nothing changes."""
+"""Connected components of an edge table by contraction: each round joins every node to its least neighbour and keeps the edges between groups."""
 
 from __future__ import annotations
 
@@ -9,28 +9,52 @@ from pyspark.sql import functions as F
 
 
 def cut_lineage(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """A checkpoint in the folder that the cluster names; a temporary one only where none is named, as in tests."""
+    """A checkpoint in the folder that the cluster names; a temporary one only on a local master, as in tests."""
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="tessera-checkpoint-"))
     return df.checkpoint()
 
 
-def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
+def connected_components(edges: DataFrame, left: str, right: str, rounds: int = 50) -> DataFrame:
     """(node, component): component is the least node that can be reached.
 
-    Each round joins every node to its neighbours' least label and then to that label's own label, so a chain
-    of n nodes takes about log n rounds.  Self edges name single nodes; null ends are ignored.
+    In a round each node points at the least of itself and its neighbours, which makes trees; a node's label is then
+    where its own label points.  Edges are renamed by these labels, and those within a group are dropped with
+    their nodes, so that later rounds see only what still grows together; at least half of the nodes that are left
+    go in each round.  The labels of the rounds, which shrink alike, are followed back in the end.
+    Self edges name single nodes; null ends are ignored.
     """
     spark = edges.sparkSession
     pairs = edges.select(F.col(left).alias("a"), F.col(right).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
-    both = cut_lineage(spark, pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut_lineage(spark, both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")))
-    while True:
-        seen = both.join(labels.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        stepped = labels.join(seen, "a").select("a", F.least("label", "near").alias("step"), F.col("label").alias("old"))
-        jump = labels.select(F.col("a").alias("step"), F.col("label").alias("further"))
-        new = cut_lineage(spark, stepped.join(jump, "step").select("a", F.least("step", "further").alias("label"), "old"))
-        changed = not new.filter("label <> old").isEmpty()
-        labels = new.drop("old")
-        if not changed:
-            return labels.select(F.col("a").alias("node"), F.col("label").alias("component"))
+    nodes = cut_lineage(spark, pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
+    live = cut_lineage(spark, pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    steps: list[DataFrame] = []
+    for _ in range(rounds):
+        if live.isEmpty():
+            break
+        both = live.unionByName(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        point = cut_lineage(spark, both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("to")))
+        # a chain of pointers is followed to its end by doubling; pointers fall, so it has one
+        while True:
+            onward = point.join(point.select(F.col("a").alias("to"), F.col("to").alias("far")), "to").select("a", "to", "far")
+            further = cut_lineage(spark, onward.select("a", F.col("far").alias("to"), (F.col("far") != F.col("to")).alias("moved")))
+            point = further.select("a", "to")
+            if further.filter("moved").isEmpty():
+                break
+        steps.append(point)
+        renamed = live.join(point.withColumnRenamed("to", "x"), "a").join(point.select(F.col("a").alias("b"), F.col("to").alias("y")), "b")
+        live = cut_lineage(spark, renamed.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    else:
+        raise RuntimeError(f"components still grew together after {rounds} rounds")
+    labels = None
+    for point in reversed(steps):  # from the last and smallest round back
+        if labels is not None:
+            point = point.join(labels.select(F.col("a").alias("to"), F.col("to").alias("end")), "to", "left").select("a", F.coalesce("end", "to").alias("to"))
+        labels = point
+    if labels is None:
+        return nodes.select("node", F.col("node").alias("component"))
+    labels = cut_lineage(spark, labels)
+    return nodes.join(labels.select(F.col("a").alias("node"), "to"), "node", "left").select("node", F.coalesce("to", "node").alias("component"))

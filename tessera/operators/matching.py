@@ -8,13 +8,14 @@ of strings), lon, lat, pension (boolean).  Nulls and empty arrays match nothing.
 from __future__ import annotations
 
 import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.geo import haversine_m
 from tessera.functions.text import indel_similarity
-from tessera.operators.graph import connected_components
+from tessera.operators.graph import connected_components, cut_lineage
 
 NEAR_M, NEAR_NAME = 30, 0.80
 LON_STEP = NEAR_M / (111_000 * math.cos(math.radians(39)))  # at least 30 m anywhere within 33..39 N
@@ -142,16 +143,22 @@ def merge_in_order(rows: pd.DataFrame) -> pd.DataFrame:
 def merged(records: DataFrame, decided: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(key, facility) of every record, and the blocked merges (left_key, right_key).
 
-    Components of pairs that may merge are small, for each merge is a human ruling or an exact identity.
+    Where no decision of another kind lies inside a component of merges, all of it is one facility, whatever its size.
+    Only components with such a decision are merged in order, each in one task; a conflict inside makes a person look at it,
+    so these stay as small as what people rule on.
     """
-    merges = decided.filter("decision = 'auto_merge'")
-    parts = connected_components(merges, "left_key", "right_key")
+    merges = decided.filter("decision = 'auto_merge'").select("left_key", "right_key")
+    parts = cut_lineage(decided.sparkSession, connected_components(merges, "left_key", "right_key"))
     side = lambda name: parts.select(F.col("node").alias(f"{name}_key"), F.col("component").alias(f"{name}_part"))
     inside = decided.join(side("left"), "left_key").join(side("right"), "right_key").filter("left_part = right_part")
-    out = inside.select(F.col("left_part").alias("part"), "left_key", "right_key", "decision", "phones_conflict").groupBy("part").applyInPandas(merge_in_order, "kind string, key string, other string")
-    facility = records.select("key").join(out.filter("kind = 'member'").select("key", F.col("other").alias("facility")), "key", "left")
+    inside = cut_lineage(decided.sparkSession, inside.select(F.col("left_part").alias("part"), "left_key", "right_key", "decision", "phones_conflict"))
+    torn = inside.filter("decision IN ('review', 'separate') OR phones_conflict").select("part").distinct()
+    out = inside.join(torn, "part", "left_semi").groupBy("part").applyInPandas(merge_in_order, "kind string, key string, other string")
+    whole = parts.join(torn.withColumnRenamed("part", "component"), "component", "left_anti").select(F.col("node").alias("key"), F.col("component").alias("facility"))
+    found = whole.unionByName(out.filter("kind = 'member'").select("key", F.col("other").alias("facility")))
+    facility = records.select("key").join(found, "key", "left").withColumn("facility", F.coalesce("facility", "key"))
     blocked = out.filter("kind = 'blocked'").select(F.col("key").alias("left_key"), F.col("other").alias("right_key"))
-    return facility.withColumn("facility", F.coalesce("facility", "key")), blocked
+    return facility, blocked
 
 
 def attach_designations(decided: DataFrame, facility: DataFrame, pensions: DataFrame) -> DataFrame:
