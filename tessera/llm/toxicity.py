@@ -43,7 +43,7 @@ K = 24
 BLOCK = 64
 COMMON = 24
 FIRST = 4
-BATCH = 256
+BATCH = 128
 SLACK = 5e-5
 _SEPARATORS = np.ones(256, bool)
 _SEPARATORS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -115,46 +115,50 @@ class Index:
         self.entry = np.repeat(np.arange(len(lens), dtype=np.int32), lens)[order]
 
     def build(self) -> None:
-        """What searching needs, from the postings' entries and counts."""
+        """What searching needs, from the postings' entries and counts; several workers share an executor's memory, so in small types and parts."""
         n, self.blocks = len(self.count), -(-len(self.count) // BLOCK)
         term = np.repeat(np.arange(len(self.df), dtype=np.int32), self.df)
         w = 1 + np.log(self.tf)
-        w *= np.repeat(self.idf, self.df)
+        w *= self.idf[term]
         w /= np.sqrt(np.bincount(self.entry, w * w, n))[self.entry]
         # common lists: weights and block maxima as dense blocks
         common = np.flatnonzero(self.df * COMMON >= max(n, 1))
         self.place = np.full(len(self.df), -1, np.int32)
         self.place[common] = np.arange(len(common))
-        of = self.place[term]
-        hit = np.flatnonzero(of >= 0)
+        often = np.repeat(self.place >= 0, self.df)
+        hit = np.flatnonzero(often)
         self.dense = np.zeros((self.blocks, len(common), BLOCK), np.float32)
-        self.dense[self.entry[hit] // BLOCK, of[hit], self.entry[hit] % BLOCK] = w[hit]
+        self.dense[self.entry[hit] // BLOCK, self.place[term[hit]], self.entry[hit] % BLOCK] = w[hit]
+        del hit
         self.most = np.ascontiguousarray(self.dense.max(2).T) if self.blocks else np.zeros((len(common), 0), np.float32)
         # the other lists as they are
-        rare = np.flatnonzero(of < 0)
-        self.rare_entry, self.rare_weight = self.entry[rare], w[rare].astype(np.float32)
-        size = np.where(self.place < 0, self.df, 0)
-        self.rare_start = np.concatenate([[0], np.cumsum(size)])
-        del of, hit, rare
+        self.rare_entry, self.rare_weight = self.entry[~often], w[~often].astype(np.float32)
+        del often
+        self.rare_start = np.concatenate([[0], np.cumsum(np.where(self.place < 0, self.df, 0))])
         # the terms of each entry, to confirm by
-        order = np.argsort(self.entry, kind="stable")
-        self.own_term, self.own_weight = term[order], w[order]
-        self.own_start = np.searchsorted(self.entry[order], np.arange(n + 1))
+        self.own_start = np.concatenate([[0], np.cumsum(np.bincount(self.entry, minlength=n))])
+        self.own_term, self.own_weight = np.empty(len(w), np.int32), np.empty(len(w))
+        for at in range(0, n, 2048):
+            part = np.flatnonzero((self.entry >= at) & (self.entry < at + 2048))
+            part = part[np.argsort(self.entry[part], kind="stable")]
+            to = slice(self.own_start[at], self.own_start[at] + len(part))
+            self.own_term[to], self.own_weight[to] = term[part], w[part]
         self.room, self.query = (np.empty(0, np.int64), np.empty(0)), np.zeros(len(self.df))
 
     def __getstate__(self) -> dict:
         """Small, for each executor keeps its copy on disk: what build() makes is made again."""
         state = {k: self.__dict__[k] for k in self.__dataclass_fields__}
-        if len(self.count) <= 1 << 16:
-            state["entry"] = self.entry.astype(np.uint16)
-        packed = {k: (str(v.dtype), zlib.compress(v.tobytes(), 1)) for k, v in state.items() if k in ("entry", "tf", "df")}
+        for k in ("entry", "tf"):
+            if not len(state[k]) or state[k].max() < 1 << 16:
+                state[k] = state[k].astype(np.uint16)
+        packed = {k: (str(state[k].dtype), zlib.compress(state[k].tobytes(), 1)) for k in ("entry", "tf", "df")}
         return state | packed
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
         for k in ("entry", "tf", "df"):
             kind, data = state[k]
-            setattr(self, k, np.frombuffer(zlib.decompress(data), kind).astype(np.int64 if k == "df" else np.int32))
+            setattr(self, k, np.frombuffer(zlib.decompress(data), kind))
         self.build()
         self.entry = self.tf = np.zeros(0, np.int32)  # searching needs them no more
 
