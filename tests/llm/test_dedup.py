@@ -219,3 +219,16 @@ def test_patience_aligns_moved_and_repeated_lines():
     assert line_dedup.patience(a, b) == [(1, 1, 2), (4, 4, 2)]
     assert line_dedup.patience(a, a) == [(0, 0, 6)]
     assert line_dedup.patience(a, b[:0]) == []
+
+
+def test_very_long_near_duplicates(spark):
+    r = random.Random(12)
+    w = ["v%d" % r.randrange(10**6) for _ in range(60_000)]
+    v = list(w)
+    for k in range(0, 60_000, 400):
+        v[k] = "other"
+    texts = [(1, " ".join(w)), (2, " ".join(v)), (3, " ".join(w[:30_000]))]
+    got = sorted((x.id, x.n_shingles, x.component_id) for x in minhash_dedup.near_duplicates(spark.createDataFrame(rows(texts), SCHEMA), percent=85).collect())
+    sets = {i: shingles(t) for i, t in texts}
+    assert len(sets[1] & sets[2]) >= 0.85 * len(sets[1] | sets[2])
+    assert got == [(1, len(sets[1]), 1), (2, len(sets[2]), 1), (3, len(sets[3]), 3)]

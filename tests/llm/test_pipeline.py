@@ -113,3 +113,12 @@ def test_contamination_matches_brute_force_at_any_share(spark):
                     want.add((i, j, n, len(s)))
         got = {(g.id, g.item_id, g.n_found, g.n_item) for g in decontamination.contamination(df, bench, percent=percent, block=300).collect()}
         assert got == want and len(want) > 40
+
+
+def test_mix_with_clashing_columns(spark):
+    rows = [(i, "a b c", "s%d" % (i % 2), 9, "x", 1.5, i) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int, target string, rate double, row int")
+    plan = mixing.mixing_plan(docs).collect()
+    assert len(plan) == 50 and all(r.size == 3 and r.source_size == 75 for r in plan)
+    got = mixing.mix(docs).collect()
+    assert all(r.row == r.doc_id and r.text == "a b c" for r in got) and len(got) == sum(r.copies for r in plan)
