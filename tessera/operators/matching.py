@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tessera.functions.geo import haversine_m
 from tessera.functions.text import indel_similarity
 from tessera.operators.graph import connected_components, cut_lineage
+from tessera.operators.latest import latest
 
 NEAR_M, NEAR_NAME = 30, 0.80
 LON_STEP = NEAR_M / (111_000 * math.cos(math.radians(39)))  # at least 30 m anywhere within 33..39 N
@@ -108,6 +109,12 @@ def decide(scored: DataFrame) -> DataFrame:
     return scored.withColumn("decision", ladder)
 
 
+def latest_rulings(rulings: DataFrame, newest: list[Column]) -> DataFrame:
+    """One ruling a pair, in key order whichever way it was written: the first by `newest`."""
+    low, high = F.least("left_key", "right_key"), F.greatest("left_key", "right_key")
+    return latest(rulings.withColumns({"_l": low, "_r": high}).drop("left_key", "right_key").withColumnsRenamed({"_l": "left_key", "_r": "right_key"}), ["left_key", "right_key"], newest)
+
+
 def adjudicate(decided: DataFrame, rulings: DataFrame | None = None, calibrated: bool = False) -> DataFrame:
     """A ruling (left_key, right_key, ruling: merge or separate) replaces the decision; otherwise an uncalibrated auto_merge is for review."""
     own = F.when((F.col("decision") == "auto_merge") & F.lit(not calibrated), "review").otherwise(F.col("decision"))

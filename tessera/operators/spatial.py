@@ -162,6 +162,15 @@ def grid_cells(polygons: DataFrame) -> DataFrame:
     )
 
 
+def grid_problems(cells: DataFrame, expected: DataFrame, least: float = 1e-9) -> DataFrame:
+    """(problem, district) of a grid: the cells' areas of each district must make up the area it should have (district, area), none more, none less."""
+    got = cells.groupBy("district").agg(F.sum("inside_area").alias("covered"))
+    both = expected.join(got, "district", "full_outer")
+    share = F.coalesce(F.col("covered"), F.lit(0.0)) / F.col("area")
+    kind = F.when(F.col("area").isNull(), "unknown_district").when(F.abs(share - 1) > least, "area_differs")
+    return both.select(kind.alias("problem"), "district").filter("problem IS NOT NULL")
+
+
 def points_in(points: DataFrame, polygons: DataFrame, cell: float = CELL_M) -> DataFrame:
     """Points (any columns, x, y) with the polygons (name, rings) that cover them, by way of the cells of each polygon's box."""
     flat = F.flatten("rings")

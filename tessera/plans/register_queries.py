@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import parsing
 from tessera.operators import aggregates as agg
-from tessera.operators import latest, quality, spatial
+from tessera.operators import latest, matching, quality, spatial
 from tessera.plans import marts, normalise
 from tessera.plans.queries import FACILITIES, districts, facilities, pick, query, rounded, sql_pick, table
 
@@ -192,6 +192,62 @@ def latest_complete_buildings(spark, d):
     return latest.latest_snapshot(snapshots.filter("day < DATE '1997-01-01'"), ["o_custkey"], [F.desc("day"), F.desc("o_orderkey")], seen, ["o_orderkey"]).drop("day")
 
 
+@query("""
+WITH c AS (SELECT o_custkey, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
+SELECT o_custkey, o_orderkey, l_linenumber, l_partkey FROM c JOIN lineitem ON l_orderkey = o_orderkey QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY l_shipdate DESC, l_linenumber DESC) = 1
+""")
+def component_then_snapshot(spark, d):
+    component = latest.latest(table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate"), ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")])
+    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_shipdate")
+    return latest.latest(component.join(lines, "o_orderkey"), ["o_custkey"], [F.desc("l_shipdate"), F.desc("l_linenumber")]).select("o_custkey", "o_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("""
+SELECT least(l_partkey, l_suppkey) AS left_key, greatest(l_partkey, l_suppkey) AS right_key, l_returnflag AS ruling FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY least(l_partkey, l_suppkey), greatest(l_partkey, l_suppkey) ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) = 1
+""")
+def latest_rulings(spark, d):
+    rulings = table(spark, d, "lineitem").select(F.col("l_partkey").alias("left_key"), F.col("l_suppkey").alias("right_key"), F.col("l_returnflag").alias("ruling"), "l_shipdate", "l_orderkey", "l_linenumber")
+    return matching.latest_rulings(rulings, [F.desc("l_shipdate"), F.desc("l_orderkey"), F.desc("l_linenumber")]).select("left_key", "right_key", "ruling")
+
+
+@query(f"""
+{LICENCE_SQL} SELECT o_custkey, o_orderkey, lot_address FROM (SELECT l.*, o.o_custkey FROM licences l JOIN orders o USING (o_orderkey)) WHERE lot_address IS NOT NULL AND region_quality = 'resolved'
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY observed_on DESC, o_orderkey DESC) = 1
+""")
+def latest_eligible_address(spark, d):
+    ids = licence_rows(spark, d).join(table(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
+    rows = ids.select("source_id", F.struct("o_custkey", "o_orderkey", "observed_on").alias("of"), "row")
+    fit = normalise.licences(rows, "of").filter("lot_address IS NOT NULL AND region_quality = 'resolved'").select("observed_on.*", "lot_address")
+    return latest.latest(fit, ["o_custkey"], [F.desc("observed_on"), F.desc("o_orderkey")]).select("o_custkey", "o_orderkey", "lot_address")
+
+
+@query("""
+SELECT user_id, event_type IN ('purchase', 'signup') AS designated, ts::DATE AS since FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+""")
+def designation_state(spark, d):
+    e = latest.latest(table(spark, d, "events").select("user_id", "event_type", "ts", "event_id"), ["user_id"], [F.desc("ts"), F.desc("event_id")])
+    return e.select("user_id", F.col("event_type").isin("purchase", "signup").alias("designated"), F.to_date("ts").alias("since"))
+
+
+@query(f"""
+{LICENCE_SQL}, s AS (SELECT count(*)::DOUBLE AS n, count(*) FILTER (source_record_id IS NULL)::DOUBLE AS bare, count(*) FILTER (license_date_quality = 'parsed')::DOUBLE AS dated, count(*) FILTER (region_quality = 'resolved') / count(*) AS linked, (count(*) - count(DISTINCT coalesce(source_record_id, '-') )) / count(*) AS doubled FROM licences)
+SELECT 'run_inputs_present' AS check_name, CASE WHEN n >= 1 THEN 'pass' ELSE 'fail' END AS status, n AS actual, '>=1' AS expected, 'required' AS severity FROM s
+UNION ALL SELECT 'required_record_structure', CASE WHEN bare <= 0 THEN 'pass' ELSE 'fail' END, bare, '<=0', 'required' FROM s UNION ALL SELECT 'date_parse_success', CASE WHEN dated >= 1 THEN 'pass' ELSE 'fail' END, dated, '>=1', 'required' FROM s
+UNION ALL SELECT 'building_link_coverage', CASE WHEN linked >= 0.7 THEN 'pass' ELSE 'fail' END, round(linked, 6), '>=0.7', 'warning' FROM s UNION ALL SELECT 'unresolved_duplicates', CASE WHEN doubled <= 0.1 THEN 'pass' ELSE 'fail' END, round(doubled, 6), '<=0.1', 'warning' FROM s
+""")
+def gate_checks(spark, d):
+    n = F.count(F.lit(1))
+    checks = [
+        quality.Check("run_inputs_present", n, least=1),
+        quality.Check("required_record_structure", F.count_if(F.col("source_record_id").isNull()), most=0),
+        quality.Check("date_parse_success", F.count_if(F.col("license_date_quality") == "parsed"), least=1),
+        quality.Check("building_link_coverage", agg.share(F.col("region_quality") == "resolved"), least=0.7, severity="warning"),
+        quality.Check("unresolved_duplicates", (n - F.count_distinct(F.coalesce("source_record_id", F.lit("-")))) / n, most=0.1, severity="warning"),
+    ]
+    return rounded(quality.run_checks(normalise.licences(licence_rows(spark, d)), checks))
+
+
 # -- demand and transport ----------------------------------------------------
 
 SOURCES = ["tourism_data_lab", "area_tourism_demand", "area_tourism_consumption", "tourism_concentration_rate", "area_tourism_destination_division", "unknown"]

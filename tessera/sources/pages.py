@@ -45,10 +45,11 @@ def exploded(pages: DataFrame, keep: list[str]) -> DataFrame:
     return pages.select(*keep, F.explode("rows").alias("row"))
 
 
-def source_state(http_status: Column, result_code: Column, total: Column) -> Column:
-    """What a probe of a source says."""
+def source_state(http_status: Column, result_code: Column, total: Column, resolved: Column | None = None) -> Column:
+    """What a probe of a source says; resolved: whether its address is known at all."""
     return (
-        F.when(result_code.isin(*AUTH_CODES) | http_status.isin(401, 403), "AUTH_FAILED")
+        F.when(F.lit(False) if resolved is None else ~F.coalesce(resolved, F.lit(False)), "SPEC_UNRESOLVED")
+        .when(result_code.isin(*AUTH_CODES) | http_status.isin(401, 403), "AUTH_FAILED")
         .when(result_code.isin(*QUOTA_CODES) | (http_status == 429), "QUOTA_EXCEEDED")
         .when(http_status != 200, "HTTP_FAILED")
         .when(total.isNull(), "SCHEMA_CHANGED")

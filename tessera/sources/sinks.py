@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.aggregates import table_digest
 from tessera.operators.latest import latest
+from tessera.operators.quality import suite_hash
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -81,6 +82,29 @@ def redacted_json(text: Column) -> Column:
     return text
 
 
+def checked_artifacts(spark: SparkSession, path: str, body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """(sound, quarantined) raw bodies: a body whose SHA-256 or size isn't what was recorded is set apart with the reason."""
+    stored = spark.read.parquet(path)
+    actual = F.sha2(F.col(body).cast("binary"), 256)
+    reason = F.when(~actual.eqNullSafe(F.col("content_hash")), "hash_mismatch").when(~F.octet_length(body).eqNullSafe(F.col("n_bytes")), "size_mismatch")
+    judged = stored.withColumn("reason", reason)
+    return judged.filter("reason IS NULL").drop("reason"), judged.filter("reason IS NOT NULL")
+
+
+def export_spatial(cells: DataFrame, facilities: DataFrame, folder: str, cell_geometry: str = "geometry") -> DataFrame:
+    """The bundle of a spatial run: cells and facilities as GeoJSON features and CSV, cells as Parquet, then the manifest.
+
+    facilities: with lon and lat, published to nine decimals.  Features are one a line, for a collection in one line would
+    pass through one task.
+    """
+    lon, lat = (F.round(c, 9) for c in ("lon", "lat"))
+    point = F.concat(F.lit('{"type":"Point","coordinates":['), lon, F.lit(","), lat, F.lit("]}"))
+    parts = {"cells": (cells, F.col(cell_geometry), [c for c in cells.columns if c != cell_geometry]), "facilities": (facilities, point, [c for c in facilities.columns if c not in ("lon", "lat")])}
+    for name, (df, geometry, properties) in parts.items():
+        geojson_features(df.withColumn("_geometry", geometry), "_geometry", properties).write.text(f"{folder}/{name}.geojsonl")
+    return export({name: df.select(*properties) for name, (df, _, properties) in parts.items()}, folder)
+
+
 def export(tables: dict[str, DataFrame], folder: str) -> DataFrame:
     """Parquet and CSV of each table, then the manifest (name, n_rows, digest), written last so that it marks a whole export."""
     manifest = None
@@ -110,14 +134,17 @@ def geojson_features(df: DataFrame, geometry: str, properties: Sequence[str]) ->
     return df.select(body.alias("value"))
 
 
-def publish(spark: SparkSession, path: str, run_id: str, as_of: str, gate: DataFrame, reason: str | None = None) -> None:
+def publish(spark: SparkSession, path: str, run_id: str, as_of: str, gate: DataFrame, reason: str | None = None, suite: tuple[DataFrame, str] | None = None) -> None:
     """Appends to the publication log if the gate lets the run pass; an older date than the current one needs a reason.
 
+    suite: the checks as they are now, and the hash under which they were recorded; checks that changed since block the run.
     The current run is the newest entry.  Two publishers at the same time aren't kept apart: that needs a table format
     with transactions.
     """
     if not gate.first().publishable:
         raise ValueError(f"run {run_id} is blocked by its quality gate")
+    if suite is not None and suite_hash(suite[0]).first().suite_hash != suite[1]:
+        raise ValueError(f"the checks of run {run_id} are not those that were recorded")
     n = 0
     if exists(spark, path):
         now = spark.read.parquet(path).orderBy(F.desc("sequence")).first()

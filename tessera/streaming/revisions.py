@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.latest import latest
+from tessera.operators.latest import latest, visible
 
 
 def once(stream: DataFrame, keys: Sequence[str], event_time: str, lateness: str) -> DataFrame:
@@ -34,3 +34,8 @@ def upsert_latest(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[
 
 def current(df: DataFrame, keys: Sequence[str], newest: Sequence[Column]) -> DataFrame:
     return latest(df, keys, newest).drop("batch")
+
+
+def visible_stream(stream: DataFrame, event_time: str, as_of: str | None, lateness: str) -> DataFrame:
+    """The stream up to a cutoff of business time, under a watermark: what is dated later never counts, whenever it arrives."""
+    return visible(stream, event_time, as_of).withWatermark(event_time, lateness)

@@ -206,6 +206,12 @@ def test_grid_cells_share_the_area_of_polygons(spark):
     assert cells == {"g5174_500_0_0": ("01", 240000.0), "g5174_500_1_0": ("01", 250000.0), "g5174_500_2_0": ("01", 250000.0), "g5174_500_3_0": ("02", 250000.0), "g5174_500_0_1": ("01", 100000.0), "g5174_500_1_1": ("01", 100000.0), "g5174_500_2_1": ("01", 100000.0), "g5174_500_3_1": ("02", 100000.0), "g5174_500_0_2": ("03", 125000.0)}
 
 
+def test_grid_areas_make_up_the_districts(spark):
+    cells = spark.createDataFrame([("a", 10.0), ("a", 5.0), ("b", 1.0), ("c", 1.0)], "district string, inside_area double")
+    expected = spark.createDataFrame([("a", 15.0), ("b", 2.0), ("d", 1.0)], "district string, area double")
+    assert sorted(tuple(r) for r in spatial.grid_problems(cells, expected).collect()) == [("area_differs", "b"), ("area_differs", "d"), ("unknown_district", "c")]
+
+
 def test_points_in_polygons_edges_and_holes(spark):
     rings = [ring([(0, 0), (1000, 0), (1000, 1000), (0, 1000)]), ring([(400, 400), (600, 400), (600, 600), (400, 600)])]
     polygons = spark.createDataFrame([("p", rings), ("q", [ring([(900, 900), (2000, 900), (1450, 2000)])])], f"name string, rings {spatial.RING}")
@@ -234,6 +240,10 @@ def test_streams_drop_replays_and_keep_late_corrections(spark, tmp_path):
     assert run() == {1: 2.0, 2: 5.0}
     arrive([(1, 1, 9.0, 3), (2, 7, 6.0, 1)])  # an old revision that comes late changes nothing, a newer one does
     assert run() == {1: 2.0, 2: 6.0} == run()
+    seen = revisions.visible_stream(spark.readStream.schema(schema).parquet(source), "ts", "2024-01-01 12:00:00", "1 day")
+    q = seen.writeStream.format("memory").queryName("seen_rows").option("checkpointLocation", f"{tmp_path}/c1").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted((r.k, r.rev) for r in spark.table("seen_rows").collect()) == [(1, 1), (2, 1), (2, 7)]
     arrive([(1, 2, 2.0, 2)])
     stream = revisions.once(spark.readStream.schema(schema).parquet(source), ["k", "rev"], "ts", "60 days")
     q = stream.writeStream.format("memory").queryName("once_rows").option("checkpointLocation", f"{tmp_path}/c2").trigger(availableNow=True).start()

@@ -30,6 +30,7 @@ def test_probe_states_and_newest_catalogue(spark):
     cases = [(200, None, 5, "READY"), (200, None, 0, "EMPTY"), (200, "30", 5, "AUTH_FAILED"), (200, "22", 5, "QUOTA_EXCEEDED"), (429, None, None, "QUOTA_EXCEEDED"), (500, None, None, "HTTP_FAILED"), (200, None, None, "SCHEMA_CHANGED")]
     df = spark.createDataFrame(cases, "http int, code string, total long, want string")
     assert df.filter(pages.source_state(F.col("http"), F.col("code"), F.col("total")) != F.col("want")).count() == 0
+    assert df.filter(pages.source_state(F.col("http"), F.col("code"), F.col("total"), F.lit(False)) != "SPEC_UNRESOLVED").count() == 0
     rows = [("d", "2024-01-01", "u1"), ("d", "2024-02-01", "u0"), ("d", "2024-02-01", "u3"), ("d", None, "u9"), ("e", None, "x"), ("e", None, "y")]
     df = spark.createDataFrame(rows, "name string, day string, uddi string").select("name", F.col("day").cast("date").alias("data_as_of"), "uddi")
     assert {r.name: r.uddi for r in pages.newest_catalogue(df, "name").select(F.col("name"), "uddi").collect()} == {"d": "u3", "e": "y"}
@@ -105,6 +106,10 @@ def test_sinks_are_idempotent(spark, tmp_path):
         sinks.write_artifacts(raw, f"file://{tmp_path}/a")
     stored = spark.read.parquet(f"file://{tmp_path}/a").collect()
     assert len(stored) == 2 and {r.n_bytes for r in stored} == {4}
+    bad = spark.createDataFrame([("s", "2024-01-03", "b0dy", stored[0].content_hash, 4)], "source_id string, ingest_date string, body string, content_hash string, n_bytes long")
+    bad.write.mode("append").partitionBy("source_id", "ingest_date").parquet(f"file://{tmp_path}/a")
+    sound, quarantined = sinks.checked_artifacts(spark, f"file://{tmp_path}/a")
+    assert sound.count() == 2 and [(r.body, r.reason) for r in quarantined.collect()] == [("b0dy", "hash_mismatch")]
 
 
 def test_redaction_at_any_depth(spark):
@@ -134,6 +139,20 @@ def test_publication_log(spark, tmp_path):
         sinks.publish(spark, at, "r3", "2024-03-31", gate(False))
     with pytest.raises(ValueError):
         sinks.publish(spark, at, "r0", "2023-12-31", gate(True))
+    checks = spark.createDataFrame([("a", "pass", 1.0, "", "required")], "check_name string, status string, actual double, expected string, severity string")
+    with pytest.raises(ValueError):
+        sinks.publish(spark, at, "r4", "2024-04-30", gate(True), suite=(checks, "another hash"))
     assert sinks.current_run(spark, at).first().run_id == "r2"
     sinks.publish(spark, at, "r0", "2023-12-31", gate(True), reason="rollback")
     assert sinks.current_run(spark, at).first().run_id == "r0"
+
+
+def test_spatial_bundle(spark, tmp_path):
+    cells = spark.createDataFrame([("g1", "d", '{"type":"Polygon","coordinates":[]}'), ("g2", None, '{"type":"Polygon","coordinates":[]}')], "grid_id string, district string, geometry string")
+    places = spark.createDataFrame([("f1", 129.1234567891, 35.0)], "facility_id string, lon double, lat double")
+    folder = f"file://{tmp_path}/s"
+    manifest = {r["name"]: r.n_rows for r in sinks.export_spatial(cells, places, folder).collect()}
+    assert manifest == {"cells": 2, "facilities": 1}
+    point = json.loads(spark.read.text(f"{folder}/facilities.geojsonl").first().value)
+    assert point["geometry"]["coordinates"] == [129.123456789, 35.0] and point["properties"] == {"facility_id": "f1"}
+    assert {r["name"]: r.status for r in sinks.verify_export(spark, folder).collect()} == {"cells": "pass", "facilities": "pass"}
