@@ -192,13 +192,13 @@ def lists(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Arra
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values, kind))
 
 
-def mapped(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch | list], schema: str, text: str | None = "text") -> DataFrame:
-    """mapInArrow with slices of bounded text size."""
+def mapped(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch | list], schema: str, text: str | None = "text", limit: int | None = None) -> DataFrame:
+    """mapInArrow with slices of bounded text size, or of so many rows where there is no text; limit: in bytes or rows."""
 
     def run(batches):
         with np.errstate(over="ignore"):
             for batch in batches:
-                for part in text_slices(batch, text) if text else row_slices(batch):
+                for part in text_slices(batch, text, limit or 4 << 20) if text else row_slices(batch, limit or 2048):
                     out = each(part)
                     yield from out if isinstance(out, list) else [out]
 

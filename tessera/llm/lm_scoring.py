@@ -45,14 +45,14 @@ from tessera.llm.toxicity import remainder
 
 DICTIONARY = 1 << 15
 KNOWN = 1 << 17
-WORD_CLASSES, FIRST_CLASSES, INNER_CLASSES = 28, 10, 9  # the last of each holds the units seen once or not at all
+WORD_CLASSES, FIRST_CLASSES, INNER_CLASSES = 18, 7, 6  # the last of each holds the units seen once or not at all
 CLASSES = WORD_CLASSES + FIRST_CLASSES + INNER_CLASSES + 1  # and the end
 FIRST = slice(WORD_CLASSES, WORD_CLASSES + FIRST_CLASSES)
-HALF = 16
+HALF = 12
 DEPTH = 16
 ROWS = 4096  # of the table of input vectors: the commonest units have their own, others share by hash
 OWN_ROWS = 3072
-SEQUENCE = 64  # units of a text that training takes in one go, with nothing from before
+SEQUENCE = 60  # units of a text that training takes in one go, with nothing from before
 PART = 1 << 19  # units trained on at a time in a task, which bounds its memory
 ROUNDS = 3
 STEPS = 400  # of Adam in a round, which a small share reaches by being gone over again, at most AGAIN times
@@ -62,6 +62,8 @@ FLOOR = 0.1  # weight of the context-free class shares in the prediction
 BATCH = 128
 COMPANY = 8  # numbers that describe the company of a unit
 END = np.uint64(0)  # stands for the end token among word hashes
+SLICE = 1 << 20  # bytes of text that a worker has in hand
+ROWS_AT_ONCE = 512  # spelled texts
 SPELLED_AT_ONCE = 8192  # words given to the tokenizer
 
 
@@ -138,7 +140,7 @@ class Units:
             inner = np.arange(len(text)) - np.repeat(to, size)
             own = inner > 0
             text[own] = LOW[words.data[(np.repeat(start, size) + inner - 1)[own]]]
-            ids = np.array(tokenizer.encode(text.tobytes().decode(), add_special_tokens=False).ids)
+            ids = np.array(tokenizer.encode_batch_fast([text.tobytes().decode()], add_special_tokens=False)[0].ids)  # without offsets
             open_at = np.append(np.flatnonzero(opens[ids]), len(ids))
             last = np.zeros(len(ids), np.int64)
             last[open_at[1:] - 1] = 1
@@ -201,7 +203,7 @@ def spelled_table(rows: DataFrame, units: Units, known: np.ndarray, c: np.ndarra
             names=["row", "id", "train", "n_tokens", "n_known", "base", "units", "recalled", "words"],
         )
 
-    return mapped(rows, each, f"row long, id {kind}, train boolean, n_tokens long, n_known long, base double, units array<int>, recalled array<float>, words array<long>")
+    return mapped(rows, each, f"row long, id {kind}, train boolean, n_tokens long, n_known long, base double, units array<int>, recalled array<float>, words array<long>", limit=SLICE)
 
 
 def _flat_units(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -371,7 +373,7 @@ def describe(parts: DataFrame, units: Units) -> tuple[np.ndarray, np.ndarray]:
         return pa.record_batch({"unit": pa.array(unit, pa.int32()), "n": pa.array(n, pa.int64()), **{f"c{i}": pa.array(sums[:, i]) for i in range(COMPANY)}})
 
     cols = [f"c{i}" for i in range(COMPANY)]
-    got = mapped(parts.select("units"), each, "unit int, n long, " + ", ".join(f"{c} float" for c in cols), text=None)
+    got = mapped(parts.select("units"), each, "unit int, n long, " + ", ".join(f"{c} float" for c in cols), text=None, limit=ROWS_AT_ONCE)
     got = got.groupBy("unit").agg(F.sum("n").alias("n"), *[F.sum(c).cast("float").alias(c) for c in cols])
     table = got.toArrow()  # at most one row for each unit
     n, company = np.zeros(units.total, np.int64), np.zeros((units.total, COMPANY), np.float32)
@@ -548,7 +550,7 @@ def lm_scores(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             names=["row", "id", "n_tokens", "n_known", "base", "score", "words", "spelled", "enter"],
         )
 
-    scored = mapped(spelled.drop("train"), each, f"row long, id {kind}, n_tokens long, n_known long, base double, score double, words array<long>, spelled array<float>, enter array<float>", text=None)
+    scored = mapped(spelled.drop("train"), each, f"row long, id {kind}, n_tokens long, n_known long, base double, score double, words array<long>, spelled array<float>, enter array<float>", text=None, limit=ROWS_AT_ONCE)
     scored = written(scored, "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("words", "spelled", "enter")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.spelled").cast("double").alias("spelled"), F.col("w.enter").cast("double").alias("enter"))
     c = F.coalesce("c", F.lit(0))
