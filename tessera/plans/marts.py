@@ -109,18 +109,18 @@ def district_marts(facilities: DataFrame, universe: DataFrame, observed: DataFra
     return out.withColumns({c: F.when(empty, F.lit(0).cast(out.schema[c].dataType)).otherwise(F.col(c)) for c in zero}).drop("_seen")
 
 
-def period_shares(records: DataFrame) -> DataFrame:
-    """The shares of a past month, from its records (facility_id, district, source_id, record_id).
+def period_shares(records: DataFrame, keys: Sequence[str] = ("district",)) -> DataFrame:
+    """The shares of a past month by keys, from its records (keys, facility_id, source_id, record_id).
 
     Unlike the current mart these count facilities over registrations, so a facility of both kinds counts twice.
     """
-    per = records.groupBy("district", "facility_id").agg(
+    per = records.groupBy(*keys, "facility_id").agg(
         F.count_distinct("source_id", "record_id").alias("registrations"),
         F.bool_or(F.col("source_id") == "tourist_accommodations").alias("tourism"),
         F.bool_or(F.col("source_id") == "foreigner_city_homestays").alias("foreigner"),
     )
     n = F.sum("registrations")
-    return per.groupBy("district").agg(
+    return per.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("facilities"),
         n.alias("registrations"),
         share(F.col("tourism")).alias("tourism_share"),

@@ -182,6 +182,18 @@ def past_building_measures(spark, d):
     return rounded(marts.past_building_measures(linked_buildings(spark, d), facilities(spark, d), ["quarter"]))
 
 
+@query("""
+WITH r AS (SELECT c_nationkey AS district, year(o_orderdate)::INTEGER AS year, o_custkey AS facility_id, CASE o_orderstatus WHEN 'F' THEN 'tourist_accommodations' WHEN 'O' THEN 'foreigner_city_homestays' ELSE 'lodgings' END AS source_id, o_orderkey % 5 AS record_id FROM orders JOIN customer ON o_custkey = c_custkey),
+p AS (SELECT district, year, facility_id, count(DISTINCT (source_id, record_id)) AS n, bool_or(source_id = 'tourist_accommodations') AS t, bool_or(source_id = 'foreigner_city_homestays') AS f FROM r GROUP BY 1, 2, 3)
+SELECT district, year, count(*) AS facilities, sum(n)::BIGINT AS registrations, round(count(*) FILTER (t) / count(*), 6) AS tourism_share, round(count(*) FILTER (f) / sum(n), 6) AS foreigner_share, round((count(*) FILTER (f) + count(*) FILTER (t)) / sum(n), 6) AS foreign_capable_share FROM p GROUP BY 1, 2
+""")
+def historical_shares(spark, d):
+    o = table(spark, d, "orders").join(table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("district")), F.col("o_custkey") == F.col("c_custkey"))
+    status = F.col("o_orderstatus")
+    records = o.select("district", F.year("o_orderdate").alias("year"), F.col("o_custkey").alias("facility_id"), F.when(status == "F", "tourist_accommodations").when(status == "O", "foreigner_city_homestays").otherwise("lodgings").alias("source_id"), (F.col("o_orderkey") % 5).alias("record_id"))
+    return rounded(marts.period_shares(records, ["district", "year"]))
+
+
 @query("""
 WITH r AS (SELECT o_custkey, o_orderkey, o_orderdate FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01' QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate::DATE DESC, o_orderkey DESC) = 1)
 SELECT o_custkey, o_orderkey, l_partkey AS building_id FROM r LEFT JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_returnflag = 'R') ON l_orderkey = o_orderkey
@@ -404,6 +416,46 @@ def sorted_values(spark, d):
     return facilities(spark, d).filter("rooms IS NOT NULL").groupBy("district").agg(F.array_join(agg.sorted_distinct(F.col("rooms")), ",").alias("rooms"))
 
 
+YEARS = ["2024", "24x", None, "2,024"]
+MONTHS = ["1", "12", "13", "0", None, "07"]
+
+
+@query(f"""
+WITH t AS (SELECT o_orderkey, o_orderdate::DATE AS d, replace({sql_pick(YEARS, "o_orderkey")}, ',', '') AS y, {sql_pick(MONTHS, "o_orderkey")} AS m FROM orders)
+SELECT o_orderkey, (date_trunc('month', d) - INTERVAL 1 MONTH)::DATE AS last_complete, (year(d) * 12 + month(d) - 1)::INTEGER AS index, CASE WHEN TRY_CAST(y AS INTEGER) BETWEEN 1 AND 9999 AND TRY_CAST(m AS INTEGER) BETWEEN 1 AND 12 THEN make_date(y::INTEGER, m::INTEGER, 1) END AS from_columns, (o_orderkey % 14 + 1)::INTEGER AS n_months, greatest(1, ceil(o_orderkey % 40 / 9.0))::BIGINT AS pages
+FROM t
+""")
+def month_arithmetic(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"), pick(YEARS, "o_orderkey").alias("y"), pick(MONTHS, "o_orderkey").alias("m"))
+    month = F.trunc("d", "month")
+    span = F.concat(F.date_format(month, "yyyy-MM"), F.lit(".."), F.date_format(F.add_months(month, (F.col("o_orderkey") % 14).cast("int")), "yyyy-MM"))
+    return o.select("o_orderkey", parsing.last_complete_month(F.col("d")).alias("last_complete"), parsing.month_index(F.col("d")).alias("index"), parsing.year_month(F.col("y"), F.col("m")).alias("from_columns"), F.size(parsing.period_months(span)).alias("n_months"), parsing.expected_pages(F.col("o_orderkey") % 40, F.lit(9)).alias("pages"))
+
+
+PHONES = [None, "", "051-123 4567", "+82 (51) 1", "none"]
+SLUGS = ["Hello, World", "  a--b ", "", "한글 x", "A"]
+
+
+@query(f"""
+WITH t AS (SELECT o_orderkey, {sql_pick(PHONES, "o_orderkey")} AS p, {sql_pick(SLUGS, "o_orderkey")} AS s, nullif(trim(regexp_replace({sql_pick(ROADS, "o_orderkey")}, '\\s+', ' ', 'g')), '') AS a FROM orders)
+SELECT o_orderkey, nullif(regexp_replace(p, '[^0-9]', '', 'g'), '') AS phone, trim(regexp_replace(lower(s), '[^a-z0-9]+', '_', 'g'), '_') AS slug, a AS address, {CITY.format("a")} AS in_city, CASE WHEN {CITY.format("a")} THEN nullif(regexp_extract(a, '([가-힣]+(구|군))', 1), '') END AS district FROM t
+""")
+def text_keys(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", pick(PHONES, "o_orderkey").alias("p"), pick(SLUGS, "o_orderkey").alias("s"), pick(ROADS, "o_orderkey").alias("a"))
+    return o.select("o_orderkey", parsing.phone_digits(F.col("p")).alias("phone"), parsing.slug(F.col("s")).alias("slug"), parsing.address_key(F.col("a")).alias("address"), parsing.in_city(F.col("a")).alias("in_city"), parsing.district_token(F.col("a")).alias("district"))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, round(CASE WHEN l_quantity % 5 <> 0 THEN abs(l_extendedprice - l_tax) / nullif(l_quantity % 5, 0) END, 6) AS change, l_discount < 0.05 AS finite, abs(l_quantity - l_quantity * (1 + l_discount / 1e8)) <= 1e-9 * greatest(l_quantity, l_quantity * (1 + l_discount / 1e8)) AS alike FROM lineitem
+""")
+def math_guards(spark, d):
+    q, k = F.col("l_quantity"), F.col("l_discount")
+    x = F.when(k < 0.05, q).when(k < 0.07, F.lit(float("inf"))).when(k < 0.09, F.lit(float("nan")))
+    # |(a - b)| / |b| with a - b = price - tax and b = quantity modulo 5
+    change = parsing.relative_change(F.col("l_extendedprice") - F.col("l_tax") + q % 5, q % 5)
+    return rounded(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", change.alias("change"), parsing.is_finite(x).alias("finite"), parsing.close(q, q * (1 + k / 1e8)).alias("alike")))
+
+
 # -- evidence ----------------------------------------------------------------
 
 EVIDENCE_SQL = f"""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import geo
 from tessera.functions.parsing import year_month
-from tessera.functions.text import indel_similarity
+from tessera.functions.text import indel_similarity, name_key, nfkc
 from tessera.operators import graph, joins, matching, quality, spatial, windows
 from tessera.plans import marts
 from tessera.streaming import revisions
@@ -85,6 +85,13 @@ def test_name_similarity_matches_the_table_of_subsequences(spark):
     assert all(abs(g.s - similarity(g.a, g.b)) < 1e-12 for g in got) and len(got) == len(pairs)
 
 
+def test_name_keys(spark):
+    cases = [("Ｈotel  Sea-side!", "hotelseaside"), ("호텔 (주)", "호텔주"), ("STRASSE ß", "strassess"), ("--", None), (None, None), ("é", "é")]
+    df = spark.createDataFrame(cases, "name string, want string")
+    assert df.filter(~name_key("name").eqNullSafe(F.col("want"))).count() == 0
+    assert spark.createDataFrame([("１２　３", ), (None,)], "x string").select(nfkc("x").alias("y")).first().y == "12 3"
+
+
 SCHEMA = "key string, source_id string, record_id string, name_key string, phone string, addresses array<string>, units array<string>, buildings array<string>, lon double, lat double, pension boolean"
 
 
