@@ -43,6 +43,7 @@ LOW_BITS = 2
 LONGS = PERMUTATIONS * LOW_BITS // 64
 MARGIN = 0.16
 LARGE = 64  # members from which a bucket's unshared shingles are counted first
+MOST_SENT = 16 << 20  # bytes of ids and digests that are sent to every executor
 BLOCK = 512  # members of a large bucket in a block
 _SEED = 20240501
 _PAIRS_OF_BITS = 0x5555555555555555
@@ -151,9 +152,12 @@ def shingle_sets(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", te
         grams = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
         return pa.record_batch([batch.column("id").take(pa.array(own)), lists(grams, off, pa.int64())], names=["id", "grams"])
 
-    # only ids decide which texts go on, so that few columns travel to the texts where Spark can send them all
-    rows = docs.selectExpr(f"`{id_col}` AS rep", f"`{text_col}` AS text").join(classes.select("rep"), "rep", "left_semi")
-    rows = rows.join(classes.select("id", "rep", "d0", "d1"), "rep")
+    size = classes.agg(F.coalesce(F.sum(F.octet_length(F.col("rep").cast("string")) + 24), F.lit(0)).alias("n")).first().n
+    rows = docs.selectExpr(f"`{id_col}` AS rep", f"`{text_col}` AS text")
+    wanted = classes.select("id", "rep", "d0", "d1")
+    if size <= MOST_SENT:  # the texts stay where they are read; beyond that they are shuffled by id
+        wanted = F.broadcast(wanted)
+    rows = rows.join(wanted, "rep")
     return mapped(rows.select("id", "d0", "d1", "text"), each, "id long, grams array<long>").dropDuplicates(["id"])
 
 
