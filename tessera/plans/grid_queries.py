@@ -8,7 +8,7 @@ from tessera.functions import geo
 from tessera.plans import grid
 from tessera.plans.queries import FACILITIES, districts, facilities, query, rounded, table
 
-MAPPED = f"SELECT facility_id, district, rooms, age, registrations, 'g' || facility_id % 37 || '_' || district AS grid_id FROM ({FACILITIES}) WHERE facility_id % 11 <> 0 OR district IN ('NATION_1', 'NATION_2')"
+MAPPED = f"SELECT facility_id, district, rooms, age, registrations, 'g' || facility_id % 37 || '_' || district AS grid_id FROM ({FACILITIES}) WHERE rooms IS NOT NULL OR tourism OR district IN ('NATION_1', 'NATION_2')"
 CELLS = "SELECT 'g' || k || '_' || n_name AS grid_id, 'c' || n_nationkey AS district_code, n_name AS district, 'd' || k AS dong_code, 'dong' AS dong_name FROM nation, range(40) t(k)"
 SNAPSHOTS = f"SELECT n_name AS district, n_nationkey % 6 <> 0 AS observed, CASE WHEN n_nationkey % 7 <> 3 THEN n END AS total_facilities, CASE WHEN n_nationkey % 3 = 0 THEN 'unclassified' WHEN n_nationkey % 3 = 1 THEN 'high' ELSE 'low' END AS demand_band, CASE WHEN n_nationkey % 2 = 0 THEN 'low' ELSE 'medium' END AS supply_band FROM nation LEFT JOIN (SELECT district, count(*) AS n FROM ({FACILITIES}) GROUP BY 1) ON district = n_name"
 MONTH_SQL = f"""
@@ -30,7 +30,7 @@ DOUBLES = ("room_coverage", "small_share", "age_coverage", "age20_share", "age30
 
 def months(spark, d):
     f, key = facilities(spark, d), F.col("facility_id")
-    mapped = f.filter((key % 11 != 0) | F.col("district").isin("NATION_1", "NATION_2")).withColumn("grid_id", F.concat(F.lit("g"), key % 37, F.lit("_"), "district"))
+    mapped = f.filter(F.col("rooms").isNotNull() | F.col("tourism") | F.col("district").isin("NATION_1", "NATION_2")).withColumn("grid_id", F.concat(F.lit("g"), key % 37, F.lit("_"), "district"))
     n = table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("district"))
     cells = n.select("*", F.explode(F.sequence(F.lit(0), F.lit(39))).alias("g")).select(F.concat(F.lit("g"), "g", F.lit("_"), "district").alias("grid_id"), F.concat(F.lit("c"), "k").alias("district_code"), "district", F.concat(F.lit("d"), "g").alias("dong_code"), F.lit("dong").alias("dong_name"))
     k = F.col("k")
@@ -99,46 +99,46 @@ def grid_evidence(spark, d):
 # Points in metres on a small lattice, so that cells and clashes follow from ids without a projection.
 POINTS = """
 SELECT o_custkey AS facility_id, 'o' || o_orderkey AS source_identity, CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 9 = 1 THEN 'EPSG:9999' ELSE 'EPSG:5174' END AS crs,
-  CASE WHEN o_orderkey % 9 <> 2 THEN 200000.0 + (CASE WHEN o_custkey % 3 = 0 THEN o_orderkey % 2 ELSE 0 END + o_custkey % 25) * 500 + 10 END AS x, CASE WHEN o_orderkey % 9 <> 2 THEN 180000.0 END AS y FROM orders WHERE o_orderkey % 4 = 0
+  CASE WHEN o_orderkey % 9 <> 2 THEN 200000.0 + (CASE WHEN o_custkey % 3 = 0 THEN o_orderkey % 2 ELSE 0 END + o_custkey % 25) * 500 + 10 END AS x, CASE WHEN o_orderkey % 9 <> 2 THEN 180000.0 END AS y FROM orders
 """
 
 
 @query(f"""
 WITH r AS (SELECT *, CASE WHEN crs IS NULL OR crs <> 'EPSG:5174' THEN 'UNKNOWN_CRS' WHEN x IS NULL THEN 'MISSING_COORDINATES' END AS code FROM ({POINTS})),
 p AS (SELECT facility_id, count(DISTINCT x) FILTER (code IS NULL) AS n, min(x) FILTER (code IS NULL) AS x, min(source_identity) FILTER (code IS NULL) AS source_identity, count(DISTINCT code) AS codes, min(code) AS code FROM r GROUP BY 1),
-f AS (SELECT c_custkey AS facility_id, 'NATION_' || c_nationkey AS district, c_custkey % 3 AS n_buildings, p.* EXCLUDE (facility_id), 'g5174_500_' || floor(x / 500)::BIGINT || '_360' AS g FROM customer LEFT JOIN p ON p.facility_id = c_custkey),
+f AS (SELECT c_custkey AS facility_id, 'NATION_' || c_nationkey AS district, c_custkey % 3 AS n_buildings, c_acctbal, p.* EXCLUDE (facility_id), 'g5174_500_' || floor(x / 500)::BIGINT || '_360' AS g FROM customer LEFT JOIN p ON p.facility_id = c_custkey),
 c AS (SELECT 'g5174_500_' || (400 + n_nationkey)::BIGINT || '_360' AS g, 'NATION_' || (n_nationkey + CASE WHEN n_nationkey < 5 THEN 1 ELSE 0 END) AS cell_district FROM nation WHERE n_nationkey <> 7),
 e AS (SELECT *, CASE WHEN n IS NULL THEN 'SELECTED_REVISION_UNAVAILABLE' WHEN n > 1 THEN 'AMBIGUOUS_COORDINATES' WHEN n = 0 AND codes = 1 THEN code WHEN n = 0 THEN 'UNMAPPED_COORDINATES' WHEN cell_district IS NULL THEN 'GRID_NOT_FOUND' WHEN district <> cell_district THEN 'DISTRICT_COORDINATE_MISMATCH' END AS exception_code FROM f LEFT JOIN c USING (g))
-SELECT facility_id, district, exception_code, CASE WHEN exception_code IS NULL THEN g END AS grid_id, CASE WHEN exception_code IS NULL THEN source_identity END AS source_identity, CASE WHEN exception_code IS NULL THEN CASE WHEN n_buildings > 1 OR facility_id % 10 = 0 THEN 'review_required' ELSE 'standard' END END AS display FROM e
+SELECT facility_id, district, exception_code, CASE WHEN exception_code IS NULL THEN g END AS grid_id, CASE WHEN exception_code IS NULL THEN source_identity END AS source_identity, CASE WHEN exception_code IS NULL THEN CASE WHEN n_buildings > 1 OR c_acctbal > 8000 THEN 'review_required' ELSE 'standard' END END AS display FROM e
 """)
 def facility_points(spark, d):
     key, order = F.col("o_custkey"), F.col("o_orderkey")
     there, none = order % 9 != 2, F.lit(None).cast("double")
     shift = F.when(key % 3 == 0, order % 2).otherwise(0) + key % 25
-    registrations = table(spark, d, "orders").filter("o_orderkey % 4 = 0").select(
+    registrations = table(spark, d, "orders").select(
         key.alias("facility_id"), F.concat(F.lit("o"), order).alias("source_identity"), F.when(order % 9 == 0, None).when(order % 9 == 1, "EPSG:9999").otherwise("EPSG:5174").alias("coordinate_crs"),
         none.alias("longitude"), none.alias("latitude"), F.when(there, F.lit(200000.0) + shift * 500 + 10).alias("projected_x"), F.when(there, F.lit(180000.0)).alias("projected_y"),
     )
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("facility_id"), F.concat(F.lit("NATION_"), "c_nationkey").alias("district"), (F.col("c_custkey") % 3).alias("n_buildings"))
     k = F.col("n_nationkey")
     cells = table(spark, d, "nation").filter("n_nationkey <> 7").select(geo.grid_id(F.lit(200000.0) + k * 500, F.lit(180000.0)).alias("grid_id"), F.concat(F.lit("NATION_"), k + (k < 5).cast("int")).alias("district"))
-    out = grid.facility_points(c, registrations, cells, c.filter("facility_id % 10 = 0"))
+    out = grid.facility_points(c, registrations, cells, c.join(table(spark, d, "customer").filter("c_acctbal > 8000").select(F.col("c_custkey").alias("facility_id")), "facility_id"))
     return out.select("facility_id", "district", "exception_code", "grid_id", "source_identity", "display")
 
 
 @query(f"""
-WITH f AS ({FACILITIES}), p AS (SELECT facility_id FROM f WHERE facility_id % 5 <> 0 UNION ALL SELECT facility_id FROM f WHERE facility_id % 50 = 1), x AS (SELECT facility_id FROM f WHERE facility_id % 5 = 0 AND facility_id % 30 <> 0 UNION ALL SELECT facility_id FROM f WHERE facility_id % 70 = 3 UNION ALL SELECT facility_id + 100000000 FROM f WHERE facility_id % 90 = 4),
+WITH f AS ({FACILITIES}), p AS (SELECT facility_id FROM f WHERE rooms >= 20 UNION ALL SELECT facility_id FROM f WHERE rooms >= 95), x AS (SELECT facility_id FROM f WHERE rooms < 18 UNION ALL SELECT facility_id FROM f WHERE rooms BETWEEN 40 AND 42 UNION ALL SELECT facility_id + 100000000 FROM f WHERE rooms = 50),
 s AS (SELECT facility_id, count(*) FILTER (k = 'p') AS p, count(*) FILTER (k = 'x') AS x FROM (SELECT facility_id, 'p' AS k FROM p UNION ALL SELECT facility_id, 'x' FROM x) GROUP BY 1)
 SELECT problem, id FROM (SELECT CASE WHEN f.facility_id IS NULL THEN 'unknown_facility' WHEN s.p IS NULL THEN 'missing_facility' WHEN s.p > 0 AND s.x > 0 THEN 'facility_in_both' WHEN s.p + s.x > 1 THEN 'facility_repeated' END AS problem, coalesce(f.facility_id, s.facility_id)::VARCHAR AS id FROM f FULL JOIN s USING (facility_id)) WHERE problem IS NOT NULL
-UNION ALL SELECT 'missing_cell', 'c' || n_nationkey FROM nation WHERE n_nationkey % 8 = 0
+UNION ALL SELECT 'missing_cell', 'c' || n_nationkey FROM nation WHERE n_regionkey = 2
 """)
 def identity_problems(spark, d):
-    f = facilities(spark, d).select("facility_id")
-    key = F.col("facility_id")
-    p = f.filter(key % 5 != 0).unionByName(f.filter(key % 50 == 1))
-    x = f.filter((key % 5 == 0) & (key % 30 != 0)).unionByName(f.filter(key % 70 == 3)).unionByName(f.filter(key % 90 == 4).select((key + 100000000).alias("facility_id")))
-    cells = table(spark, d, "nation").select(F.concat(F.lit("c"), "n_nationkey").alias("grid_id"), "n_nationkey")
-    return grid.identity_problems(p, x, f, cells.filter("n_nationkey % 8 <> 0"), cells)
+    f = facilities(spark, d).select("facility_id", "rooms")
+    where = lambda test, shift=0: f.filter(test).select((F.col("facility_id") + shift).alias("facility_id"))
+    p = where("rooms >= 20").unionByName(where("rooms >= 95"))
+    x = where("rooms < 18").unionByName(where("rooms BETWEEN 40 AND 42")).unionByName(where("rooms = 50", 100000000))
+    cells = table(spark, d, "nation").select(F.concat(F.lit("c"), "n_nationkey").alias("grid_id"), "n_regionkey")
+    return grid.identity_problems(p, x, f, cells.filter("n_regionkey <> 2"), cells)
 
 
 @query(f"""

@@ -83,7 +83,7 @@ MARKS = [None, "Y", "정상", "폐쇄말소", "n", "true"]
 def building_rows(spark, d):
     k = F.col("p_partkey")
     fields = {
-        "mgmBldrgstPk": F.when(k % 13 != 0, (k % 40).cast("string")), "sigunguCd": pick(["26110", "261", "x"], "p_partkey"), "bun": (k % 9).cast("string"), "ji": F.when(k % 2 == 0, "7"),
+        "mgmBldrgstPk": F.when(k % 13 != 0, F.when(k % 40 < 20, k % 40).otherwise(F.floor(k % 40 / 3) * 3).cast("string")), "sigunguCd": pick(["26110", "261", "x"], "p_partkey"), "bun": (k % 9).cast("string"), "ji": F.when(k % 2 == 0, "7"),
         "useAprDay": pick(["19990101", "2010-05-06", "20100506123", None], "p_partkey"), "archPmsDay": pick([None, "20230101"], "p_size"), "totArea": pick(AREAS, "p_partkey"), "grndFlrCnt": pick(["3", "3.0", "3.5", None], "p_size"), "shterGbCdNm": pick(MARKS, "p_size"),
     }
     row = F.map_filter(F.create_map(*(x for n, c in fields.items() for x in (F.lit(n), c))), lambda _, v: v.isNotNull())
@@ -92,7 +92,7 @@ def building_rows(spark, d):
 
 HEAD_DATE = "try_strptime(CASE WHEN regexp_full_match(left({0}, 10), '[0-9]{{4}}[-./]?[0-9]{{2}}[-./]?[0-9]{{2}}') THEN regexp_replace(left({0}, 10), '[-./]', '', 'g') END, '%Y%m%d')::DATE"
 BUILDING_SQL = f"""
-WITH raw AS (SELECT p_partkey, 'parcel' || floor(p_partkey % 40 / 3)::BIGINT AS parcel_hash, CASE WHEN p_partkey % 13 <> 0 THEN (p_partkey % 40)::VARCHAR END AS building_id, {sql_pick(["26110", "261", "x"], "p_partkey")} AS sg, lpad((p_partkey % 9)::VARCHAR, 4, '0') AS bun, CASE WHEN p_partkey % 2 = 0 THEN '0007' END AS ji,
+WITH raw AS (SELECT p_partkey, 'parcel' || floor(p_partkey % 40 / 3)::BIGINT AS parcel_hash, CASE WHEN p_partkey % 13 <> 0 THEN (CASE WHEN p_partkey % 40 < 20 THEN p_partkey % 40 ELSE floor(p_partkey % 40 / 3) * 3 END)::BIGINT::VARCHAR END AS building_id, {sql_pick(["26110", "261", "x"], "p_partkey")} AS sg, lpad((p_partkey % 9)::VARCHAR, 4, '0') AS bun, CASE WHEN p_partkey % 2 = 0 THEN '0007' END AS ji,
   {sql_pick(["19990101", "2010-05-06", "20100506123", None], "p_partkey")} AS a, {sql_pick([None, "20230101"], "p_size")} AS pm, replace({sql_pick(AREAS, "p_partkey")}, ',', '') AS area, {sql_pick(["3", "3.0", "3.5", None], "p_size")} AS fl, {sql_pick(MARKS, "p_size")} AS closed_indicator FROM part),
 b AS (SELECT p_partkey, parcel_hash, building_id, CASE WHEN regexp_full_match(sg, '[0-9]+') THEN lpad(sg, 5, '0') END AS sigungu_cd, bun, ji, {HEAD_DATE.format("a")} AS use_approval_date, {HEAD_DATE.format("pm")} AS permit_date, TRY_CAST(area AS DOUBLE) AS total_area,
   CASE WHEN fl IN ('3', '3.0') THEN 3::BIGINT END AS ground_floor_count, closed_indicator, coalesce(lower(closed_indicator) IN ('y', 'yes', 'true', '1') OR regexp_matches(closed_indicator, '폐쇄|말소|폐지'), false) AS is_closed FROM raw)
@@ -121,12 +121,12 @@ PARCELS = "SELECT 's' AS source_id, s_suppkey::VARCHAR AS source_record_id, 'par
 
 
 def building_sides(spark, d):
-    titles = normalise.buildings(building_rows(spark, d)).filter("p_partkey % 40 < 20 OR p_partkey % 40 IN (22, 25, 28, 31, 34, 37)")
+    titles = normalise.buildings(building_rows(spark, d))
     licences = table(spark, d, "supplier").select(F.lit("s").alias("source_id"), F.col("s_suppkey").cast("string").alias("source_record_id"), F.concat(F.lit("parcel"), F.col("s_suppkey") % 20).alias("parcel_hash"))
     return normalise.building_links(titles, licences)
 
 
-CANDIDATES = f"{BUILDING_SQL}, g AS (SELECT parcel_hash, list_sort(list(DISTINCT building_id)) AS c FROM b WHERE building_id IS NOT NULL AND (p_partkey % 40 < 20 OR p_partkey % 40 IN (22, 25, 28, 31, 34, 37)) GROUP BY 1)"
+CANDIDATES = f"{BUILDING_SQL}, g AS (SELECT parcel_hash, list_sort(list(DISTINCT building_id)) AS c FROM b WHERE building_id IS NOT NULL GROUP BY 1)"
 
 
 @query(f"{CANDIDATES} SELECT source_id, source_record_id, parcel_hash, c[1] AS building_id FROM ({PARCELS}) JOIN g USING (parcel_hash) WHERE len(c) = 1")
@@ -150,12 +150,12 @@ def closed_events(spark, d):
     return normalise.closed_events(rows).select("event_id", "event_type", "event_date")
 
 
-LINKED = "SELECT o_custkey AS facility_id, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderdate::DATE - (o_custkey % 3 * 4000)::INTEGER END AS approved_on, CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate::DATE - (o_orderkey % 4000)::INTEGER END AS permit_on, DATE '1999-01-01' + (o_orderkey % 30)::INTEGER AS observed_on FROM orders WHERE o_custkey % 4 <> 0"
+LINKED = "SELECT o_custkey AS facility_id, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderdate::DATE - (o_custkey % 3 * 4000)::INTEGER END AS approved_on, CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate::DATE - (o_orderkey % 4000)::INTEGER END AS permit_on, DATE '1999-01-01' + (o_orderkey % 30)::INTEGER AS observed_on FROM orders"
 
 
 def linked_buildings(spark, d):
     c = F.col
-    return table(spark, d, "orders").filter("o_custkey % 4 <> 0").select(
+    return table(spark, d, "orders").select(
         c("o_custkey").alias("facility_id"), F.when(c("o_orderkey") % 5 != 0, F.date_sub("o_orderdate", (c("o_custkey") % 3 * 4000).cast("int"))).alias("approved_on"),
         F.when(c("o_orderkey") % 3 == 0, F.date_sub("o_orderdate", (c("o_orderkey") % 4000).cast("int"))).alias("permit_on"), F.date_add(F.lit("1999-01-01").cast("date"), (c("o_orderkey") % 30).cast("int")).alias("observed_on"), F.trunc("o_orderdate", "quarter").alias("quarter"),
     )
@@ -172,7 +172,7 @@ def building_age(spark, d):
 
 
 @query(f"""
-WITH b AS (SELECT *, date_trunc('quarter', o.o_orderdate)::DATE AS quarter FROM (SELECT o_custkey AS facility_id, o_orderdate, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderdate::DATE - (o_custkey % 3 * 4000)::INTEGER END AS approved_on, CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate::DATE - (o_orderkey % 4000)::INTEGER END AS permit_on, DATE '1999-01-01' + (o_orderkey % 30)::INTEGER AS observed_on FROM orders WHERE o_custkey % 4 <> 0) o),
+WITH b AS (SELECT *, date_trunc('quarter', o.o_orderdate)::DATE AS quarter FROM (SELECT o_custkey AS facility_id, o_orderdate, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderdate::DATE - (o_custkey % 3 * 4000)::INTEGER END AS approved_on, CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate::DATE - (o_orderkey % 4000)::INTEGER END AS permit_on, DATE '1999-01-01' + (o_orderkey % 30)::INTEGER AS observed_on FROM orders) o),
 one AS (SELECT quarter, facility_id, max(approved_on) AS approved_on, max(permit_on) AS permit_on, max(observed_on) AS observed_on FROM b GROUP BY 1, 2 HAVING count(*) = 1),
 a AS (SELECT quarter, greatest(0, (observed_on - approved_on) / 365.2425) AS age, coalesce(observed_on - permit_on BETWEEN 0 AND 1825, false) AS recent, rooms FROM one LEFT JOIN ({FACILITIES}) USING (facility_id) WHERE approved_on IS NOT NULL)
 SELECT quarter, count(*) AS age_known, round(avg(age), 6) AS age_mean, round(median(age), 6) AS age_median, round(sum(age * rooms) FILTER (rooms > 0) / nullif(sum(rooms) FILTER (rooms > 0), 0), 6)::DOUBLE AS age_by_rooms, count(*) FILTER (age >= 20) AS age20_count, count(*) FILTER (age >= 30) AS age30_count,
@@ -461,7 +461,7 @@ def math_guards(spark, d):
 EVIDENCE_SQL = f"""
 WITH m AS (SELECT district, count(*)::DOUBLE AS f, count(rooms)::DOUBLE AS known, sum(rooms)::DOUBLE AS rs, count(*) FILTER (rooms <= 20)::DOUBLE AS small, count(*) FILTER (tourism)::DOUBLE AS tf, CASE WHEN count(*) FILTER (tourism AND rooms IS NULL) = 0 THEN coalesce(sum(rooms) FILTER (tourism), 0) END::DOUBLE AS tr, count(rooms) FILTER (tourism)::DOUBLE AS trk,
   sum(foreigner)::DOUBLE AS fr, sum(foreign_capable)::DOUBLE AS fc, sum(registrations)::DOUBLE AS regs, count(age)::DOUBLE AS ak, count(*) FILTER (age >= 20)::DOUBLE AS a20, count(*) FILTER (age >= 30)::DOUBLE AS a30, count(recent_permit)::DOUBLE AS pk, count(*) FILTER (recent_permit)::DOUBLE AS pc FROM ({FACILITIES}) GROUP BY 1),
-v AS (SELECT 'NATION_' || user_id % 25 AS district, round(sum(value), 4) AS visits FROM events WHERE user_id % 25 <> 3 GROUP BY 1),
+v AS (SELECT 'NATION_' || user_id % 20 AS district, round(sum(value), 4) AS visits FROM events GROUP BY 1),
 j AS (SELECT m.*, visits, known / f AS rc, CASE WHEN known = f THEN rs END AS denom, CASE WHEN tf = 0 THEN 1.0 ELSE trk / tf END AS trc FROM m LEFT JOIN v USING (district)),
 e AS (SELECT district, unnest([
   {{'metric': 'physical_facility_count', 'n': f, 'd': 1.0, 'k': 1.0, 'c': 1.0, 's': ''}}, {{'metric': 'room_coverage', 'n': known, 'd': f, 'k': 1.0, 'c': rc, 's': ''}}, {{'metric': 'small_facility_share', 'n': small, 'd': known, 'k': 1.0, 'c': rc, 's': ''}},
@@ -476,7 +476,7 @@ SELECT district, metric, round(value, 6) AS value, round(numerator, 6) AS numera
 @query(EVIDENCE_SQL)
 def district_evidence(spark, d):
     f = facilities(spark, d)
-    visits = table(spark, d, "events").filter("user_id % 25 <> 3").groupBy(F.concat(F.lit("NATION_"), F.col("user_id") % 25).alias("district")).agg(F.round(F.sum("value"), 4).alias("visits"))
+    visits = table(spark, d, "events").groupBy(F.concat(F.lit("NATION_"), F.col("user_id") % 20).alias("district")).agg(F.round(F.sum("value"), 4).alias("visits"))
     stock = f.groupBy("district").agg(*marts.stock_measures(), *marts.evidence_counts())
     none = F.lit(None).cast("double")
     flows = {"visitor_person_days_per_100_rooms": (F.col("visits"), F.when(F.col("visits").isNotNull(), 1.0), F.when(F.col("visits").isNull(), "no_rows").otherwise("visitors")), "lodging_consumption_per_room": (none, none, F.lit("incompatible_units")), "transport_inflow_per_room": (none, none, F.lit("no_rows"))}
