@@ -678,24 +678,43 @@ def registrations(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query()
+# A supplier and the customer of the same number share an address, a unit and, by number, a building, a phone and a record id.
+PAIRS = """
+SELECT 'c:' || c_custkey AS left_key, 's:' || s_suppkey AS right_key, CASE WHEN lower(c_name) = 'customer#' || lpad(s_suppkey::VARCHAR, 9, '0') THEN 1.0 END::DOUBLE AS similarity, c_custkey % 10 = 0 AS record_match, c_custkey % 2 = 0 AS building_match, c_custkey % 4 <> 0 AS phones_match, c_custkey % 7 = 0 AS pension
+FROM customer JOIN supplier ON c_custkey = s_suppkey
+"""
+
+
+@query(f"""
+SELECT left_key, right_key, similarity, CASE WHEN pension AND (record_match OR (building_match AND similarity >= 0.9)) THEN 'designation_link' WHEN building_match AND phones_match AND similarity >= 0.9 THEN 'auto_merge' WHEN similarity >= 0.94 THEN 'auto_merge' ELSE 'review' END AS decision FROM ({PAIRS})
+""")
 def entity_decisions(spark, d):
     r = registrations(spark, d)
     scored = matching.decide(matching.features(matching.candidate_pairs(r), r))
     return scored.select("left_key", "right_key", "decision", F.round("similarity", 6).alias("similarity"))
 
 
-@query()
+@query(f"""
+SELECT 'c:' || c_custkey AS key, 'c:' || c_custkey AS facility FROM customer
+UNION ALL SELECT 's:' || s_suppkey, coalesce(p.left_key, 's:' || s_suppkey) FROM supplier LEFT JOIN ({PAIRS}) p ON p.right_key = 's:' || s_suppkey AND p.similarity >= 0.94 WHERE s_suppkey % 7 <> 0
+""")
 def entity_facilities(spark, d):
     r = registrations(spark, d)
     decided = matching.adjudicate(matching.decide(matching.features(matching.candidate_pairs(r), r)), calibrated=True)
     return matching.merged(r.filter("NOT pension"), decided)[0]
 
 
-@query()
+# The longest common subsequence by the rows of its table: a row's value at j is the best of what ends at any k up to j.
+@query("""
+WITH t AS (SELECT p_partkey, string_split(regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g'), '') AS a, string_split(regexp_replace(lower(p_type), '[^a-z0-9]', '', 'g'), '') AS b FROM part),
+c AS (SELECT p_partkey, list_transform(a, lambda x: [ascii(x)::BIGINT]) AS a, list_transform(b, lambda x: ascii(x)::BIGINT) AS b FROM t),
+r AS (SELECT p_partkey, len(a) AS n, len(b) AS m, list_reduce(list_prepend(list_transform(range(len(b) + 1), lambda j: 0::BIGINT), a),
+  lambda row, x: list_transform(range(len(b) + 1), lambda j: coalesce(list_max(list_transform(range(1, j + 1), lambda k: greatest(row[k + 1], row[k] + CASE WHEN b[k] = x[1] THEN 1 ELSE 0 END))), 0)))[-1] AS common FROM c)
+SELECT p_partkey, round(2.0 * common / (n + m), 6) AS similarity FROM r
+""")
 def name_similarity(spark, d):
     p = table(spark, d, "part")
-    return p.select("p_partkey", indel_similarity(name_key("p_name"), name_key("p_type")).alias("similarity"))
+    return rounded(p.select("p_partkey", indel_similarity(name_key("p_name"), name_key("p_type")).alias("similarity")))
 
 
 # -- set operations ----------------------------------------------------------
