@@ -59,7 +59,7 @@ STEPS = 400  # of Adam in a round, which a small share reaches by being gone ove
 AGAIN = 6
 DECAY = 2e-3
 FLOOR = 0.1  # weight of the context-free class shares in the prediction
-BATCH = 128
+BATCH = 256
 COMPANY = 8  # numbers that describe the company of a unit
 END = np.uint64(0)  # stands for the end token among word hashes
 SLICE = 1 << 20  # bytes of text that a worker has in hand
@@ -287,36 +287,40 @@ def tables(p: dict[str, np.ndarray]) -> tuple[np.ndarray, ...]:
 
 def gradients(p: dict[str, np.ndarray], rows: np.ndarray, pad: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean log loss over positions whose target class is not -1."""
-    z, a, h = attend(p, tables(p), rows, pad)
-    dz = np.exp(z)
+    made = tables(p)
+    z, a, h = attend(p, made, rows, pad)
+    n, kind = len(rows), z.dtype
     live = target >= 0
+    dz = np.exp(z)
     i, j = np.nonzero(live)
     dz[i, j, target[i, j]] -= 1
-    dz *= live[:, :, None] / max(1, live.sum())
-    x = p["x"][rows]
-    own = x[:, HALF:]
-    q, k, v = own @ p["q"], x @ p["k"], x @ p["v"]
-    flat = dz.reshape(-1, dz.shape[2])
-    g = {"bias": flat.sum(0), "seen": h.reshape(-1, DEPTH).T @ flat, "last": own.reshape(-1, DEPTH).T @ flat}
-    dh = dz @ p["seen"].T
+    dz *= (live / max(1, live.sum())).astype(kind)[:, :, None]
+    # all products with a matrix over rows of both axes at once
+    ins, outs = rows.ravel(), rows[:, HALF:].ravel()
+    x, own = p["x"][ins], p["x"][outs]
+    flat = dz.reshape(n * HALF, -1)
+    g = {"bias": flat.sum(0), "seen": h.reshape(-1, DEPTH).T @ flat, "last": own.T @ flat}
+    dh = (flat @ p["seen"].T).reshape(n, HALF, DEPTH)
     dv = a.transpose(0, 2, 1) @ dh
-    da = dh @ v.transpose(0, 2, 1)
-    ds = a * (da - (a * da).sum(2, keepdims=True))
+    ds = dh @ made[2][rows].transpose(0, 2, 1)
+    ds -= (a * ds).sum(2, keepdims=True)
+    ds *= a
     g["near"] = ds.sum(0)
-    ds *= DEPTH**-0.5
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    g["q"] = own.reshape(-1, DEPTH).T @ dq.reshape(-1, DEPTH)
-    g["k"] = x.reshape(-1, DEPTH).T @ dk.reshape(-1, DEPTH)
-    g["v"] = x.reshape(-1, DEPTH).T @ dv.reshape(-1, DEPTH)
+    ds *= kind.type(DEPTH**-0.5)
+    dq, dk = (ds @ made[1][rows]).reshape(-1, DEPTH), (ds.transpose(0, 2, 1) @ made[0][rows[:, HALF:]]).reshape(-1, DEPTH)
+    dv = dv.reshape(-1, DEPTH)
+    g["q"], g["k"], g["v"] = own.T @ dq, x.T @ dk, x.T @ dv
     dx = dk @ p["k"].T + dv @ p["v"].T
-    dx[:, HALF:] += dq @ p["q"].T + dz @ p["last"].T
-    g["x"] = np.zeros_like(p["x"])
-    np.add.at(g["x"], rows.ravel(), dx.reshape(-1, DEPTH))
+    dx.reshape(n, 2 * HALF, DEPTH)[:, HALF:] += (dq @ p["q"].T + flat @ p["last"].T).reshape(n, HALF, DEPTH)
+    g["x"] = np.stack([np.bincount(ins, d, len(p["x"])) for d in np.ascontiguousarray(dx.T)], 1).astype(kind)
     return g
 
 
-def local_training(model: Model, u: np.ndarray, off: np.ndarray, rate: float, seed: int) -> tuple[dict[str, np.ndarray], int]:
-    """Adam over the windows of one share (units and offsets of sequences), from the model's parameters; the parameters and the number of windows."""
+def local_training(model: Model, u: np.ndarray, off: np.ndarray, rate: float, seed: int, again: bool) -> tuple[dict[str, np.ndarray], int]:
+    """Adam over the windows of one share (units and offsets of sequences), from the model's parameters; the parameters and the number of windows.
+
+    again: go over a small share several times.
+    """
     begin, lens = off[:-1], np.diff(off)
     rows = np.empty(len(u), np.int64)
     rows[1:] = model.row[u[:-1]]
@@ -327,7 +331,7 @@ def local_training(model: Model, u: np.ndarray, off: np.ndarray, rate: float, se
     m, v = {n: np.zeros_like(x) for n, x in p.items()}, {n: np.zeros_like(x) for n, x in p.items()}
     r = np.random.default_rng(seed)
     once = -(-len(at) // BATCH)
-    steps = max(once, min(STEPS, AGAIN * once))
+    steps = max(once, min(STEPS, AGAIN * once)) if again else once
     for t in range(1, steps + 1):
         if (t - 1) * BATCH % max(len(at), 1) < BATCH:
             order = r.permutation(len(at))
@@ -452,7 +456,7 @@ def _round(parts: DataFrame, model: Model, rate: float, seed: int) -> dict[str,
             nonlocal now, total, held
             u = np.concatenate([x for x, _ in held])
             lens = np.concatenate([np.diff(o) for _, o in held])
-            p, n = local_training(now, u, np.concatenate([[0], np.cumsum(lens)]), rate, seed)
+            p, n = local_training(now, u, np.concatenate([[0], np.cumsum(lens)]), rate, seed, again=len(u) < PART // 2 and not total)
             now, total, held = replace(now, params=p), total + n, []
 
         with np.errstate(over="ignore"):
