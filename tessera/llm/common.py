@@ -6,6 +6,10 @@ vectorised over the Arrow buffers of a batch, so no Python object is made per wo
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import glob
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -192,10 +196,24 @@ def lists(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Arra
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values, kind))
 
 
+@functools.cache
+def one_blas_thread() -> None:
+    """In a worker: matrix products take one thread, for Spark's tasks are the parallelism and idle threads of a pool for each worker spin.
+
+    Spark sets OMP_NUM_THREADS only where the executors' cores are configured, and the library reads it only when it is loaded.
+    """
+    for path in glob.glob(os.path.join(os.path.dirname(np.__file__), "..", "numpy.libs", "*openblas*")):
+        library = ctypes.CDLL(path)
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+
+
 def mapped(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch | list], schema: str, text: str | None = "text", limit: int | None = None) -> DataFrame:
     """mapInArrow with slices of bounded text size, or of so many rows where there is no text; limit: in bytes or rows."""
 
     def run(batches):
+        one_blas_thread()
         with np.errstate(over="ignore"):
             for batch in batches:
                 for part in text_slices(batch, text, limit or 4 << 20) if text else row_slices(batch, limit or 2048):

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import components, mapped, written
+from tessera.llm.common import components, mapped, one_blas_thread, written
 
 THRESHOLD = 0.93
 TARGET = 0.999
@@ -246,6 +246,7 @@ def _linked(classes: DataFrame, grid: Grid, threshold: float) -> DataFrame:
     rows = rows.withColumn("query", F.col("block.q") == F.col("q")).withColumn("member", F.col("home") & (F.col("block.m") == F.col("m")))
 
     def each(part: pa.Table) -> pa.Table:
+        one_blas_thread()
         cls, n, forest = block_links(part, sent.value, threshold)
         ends = np.array(forest, np.int64).reshape(-1, 2)
         return pa.table({

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOW, Words, lists, mapped, mix, written
+from tessera.llm.common import LOW, Words, lists, mapped, mix, one_blas_thread, written
 from tessera.llm.toxicity import remainder
 
 DICTIONARY = 1 << 15
@@ -450,6 +450,7 @@ def _round(parts: DataFrame, model: Model, rate: float, seed: int) -> dict[str,
     sent = parts.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        one_blas_thread()
         now, total, held = sent.value, 0, []
 
         def trained() -> None:
