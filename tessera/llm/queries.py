@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontamination, embedding_dedup, line_dedup, lm_scoring, minhash_dedup, mixing, secret_scan, token_counts, toxicity, warc
+from tessera.llm import decontamination, embedding_dedup, license_scan, line_dedup, lm_scoring, minhash_dedup, mixing, secret_scan, token_counts, toxicity, warc
 from tessera.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents")).drop("detections")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -68,9 +72,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_license_scan": op11_license_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_license_scan": license_scan.sql(),
     "op5_mixing": r"""
 WITH sizes AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
