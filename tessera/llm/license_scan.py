@@ -86,20 +86,20 @@ SIGNATURES: list[tuple[str, str, str, list[str]]] = [
     ("gpl-3", "link", "gnu", [r" org licenses gpl 3 0(?: en)?(?: html| txt)?"]),
     ("gpl-3", "link", "opensource", [r" org licenses gpl 3 0(?: html)?"]),
     ("gpl-3", "name", "gnu", [rf" general public licen[cs]e{_V} 3(?: 0)?", rf" gpl{_V} 3(?: 0)?", r" gplv3"]),
-    ("gpl-3", "name", "gpl", [rf"{_V} 3(?: 0)?(?: only| or later)?", rf"{_LIC}{_V} 3"]),
+    ("gpl-3", "name", "gpl", [r" v3(?: only| or later)?", rf"{_V} 3(?: 0)?(?: only| or later)?", rf"{_LIC}{_V} 3"]),
     ("gpl-3", "name", "gplv3", [r"(?: licen[cs]e)?"]),
     ("gpl-2", "notice", "under", [rf" the(?: terms of the)? gnu general public licen[cs]e(?: as published by the free software foundation either)?{_V} 2", rf" the(?: gnu)? gpl{_V} ?2(?: 0)?", r" gplv2"]),
     ("gpl-2", "notice", "licensed", [rf" under the gnu general public licen[cs]e{_V} 2(?: 0)?", rf" under(?: the)?(?: gnu)? gpl{_V} 2(?: 0)?", r" under(?: the)? gplv2"]),
     ("gpl-2", "link", "gnu", [r" org licenses(?: old licenses)? gpl 2 0(?: en)?(?: html| txt)?"]),
     ("gpl-2", "name", "gnu", [rf" general public licen[cs]e{_V} 2(?: 0)?", rf" gpl{_V} 2(?: 0)?", r" gplv2"]),
-    ("gpl-2", "name", "gpl", [rf"{_V} 2(?: 0)?(?: only| or later)?", rf"{_LIC}{_V} 2"]),
+    ("gpl-2", "name", "gpl", [r" v2(?: only| or later)?", rf"{_V} 2(?: 0)?(?: only| or later)?", rf"{_LIC}{_V} 2"]),
     ("gpl-2", "name", "gplv2", [r"(?: licen[cs]e)?"]),
     ("gpl", "notice", "under", [r" the(?: terms of the)? gnu general public licen[cs]e", r" the(?: gnu)? gpl"]),
     ("gpl", "text", "this", [r" program is free software you can redistribute it and or modify it under the terms of the gnu general public license"]),
     ("gpl", "name", "gnu", [r" general public licen[cs]e", r" gpl", r" public licen[cs]e"]),
     ("gpl", "name", "gpl", [r" licen[cs]ed?", r" compatible"]),
     ("lgpl-3", "name", "gnu", [rf" lesser general public licen[cs]e{_V} 3(?: 0)?", r" lgplv3", rf" lgpl{_V} 3(?: 0)?"]),
-    ("lgpl-3", "name", "lgpl", [rf"{_V} 3(?: 0)?(?: only| or later)?"]),
+    ("lgpl-3", "name", "lgpl", [r" v3(?: only| or later)?", rf"{_V} 3(?: 0)?(?: only| or later)?"]),
     ("lgpl-3", "name", "lgplv3", [r"(?: licen[cs]e)?"]),
     ("lgpl-2.1", "name", "gnu", [rf" lesser general public licen[cs]e{_V} 2 1", rf" lgpl{_V} 2 1"]),
     ("lgpl-2.1", "name", "lgpl", [rf"{_V} 2 1(?: only| or later)?"]),
@@ -109,7 +109,7 @@ SIGNATURES: list[tuple[str, str, str, list[str]]] = [
     ("lgpl", "link", "gnu", [r" org licenses lgpl(?: \w+)?(?: html| txt)?"]),
     ("agpl-3", "name", "gnu", [rf" affero general public licen[cs]e(?:{_V} 3(?: 0)?)?", r" agpl(?:v3)?(?: 3 0)?"]),
     ("agpl-3", "name", "affero", [r" general public licen[cs]e", r" gpl"]),
-    ("agpl-3", "name", "agpl", [rf"{_V} 3(?: 0)?(?: only| or later)?", r" licen[cs]ed?"]),
+    ("agpl-3", "name", "agpl", [r" v3(?: only| or later)?", rf"{_V} 3(?: 0)?(?: only| or later)?", r" licen[cs]ed?"]),
     ("agpl-3", "name", "agplv3", [r"(?: licen[cs]e)?"]),
     ("agpl-3", "link", "gnu", [r" org licenses agpl(?: 3 0)?(?: en)?(?: html| txt)?"]),
     ("gfdl", "name", "gnu", [r" free documentation licen[cs]e(?: version| v)?(?: 1 [123])?", r" fdl"]),
@@ -148,7 +148,7 @@ SIGNATURES: list[tuple[str, str, str, list[str]]] = [
     ("sspl", "name", "server", [r" side public licen[cs]e(?: version| v)?(?: 1)?"]),
     ("sspl", "name", "sspl", [r"(?: version| v)?(?: 1)?"]),
     ("elastic", "name", "elastic", [r" licen[cs]e(?: version| v)?(?: 2 0| 2)?"]),
-    ("commons-clause", "name", "commons", [r" clause licen[cs]e", r" clause condition"]),
+    ("commons-clause", "name", "commons", [r" clause licen[cs]e", r" clause condition to the licen[cs]e"]),
     ("unlicense", "name", "the", [r" unlicense"]),
     ("unlicense", "link", "unlicense", [r" org"]),
     ("unlicense", "text", "this", [r" is free and unencumbered software released into the public domain"]),
@@ -223,7 +223,7 @@ SIGNATURES: list[tuple[str, str, str, list[str]]] = [
     ("proprietary", "notice", "commercial", [r" licen[cs]e(?: agreement)?"]),
     ("copyright", "hint", "copyright", [r" (?:c )?(?:19|20)\d\d(?: (?:19|20)\d\d)*", r" c", r" \w+ (?:19|20)\d\d"]),
     ("warranty", "hint", "without", [r" warranty of any kind", r" any warranty"]),
-    ("warranty", "hint", "provided", [r" as is without warranty", r" on an as is basis"]),
+    ("warranty", "hint", "provided", [r" as is without warranty", r" on an as is basis without any warranty"]),
     ("unknown", "hint", "licensed", [r" under(?: the| a| an)? \w+(?: \w+)? licen[cs]e", r" under the terms of"]),
     ("unknown", "hint", "released", [r" under(?: the| a| an)? \w+(?: \w+)? licen[cs]e"]),
     ("unknown", "hint", "distributed", [r" under(?: the| a| an)? \w+(?: \w+)? licen[cs]e"]),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import conversation_repair, decontamination, embedding_dedup, license_scan, line_dedup, lm_scoring, minhash_dedup, mixing, secret_scan, token_counts, toxicity, warc
+from tessera.llm import conversation_repair, decontamination, embedding_dedup, license_scan, line_dedup, lm_scoring, minhash_dedup, mixing, secret_scan, token_alignment, token_counts, toxicity, warc
 from tessera.llm.common import table
 
 
@@ -61,6 +61,10 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_secret_scan": op10_secret_scan,
     "op11_license_scan": op11_license_scan,
+    "op12_token_alignment": op12_token_alignment,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
