@@ -21,11 +21,6 @@ def share(condition: Column, among: Column | None = None) -> Column:
     return F.try_divide(F.count_if(condition), total)
 
 
-def quantile(value: Column, fraction: float) -> Column:
-    """With linear interpolation, exact."""
-    return F.percentile(value, F.lit(fraction))
-
-
 def weighted_mean(value: Column, weight: Column) -> Column:
     used = value.isNotNull() & (weight > 0)
     return F.try_divide(F.sum(F.when(used, value * weight)), F.sum(F.when(used, weight)))

@@ -8,10 +8,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def latest(df: DataFrame, keys: Sequence[str], newest: Sequence[Column]) -> DataFrame:
-    """The first row of each key in the order given; Spark keeps one row a key and task before it shuffles."""
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest))
-    return df.withColumn("_place", place).filter("_place = 1").drop("_place")
+def latest(df: DataFrame, keys: Sequence[str], newest: Sequence[Column], ties: str = "any") -> DataFrame:
+    """The first row of each key in the order given; Spark keeps one row a key and task before it shuffles.
+
+    ties: what happens where different rows of a key share the first place.  "any": one of them is taken, and not the same in every run or engine;
+    "report": the least of them in all columns is taken, and `tied` says how many rows share the place (1: no tie; equal rows are no tie);
+    "reject": the job fails and names the key.  The last two keep all rows of the first place up to the shuffle, and then a row a key.
+    """
+    if ties == "any":
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest))
+        return df.withColumn("_place", place).filter("_place = 1").drop("_place")
+    first = df.withColumn("_place", F.rank().over(Window.partitionBy(*keys).orderBy(*newest))).filter("_place = 1").drop("_place")
+    row = F.struct(*[F.col(c) for c in df.columns])
+    found = first.groupBy(*keys).agg(F.min(row).alias("_least"), F.max(row).alias("_most"), F.count(F.lit(1)).alias("_n"))
+    tied = F.when(F.col("_least") == F.col("_most"), F.lit(1)).otherwise(F.col("_n")).cast("bigint")
+    if ties == "report":
+        return found.select("_least.*", tied.alias("tied"))
+    if ties != "reject":
+        raise ValueError(f"ties: {ties}")
+    message = F.concat(F.lit("rows tie for the latest of "), F.to_json(F.struct(*keys)))
+    return found.filter(F.when(tied > 1, F.raise_error(message).cast("boolean")).otherwise(True)).select("_least.*")
 
 
 def visible(df: DataFrame, day: str, as_of: str | None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.parsing import month_index
+from tessera.operators.quantiles import with_quantiles
 
 
 def month_growth(df: DataFrame, keys: Sequence[str], month: str, values: Sequence[str]) -> DataFrame:
@@ -28,7 +29,7 @@ def tercile_band(df: DataFrame, period: Sequence[str], value: str, band: str, le
 
     The bounds are one row a period, joined back: only they travel, not the districts.
     """
-    bounds = df.groupBy(*period).agg(F.percentile(value, F.lit(1 / 3)).alias("_low"), F.percentile(value, F.lit(2 / 3)).alias("_high"), F.count(value).alias("_n"))
+    bounds = with_quantiles(df.groupBy(*period).agg(F.count(value).alias("_n")), df, period, {"_low": (value, 1 / 3), "_high": (value, 2 / 3)})
     v = F.col(value)
     label = F.when(v.isNull() | (F.col("_n") < least), "unclassified").when(v <= F.col("_low"), "low").when(v > F.col("_high"), "high").otherwise("medium")
     return df.join(bounds, list(period)).withColumn(band, label).drop("_low", "_high", "_n")

@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.aggregates import comparison_band, complete_sum, evidence_band, evidence_value, known_share, least_known, quantile, share, weighted_mean
+from tessera.operators.aggregates import comparison_band, complete_sum, evidence_band, evidence_value, known_share, least_known, share, weighted_mean
+from tessera.operators.quantiles import with_quantiles
 
 SMALL_ROOMS, YOUNGER, OLDER = 20, 20, 30
 
@@ -52,15 +53,16 @@ def past_building_measures(buildings: DataFrame, rooms: DataFrame, keys: Sequenc
     recent = F.coalesce(F.datediff("observed_on", "permit_on").between(0, RECENT_DAYS), F.lit(False))
     aged = known.select(*keys, key, F.greatest(F.lit(0.0), F.datediff("observed_on", "approved_on") / F.lit(YEAR_DAYS)).alias("age"), recent.alias("recent"))
     n, age = F.count(F.lit(1)), F.col("age")
-    return aged.join(rooms.select(key, "rooms"), key, "left").groupBy(*keys).agg(
-        n.alias("age_known"), F.avg(age).alias("age_mean"), F.median(age).alias("age_median"), weighted_mean(age, F.col("rooms")).alias("age_by_rooms"),
+    measured = aged.join(rooms.select(key, "rooms"), key, "left").groupBy(*keys).agg(
+        n.alias("age_known"), F.avg(age).alias("age_mean"), weighted_mean(age, F.col("rooms")).alias("age_by_rooms"),
         F.count_if(age >= younger).alias("age20_count"), F.count_if(age >= older).alias("age30_count"), share(age >= younger).alias("age20_share"), share(age >= older).alias("age30_share"),
         n.alias("permit_known"), F.count_if("recent").alias("permit_count"), share(F.col("recent")).alias("permit_share"),
     )
+    return with_quantiles(measured, aged, keys, {"age_median": ("age", 0.5)})
 
 
 def stock_measures(small: int = SMALL_ROOMS, younger: int = YOUNGER, older: int = OLDER) -> list[Column]:
-    """The measures of a group of facilities; what isn't known is null, a true zero is 0."""
+    """The measures of a group of facilities but for quantiles; what isn't known is null, a true zero is 0."""
     rooms, age, tourism = F.col("rooms"), F.col("age"), F.col("tourism")
     tourist_rooms = F.when(F.count_if(tourism) == 0, 0.0).when(F.count_if(tourism & rooms.isNull()) == 0, F.sum(F.when(tourism, rooms)).cast("double"))
     return [
@@ -70,9 +72,6 @@ def stock_measures(small: int = SMALL_ROOMS, younger: int = YOUNGER, older: int
         known_share(rooms).alias("room_coverage"),
         F.sum(rooms).cast("double").alias("room_sum"),
         F.avg(rooms).alias("room_mean"),
-        F.median(rooms).alias("room_median"),
-        quantile(rooms, 0.25).alias("room_q1"),
-        quantile(rooms, 0.75).alias("room_q3"),
         share(rooms <= small, rooms).alias("small_share"),
         F.count_if(tourism).alias("tourism_facilities"),
         share(tourism).alias("tourism_share"),
@@ -82,7 +81,6 @@ def stock_measures(small: int = SMALL_ROOMS, younger: int = YOUNGER, older: int
         F.try_divide(F.sum("foreigner"), F.sum("registrations")).alias("foreigner_share"),
         F.try_divide(F.sum("foreign_capable"), F.sum("registrations")).alias("foreign_capable_share"),
         F.avg(age).alias("age_mean"),
-        F.median(age).alias("age_median"),
         weighted_mean(age, rooms).alias("age_by_rooms"),
         share(age >= younger, age).alias("age20_share"),
         share(age >= older, age).alias("age30_share"),
@@ -91,13 +89,21 @@ def stock_measures(small: int = SMALL_ROOMS, younger: int = YOUNGER, older: int
     ]
 
 
+STOCK_QUANTILES = {"room_median": ("rooms", 0.5), "room_q1": ("rooms", 0.25), "room_q3": ("rooms", 0.75), "age_median": ("age", 0.5)}
+
+
+def measured_stock(facilities: DataFrame, keys: Sequence[str], also: Sequence[Column] = ()) -> DataFrame:
+    """All measures of the stock by keys."""
+    return with_quantiles(facilities.groupBy(*keys).agg(*stock_measures(), *also), facilities, keys, STOCK_QUANTILES)
+
+
 def district_marts(facilities: DataFrame, universe: DataFrame, observed: DataFrame | None = None) -> DataFrame:
     """Measures of every district of the universe (district, region_group).
 
     An observed district without facilities has counts and sums of 0; one never observed has nulls and stock_observed false.
     Without `observed`, all are.
     """
-    measured = facilities.groupBy("district").agg(*stock_measures())
+    measured = measured_stock(facilities, ["district"])
     seen = F.lit(True)
     base = universe
     if observed is not None:
@@ -137,7 +143,7 @@ def group_marts(district_months: DataFrame, facilities: DataFrame, members: Data
         *(complete_sum(F.col(c)).alias(c) for c in ("facilities", "room_sum")),
         F.min("room_coverage").alias("room_coverage"),
     )
-    pooled = facilities.groupBy("region_group").agg(F.avg("rooms").alias("room_mean"), F.median("rooms").alias("room_median"))
+    pooled = with_quantiles(facilities.groupBy("region_group").agg(F.avg("rooms").alias("room_mean")), facilities, ["region_group"], {"room_median": ("rooms", 0.5)})
     out = due.join(sums, "region_group", "left").join(pooled, "region_group", "left")
     whole = F.coalesce(F.col("n_present") == F.col("n_due"), F.lit(False))
     return out.withColumns({c: F.when(whole, F.col(c)) for c in ("facilities", "room_sum", "room_mean", "room_median")}).withColumn("complete", whole)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.functions import geo, parsing, status
 from tessera.functions.text import indel_similarity, name_key
 from tessera.operators import aggregates as agg
-from tessera.operators import graph, joins, latest, matching, quality, reshape, spatial, windows
+from tessera.operators import graph, joins, latest, matching, quality, quantiles, reshape, spatial, windows
 from tessera.plans import marts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -272,12 +272,23 @@ STOCK_SQL = """
 
 @query(f"SELECT district, {STOCK_SQL} FROM ({FACILITIES}) GROUP BY district")
 def district_distribution(spark, d):
-    return rounded(facilities(spark, d).groupBy("district").agg(*marts.stock_measures()))
+    return rounded(marts.measured_stock(facilities(spark, d), ["district"]))
 
 
 @query(f"SELECT region_group, round(avg(rooms), 6) AS room_mean, median(rooms)::DOUBLE AS room_median, quantile_cont(rooms, 0.25)::DOUBLE AS room_q1 FROM ({FACILITIES}) GROUP BY region_group")
 def pooled_group_median(spark, d):
-    return rounded(facilities(spark, d).groupBy("region_group").agg(F.avg("rooms").alias("room_mean"), F.median("rooms").alias("room_median"), agg.quantile(F.col("rooms"), 0.25).alias("room_q1")))
+    f = facilities(spark, d)
+    mean = f.groupBy("region_group").agg(F.avg("rooms").alias("room_mean"))
+    return rounded(quantiles.with_quantiles(mean, f, ["region_group"], {"room_median": ("rooms", 0.5), "room_q1": ("rooms", 0.25)}))
+
+
+@query("""
+WITH v AS (SELECT coalesce(l_returnflag, '-') AS flag, l_extendedprice AS price, l_quantity AS quantity FROM lineitem)
+SELECT flag, round(quantile_cont(price, 0.5), 4) AS price_median, round(quantile_cont(price, 0.999), 4) AS price_p999, round(quantile_cont(quantity, 0.1), 4) AS quantity_p10 FROM v GROUP BY 1
+""")
+def large_group_quantiles(spark, d):
+    v = table(spark, d, "lineitem").select(F.coalesce("l_returnflag", F.lit("-")).alias("flag"), F.col("l_extendedprice").alias("price"), F.col("l_quantity").alias("quantity"))
+    return rounded(quantiles.exact_quantiles(v, ["flag"], {"price_median": ("price", 0.5), "price_p999": ("price", 0.999), "quantity_p10": ("quantity", 0.1)}), 4)
 
 
 @query(f"""
@@ -607,7 +618,7 @@ UNION ALL SELECT district, 'CLOSURE_DOMINANT_MARKET_STABILIZATION', CASE WHEN cl
 """)
 def policy_signals(spark, d):
     n = F.regexp_extract("district", r"\d+", 0).cast("int")
-    s = facilities(spark, d).groupBy("district").agg(*marts.stock_measures())
+    s = marts.measured_stock(facilities(spark, d), ["district"])
     x = s.withColumns({"pressure_band": F.when(n % 4 == 0, "unclassified").when(n % 4 == 1, "high").otherwise("low"), "stock_band": F.when(n % 2 == 1, "low").otherwise("high"), "growth_gap": n - 5, "openings": n, "closures": F.when(n != 2, 10)})
     return marts.policy_signals(x, ["district"])
 

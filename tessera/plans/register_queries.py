@@ -206,21 +206,32 @@ def latest_complete_buildings(spark, d):
 
 @query("""
 WITH c AS (SELECT o_custkey, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
-SELECT o_custkey, o_orderkey, l_linenumber, l_partkey FROM c JOIN lineitem ON l_orderkey = o_orderkey QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY l_shipdate DESC, l_linenumber DESC) = 1
+SELECT o_custkey, o_orderkey, l_linenumber, l_partkey FROM c JOIN lineitem ON l_orderkey = o_orderkey QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) = 1
 """)
 def component_then_snapshot(spark, d):
     component = latest.latest(table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate"), ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")])
-    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_shipdate")
-    return latest.latest(component.join(lines, "o_orderkey"), ["o_custkey"], [F.desc("l_shipdate"), F.desc("l_linenumber")]).select("o_custkey", "o_orderkey", "l_linenumber", "l_partkey")
+    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    order = [F.desc(c) for c in ("l_shipdate", "l_linenumber", "l_partkey", "l_suppkey")]
+    return latest.latest(component.join(lines, "o_orderkey"), ["o_custkey"], order, ties="reject").select("o_custkey", "o_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("""
+WITH r AS (SELECT l_orderkey, l_shipdate, l_linenumber, l_partkey, l_suppkey, rank() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC) AS place FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (CASE WHEN count(DISTINCT (l_partkey, l_suppkey)) OVER (PARTITION BY l_orderkey) = 1 THEN 1 ELSE count(*) OVER (PARTITION BY l_orderkey) END)::BIGINT AS tied FROM r WHERE place = 1
+QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey) = 1
+""")
+def latest_with_ties(spark, d):
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_shipdate", "l_linenumber", "l_partkey", "l_suppkey")
+    return latest.latest(lines, ["l_orderkey"], [F.desc("l_shipdate"), F.desc("l_linenumber")], ties="report").drop("l_shipdate")
 
 
 @query("""
 SELECT least(l_partkey, l_suppkey) AS left_key, greatest(l_partkey, l_suppkey) AS right_key, l_returnflag AS ruling FROM lineitem
-QUALIFY row_number() OVER (PARTITION BY least(l_partkey, l_suppkey), greatest(l_partkey, l_suppkey) ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) = 1
+QUALIFY row_number() OVER (PARTITION BY least(l_partkey, l_suppkey), greatest(l_partkey, l_suppkey) ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_returnflag DESC) = 1
 """)
 def latest_rulings(spark, d):
     rulings = table(spark, d, "lineitem").select(F.col("l_partkey").alias("left_key"), F.col("l_suppkey").alias("right_key"), F.col("l_returnflag").alias("ruling"), "l_shipdate", "l_orderkey", "l_linenumber")
-    return matching.latest_rulings(rulings, [F.desc("l_shipdate"), F.desc("l_orderkey"), F.desc("l_linenumber")]).select("left_key", "right_key", "ruling")
+    return matching.latest_rulings(rulings, [F.desc("l_shipdate"), F.desc("l_orderkey"), F.desc("l_linenumber"), F.desc("ruling")]).select("left_key", "right_key", "ruling")
 
 
 @query(f"""
@@ -477,7 +488,7 @@ SELECT district, metric, round(value, 6) AS value, round(numerator, 6) AS numera
 def district_evidence(spark, d):
     f = facilities(spark, d)
     visits = table(spark, d, "events").groupBy(F.concat(F.lit("NATION_"), F.col("user_id") % 20).alias("district")).agg(F.round(F.sum("value"), 4).alias("visits"))
-    stock = f.groupBy("district").agg(*marts.stock_measures(), *marts.evidence_counts())
+    stock = marts.measured_stock(f, ["district"], marts.evidence_counts())
     none = F.lit(None).cast("double")
     flows = {"visitor_person_days_per_100_rooms": (F.col("visits"), F.when(F.col("visits").isNotNull(), 1.0), F.when(F.col("visits").isNull(), "no_rows").otherwise("visitors")), "lodging_consumption_per_room": (none, none, F.lit("incompatible_units")), "transport_inflow_per_room": (none, none, F.lit("no_rows"))}
     return rounded(marts.metric_evidence(stock.join(visits, "district", "left"), ["district"], marts.district_evidence_specs(flows)))
