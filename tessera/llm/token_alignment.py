@@ -26,12 +26,14 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import itertools
 import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +47,7 @@ SALTS = 8
 CACHED = 1 << 18  # segments a worker remembers
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 PLAIN = 0x250  # below it the white space, letters and digits of all Unicode versions in use agree
+BEYOND_PLAIN = re.compile(f"[^\\x00-{chr(PLAIN - 1)}]")
 
 
 # ---------------------------------------------------------------- tokenizers
@@ -85,7 +88,6 @@ class Side:
             self.splits = True
         self.fast = self._fast(path)
         self.size = np.array([len(e) for e in self.entries], np.int64)
-        self.cache: dict[str, bytes | None] = {}
 
     @staticmethod
     def _fast(path: str):
@@ -104,45 +106,72 @@ class Side:
         """Ids of texts without special tokens; for A a space is put before each."""
         if self.model:
             return self.library.encode(texts, num_threads=1)
-        texts = [" " + t for t in texts]
-        if self.fast is not None:
-            plain = [max(t) < chr(PLAIN) for t in texts]
-            rest = iter(self.library.encode_batch_fast([t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False))
-            return [self.fast.encode_ordinary(t) if p else next(rest).ids for t, p in zip(texts, plain, strict=True)]
-        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, segments: list[str]) -> None:
-        """Encode segments into the cache: ids as 16-bit numbers, None where their bytes differ from space and segment."""
+        return [e.ids for e in self.library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+
+    def packed(self, texts: list[str], apart: bool = False) -> list[bytes | None]:
+        """Ids of texts as 16-bit numbers; None where their bytes differ from space and text.
+
+        apart: the texts have no white space at their ends, so one text of them all has the same tokens.
+        """
+        if not texts:
+            return []
+        joined = " " + " ".join(texts)
+        if apart and self.fast is not None and not BEYOND_PLAIN.search(joined):
+            flat = self.fast.encode_ordinary(joined)
+            lengths = None
+        else:
+            each = self.ids(texts)
+            flat, lengths = list(itertools.chain.from_iterable(each)), np.fromiter(map(len, each), np.int64, len(each))
+        numbers = np.array(flat, np.uint16)
+        size = np.fromiter((len(t.encode()) for t in texts), np.int64, len(texts)) + 1
+        ends, due = np.concatenate([[0], np.cumsum(self.size[numbers])]), np.cumsum(size)
+        cuts = np.searchsorted(ends, due) if lengths is None else np.cumsum(lengths)
+        same = b"".join(map(self.entries.__getitem__, flat)) == joined.encode() and (ends[cuts] == due).all()
+        if same:
+            data, cuts = numbers.tobytes(), (2 * cuts).tolist()
+            return [data[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
+        if len(texts) > 1:  # some text of them differs
+            half = len(texts) // 2
+            return self.packed(texts[:half], apart) + self.packed(texts[half:], apart)
+        return [None]
+
+
+class Pair:
+    """Both tokenizers, with a dictionary of segments: their ids on both sides, None where bytes differ, False where white space stands at an end."""
+
+    def __init__(self, path_a: str, path_b: str):
+        self.sides = Side(path_a), Side(path_b)
+        self.sizes = tuple(s.size for s in self.sides)
+        self.splits = all(s.splits for s in self.sides)
+        self.cache: dict[str, tuple[bytes, bytes] | bool | None] = {}
+
+    def both(self, segments: list[str], apart: bool = False) -> list[tuple[bytes, bytes] | None]:
+        return [None if a is None or b is None else (a, b) for a, b in zip(*(s.packed(segments, apart) for s in self.sides), strict=True)]
+
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """The ids of texts on both sides, or None where they do not give back a text's bytes; what segments of all texts are new is encoded at once."""
+        if not self.splits:
+            return self.both(texts)
+        cut = [text.split(" ") for text in texts]
         if len(self.cache) > CACHED:
             self.cache.clear()
-        for segment, ids in zip(segments, self.ids(segments), strict=True):
-            same = b"".join([self.entries[i] for i in ids]) == b" " + segment.encode()
-            self.cache[segment] = np.array(ids, np.uint16).tobytes() if same else None
-
-    def encode(self, segments: list[str]) -> np.ndarray | None:
-        """The ids of a text's segments, or None where they do not give back its bytes."""
-        try:
-            parts = [self.cache[s] for s in segments]
-        except KeyError:
-            missing = [s for s in dict.fromkeys(segments) if s not in self.cache]
-            self.learn(missing)
-            parts = [self.cache[s] if s in self.cache else self._again(s) for s in segments]
-        return None if None in parts else np.frombuffer(b"".join(parts), np.uint16)
-
-    def _again(self, segment: str) -> bytes | None:
-        self.learn([segment])
-        return self.cache[segment]
+        known = self.cache
+        new = list(set().union(*cut) - known.keys())
+        fit = [s for s in new if s and not s[0].isspace() and not s[-1].isspace()]
+        known.update(dict.fromkeys(new, False))
+        known.update(zip(fit, self.both(fit, True), strict=True))
+        out = []
+        for text, parts in zip(texts, cut, strict=True):
+            found = [known[s] for s in parts]
+            if False in found:
+                found = self.both(SAFE.split(text))
+            out.append(None if None in found else tuple(map(b"".join, zip(*found, strict=True))))
+        return out
 
 
 @functools.cache
-def side(path: str) -> Side:
-    return Side(path)
-
-
-def segments_of(text: str) -> list[str]:
-    """The text cut at single spaces between characters that are no white space; the spaces belong to what follows and are left out."""
-    parts = text.split(" ")
-    return parts if all(parts) and not any(p[0].isspace() or p[-1].isspace() for p in parts) else SAFE.split(text)
+def pair(path_a: str, path_b: str) -> Pair:
+    return Pair(path_a, path_b)
 
 
 # ---------------------------------------------------------------- events
@@ -152,27 +181,33 @@ def events(docs: DataFrame, path_a: str, path_b: str, window: int = WINDOW) -> D
     """Rows (doc, id, part, side, ids): the tokens of a side whose ends are in a window, 16 bits each; a document without tokens has one row with side -1."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides = (side(path_a), side(path_b))
+        both = pair(path_a, path_b)
         row = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         for whole in batches:
             for batch in text_slices(whole, "text", 1 << 21):
-                doc, ident, part, of, ids = [], [], [], [], []
-                for at, text in enumerate(batch.column("text").to_pylist()):
-                    encoded = None
-                    if text:
-                        segments = segments_of(text) if all(s.splits for s in sides) else [text]
-                        encoded = [s.encode(segments) for s in sides]
-                        encoded = None if any(e is None for e in encoded) else encoded
-                    if encoded is None:
-                        doc.append(row), ident.append(at), part.append(0), of.append(-1), ids.append(b"")
-                    else:
-                        for n, (s, e) in enumerate(zip(sides, encoded, strict=True)):
-                            home = (np.cumsum(s.size[e]) - 1) // window
-                            cuts = np.flatnonzero(np.diff(home)) + 1
-                            for piece, w in zip(np.split(e, cuts), home[np.concatenate([[0], cuts])], strict=True):
-                                doc.append(row), ident.append(at), part.append(int(w)), of.append(n), ids.append(piece.tobytes())
-                    row += 1
-                yield pa.record_batch([pa.array(doc, pa.int64()), batch.column("id").take(pa.array(ident, pa.int32())), pa.array(part, pa.int32()), pa.array(of, pa.int8()), pa.array(ids, pa.binary())], names=["doc", "id", "part", "side", "ids"])
+                texts = pc.fill_null(batch.column("text"), "")
+                lengths = pc.add(pc.binary_length(texts), 1).to_pylist()
+                found = both.encode(texts.to_pylist())
+                doc, at, part, of, ids = [], [], [], [], []
+
+                def put(n: int, w: int, which: int, packed: bytes, doc=doc, at=at, part=part, of=of, ids=ids, row=row) -> None:
+                    doc.append(row + n), at.append(n), part.append(w), of.append(which), ids.append(packed)
+
+                for n, (length, encoded) in enumerate(zip(lengths, found, strict=True)):
+                    if length == 1 or encoded is None:
+                        put(n, 0, -1, b"")
+                        continue
+                    for which, packed in enumerate(encoded):
+                        if length <= window:
+                            put(n, 0, which, packed)
+                            continue
+                        e = np.frombuffer(packed, np.uint16)
+                        home = (np.cumsum(both.sizes[which][e]) - 1) // window
+                        cuts = np.flatnonzero(np.diff(home)) + 1
+                        for piece, w in zip(np.split(e, cuts), home[np.concatenate([[0], cuts])].tolist(), strict=True):
+                            put(n, w, which, piece.tobytes())
+                row += batch.num_rows
+                yield pa.record_batch([pa.array(doc, pa.int64()), batch.column("id").take(pa.array(at, pa.int32())), pa.array(part, pa.int32()), pa.array(of, pa.int8()), pa.array(ids, pa.binary())], names=["doc", "id", "part", "side", "ids"])
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.select("id", "text").mapInArrow(each, f"doc long, id {kind}, part int, side tinyint, ids binary")
@@ -227,32 +262,48 @@ class Sweep:
     def settle(self) -> None:
         """Write out the groups up to the last common end, when both sides of a window are there."""
         (a, a_end), (b, b_end) = self.open
-        common = np.intersect1d(a_end, b_end, assume_unique=True)
-        if not len(common):
+        both = np.concatenate([a_end, b_end])
+        order = np.argsort(both, kind="stable")  # merges two runs
+        ends = both[order]
+        new = np.ones(len(ends), bool)
+        new[1:] = ends[1:] != ends[:-1]
+        if new.all():
             return
-        na, nb = np.searchsorted(a_end, common[-1], "right"), np.searchsorted(b_end, common[-1], "right")
+        place = np.empty(len(ends), np.int64)  # of each token's end among the united ends
+        place[order] = np.cumsum(new) - 1
+        of_a, of_b = np.zeros(int(place.max()) + 1, bool), np.zeros(int(place.max()) + 1, bool)
+        of_a[place[: len(a)]] = of_b[place[len(a) :]] = True
+        common = np.flatnonzero(of_a & of_b)
+        m = int(common[-1]) + 1
+        upto_a, upto_b = np.cumsum(of_a[:m]), np.cumsum(of_b[:m])
+        na, nb = int(upto_a[-1]), int(upto_b[-1])
+        place_a, place_b = place[:na], place[len(a) : len(a) + nb]
         self.open = [(a[na:], a_end[na:]), (b[nb:], b_end[nb:])]
-        a, a_end, b, b_end = a[:na], a_end[:na], b[:nb], b_end[:nb]
-        ga, gb = np.searchsorted(common, a_end), np.searchsorted(common, b_end)  # the group of each token
-        order = np.empty(na + nb, np.int64)
-        order[np.arange(na) + np.searchsorted(gb, ga)] = a  # B's tokens of earlier groups stand before
-        order[np.arange(nb) + np.searchsorted(ga, gb, "right")] = b
+        a, b = a[:na], b[:nb]
+        is_end = (of_a & of_b)[:m]
+        group = np.cumsum(is_end) - is_end
+        ends_a, ends_b = upto_a[common], upto_b[common]  # tokens up to each group's end
+        text = np.empty(na + nb, np.int64)
+        text[np.arange(na) + np.concatenate([[0], ends_b])[group[place_a]]] = a  # B's tokens of earlier groups stand before
+        text[np.arange(nb) + ends_a[group[place_b]]] = b
         after = np.full(na + nb, ord(","), np.uint8)
-        last_a, last_b = np.searchsorted(a_end, common), np.searchsorted(b_end, common)
-        after[last_a + np.concatenate([[0], last_b[:-1] + 1])] = ord("|")
-        after[last_a + last_b + 1] = ord(";")
-        text = decimals().joined(order, after)[:-1]
-        self.digest.update(b";" + text if self.groups else text)
+        after[ends_a - 1 + np.concatenate([[0], ends_b[:-1]])] = ord("|")
+        after[ends_a + ends_b - 1] = ord(";")
+        written_out = decimals().joined(text, after)[:-1]
+        self.digest.update(b";" + written_out if self.groups else written_out)
         self.groups += len(common)
-        ends = np.union1d(a_end, b_end)
-        self.fresh.append((a[np.searchsorted(a_end, ends)] << 16 | b[np.searchsorted(b_end, ends)]).astype(np.uint32))
-        self.n_links += len(ends)
+        self.fresh.append((a[upto_a - of_a[:m]] << 16 | b[upto_b - of_b[:m]]).astype(np.uint32))
+        self.n_links += m
 
     def merge(self) -> None:
         """Distinct pairs of the document, with how often each is linked."""
-        pairs, at = np.unique(np.concatenate([self.pairs, *self.fresh]), return_inverse=True)
-        times = np.concatenate([self.times, np.ones(sum(map(len, self.fresh)), np.int64)])
-        self.pairs, self.times, self.fresh = pairs, np.bincount(at, times, len(pairs)).astype(np.int64), []
+        fresh = np.sort(np.concatenate([np.zeros(0, np.uint32), *self.fresh]))
+        starts = np.flatnonzero(np.concatenate([np.ones(min(len(fresh), 1), bool), fresh[1:] != fresh[:-1]]))
+        pairs, times = fresh[starts], np.diff(np.append(starts, len(fresh)))
+        if len(self.pairs):
+            all_pairs, at = np.unique(np.concatenate([self.pairs, pairs]), return_inverse=True)
+            pairs, times = all_pairs, np.bincount(at, np.concatenate([self.times, times]), len(all_pairs)).astype(np.int64)
+        self.pairs, self.times, self.fresh = pairs, times, []
 
 
 def buckets_of(pairs: np.ndarray, buckets: int) -> np.ndarray:
@@ -289,7 +340,7 @@ def swept(found: DataFrame, path_a: str, path_b: str, buckets: int = BUCKETS, sl
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = (side(path_a).size, side(path_b).size)
+        sizes = pair(path_a, path_b).sizes
         at, part, done, held, schema = None, None, [], 0, None
 
         def finish(sweep: Sweep) -> tuple:
