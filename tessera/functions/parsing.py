@@ -102,7 +102,8 @@ def district_token(text: Column, city: str = "부산") -> Column:
 
 
 def slug(text: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(text), r"[^a-z0-9]+", "_"), F.lit("_"))
+    """Lower case, each character that is no letter or digit of any script as _, without _ at the ends."""
+    return F.trim(F.lower(F.regexp_replace(text, r"[^\p{L}\p{N}]", "_")), F.lit("_"))
 
 
 def period_month(text: Column) -> Column:

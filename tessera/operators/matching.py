@@ -23,6 +23,7 @@ LON_STEP = NEAR_M / (111_000 * math.cos(math.radians(39)))  # at least 30 m anyw
 LAT_STEP = NEAR_M / 111_000
 SPLIT_BLOCK = 64
 LARGE_BLOCK = 10_000
+IN_TASK = 100_000  # decisions of a component that one task may merge in order
 
 
 def _pairs_sharing(records: DataFrame, value: Column) -> DataFrame:
@@ -147,24 +148,79 @@ def merge_in_order(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["kind", "key", "other"])
 
 
-def merged(records: DataFrame, decided: DataFrame) -> tuple[DataFrame, DataFrame]:
+def merge_in_rounds(edges: DataFrame, apart: DataFrame, rounds: int = 10_000) -> tuple[DataFrame, DataFrame]:
+    """`merge_in_order` for components of any size: (node, group) and the blocked edges, in rounds over edges (left_key, right_key).
+
+    apart: pairs (left_key, right_key) that some decision keeps apart.  Each group looks at its first undecided edge:
+
+    * a group that nothing keeps apart from anything joins along it: no later growth of the other side can block it;
+    * an edge is blocked if it is the first of either end and the two groups are kept apart, for groups only grow;
+    * an edge that is the first of both ends joins two groups that nothing keeps apart.
+
+    All of these give what the edges give in key order, so they are taken at once; then edges and pairs are renamed by group, and
+    edges inside a group go.  Groups that nothing keeps apart at least halve in number each round; the others go on
+    as their edges' order lets them.
+    """
+    spark = edges.sparkSession
+    live = edges.select(F.col("left_key").alias("a"), F.col("right_key").alias("b"), "left_key", "right_key").filter("a <> b").distinct()
+    nodes = cut_lineage(spark, live.select(F.col("a").alias("node")).union(live.select("b")).distinct().withColumn("group", F.col("node")))
+    live = cut_lineage(spark, live)
+    conflicts = apart.select(F.col("left_key").alias("a"), F.col("right_key").alias("b"))
+    conflicts = cut_lineage(spark, conflicts.union(conflicts.select("b", "a")).filter("a <> b").distinct())
+    blocked = live.filter("false").select("left_key", "right_key")
+    for _ in range(rounds):
+        if live.isEmpty():
+            break
+        ends = live.union(live.select("b", "a", "left_key", "right_key"))
+        first = ends.groupBy(F.col("a").alias("g")).agg(F.min(F.struct("left_key", "right_key", F.col("b").alias("o"))).alias("e")).select("g", "e.*")
+        first = first.join(conflicts.select(F.col("a").alias("g")).distinct().withColumn("bound", F.lit(True)), "g", "left")
+        first = first.join(conflicts.select(F.col("a").alias("g"), F.col("b").alias("o"), F.lit(True).alias("spans")), ["g", "o"], "left")
+        first = cut_lineage(spark, first.select("g", "o", "left_key", "right_key", F.col("bound").isNotNull().alias("bound"), F.col("spans").isNotNull().alias("spans")))
+        stopped = first.filter("spans").select("left_key", "right_key").distinct()
+        both = first.join(first.select(F.col("g").alias("o"), F.col("o").alias("g"), "left_key", "right_key"), ["g", "o", "left_key", "right_key"], "left_semi")
+        joins = first.filter("NOT bound").select("g", "o").union(both.filter("NOT spans").select("g", "o"))
+        renamed = connected_components(joins, "g", "o").select(F.col("node").alias("was"), F.col("component").alias("now"))
+
+        def named(df: DataFrame, column: str, renamed: DataFrame = renamed) -> DataFrame:
+            return df.join(renamed.withColumnRenamed("was", column), column, "left").withColumn(column, F.coalesce("now", column)).drop("now")
+
+        nodes = cut_lineage(spark, named(nodes, "group"))
+        live = live.join(stopped, ["left_key", "right_key"], "left_anti")
+        live = cut_lineage(spark, named(named(live, "a"), "b").filter("a <> b").select("a", "b", "left_key", "right_key"))
+        conflicts = cut_lineage(spark, named(named(conflicts, "a"), "b").select("a", "b").distinct())
+        blocked = cut_lineage(spark, blocked.union(stopped))
+    else:
+        raise RuntimeError(f"edges were left after {rounds} rounds")
+    return nodes.select("node", "group"), blocked
+
+
+def merged(records: DataFrame, decided: DataFrame, in_task: int = IN_TASK) -> tuple[DataFrame, DataFrame]:
     """(key, facility) of every record, and the blocked merges (left_key, right_key).
 
     Where no decision of another kind lies inside a component of merges, all of it is one facility, whatever its size.
-    Only components with such a decision are merged in order, each in one task; a conflict inside makes a person look at it,
-    so these stay as small as what people rule on.
+    Components with such a decision are merged in order: those of at most `in_task` decisions each in one task, larger ones in rounds over
+    all tasks, with the same result.
     """
+    spark = decided.sparkSession
     merges = decided.filter("decision = 'auto_merge'").select("left_key", "right_key")
-    parts = cut_lineage(decided.sparkSession, connected_components(merges, "left_key", "right_key"))
+    parts = cut_lineage(spark, connected_components(merges, "left_key", "right_key"))
     side = lambda name: parts.select(F.col("node").alias(f"{name}_key"), F.col("component").alias(f"{name}_part"))
     inside = decided.join(side("left"), "left_key").join(side("right"), "right_key").filter("left_part = right_part")
-    inside = cut_lineage(decided.sparkSession, inside.select(F.col("left_part").alias("part"), "left_key", "right_key", "decision", "phones_conflict"))
-    torn = inside.filter("decision IN ('review', 'separate') OR phones_conflict").select("part").distinct()
-    out = inside.join(torn, "part", "left_semi").groupBy("part").applyInPandas(merge_in_order, "kind string, key string, other string")
+    inside = cut_lineage(spark, inside.select(F.col("left_part").alias("part"), "left_key", "right_key", "decision", "phones_conflict"))
+    apart = F.col("decision").isin("review", "separate") | F.coalesce("phones_conflict", F.lit(False))
+    torn = cut_lineage(spark, inside.groupBy("part").agg(F.bool_or(apart).alias("torn"), (F.count(F.lit(1)) > in_task).alias("large")).filter("torn").select("part", "large"))
+    out = inside.join(torn.filter("NOT large"), "part", "left_semi").groupBy("part").applyInPandas(merge_in_order, "kind string, key string, other string")
     whole = parts.join(torn.withColumnRenamed("part", "component"), "component", "left_anti").select(F.col("node").alias("key"), F.col("component").alias("facility"))
     found = whole.unionByName(out.filter("kind = 'member'").select("key", F.col("other").alias("facility")))
-    facility = records.select("key").join(found, "key", "left").withColumn("facility", F.coalesce("facility", "key"))
     blocked = out.filter("kind = 'blocked'").select(F.col("key").alias("left_key"), F.col("other").alias("right_key"))
+    large = torn.filter("large")
+    if not large.isEmpty():
+        of_large = inside.join(large, "part", "left_semi")
+        groups, stopped = merge_in_rounds(of_large.filter("decision = 'auto_merge'"), of_large.filter(apart))
+        least = groups.groupBy("group").agg(F.min("node").alias("facility"))
+        found = found.unionByName(groups.join(least, "group").select(F.col("node").alias("key"), "facility"))
+        blocked = blocked.unionByName(stopped)
+    facility = records.select("key").join(found, "key", "left").withColumn("facility", F.coalesce("facility", "key"))
     return facility, blocked
 
 
@@ -182,30 +238,6 @@ def attach_designations(decided: DataFrame, facility: DataFrame, pensions: DataF
     )
 
 
-def _unaliased(anchors: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Anchors with the end of each id's chain; ids of a circle of aliases stand for the least of them."""
-    to = aliases.groupBy("alias").agg(F.min("canonical_id").alias("next")).filter("alias <> next")
-    circles = connected_components(to, "alias", "next")
-    ends = to.select(F.col("next").alias("node")).distinct().join(to.select(F.col("alias").alias("node")), "node", "left_anti")
-    # a component of aliases has one end, for each alias has one target, or it is a circle and has none
-    end = circles.join(ends, "node").groupBy("component").agg(F.min("node").alias("end"))
-    of = circles.join(end, "component", "left").select(F.col("node").alias("canonical_id"), F.coalesce("end", "component").alias("_to"))
-    return anchors.join(of, "canonical_id", "left").withColumn("canonical_id", F.coalesce("_to", "canonical_id")).drop("_to")
-
-
-def surviving_ids(facility: DataFrame, anchors: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
-    """(facility, canonical_id): the id of the anchor (key, canonical_id, since) that a facility's members hold longest.
-
-    An id goes to one facility only, that of its oldest anchor, so after a split the others get an id of their own.
-    aliases: (alias, canonical_id) of earlier merges; an anchor's id stands for the end of its chain of aliases.
-    """
-    held = facility.join(anchors if aliases is None else _unaliased(anchors, aliases), "key")
-    first = Window.partitionBy("canonical_id").orderBy("since", "key")
-    own = held.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
-    chosen = own.groupBy("facility").agg(F.min_by("canonical_id", F.struct("since", "key")).alias("canonical_id"))
-    return facility.select("facility").distinct().join(chosen, "facility", "left").withColumn("canonical_id", F.coalesce("canonical_id", F.concat(F.lit("new:"), "facility")))
-
-
 def review_rows(decided: DataFrame, facility: DataFrame, blocked: DataFrame) -> DataFrame:
     """What people have to look at: reviews and blocked merges whose ends are different facilities."""
     reviews = decided.filter("decision = 'review'").select("left_key", "right_key", F.lit("review").alias("reason"))

@@ -214,7 +214,7 @@ def district_evidence_specs(flows: dict[str, tuple[Column, Column, Column]]) ->
         ("building_20y_share", c("age20_count"), c("age_known"), 1.0, ages, F.lit("building_register")),
         ("building_30y_share", c("age30_count"), c("age_known"), 1.0, ages, F.lit("building_register")),
         ("recent_five_year_permit_event_share", c("permit_count"), c("permit_known"), 1.0, permits, F.lit("building_register")),
-        ("visitor_growth_minus_room_supply_growth", F.lit(None), F.lit(None), 1.0, F.lit(None).cast("double"), F.lit("no_consecutive_comparable_period")),
+        ("visitor_growth_minus_room_supply_growth", F.lit(None), F.lit(None), 1.0, F.lit(None).cast("double"), F.lit("missing_consecutive_comparable_period")),
     ]
 
 

@@ -233,7 +233,7 @@ def demand(rows: DataFrame) -> DataFrame:
     for name, f, cf, prefix, native in reversed(DEMAND_FIELDS):
         here = (source == name) & _field(f).isNotNull()
         said = F.lit(None).cast("string") if cf is None else _field(cf)
-        slug = F.regexp_replace(F.regexp_replace(F.lower(said), r"[^\p{L}\p{N}]", "_"), "^_+|_+$", "")
+        slug = p.slug(said)
         full = F.lit(prefix) if cf is None else F.concat(F.lit(f"{prefix}."), slug)
         value, metric, field = F.when(here, _field(f)).otherwise(value), F.when(here, full).otherwise(metric), F.when(here, F.lit(f)).otherwise(field)
         code, code_field, unit = F.when(here, said).otherwise(code), F.when(here, F.lit(cf)).otherwise(code_field), F.when(here, native).otherwise(unit)

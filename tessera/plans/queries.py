@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.functions import geo, parsing, status
 from tessera.functions.text import indel_similarity, name_key
 from tessera.operators import aggregates as agg
-from tessera.operators import graph, joins, latest, matching, quality, quantiles, reshape, spatial, windows
+from tessera.operators import graph, identity, joins, latest, matching, quality, quantiles, reshape, spatial, windows
 from tessera.plans import marts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -715,6 +715,28 @@ def entity_facilities(spark, d):
     return matching.merged(r.filter("NOT pension"), decided)[0]
 
 
+# Customers of a nation and segment are a facility; an earlier id is shared by customers of several, and ids below 50 are aliases up to the next that ends in 9.
+EARLIER = "(c_custkey * 7 + c_nationkey) % 97"
+
+
+@query(f"""
+WITH c AS (SELECT 'c:' || c_custkey AS key, c_nationkey || c_mktsegment AS part, {EARLIER} AS n FROM customer),
+p AS (SELECT part, min(key) AS facility FROM c GROUP BY 1), a AS (SELECT n, min(key) AS key FROM c GROUP BY 1),
+k AS (SELECT DISTINCT facility, CASE WHEN n < 50 THEN n - n % 10 + 9 ELSE n END AS n FROM c JOIN p USING (part) WHERE n <> 13),
+f AS (SELECT n, min(facility) AS facility FROM k GROUP BY 1),
+o AS (SELECT k.*, coalesce(own.part = p.part, false) AS anchored FROM k JOIN f USING (n, facility) JOIN p USING (facility) LEFT JOIN (SELECT a.n, c.part FROM a JOIN c USING (key)) own ON own.n = k.n)
+SELECT p.facility, first(n ORDER BY NOT anchored, 'p' || n) AS kept, CASE WHEN count(n) = 0 THEN 'new' ELSE 'kept' END AS origin FROM p LEFT JOIN o USING (facility) GROUP BY 1
+""")
+def canonical_ids(spark, d):
+    c = table(spark, d, "customer").select(F.concat(F.lit("c:"), "c_custkey").alias("key"), F.concat("c_nationkey", "c_mktsegment").alias("part"), F.expr(EARLIER).cast("int").alias("n"))
+    name = lambda n: F.concat(F.lit("p"), n)
+    facility = c.join(c.groupBy("part").agg(F.min("key").alias("facility")), "part").select("key", "facility")
+    anchors = c.groupBy(name(F.col("n")).alias("canonical_id")).agg(F.min("key").alias("key"))
+    aliases = c.select("n").distinct().filter("n < 50 AND n % 10 < 9").select(name(F.col("n")).alias("alias"), name(F.col("n") + 1).alias("canonical_id"))
+    ids = identity.surviving_ids(facility, c.filter("n <> 13").select("key", name(F.col("n")).alias("canonical_id")), anchors, aliases)[0]
+    return ids.select("facility", F.when(F.col("origin") == "kept", F.substring("canonical_id", 2, 9).cast("bigint")).alias("kept"), "origin")
+
+
 # The longest common subsequence by the rows of its table: a row's value at j is the best of what ends at any k up to j.
 @query("""
 WITH t AS (SELECT p_partkey, string_split(regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g'), '') AS a, string_split(regexp_replace(lower(p_type), '[^a-z0-9]', '', 'g'), '') AS b FROM part),

@@ -397,12 +397,12 @@ def calibration_notice(spark, d):
     return quality.calibration_notice(table(spark, d, "labels"))
 
 
-TEXTS = ["fine text", "", None, "see C:\\temp", "/etc/passwd", "a/b", "../up", "http://x", "www.x.kr", "password: abc", "token=1", "Bearer abcdef", "AKIA" + "A1" * 8, "ratio 1/2"]
+TEXTS = ["fine text", "", None, "see C:\\temp", "/etc/passwd", "a/b", "../up", "http://x", "www.x.kr", "password: abc", "token=1", "Bearer abcdef", "AKIA" + "A1" * 8, "ratio 1/2", "key akia" + "b2" * 8, "AIza" + "Sy_" * 11, "sk-" + "k" * 16, "sk-short", "glpat-12345678", "xoxb-1234-5678", "eyJa.eyJb.12345678", "sk_live_1", "ghp_" + "x" * 20]
 
 
 @query(f"""
 SELECT c_custkey, coalesce(length(t) > 0 AND NOT regexp_matches(t, '[A-Za-z]:[\\\\/]') AND NOT regexp_matches(t, '(^|[^A-Za-z0-9])/[A-Za-z0-9._~-]+(/|$)') AND NOT regexp_matches(t, '(^|[\\\\/])[.][.]([\\\\/]|$)') AND NOT regexp_matches(t, '(?i)(https?|ftp|file)://|\\bwww[.]')
-  AND NOT regexp_matches(t, '(?i)(password|passwd|secret|token|api[_-]?key|servicekey|authorization)\\s*[:=]\\s*\\S+') AND NOT regexp_matches(t, '(?i)\\bbearer\\s+[A-Za-z0-9._~+/=-]+') AND NOT regexp_matches(t, '\\bAKIA[0-9A-Z]{{16}}\\b'), false) AS text_ok,
+  AND NOT regexp_matches(t, '(?i)(password|passwd|secret|token|api[_-]?key|servicekey|authorization)\\s*[:=]\\s*\\S+') AND NOT regexp_matches(t, '(?i)\\bbearer\\s+[A-Za-z0-9._~+/=-]+') AND NOT regexp_matches(t, '(?i)\\b(AKIA[0-9A-Z]{{16}}|sk-[A-Za-z0-9_-]{{16,}}|AIza[0-9A-Za-z_-]{{30,}}|eyJ[A-Za-z0-9_-]+[.]eyJ[A-Za-z0-9_-]+[.][A-Za-z0-9_-]{{8,}}|glpat-[A-Za-z0-9_-]{{8,}}|(xox[a-z]?|xapp)-[A-Za-z0-9-]{{8,}}|gh[pousr]_[A-Za-z0-9]{{20,255}})\\b') AND NOT regexp_matches(t, '(?i)\\b(sk|pk)_(live|test)_[A-Za-z0-9]+'), false) AS text_ok,
   coalesce(c_acctbal >= 0 AND c_acctbal <= 9000, true) AS number_ok, c_acctbal / 30 BETWEEN -180 AND 180 AND c_custkey % 100 BETWEEN -90 AND 90 AS position_ok, round(c_acctbal / 7, 9) AS position
 FROM (SELECT *, {sql_pick(TEXTS, "c_custkey")} AS t FROM customer)
 """)
@@ -449,7 +449,7 @@ SLUGS = ["Hello, World", "  a--b ", "", "한글 x", "A"]
 
 @query(f"""
 WITH t AS (SELECT o_orderkey, {sql_pick(PHONES, "o_orderkey")} AS p, {sql_pick(SLUGS, "o_orderkey")} AS s, nullif(trim(regexp_replace({sql_pick(ROADS, "o_orderkey")}, '\\s+', ' ', 'g')), '') AS a FROM orders)
-SELECT o_orderkey, nullif(regexp_replace(p, '[^0-9]', '', 'g'), '') AS phone, trim(regexp_replace(lower(s), '[^a-z0-9]+', '_', 'g'), '_') AS slug, a AS address, {CITY.format("a")} AS in_city, CASE WHEN {CITY.format("a")} THEN nullif(regexp_extract(a, '([가-힣]+(구|군))', 1), '') END AS district FROM t
+SELECT o_orderkey, nullif(regexp_replace(p, '[^0-9]', '', 'g'), '') AS phone, trim(lower(regexp_replace(s, '[^\\p{{L}}\\p{{N}}]', '_', 'g')), '_') AS slug, a AS address, {CITY.format("a")} AS in_city, CASE WHEN {CITY.format("a")} THEN nullif(regexp_extract(a, '([가-힣]+(구|군))', 1), '') END AS district FROM t
 """)
 def text_keys(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", pick(PHONES, "o_orderkey").alias("p"), pick(SLUGS, "o_orderkey").alias("s"), pick(ROADS, "o_orderkey").alias("a"))
@@ -478,7 +478,7 @@ e AS (SELECT district, unnest([
   {{'metric': 'physical_facility_count', 'n': f, 'd': 1.0, 'k': 1.0, 'c': 1.0, 's': ''}}, {{'metric': 'room_coverage', 'n': known, 'd': f, 'k': 1.0, 'c': rc, 's': ''}}, {{'metric': 'small_facility_share', 'n': small, 'd': known, 'k': 1.0, 'c': rc, 's': ''}},
   {{'metric': 'visitor_person_days_per_100_rooms', 'n': visits, 'd': denom, 'k': 100.0, 'c': CASE WHEN visits IS NOT NULL THEN rc END, 's': CASE WHEN visits IS NULL THEN 'no_' ELSE '' END}}, {{'metric': 'lodging_consumption_per_room', 'n': NULL, 'd': denom, 'k': 1.0, 'c': NULL, 's': 'incompatible'}}, {{'metric': 'transport_inflow_per_room', 'n': NULL, 'd': denom, 'k': 1.0, 'c': NULL, 's': 'no_'}},
   {{'metric': 'tourism_registration_facility_share', 'n': tf, 'd': f, 'k': 1.0, 'c': 1.0, 's': ''}}, {{'metric': 'tourism_registration_room_share', 'n': tr, 'd': denom, 'k': 1.0, 'c': least(rc, trc), 's': ''}}, {{'metric': 'foreigner_city_homestay_registration_share', 'n': fr, 'd': regs, 'k': 1.0, 'c': 1.0, 's': ''}}, {{'metric': 'foreign_visitor_capable_registration_share', 'n': fc, 'd': regs, 'k': 1.0, 'c': 1.0, 's': ''}},
-  {{'metric': 'building_20y_share', 'n': a20, 'd': ak, 'k': 1.0, 'c': ak / f, 's': ''}}, {{'metric': 'building_30y_share', 'n': a30, 'd': ak, 'k': 1.0, 'c': ak / f, 's': ''}}, {{'metric': 'recent_five_year_permit_event_share', 'n': pc, 'd': pk, 'k': 1.0, 'c': pk / f, 's': ''}}, {{'metric': 'visitor_growth_minus_room_supply_growth', 'n': NULL, 'd': NULL, 'k': 1.0, 'c': NULL, 's': 'no_'}}]) AS e FROM j),
+  {{'metric': 'building_20y_share', 'n': a20, 'd': ak, 'k': 1.0, 'c': ak / f, 's': ''}}, {{'metric': 'building_30y_share', 'n': a30, 'd': ak, 'k': 1.0, 'c': ak / f, 's': ''}}, {{'metric': 'recent_five_year_permit_event_share', 'n': pc, 'd': pk, 'k': 1.0, 'c': pk / f, 's': ''}}, {{'metric': 'visitor_growth_minus_room_supply_growth', 'n': NULL, 'd': NULL, 'k': 1.0, 'c': NULL, 's': ''}}]) AS e FROM j),
 x AS (SELECT district, e.metric AS metric, CASE WHEN e.n IS NOT NULL AND e.d > 0 THEN e.n * e.k / e.d END AS value, e.n AS numerator, e.d AS denominator, e.c AS coverage, e.s AS s FROM e)
 SELECT district, metric, round(value, 6) AS value, round(numerator, 6) AS numerator, round(denominator, 6) AS denominator, round(coverage, 6)::DOUBLE AS coverage, CASE WHEN value IS NOT NULL AND coverage >= 0.8 THEN 'good' WHEN value IS NOT NULL THEN 'warning' WHEN s <> '' THEN 'incompatible' ELSE 'insufficient' END AS quality FROM x
 """

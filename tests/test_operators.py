@@ -172,13 +172,7 @@ def test_merging_never_joins_what_is_kept_apart(spark):
         assert (r.facility, r.reason) == ((next(iter(found)), None) if len(found) == 1 else (None, "unmatched" if not found else "ambiguous"))
 
 
-def test_ids_survive_merges_splits_and_aliases(spark):
-    facility = spark.createDataFrame([("a", "a"), ("b", "a"), ("c", "c"), ("d", "d"), ("e", "e")], "key string, facility string")
-    anchors = spark.createDataFrame([("a", "old", 3), ("b", "x1", 1), ("c", "x1", 2), ("d", "loop1", 1)], "key string, canonical_id string, since int")
-    aliases = spark.createDataFrame([("x1", "x2"), ("x2", "x3"), ("loop1", "loop2"), ("loop2", "loop1")], "alias string, canonical_id string")
-    got = {r.facility: r.canonical_id for r in matching.surviving_ids(facility, anchors, aliases).collect()}
-    assert got == {"a": "x3", "c": "new:c", "d": "loop1", "e": "new:e"}
-    assert {r.facility: r.canonical_id for r in matching.surviving_ids(facility, anchors).collect()}["a"] == "x1"
+def test_merge_quality(spark):
     row = matching.merge_quality(spark.createDataFrame([("auto_merge", "auto_merge")] * 19 + [("auto_merge", "review"), ("review", "auto_merge")], "decision string, expected string")).first()
     assert (row.predicted, row.correct, row.precision) == (20, 19, 0.95) and 0.7 < row.lower_bound < 0.95
 
