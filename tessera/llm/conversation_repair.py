@@ -196,7 +196,8 @@ def repair(rows: DataFrame, segment: int = SEGMENT) -> DataFrame:
             yield pa.record_batch([pa.array([v], k) for v, k in zip(at.result(), kinds.types, strict=True)], schema=kinds)
 
     kind = rows.schema["conv_id"].dataType.simpleString()
-    sorted_rows = joined.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    # by a struct: Spark leaves out a repartition by a column that the input seems to have already, and may change the input's own later
+    sorted_rows = joined.repartition(F.struct("conv_id")).sortWithinPartitions("conv_id", "turn", "role", "text")
     return sorted_rows.mapInArrow(each, f"conv_id {kind}, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string")
 
 
