@@ -1,16 +1,18 @@
 """Line dedup by pairwise alignment: overlapping documents, patience diff, common blocks cut from the later one.
 
 A line is a run of text between line feeds; lines count as equal if their words are, after lower-casing A-Z, and
-blank lines count for nothing.  Common lines on their own, such as licence or menu lines, link nothing.  What is rare
-enough to link two documents is a key: the hash of the fewest lines from a line on, or up to a line, that hold
-`min_words` words together.  Every two documents with a common run of lines of min_words words share a key, and each
-line of the run is in a shared one.  The holders of a key are linked with the earliest of them, so a passage of n
-documents makes n - 1 pairs, not n^2 / 2, however many they are.
+blank lines count for nothing.  What links two documents is a key: the hash of the fewest lines from a line on, or up to a
+line, that hold `min_words` words together.  So lines of fewer words, such as menu lines, link nothing on their own; a longer line,
+such as a licence line, is a key itself, and however frequent it is, it links each holder with the earliest only: a passage
+of n documents makes n - 1 pairs, not n^2 / 2, and no bound on frequency is needed.  Every two documents with a common run
+of lines of min_words words share a key, and each line of the run is in a shared one.
 
 Before pairs are aligned, lines that are in no shared key are left out of the sequences; they can be in no common
 block.  Each pair is then aligned by patience diff, and aligned blocks (consecutive lines in both) of min_words words
 are cut from the later document.  Passages that one rising chain cannot hold, as they are repeated or crossed, are
-matched by their keys after that.  A document with fewer words is cut whole if an earlier one has just the same lines.
+aligned again: where the later document still has lines in a key of both, the places of the key are aligned by themselves, and
+aligned blocks cut in the same way.  Nothing is cut that no alignment holds.  A document with fewer words is cut whole if an
+earlier one has just the same lines.
 
 So a line goes exactly if it is in a run of lines of min_words words that stands in an earlier document too, and one
 copy of every passage stays, in its earliest holder.
@@ -210,15 +212,27 @@ def cut_lines(a: Sequence, b: Sequence, min_words: int) -> np.ndarray:
         return np.arange(len(b.code)) if np.array_equal(a.code, b.code) else np.zeros(0, np.int64)
     x, _ = a.parted(-1)
     y, line = b.parted(-2)
-    run = np.concatenate([[0], np.cumsum(np.where(line >= 0, b.words[line], 0))])
     cut = np.zeros(len(b.code), bool)
-    for _, q, n in patience(x, y):
-        if run[q + n] - run[q] >= min_words:
-            cut[line[q : q + n]] = True
-    known, _, _ = keys(a.hash, a.words, a.cuts(), min_words)
-    mine, first, end = keys(b.hash, b.words, b.cuts(), min_words)
-    for i, j in zip(*(v[np.isin(mine, known)].tolist() for v in (first, end)), strict=True):
-        cut[i:j] = True
+    run = np.concatenate([[0], np.cumsum(b.words)])
+
+    def cut_blocks(blocks: list[tuple[int, int, int]], line: np.ndarray) -> None:
+        """Cut aligned blocks of min_words words; line: b's line of each element, -1 for gaps, which are in no block."""
+        for _, q, n in blocks:
+            first = int(line[q])
+            if run[first + n] - run[first] >= min_words:
+                cut[first : first + n] = True
+
+    cut_blocks(patience(x, y), line)
+    if cut.all():
+        return np.flatnonzero(cut)
+    known, first_a, end_a = keys(a.hash, a.words, a.cuts(), min_words)
+    mine, first_b, end_b = keys(b.hash, b.words, b.cuts(), min_words)
+    known, where = np.unique(known, return_index=True)
+    at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
+    for k in np.flatnonzero(known[at] == mine).tolist() if len(known) else []:
+        i, j, p = int(first_b[k]), int(end_b[k]), where[at[k]]
+        if not cut[i:j].all():
+            cut_blocks(patience(a.code[first_a[p] : end_a[p]], b.code[i:j]), np.arange(i, j))
     return np.flatnonzero(cut)
 
 

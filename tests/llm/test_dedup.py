@@ -232,3 +232,18 @@ def test_very_long_near_duplicates(spark):
     sets = {i: shingles(t) for i, t in texts}
     assert len(sets[1] & sets[2]) >= 0.85 * len(sets[1] | sets[2])
     assert got == [(1, len(sets[1]), 1), (2, len(sets[2]), 1), (3, len(sets[3]), 3)]
+
+
+def test_alignment_decides_what_is_cut(monkeypatch):
+    """Aligned, repeated and crossed passages are cut through the alignment, and nothing without it."""
+
+    def sequence(codes):
+        codes = np.array(codes)
+        return line_dedup.Sequence(codes, codes * 7919, np.full(len(codes), 6), np.arange(len(codes)))
+
+    a = sequence([1, 2, 3, 4, 10, 11, 12, 13, 20, 21, 22, 23])
+    b = sequence([50, 10, 11, 12, 13, 51, 1, 2, 3, 4, 52, 10, 11, 12, 13, 53, 20, 21, 99, 22, 23])
+    want = [*range(1, 5), *range(6, 10), *range(11, 15)]
+    assert line_dedup.cut_lines(a, b, 20).tolist() == want
+    monkeypatch.setattr(line_dedup, "patience", lambda x, y: [])
+    assert line_dedup.cut_lines(a, b, 20).tolist() == []
