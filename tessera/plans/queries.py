@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.functions import geo, parsing, status
 from tessera.functions.text import indel_similarity, name_key
 from tessera.operators import aggregates as agg
-from tessera.operators import graph, identity, joins, latest, matching, quality, quantiles, reshape, spatial, windows
+from tessera.operators import digests, graph, identity, joins, latest, matching, quality, quantiles, reshape, spatial, windows
 from tessera.plans import marts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -737,6 +737,21 @@ def canonical_ids(spark, d):
     return ids.select("facility", F.when(F.col("origin") == "kept", F.substring("canonical_id", 2, 9).cast("bigint")).alias("kept"), "origin")
 
 
+_ROW = "sha256('l_linenumber=i' || l_linenumber || ',l_orderkey=i' || l_orderkey || ',l_returnflag=' || coalesce('s' || strlen(l_returnflag) || ':' || l_returnflag, 'n') || ',l_shipdate=' || coalesce('d' || l_shipdate::DATE, 'n'))"
+_ABOVE = "l{n} AS (SELECT {n} AS level, node // 64 AS node, sum(n_rows)::BIGINT AS n_rows, sha256(string_agg(digest, ',' ORDER BY node)) AS digest FROM l{m} WHERE (SELECT count(*) FROM l{m}) > 1 GROUP BY 2)"
+
+
+@query(f"""
+WITH r AS (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, digest) - 1 AS position, digest FROM (SELECT l_orderkey, l_linenumber, {_ROW} AS digest FROM lineitem)),
+l0 AS (SELECT 0 AS level, position // 64 AS node, count(*) AS n_rows, sha256(string_agg(digest, ',' ORDER BY position)) AS digest FROM r GROUP BY 2),
+{", ".join(_ABOVE.format(n=n, m=n - 1) for n in range(1, 6))}
+{" UNION ALL ".join(f"SELECT level, node, n_rows, digest FROM l{n}" for n in range(6))}
+""")
+def ordered_digest(spark, d):
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", F.to_date("l_shipdate").alias("l_shipdate"))
+    return digests.digest_tree(lines, ["l_orderkey", "l_linenumber"])
+
+
 # The longest common subsequence by the rows of its table: a row's value at j is the best of what ends at any k up to j.
 @query("""
 WITH t AS (SELECT p_partkey, string_split(regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g'), '') AS a, string_split(regexp_replace(lower(p_type), '[^a-z0-9]', '', 'g'), '') AS b FROM part),
