@@ -18,6 +18,7 @@ from tessera.functions.parsing import is_finite
 
 RING = "array<array<struct<x:double,y:double>>>"
 TIE = 1e-5
+BOUNDARY_CELL = 0.02  # degrees, about 2 km
 
 
 def room_rating(rooms: Column, quality: Column | None = None) -> Column:
@@ -56,10 +57,11 @@ def composite(*bands: Column) -> Column:
     return F.struct(score.alias("score"), grade.alias("grade"))
 
 
-def resolve_points(df: DataFrame) -> DataFrame:
+def resolve_points(df: DataFrame, boundary: DataFrame | None = None) -> DataFrame:
     """Adds lon_wgs, lat_wgs, x, y, grid_id and exception_code from coordinate_crs, longitude, latitude, projected_x, projected_y.
 
-    The stated reference system decides which pair is read; nothing is guessed.
+    The stated reference system decides which pair is read; nothing is guessed.  boundary: polygons (name, rings in degrees) of the city; a
+    point that none of them covers is OUTSIDE_BUSAN, one on their edge is not.
     """
     crs = F.nullif(F.trim("coordinate_crs"), F.lit(""))
     geo, plane = crs == "EPSG:4326", crs == "EPSG:5174"
@@ -77,6 +79,11 @@ def resolve_points(df: DataFrame) -> DataFrame:
         .when(~(F.col("lon_wgs").between(124, 132) & F.col("lat_wgs").between(33, 39)), "OUTSIDE_SOUTH_KOREA")
     )
     out = out.withColumn("exception_code", code).drop("_to", "_from")
+    if boundary is not None:
+        spots = out.filter("exception_code IS NULL").select(F.col("lon_wgs").alias("x"), F.col("lat_wgs").alias("y")).distinct()
+        inside = points_in(spots, boundary, BOUNDARY_CELL).select(F.col("x").alias("lon_wgs"), F.col("y").alias("lat_wgs"), F.lit(True).alias("_in")).distinct()
+        outside = F.when(F.col("_in").isNull() & F.col("exception_code").isNull(), "OUTSIDE_BUSAN")
+        out = out.join(inside, ["lon_wgs", "lat_wgs"], "left").withColumn("exception_code", F.coalesce("exception_code", outside)).drop("_in")
     return out.withColumn("grid_id", F.when(F.col("exception_code").isNull(), grid_id(F.col("x"), F.col("y"))))
 
 

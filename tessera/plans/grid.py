@@ -12,15 +12,16 @@ LEAST_COVERAGE, LEAST_FACILITIES = 0.8, 3
 SMALL_ROOMS, TINY_ROOMS, YOUNGER, OLDER = 20, 10, 20, 30
 
 
-def facility_points(facilities: DataFrame, registrations: DataFrame, cells: DataFrame, pending: DataFrame | None = None) -> DataFrame:
-    """Each facility (facility_id, district, n_buildings) with its point and cell, or an exception code.
+def facility_points(facilities: DataFrame, registrations: DataFrame, cells: DataFrame, pending: DataFrame | None = None, boundary: DataFrame | None = None) -> DataFrame:
+    """Each facility (facility_id, name, district, n_buildings) with its point and cell, or an exception code.
 
     registrations: (facility_id, source_identity, coordinate_crs, longitude, latitude, projected_x, projected_y);
     cells: (grid_id, district).  A facility needs exactly one distinct accepted point; of equal ones the least
-    source identity is named.  `display` is review_required with a pending duplicate (pending: facility_id) or more than
-    one building.
+    source identity is named.  A facility without a name is not published, whatever its points.  boundary: the city's polygons (name, rings in
+    degrees), outside of which a point is not accepted.  `display` is review_required with a pending duplicate (pending: facility_id) or more
+    than one building, else public.
     """
-    placed = resolve_points(registrations)
+    placed = resolve_points(registrations, boundary)
     fine = F.col("exception_code").isNull()
     spot = F.when(fine, F.struct("x", "y"))
     per = placed.groupBy("facility_id").agg(
@@ -32,7 +33,8 @@ def facility_points(facilities: DataFrame, registrations: DataFrame, cells: Data
     )
     known = facilities.join(per, "facility_id", "left").select("*", F.col("p.grid_id").alias("grid_id")).join(cells.select("grid_id", F.col("district").alias("cell_district")), "grid_id", "left")
     code = (
-        F.when(F.col("n_points").isNull(), "SELECTED_REVISION_UNAVAILABLE")
+        F.when(F.coalesce(F.trim("name"), F.lit("")) == "", "MISSING_PUBLIC_NAME")
+        .when(F.col("n_points").isNull(), "SELECTED_REVISION_UNAVAILABLE")
         .when(F.col("n_points") > 1, "AMBIGUOUS_COORDINATES")
         .when((F.col("n_points") == 0) & (F.col("n_codes") == 1), F.col("code"))
         .when(F.col("n_points") == 0, "UNMAPPED_COORDINATES")
@@ -46,7 +48,7 @@ def facility_points(facilities: DataFrame, registrations: DataFrame, cells: Data
     shown = lambda c: F.when(F.col("exception").isNull(), c)
     return known.select(
         "facility_id", "district", shown(F.col("grid_id")).alias("grid_id"), *(shown(F.col(f"p.{c}")).alias(c) for c in ("x", "y", "source_identity")),
-        "source_identities", F.col("exception").alias("exception_code"), shown(F.when(review, "review_required").otherwise("standard")).alias("display"),
+        "source_identities", F.col("exception").alias("exception_code"), shown(F.when(review, "review_required").otherwise("public")).alias("display"),
     )
 
 

@@ -96,6 +96,8 @@ def grid_evidence(spark, d):
     return rounded(grid.grid_evidence(months(spark, d)))
 
 
+EAST = 127.1154  # of the city's boundary: between the lattice's columns 20 and 21, at x = 210,250 m
+
 # Points in metres on a small lattice, so that cells and clashes follow from ids without a projection.
 POINTS = """
 SELECT o_custkey AS facility_id, 'o' || o_orderkey AS source_identity, CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 9 = 1 THEN 'EPSG:9999' ELSE 'EPSG:5174' END AS crs,
@@ -104,12 +106,12 @@ SELECT o_custkey AS facility_id, 'o' || o_orderkey AS source_identity, CASE WHEN
 
 
 @query(f"""
-WITH r AS (SELECT *, CASE WHEN crs IS NULL OR crs <> 'EPSG:5174' THEN 'UNKNOWN_CRS' WHEN x IS NULL THEN 'MISSING_COORDINATES' END AS code FROM ({POINTS})),
+WITH r AS (SELECT *, CASE WHEN crs IS NULL OR crs <> 'EPSG:5174' THEN 'UNKNOWN_CRS' WHEN x IS NULL THEN 'MISSING_COORDINATES' WHEN x > 210500 THEN 'OUTSIDE_BUSAN' END AS code FROM ({POINTS})),
 p AS (SELECT facility_id, count(DISTINCT x) FILTER (code IS NULL) AS n, min(x) FILTER (code IS NULL) AS x, min(source_identity) FILTER (code IS NULL) AS source_identity, count(DISTINCT code) AS codes, min(code) AS code FROM r GROUP BY 1),
-f AS (SELECT c_custkey AS facility_id, 'NATION_' || c_nationkey AS district, c_custkey % 3 AS n_buildings, c_acctbal, p.* EXCLUDE (facility_id), 'g5174_500_' || floor(x / 500)::BIGINT || '_360' AS g FROM customer LEFT JOIN p ON p.facility_id = c_custkey),
+f AS (SELECT c_custkey AS facility_id, 'NATION_' || c_nationkey AS district, c_custkey % 3 AS n_buildings, c_acctbal, CASE WHEN c_name LIKE '%7' THEN ' ' ELSE c_name END AS name, p.* EXCLUDE (facility_id), 'g5174_500_' || floor(x / 500)::BIGINT || '_360' AS g FROM customer LEFT JOIN p ON p.facility_id = c_custkey),
 c AS (SELECT 'g5174_500_' || (400 + n_nationkey)::BIGINT || '_360' AS g, 'NATION_' || (n_nationkey + CASE WHEN n_nationkey < 5 THEN 1 ELSE 0 END) AS cell_district FROM nation WHERE n_nationkey <> 7),
-e AS (SELECT *, CASE WHEN n IS NULL THEN 'SELECTED_REVISION_UNAVAILABLE' WHEN n > 1 THEN 'AMBIGUOUS_COORDINATES' WHEN n = 0 AND codes = 1 THEN code WHEN n = 0 THEN 'UNMAPPED_COORDINATES' WHEN cell_district IS NULL THEN 'GRID_NOT_FOUND' WHEN district <> cell_district THEN 'DISTRICT_COORDINATE_MISMATCH' END AS exception_code FROM f LEFT JOIN c USING (g))
-SELECT facility_id, district, exception_code, CASE WHEN exception_code IS NULL THEN g END AS grid_id, CASE WHEN exception_code IS NULL THEN source_identity END AS source_identity, CASE WHEN exception_code IS NULL THEN CASE WHEN n_buildings > 1 OR c_acctbal > 8000 THEN 'review_required' ELSE 'standard' END END AS display FROM e
+e AS (SELECT *, CASE WHEN trim(name) = '' THEN 'MISSING_PUBLIC_NAME' WHEN n IS NULL THEN 'SELECTED_REVISION_UNAVAILABLE' WHEN n > 1 THEN 'AMBIGUOUS_COORDINATES' WHEN n = 0 AND codes = 1 THEN code WHEN n = 0 THEN 'UNMAPPED_COORDINATES' WHEN cell_district IS NULL THEN 'GRID_NOT_FOUND' WHEN district <> cell_district THEN 'DISTRICT_COORDINATE_MISMATCH' END AS exception_code FROM f LEFT JOIN c USING (g))
+SELECT facility_id, district, exception_code, CASE WHEN exception_code IS NULL THEN g END AS grid_id, CASE WHEN exception_code IS NULL THEN source_identity END AS source_identity, CASE WHEN exception_code IS NULL THEN CASE WHEN n_buildings > 1 OR c_acctbal > 8000 THEN 'review_required' ELSE 'public' END END AS display FROM e
 """)
 def facility_points(spark, d):
     key, order = F.col("o_custkey"), F.col("o_orderkey")
@@ -119,10 +121,13 @@ def facility_points(spark, d):
         key.alias("facility_id"), F.concat(F.lit("o"), order).alias("source_identity"), F.when(order % 9 == 0, None).when(order % 9 == 1, "EPSG:9999").otherwise("EPSG:5174").alias("coordinate_crs"),
         none.alias("longitude"), none.alias("latitude"), F.when(there, F.lit(200000.0) + shift * 500 + 10).alias("projected_x"), F.when(there, F.lit(180000.0)).alias("projected_y"),
     )
-    c = table(spark, d, "customer").select(F.col("c_custkey").alias("facility_id"), F.concat(F.lit("NATION_"), "c_nationkey").alias("district"), (F.col("c_custkey") % 3).alias("n_buildings"))
+    named = F.when(F.col("c_name").endswith("7"), " ").otherwise(F.col("c_name"))
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("facility_id"), named.alias("name"), F.concat(F.lit("NATION_"), "c_nationkey").alias("district"), (F.col("c_custkey") % 3).alias("n_buildings"))
     k = F.col("n_nationkey")
     cells = table(spark, d, "nation").filter("n_nationkey <> 7").select(geo.grid_id(F.lit(200000.0) + k * 500, F.lit(180000.0)).alias("grid_id"), F.concat(F.lit("NATION_"), k + (k < 5).cast("int")).alias("district"))
-    out = grid.facility_points(c, registrations, cells, c.join(table(spark, d, "customer").filter("c_acctbal > 8000").select(F.col("c_custkey").alias("facility_id")), "facility_id"))
+    corners = [(126.9, 35.0), (EAST, 35.0), (EAST, 35.2), (126.9, 35.2)]  # in degrees
+    boundary = cells.limit(1).select(F.lit("city").alias("name"), F.array(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in corners])).alias("rings"))
+    out = grid.facility_points(c, registrations, cells, c.join(table(spark, d, "customer").filter("c_acctbal > 8000").select(F.col("c_custkey").alias("facility_id")), "facility_id"), boundary)
     return out.select("facility_id", "district", "exception_code", "grid_id", "source_identity", "display")
 
 
