@@ -178,23 +178,67 @@ def grid_problems(cells: DataFrame, expected: DataFrame, least: float = 1e-9) ->
     return both.select(kind.alias("problem"), "district").filter("problem IS NOT NULL")
 
 
+_EDGES = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
+
+
+def _cells_of_band(b: pd.DataFrame) -> pd.DataFrame:
+    """The cells of one polygon in one row of cells, from its edges there in ring order, with their cell indexes.
+
+    Edges left of a cell don't meet a ray to the right, and those over it are listed.  A chain of edges right of it is met oddly often by a ray at y
+    exactly if one of its two ends lies above y; an end in another row does so for all y or for none, which goes into `odd`, and an end in this row is
+    listed in `above`.
+    """
+    b = b.sort_values(["ring", "k"])
+    y = b[["y1", "y2"]].to_numpy()
+    row = b[["j1", "j2"]].to_numpy()
+    low, high, j = b[["i1", "i2"]].min(axis=1).to_numpy(), b[["i1", "i2"]].max(axis=1).to_numpy(), int(b.j.iloc[0])
+    follows = np.zeros(len(b), bool)
+    follows[1:] = (np.diff(b.ring) == 0) & (np.diff(b.k) == 1)
+    edges = b[["x1", "y1", "x2", "y2"]].to_dict("records")
+    out = []
+    for i in range(int(low.min()), int(high.max()) + 1):
+        right, over = low > i, (low <= i) & (high >= i)
+        start = np.flatnonzero(right & ~(follows & np.roll(right, 1)))
+        last = np.flatnonzero(right & ~np.append(right[1:] & follows[1:], False))
+        ends, rows = np.concatenate([y[start, 0], y[last, 1]]), np.concatenate([row[start, 0], row[last, 1]])
+        odd, above = bool((rows > j).sum() % 2), ends[rows == j]
+        if odd or over.any():
+            out.append((b["name"].iloc[0], i, j, odd, above, [edges[k] for k in np.flatnonzero(over)]))
+    return pd.DataFrame(out, columns=["name", "i", "j", "odd", "above", "edges"])
+
+
+def polygon_cells(polygons: DataFrame, cell: float = CELL_M) -> DataFrame:
+    """(name, i, j, odd, above, edges) of the cells that polygons (name, rings) touch or hold; a cell without edges is inside.
+
+    Edges travel as rows, each to the rows of cells that it reaches; no task sees more of a polygon than one row of cells.
+    """
+    at = lambda c: F.floor(F.col(c) / F.lit(cell)).cast("bigint")
+    numbered = polygons.select("name", "rings", F.monotonically_increasing_id().alias("polygon"))  # before the rings become rows
+    rings = numbered.select("name", "polygon", F.posexplode("rings").alias("ring", "points")).filter(F.size("points") > 0)
+    n = F.size("points")
+    corner = rings.select("name", "polygon", "ring", n.alias("n"), "points", F.posexplode("points").alias("k", "p"))
+    edges = corner.select("name", "polygon", "ring", "k", F.col("p.x").alias("x1"), F.col("p.y").alias("y1"), F.get("points", (F.col("k") + 1) % F.col("n")).alias("q"))
+    edges = edges.select("name", "polygon", "ring", "k", "x1", "y1", F.col("q.x").alias("x2"), F.col("q.y").alias("y2"))
+    edges = edges.withColumns({"i1": at("x1"), "i2": at("x2"), "j1": at("y1"), "j2": at("y2")})
+    bands = edges.withColumn("j", F.explode(F.sequence(F.least("j1", "j2"), F.greatest("j1", "j2"))))
+    kind = polygons.schema["name"].dataType.simpleString()
+    return bands.groupBy("polygon", "j").applyInPandas(_cells_of_band, f"name {kind}, i long, j long, odd boolean, above array<double>, edges {_EDGES}")
+
+
 def points_in(points: DataFrame, polygons: DataFrame, cell: float = CELL_M) -> DataFrame:
-    """Points (any columns, x, y) with the polygons (name, rings) that cover them, by way of the cells of each polygon's box."""
-    flat = F.flatten("rings")
+    """Points (any columns, x, y) with the polygons (name, rings) that cover them: even-odd rule over all rings, edges included.
+
+    A point meets the edges over its own cell only, in expressions; points far from any edge meet none.
+    """
     at = lambda c: F.floor(c / F.lit(cell)).cast("bigint")
-    span = lambda axis: F.sequence(at(F.array_min(F.transform(flat, lambda p: p[axis]))), at(F.array_max(F.transform(flat, lambda p: p[axis]))))
-    boxed = polygons.select("name", "rings", F.explode(span("x")).alias("_i")).select("name", "rings", "_i", F.explode(span("y")).alias("_j"))
-    joined = points.withColumns({"_i": at(F.col("x")), "_j": at(F.col("y"))}).join(boxed, ["_i", "_j"]).drop("_i", "_j")
-
-    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            hit = np.zeros(len(b), bool)
-            for _, own in b.groupby("_polygon", sort=False).indices.items():  # the rings are read once for all of a polygon's points
-                hit[own] = covers(ring_arrays(b.rings.iloc[own[0]]), b[["x", "y"]].to_numpy(float)[own])
-            yield b[hit].drop(columns=["rings", "_polygon"])
-
-    joined = joined.withColumn("_polygon", F.xxhash64("name", "rings"))
-    return joined.mapInPandas(keep, joined.drop("rings", "_polygon").schema)
+    cells = polygon_cells(polygons, cell).withColumnsRenamed({"i": "_i", "j": "_j"})
+    joined = points.withColumns({"_i": at(F.col("x")), "_j": at(F.col("y"))}).join(cells, ["_i", "_j"])
+    x, y = F.col("x"), F.col("y")
+    turn = lambda e: (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
+    on = F.exists("edges", lambda e: (turn(e) == 0) & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])))
+    met = F.size(F.filter("edges", lambda e: ((e["y1"] > y) != (e["y2"] > y)) & ((turn(e) > 0) == (e["y2"] > e["y1"]))))
+    times = F.col("odd").cast("int") + F.size(F.filter("above", lambda t: t > y)) + met
+    return joined.filter(on | (times % 2 == 1)).drop("_i", "_j", "odd", "above", "edges")
 
 
 def grid_grades(facilities: DataFrame, coverage: DataFrame) -> DataFrame:
