@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -46,7 +46,8 @@ def missing(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) -> Data
 
 def attach_single(df: DataFrame, candidates: DataFrame, group: str, identity: Sequence[str]) -> DataFrame:
     """Enrichment rows of a group: all of them if the group has one row here, else those with the same, complete identity."""
-    counted = df.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(group)))
+    # counted with partial sums and joined back, so that Spark can split a group of very many rows
+    counted = df.join(df.groupBy(group).agg(F.count(F.lit(1)).alias("_rows")), group)
     single = counted.filter("_rows = 1").drop("_rows").join(candidates.drop(*identity), group)
     several = counted.filter("_rows > 1").drop("_rows").join(candidates, [group, *identity])
     return single.unionByName(several)

@@ -36,7 +36,7 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             good = good & (v <= c.most)
         expected = " and ".join(x for x in (c.least is not None and f">={c.least:g}", c.most is not None and f"<={c.most:g}") if x)
         fine = F.coalesce(good & v.isNotNull(), F.lit(False))
-        return F.struct(F.lit(c.name).alias("check_name"), F.when(fine, "pass").otherwise("fail").alias("status"), v.alias("actual"), F.lit(expected).alias("expected"), F.lit(c.severity).alias("severity"))
+        return F.struct(F.lit(c.name).alias("check_name"), F.when(fine, "pass").otherwise("warning" if c.severity == "warning" else "fail").alias("status"), v.alias("actual"), F.lit(expected).alias("expected"), F.lit(c.severity).alias("severity"))
 
     return measured.select(F.explode(F.array(*(row(i, c) for i, c in enumerate(checks)))).alias("c")).select("c.*")
 
@@ -93,6 +93,11 @@ def gate(checks: DataFrame, canonical: Sequence[str]) -> DataFrame:
     return joined.agg((absent + failed == 0).alias("publishable"), absent.alias("n_missing"), failed.alias("n_failed"))
 
 
+def as_checks(df: DataFrame, name: str, actual: str, expected: str, severity: str = "warning", status: str = "status") -> DataFrame:
+    """Rows with a status of their own (pass, warning, fail or skipped) in the shape of `run_checks`, for the suite and the gate."""
+    return df.select(F.lit(name).alias("check_name"), F.col(status).alias("status"), F.col(actual).cast("double").alias("actual"), F.lit(expected).alias("expected"), F.lit(severity).alias("severity"))
+
+
 def all_checks(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, (p.select(*COLUMNS) for p in parts))
 
@@ -128,14 +133,14 @@ def designation_coverage(designations: DataFrame, linked: DataFrame, reviewed: D
     explicit = F.count_if(F.col("_l").isNull() & F.col("_r").isNotNull())
     out = j.agg(n.alias("designations"), by_link.alias("linked"), explicit.alias("explicit_reviews"))
     coverage = F.try_divide(F.col("linked") + F.col("explicit_reviews"), F.col("designations"))
-    return out.withColumn("coverage", coverage).withColumn("status", F.when(F.col("designations") == 0, "skipped").when(coverage < 1, "warning").otherwise("passed"))
+    return out.withColumn("coverage", coverage).withColumn("status", F.when(F.col("designations") == 0, "skipped").when(coverage < 1, "warning").otherwise("pass"))
 
 
 def active_change(current: DataFrame, published: DataFrame, most: float = 0.20) -> DataFrame:
     """One row each (n): the change of the number of active facilities against the publication; none without one above 0."""
     both = current.select(F.col("n").alias("current")).crossJoin(published.filter("n > 0").select(F.col("n").alias("previous")))  # one row each
     change = F.abs(F.col("current") - F.col("previous")) / F.col("previous")
-    return both.select("current", "previous", change.alias("change"), F.when(change <= most, "passed").otherwise("warning").alias("status"))
+    return both.select("current", "previous", change.alias("change"), F.when(change <= most, "pass").otherwise("warning").alias("status"))
 
 
 def calibration_notice(labelled: DataFrame) -> DataFrame:

@@ -626,9 +626,9 @@ def policy_signals(spark, d):
 @query(f"""
 WITH f AS ({FACILITIES}), m AS (SELECT count(*)::DOUBLE AS n, count(rooms) / count(*) AS r, count(DISTINCT district)::DOUBLE AS ds, count(age) / count(*) AS a FROM f)
 SELECT 'active_facility_count' AS check_name, CASE WHEN n >= 1 THEN 'pass' ELSE 'fail' END AS status, n AS actual, '>=1' AS expected, 'required' AS severity FROM m
-UNION ALL SELECT 'room_coverage', CASE WHEN r >= 0.8 THEN 'pass' ELSE 'fail' END, round(r, 6), '>=0.8', 'warning' FROM m
+UNION ALL SELECT 'room_coverage', CASE WHEN r >= 0.8 THEN 'pass' ELSE 'warning' END, round(r, 6), '>=0.8', 'warning' FROM m
 UNION ALL SELECT 'districts', CASE WHEN ds = 25 THEN 'pass' ELSE 'fail' END, ds, '>=25 and <=25', 'required' FROM m
-UNION ALL SELECT 'age_coverage', CASE WHEN a >= 0.9 THEN 'pass' ELSE 'fail' END, round(a, 6), '>=0.9', 'warning' FROM m
+UNION ALL SELECT 'age_coverage', CASE WHEN a >= 0.9 THEN 'pass' ELSE 'warning' END, round(a, 6), '>=0.9', 'warning' FROM m
 """)
 def quality_report(spark, d):
     checks = [

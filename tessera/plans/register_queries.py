@@ -257,7 +257,7 @@ def designation_state(spark, d):
 {LICENCE_SQL}, s AS (SELECT count(*)::DOUBLE AS n, count(*) FILTER (source_record_id IS NULL)::DOUBLE AS bare, count(*) FILTER (license_date_quality = 'parsed')::DOUBLE AS dated, count(*) FILTER (region_quality = 'resolved') / count(*) AS linked, (count(*) - count(DISTINCT coalesce(source_record_id, '-') )) / count(*) AS doubled FROM licences)
 SELECT 'run_inputs_present' AS check_name, CASE WHEN n >= 1 THEN 'pass' ELSE 'fail' END AS status, n AS actual, '>=1' AS expected, 'required' AS severity FROM s
 UNION ALL SELECT 'required_record_structure', CASE WHEN bare <= 0 THEN 'pass' ELSE 'fail' END, bare, '<=0', 'required' FROM s UNION ALL SELECT 'date_parse_success', CASE WHEN dated >= 1 THEN 'pass' ELSE 'fail' END, dated, '>=1', 'required' FROM s
-UNION ALL SELECT 'building_link_coverage', CASE WHEN linked >= 0.7 THEN 'pass' ELSE 'fail' END, round(linked, 6), '>=0.7', 'warning' FROM s UNION ALL SELECT 'unresolved_duplicates', CASE WHEN doubled <= 0.1 THEN 'pass' ELSE 'fail' END, round(doubled, 6), '<=0.1', 'warning' FROM s
+UNION ALL SELECT 'building_link_coverage', CASE WHEN linked >= 0.7 THEN 'pass' ELSE 'warning' END, round(linked, 6), '>=0.7', 'warning' FROM s UNION ALL SELECT 'unresolved_duplicates', CASE WHEN doubled <= 0.1 THEN 'pass' ELSE 'warning' END, round(doubled, 6), '<=0.1', 'warning' FROM s
 """)
 def gate_checks(spark, d):
     n = F.count(F.lit(1))
@@ -376,7 +376,7 @@ def preferred_partition(spark, d):
 @query("""
 WITH d AS (SELECT DISTINCT o_custkey AS key FROM orders), l AS (SELECT DISTINCT o_custkey AS key FROM orders WHERE o_orderstatus = 'F'), r AS (SELECT c_custkey AS key FROM customer WHERE c_acctbal > 5000)
 SELECT count(*) AS designations, count(l.key) AS linked, count(*) FILTER (l.key IS NULL AND r.key IS NOT NULL) AS explicit_reviews, round((count(l.key) + count(*) FILTER (l.key IS NULL AND r.key IS NOT NULL)) / count(*), 6) AS coverage,
-  CASE WHEN count(*) FILTER (l.key IS NULL AND r.key IS NULL) > 0 THEN 'warning' ELSE 'passed' END AS status FROM d LEFT JOIN l USING (key) LEFT JOIN r USING (key)
+  CASE WHEN count(*) FILTER (l.key IS NULL AND r.key IS NULL) > 0 THEN 'warning' ELSE 'pass' END AS status FROM d LEFT JOIN l USING (key) LEFT JOIN r USING (key)
 """)
 def designation_coverage(spark, d):
     o = table(spark, d, "orders").select(F.col("o_custkey").alias("key"), "o_orderstatus")
@@ -384,7 +384,7 @@ def designation_coverage(spark, d):
 
 
 @query("""
-SELECT c.n AS current, p.n AS previous, round(abs(c.n - p.n) / p.n, 6) AS change, CASE WHEN abs(c.n - p.n) / p.n <= 0.2 THEN 'passed' ELSE 'warning' END AS status FROM (SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'F') c, (SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'O') p
+SELECT c.n AS current, p.n AS previous, round(abs(c.n - p.n) / p.n, 6) AS change, CASE WHEN abs(c.n - p.n) / p.n <= 0.2 THEN 'pass' ELSE 'warning' END AS status FROM (SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'F') c, (SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'O') p
 """)
 def active_change(spark, d):
     o = table(spark, d, "orders")

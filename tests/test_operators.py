@@ -51,6 +51,11 @@ def test_gate_fails_closed(spark):
     assert state(checks, ["a", "b"]) == (True, 0, 0) and state(checks, ["a", "b", "c"]) == (False, 1, 0)
     worse = quality.all_checks([checks.filter("check_name = 'a'"), checks.filter("check_name = 'b'").withColumn("severity", F.lit("required"))])
     assert state(worse, ["a", "b"]) == (False, 0, 1)
+    counted = quality.active_change(spark.createDataFrame([(90,)], "n long"), spark.createDataFrame([(100,)], "n long"))
+    more = quality.as_checks(counted, "active_change", "change", "<=0.2", "required")
+    assert state(quality.all_checks([checks, more]), ["a", "b", "active_change"]) == (True, 0, 0)
+    low = quality.run_checks(spark.range(3), [quality.Check("few", F.count(F.lit(1)), least=5, severity="warning"), quality.Check("some", F.count(F.lit(1)), least=5)])
+    assert {r.check_name: r.status for r in low.collect()} == {"few": "warning", "some": "fail"}
     assert quality.suite_hash(checks).first().suite_hash == quality.suite_hash(checks.orderBy(F.desc("check_name"))).first().suite_hash != quality.suite_hash(worse).first().suite_hash
     files = spark.createDataFrame([("p", bytearray(b"x")), ("q", bytearray(b"y"))], "path string, content binary")
     recorded = files.select("path", F.sha2("content", 256).alias("content_hash")).unionByName(spark.createDataFrame([("gone", "0")], "path string, content_hash string"))
