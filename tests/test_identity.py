@@ -74,7 +74,7 @@ def test_random_runs_one_after_the_other(spark, seed):
     r = random.Random(seed)
     keys = [f"k{i:02}" for i in range(40)]
     previous, anchors, aliases = {}, {}, {}
-    for _ in range(3):
+    for _ in range(2):
         r.shuffle(keys)
         cuts = sorted(r.sample(range(1, len(keys)), 14))
         parts = [set(keys[a:b]) for a, b in zip([0, *cuts], [*cuts, len(keys)])]
