@@ -12,7 +12,8 @@ def cut_lineage(spark: SparkSession, df: DataFrame) -> DataFrame:
     """A checkpoint in the folder that the cluster names; a temporary one only on a local master, as in tests."""
     if not spark.sparkContext.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not named and (not master.startswith("local") or master.startswith("local-cluster")):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="tessera-checkpoint-"))
     return df.checkpoint()

@@ -281,7 +281,10 @@ def station_district(given: Column, station: Column, stations: dict[str, str]) -
 
 
 def metro(rows: DataFrame, stations: dict[str, str] | None = None) -> DataFrame:
-    """One row for the total and each hour that is filled, passengers of one direction; reject where there is neither or no direction."""
+    """One row for the total and each hour that is filled, passengers of one direction; reject where there is neither or no direction.
+
+    dimensions: the row's other fields, and station, station_number, line and flow_direction where they are known.
+    """
     said = F.trim(_field("구분", "direction"))
     direction = F.when(said == "승차", "metro_boarding").when(said == "하차", "metro_alighting")
     station = F.trim(_field("역명", "station", "station_name"))
@@ -290,9 +293,13 @@ def metro(rows: DataFrame, stations: dict[str, str] | None = None) -> DataFrame:
         F.when(_field("합계", "total").isNotNull(), F.array(F.struct(F.lit("total").alias("scope"), F.lit(None).cast("string").alias("hour_band"), _field("합계", "total").alias("v")))).otherwise(F.array().cast("array<struct<scope:string,hour_band:string,v:string>>")),
         F.transform(F.array_sort(F.map_entries(hours)), lambda e: F.struct(F.lit("hourly").alias("scope"), e["key"].alias("hour_band"), e["value"].alias("v"))),
     )
-    base = rows.withColumns({"metric_code": direction, "period": p.period_month(_field("년월일", "date")), "station": station, "line": _field("호선", "line"), "_m": measures})
+    base = rows.withColumns({"metric_code": direction, "period": p.period_month(_field("년월일", "date")), "station": station, "station_number": _field("역번호", "station_number"), "line": _field("호선", "line"), "_m": measures})
     base = base.withColumn("district", station_district(_field("district", "구군", "자치구"), F.col("station"), stations or {}))
-    keep = [*rows.columns[: rows.columns.index("row")], "metric_code", "period", "station", "line", "district"]
+    own = {"station": F.col("station"), "station_number": F.col("station_number"), "line": F.col("line"), "flow_direction": F.regexp_replace("metric_code", "^metro_", "")}
+    told = F.map_from_entries(F.filter(F.array(*(F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in own.items())), lambda e: e["value"].isNotNull()))
+    rest = F.map_filter("row", lambda k, _: ~k.isin("년월일", "구분", "합계", *own) & ~k.rlike(HOUR))
+    base = base.withColumns({"region_group": district_group(F.col("district")), "dimensions": F.map_concat(rest, told)})
+    keep = [*rows.columns[: rows.columns.index("row")], "metric_code", "period", "station", "station_number", "line", "district", "region_group", "dimensions"]
     out = base.select(*keep, F.explode_outer("_m").alias("m")).withColumn("metric_value", p.number(F.col("m.v")))
     reject = F.when(F.col("metric_code").isNull(), "no_direction").when(F.col("m").isNull(), "no_measure").when(F.col("metric_value").isNull(), "not_numeric").when(F.col("station").isNull(), "no_station")
     return out.select(*keep, "m.scope", "m.hour_band", "metric_value", F.lit("passengers").alias("unit"), reject.alias("reject"))

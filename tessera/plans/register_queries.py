@@ -320,20 +320,24 @@ TOTALS = ["100", "1,200", "", None, "x"]
 
 
 def metro_rows(spark, d):
-    fields = {"역명": pick(["하단", "서면", "없는역", None], "user_id"), "구분": pick(SIDES, "event_id"), "년월일": F.date_format("ts", "yyyyMMdd"), "호선": F.lit("1"), "합계": pick(TOTALS, "event_id"), "05시-06시": pick(["3", "", None], "user_id"), "06시-07시": pick(["4", "5"], "event_id"), "비고": F.lit("-")}
+    fields = {"역명": pick(["하단", "서면", "없는역", None], "user_id"), "구분": pick(SIDES, "event_id"), "년월일": F.date_format("ts", "yyyyMMdd"), "호선": F.lit("1"), "합계": pick(TOTALS, "event_id"), "05시-06시": pick(["3", "", None], "user_id"), "06시-07시": pick(["4", "5"], "event_id"), "비고": pick(["-", "x", None], "event_id"), "역번호": pick(["095", None], "user_id")}
     fields["06시-07시"] = F.when(F.expr("event_id % 3 = 0"), fields["06시-07시"])
     row = F.map_filter(F.create_map(*(x for n, c in fields.items() for x in (F.lit(n), c))), lambda _, x: x.isNotNull())
     return table(spark, d, "events").select("event_id", row.alias("row"))
 
 
 @query(f"""
-WITH r AS (SELECT event_id, {sql_pick(["하단", "서면", "없는역", None], "user_id")} AS station, trim({sql_pick(SIDES, "event_id")}) AS side, date_trunc('month', ts)::DATE AS period, nullif({sql_pick(TOTALS, "event_id")}, '') AS t, nullif({sql_pick(["3", "", None], "user_id")}, '') AS h5, CASE WHEN event_id % 3 = 0 THEN {sql_pick(["4", "5"], "event_id")} END AS h6 FROM events),
+WITH r AS (SELECT event_id, user_id, {sql_pick(["하단", "서면", "없는역", None], "user_id")} AS station, trim({sql_pick(SIDES, "event_id")}) AS side, date_trunc('month', ts)::DATE AS period, nullif({sql_pick(TOTALS, "event_id")}, '') AS t, nullif({sql_pick(["3", "", None], "user_id")}, '') AS h5, CASE WHEN event_id % 3 = 0 THEN {sql_pick(["4", "5"], "event_id")} END AS h6 FROM events),
 m AS (SELECT r.*, 'total' AS scope, NULL AS hour_band, t AS v FROM r WHERE t IS NOT NULL UNION ALL SELECT r.*, 'hourly', '05시-06시', h5 FROM r WHERE h5 IS NOT NULL UNION ALL SELECT r.*, 'hourly', '06시-07시', h6 FROM r WHERE h6 IS NOT NULL UNION ALL SELECT r.*, NULL, NULL, NULL FROM r WHERE t IS NULL AND h5 IS NULL AND h6 IS NULL)
 SELECT event_id, CASE side WHEN '승차' THEN 'metro_boarding' WHEN '하차' THEN 'metro_alighting' END AS metric_code, period, station, '1' AS line, CASE station WHEN '하단' THEN '사하구' WHEN '서면' THEN '부산진구' ELSE 'UNMAPPED' END AS district, scope, hour_band, TRY_CAST(replace(v, ',', '') AS DOUBLE) AS metric_value, 'passengers' AS unit,
+  {sql_pick(["095", None], "user_id")} AS station_number, {GROUP_CASE.format(d="(CASE station WHEN '하단' THEN '사하구' WHEN '서면' THEN '부산진구' END)")} AS region_group,
+  array_to_string(list_filter([CASE WHEN side IN ('승차', '하차') THEN 'flow_direction=' || CASE side WHEN '승차' THEN 'boarding' ELSE 'alighting' END END, 'line=1', 'station=' || station, 'station_number=' || {sql_pick(["095", None], "user_id")}, '비고=' || {sql_pick(["-", "x", None], "event_id")}, '역명=' || station, '역번호=' || {sql_pick(["095", None], "user_id")}, '호선=1'], lambda x: x IS NOT NULL), ';') AS dimensions,
   CASE WHEN side IS NULL OR side NOT IN ('승차', '하차') THEN 'no_direction' WHEN scope IS NULL THEN 'no_measure' WHEN TRY_CAST(replace(v, ',', '') AS DOUBLE) IS NULL THEN 'not_numeric' WHEN station IS NULL THEN 'no_station' END AS reject FROM m
 """)
 def metro_measures(spark, d):
-    return normalise.metro(metro_rows(spark, d), {"하단": "사하구", "서면": "부산진구"})
+    out = normalise.metro(metro_rows(spark, d), {"하단": "사하구", "서면": "부산진구"})
+    said = F.transform(F.array_sort(F.map_entries("dimensions")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return out.withColumn("dimensions", F.array_join(said, ";"))
 
 
 @query(f"""
