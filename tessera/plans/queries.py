@@ -732,7 +732,7 @@ def canonical_ids(spark, d):
     name = lambda n: F.concat(F.lit("p"), n)
     facility = c.join(c.groupBy("part").agg(F.min("key").alias("facility")), "part").select("key", "facility")
     anchors = c.groupBy(name(F.col("n")).alias("canonical_id")).agg(F.min("key").alias("key"))
-    aliases = c.select("n").distinct().filter("n < 50 AND n % 10 < 9").select(name(F.col("n")).alias("alias"), name(F.col("n") + 1).alias("canonical_id"))
+    aliases = c.filter("n < 50 AND n % 10 < 9").select(F.explode(F.expr("sequence(n, n - n % 10 + 8)")).alias("n")).distinct().select(name(F.col("n")).alias("alias"), name(F.col("n") + 1).alias("canonical_id"))
     ids = identity.surviving_ids(facility, c.filter("n <> 13").select("key", name(F.col("n")).alias("canonical_id")), anchors, aliases)[0]
     return ids.select("facility", F.when(F.col("origin") == "kept", F.substring("canonical_id", 2, 9).cast("bigint")).alias("kept"), "origin")
 
