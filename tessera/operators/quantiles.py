@@ -3,7 +3,8 @@
 Equal values of a group are counted first, so a value that repeats travels once.  A range of values that holds a wanted rank is cut into
 at most CELLS cells, the cells are counted with partial sums, and the cell that holds the rank becomes the next range; both ends of a
 range have cells of their own, so each round takes values away.  A range of at most CELLS distinct values is ranked by a window.
-No task sees more than CELLS rows of a group, and no list of values is made.
+Groups of more than CELLS distinct values are few for their rows, so their ranges are broadcast and their values stay where they are;
+only groups of at most CELLS are brought together by key.  No task sees more than CELLS rows of a group, and no list of values is made.
 """
 
 from __future__ import annotations
@@ -45,19 +46,20 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], wanted: Mapping[str, tup
     groups = cut_lineage(spark, groups.select("_k", "_total", "_distinct", "_lo", "_hi", F.array_distinct(F.flatten(due)).alias("_ranks")))
     ranks = groups.select("_k", F.explode("_ranks").alias("_rank"))
     ranges = groups.select("_k", F.lit(0).cast("bigint").alias("_before"), "_distinct", "_lo", "_hi")
-    small = ranges.filter(F.col("_distinct") <= cells)
-    large = ranges.filter(F.col("_distinct") > cells)
+    large = hot = ranges.filter(F.col("_distinct") > cells)
+    plain = counts.join(F.broadcast(hot.select("_k")), "_k", "left_anti").join(ranges.filter(F.col("_distinct") <= cells).drop("_distinct"), "_k")
+    refined = ranges.limit(0)
     while not large.isEmpty():
-        held = counts.join(large.drop("_distinct"), "_k").filter("_v >= _lo AND _v <= _hi")
+        held = counts.join(F.broadcast(large.drop("_distinct")), "_k").filter("_v >= _lo AND _v <= _hi")
         cut = held.groupBy("_k", "_before", _cell(cells).alias("_cell")).agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_distinct"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
         below = Window.partitionBy("_k", "_before").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
         cut = cut.withColumn("_before", F.col("_before") + F.coalesce(F.sum("_n").over(below), F.lit(0)))
         holding = cut.join(ranks, "_k").filter("_rank >= _before AND _rank < _before + _n").select("_k", "_before", "_distinct", "_lo", "_hi").distinct()
         found = cut_lineage(spark, holding)
-        small = small.unionByName(found.filter(F.col("_distinct") <= cells))
+        refined = refined.unionByName(found.filter(F.col("_distinct") <= cells))
         large = found.filter(F.col("_distinct") > cells)
     below = Window.partitionBy("_k", "_before").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    placed = counts.join(small.drop("_distinct"), "_k").filter("_v >= _lo AND _v <= _hi").withColumn("_from", F.col("_before") + F.coalesce(F.sum("_n").over(below), F.lit(0)))
+    placed = plain.unionByName(counts.join(F.broadcast(refined.drop("_distinct")), "_k")).filter("_v >= _lo AND _v <= _hi").withColumn("_from", F.col("_before") + F.coalesce(F.sum("_n").over(below), F.lit(0)))
     at = placed.join(ranks, "_k").filter("_rank >= _from AND _rank < _from + _n").join(groups.select("_k", "_total"), "_k")
 
     def quantile(column: str, fraction: float) -> Column:

@@ -47,6 +47,16 @@ def test_a_hot_group_makes_no_list_and_no_large_partition(spark):
     assert rows == {k: pytest.approx(v) for k, v in want.items()}
 
 
+def test_values_of_a_hot_group_are_not_brought_together(spark):
+    df = spark.range(0, 60_000, 1, 8).select(F.lit("hot").alias("k"), (F.col("id") * 7919 % 59_999).cast("double").alias("a"))
+    out = exact_quantiles(df, ["k"], {"m": ("a", 0.5)}, 64)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert any("LeftAnti" in line for line in joins)
+    assert sum("strategy=broadcast" in line for line in joins) == 2  # what drops the hot groups' values, and their last ranges
+    assert out.collect() == [("hot", df.agg(F.median("a")).first()[0])]
+
+
 def test_latest_reports_and_rejects_ties(spark):
     rows = [("a", 2, "x"), ("a", 2, "y"), ("a", 1, "z"), ("b", 3, "same"), ("b", 3, "same"), ("c", 1, None), (None, 5, "p"), (None, 5, "q"), (None, 5, "q")]
     df = spark.createDataFrame(rows, "k string, day int, v string")
