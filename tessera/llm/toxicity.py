@@ -170,10 +170,11 @@ class Index:
             self.room = np.empty(2 * total, np.int64), np.empty(2 * total)
         (entry, weight), done = self.room, 0
         long = size >= 128
-        for a, n, x in zip(start[long].tolist(), size[long].tolist(), q[long].tolist(), strict=True):
-            entry[done : done + n] = self.rare_entry[a : a + n]
-            np.multiply(self.rare_weight[a : a + n], x, out=weight[done : done + n])
-            done += n
+        if long.any():
+            own, done = [slice(a, b) for a, b in zip(start[long].tolist(), (start + size)[long].tolist(), strict=True)], int(size[long].sum())
+            np.concatenate([self.rare_entry[x] for x in own], out=entry[:done])
+            np.concatenate([self.rare_weight[x] for x in own], out=weight[:done])
+            weight[:done] *= np.repeat(q[long], size[long])
         start, size = start[~long], size[~long]  # short lists all at once
         at = np.arange(total - done) + np.repeat(start - np.cumsum(size) + size, size)
         entry[done:total] = self.rare_entry[at]
@@ -214,17 +215,21 @@ class Index:
             seen = np.take_along_axis(score, tops[:, :, None], 1).reshape(len(part), -1)
             least = np.partition(seen, -k, axis=1)[:, -k] if seen.shape[1] >= k else np.zeros(len(part))
             self._visit(score, q, ~first & (bound > 0) & (bound >= least[:, None] - SLACK))
-            for tf, v, s in zip(part, vectors, score.reshape(len(part), -1), strict=True):
-                least = np.partition(s, -k)[-k] if len(s) > k else 0
+            for tf, v, s, floor in zip(part, vectors, score.reshape(len(part), -1), least, strict=True):
+                reach = s[s >= floor]  # the k best at least, where there are so many
+                least = np.partition(reach, -k)[-k] if len(reach) > k else floor
                 out.append(self._confirmed(np.flatnonzero((s > 0) & (s >= least - SLACK)), tf, v, k))
         return out
 
     def _confirmed(self, entries: np.ndarray, tf: tuple[np.ndarray, np.ndarray], v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         at = self.own_start[entries].tolist(), self.own_start[entries + 1].tolist()
         own = [slice(a, b) for a, b in zip(*at, strict=True)]
+        if not own:
+            return entries, np.zeros(0)
         self.query[tf[0]] = v
-        s = np.array([self.query[self.own_term[x]] @ self.own_weight[x] for x in own])
+        parts = self.query[np.concatenate([self.own_term[x] for x in own])] * np.concatenate([self.own_weight[x] for x in own])
         self.query[tf[0]] = 0
+        s = np.add.reduceat(parts, np.cumsum([0, *(x.stop - x.start for x in own[:-1])]))
         keep = np.lexsort((entries, -np.round(s, 12)))[:k]
         return entries[keep], s[keep]
 

@@ -89,6 +89,23 @@ def test_nearest_examples_are_exact():
         assert np.allclose(np.sort(s)[::-1], best[: len(s)]) and (len(s) == toxicity.K or best[len(s)] < 1e-12)
 
 
+def test_the_kth_best_is_sought_among_those_that_can_be_it(monkeypatch):
+    r = np.random.default_rng(1)
+    terms = np.arange(1, 401, dtype=np.uint64)
+    tfs = [(np.sort(r.choice(400, 30, replace=False)), r.integers(1, 4, 30)) for _ in range(4000)]
+    index = toxicity.Index(terms, np.ones(400))
+    index.positive, index.count = np.zeros(4000), np.ones(4000)
+    index.add(tfs)
+    sizes, partition = [], np.partition
+    monkeypatch.setattr(np, "partition", lambda a, k, **more: (sizes.append(a.size if a.ndim == 1 else 0), partition(a, k, **more))[1])
+    found = index.nearest(tfs[:5])
+    assert max(sizes) < 2000
+    for tf, (e, s) in zip(tfs[:5], found, strict=True):
+        every = np.array([sum(x * y for x, y in zip(index.vector(o)[np.isin(o[0], tf[0])], index.vector(tf)[np.isin(tf[0], o[0])], strict=True)) for o in tfs])
+        best = np.lexsort((np.arange(4000), -np.round(every, 12)))[: toxicity.K]
+        assert e.tolist() == best.tolist() and s == pytest.approx(every[best])
+
+
 def test_toxicity_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
     own = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
