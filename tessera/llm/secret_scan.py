@@ -9,8 +9,10 @@ The findings are labelled by the base patterns themselves, as there are no other
 span is a secret, the rest are not.  What the network adds is therefore what looks like base findings and stands
 like them without matching a pattern; its recall is measured against those labels.  Distinct windows are dealt by a
 hash of the candidate's own text, so that no value is on two sides: four eighths train, two calibrate, two set the
-threshold, which is the highest that keeps RECALL of the secrets there.  Training reads a bounded sample (SAMPLE
-windows of either label, the smallest by hash, of at most TRAINED characters); every candidate of any length is scored.
+threshold.  Training reads all distinct windows of its folds, of any length: they are dealt by hash to shares of about
+SHARE bytes, each share runs Adam over all of its windows, and the parameters are averaged, in ROUNDS rounds where there
+is more than one share.  Calibration and threshold come from counts of all windows of their folds by logit, in cells of
+1/256; the threshold is the highest start of a cell that keeps RECALL of the secrets there.
 While training, the context of half of the examples is blanked, so that a value can also be told by its own characters.
 Candidates at or over the threshold outside base spans are added as kind cnn.  Base spans are never dropped.
 
@@ -23,7 +25,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +33,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import mapped, text_buffer, written
+from tessera.llm.common import mapped, one_blas_thread, text_buffer, written
 
 KINDS = ("assign", "access", "hex", "cnn")
-SAMPLE = 4000
+SHARE = 1 << 20  # bytes of windows that a task trains on
+ROUNDS = 3
 LEAST = 20
 RECALL = 0.98
 LEFT, RIGHT = 24, 8  # characters seen before and after a candidate
-TRAINED = 1024
+TRAINED = 1024  # characters of what training goes over more than once
 FILTERS, SPAN, DEPTH = 24, 5, 8
 PIECE = 1 << 15  # places convolved at a time
 
@@ -190,64 +193,144 @@ def fold(w: bytes) -> int:
     return zlib.crc32(w[LEFT : len(w) - RIGHT]) % 8
 
 
-def train(windows: list[bytes], y: np.ndarray, seed: int = 5, steps: int = 400, rate: float = 0.01) -> CharCnn | None:
-    """Adam on the log loss; None where a label has no window to train on or to set the threshold by."""
+def peaks(net: CharCnn, x: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each filter is largest over each window and over its candidate (2, windows, FILTERS), and how large; PIECE places at a time."""
+    where, best = np.zeros((2, len(start) - 1, FILTERS), np.int64), np.full((2, len(start) - 1, FILTERS), -1.0)
+    for at in range(0, len(x) - SPAN + 1, PIECE):
+        to = min(at + PIECE, len(x) - SPAN + 1)
+        _, h = net.convolved(x[at : to + SPAN - 1])
+        for i in range(np.searchsorted(start[1:] - SPAN + 1, at, "right"), np.searchsorted(start[:-1], to, "left")):
+            for k, (a, b) in enumerate(((start[i], start[i + 1] - SPAN + 1), (start[i] + LEFT - 2, start[i + 1] - RIGHT))):
+                a, b = max(a, at), min(b, to)
+                if a < b:
+                    top = h[a - at : b - at].argmax(0)
+                    value = h[a - at + top, np.arange(FILTERS)]
+                    more = value > best[k, i]
+                    where[k, i, more], best[k, i, more] = a + top[more], value[more]
+    return where, best
+
+
+def _dealt(r: np.random.Generator, windows: list[bytes], own: np.ndarray, n: int) -> np.ndarray:
+    """n of the label's windows: each once, then those of at most TRAINED characters (if there are any) over and over."""
+    short = own[[len(windows[i]) <= TRAINED + LEFT + RIGHT for i in own]]
+    return np.concatenate([r.permutation(own), np.resize(r.permutation(short if len(short) else own), max(n - len(own), 0))])[:n]
+
+
+def descend(net: CharCnn, windows: list[bytes], y: np.ndarray, seed: list[int], steps: int = 400, rate: float = 0.01) -> CharCnn:
+    """Adam on the log loss of both labels alike, over at least `steps` batches and every window once."""
     r = np.random.default_rng(seed)
-    folds = np.array([fold(w) for w in windows])
-    pos, neg = np.flatnonzero((folds < 4) & (y == 1)), np.flatnonzero((folds < 4) & (y == 0))
-    held, last = np.flatnonzero((folds == 4) | (folds == 5)), np.flatnonzero((folds > 5) & (y == 1))
-    if not len(pos) or not len(neg) or not len(last):
-        return None
-    net = CharCnn.fresh(r)
+    pos, neg = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+    steps = max(steps, -(-max(len(pos), len(neg)) // 64))
+    pos, neg = (_dealt(r, windows, own, steps * 64) for own in (pos, neg))
+    net = replace(net)
     names = ("embed", "filters", "bias", "out", "out_bias")
     m, v = {n: 0.0 for n in names}, {n: 0.0 for n in names}
     for t in range(1, steps + 1):
-        at = np.concatenate([r.choice(pos, 64), r.choice(neg, 64)])
+        at = np.concatenate([pos[(t - 1) * 64 : t * 64], neg[(t - 1) * 64 : t * 64]])
         batch = [_blanked(windows[i]) if blank else windows[i] for i, blank in zip(at, r.random(len(at)) < 0.5, strict=True)]
         x, start = _joined(batch)
-        cols, h = net.convolved(x)
-        where = np.empty((2, len(at), FILTERS), np.int64)
-        for i, (a, b) in enumerate(zip(start[:-1], start[1:], strict=True)):
-            where[0, i] = a + h[a : b - SPAN + 1].argmax(0)
-            where[1, i] = a + LEFT - 2 + h[a + LEFT - 2 : b - RIGHT].argmax(0)
-        feats = np.concatenate([h[w, np.arange(FILTERS)] for w in where], 1)
+        where, best = peaks(net, x, start)
+        feats = np.concatenate([best[0], best[1]], 1)
         d = (1 / (1 + np.exp(-np.clip(feats @ net.out + net.out_bias, -40, 40))) - y[at]) / len(at)
         g = {"out": feats.T @ d, "out_bias": d.sum(), "embed": np.zeros_like(net.embed), "filters": np.zeros_like(net.filters), "bias": np.zeros_like(net.bias)}
         df = d[:, None] * net.out * (feats > 0)
         for place, part in zip(where, (df[:, :FILTERS], df[:, FILTERS:]), strict=True):
-            g["filters"] += np.einsum("bfk,bf->kf", cols[place], part)
+            seen = x[place[:, :, None] + np.arange(SPAN)]
+            g["filters"] += np.einsum("bfk,bf->kf", net.embed[seen].reshape(len(at), FILTERS, -1), part)
             g["bias"] += part.sum(0)
             back = part[:, :, None] * net.filters.T[None]
-            np.add.at(g["embed"], x[place[:, :, None] + np.arange(SPAN)].ravel(), back.reshape(-1, DEPTH))
+            np.add.at(g["embed"], seen.ravel(), back.reshape(-1, DEPTH))
         for n in names:
             m[n] = 0.9 * m[n] + 0.1 * g[n]
             v[n] = 0.999 * v[n] + 0.001 * g[n] ** 2
             setattr(net, n, getattr(net, n) - rate * (m[n] / (1 - 0.9**t)) / (np.sqrt(v[n] / (1 - 0.999**t)) + 1e-8))
-    z, yh = net.logits([windows[i] for i in held]), y[held]
-    a, b = 1.0, 0.0
-    for _ in range(200 if len(held) else 0):  # calibration by gradient steps on two numbers
-        d = 1 / (1 + np.exp(-np.clip(a * z + b, -40, 40))) - yh
-        a, b = a - 0.05 * float((d * z).mean()) - 1e-4 * (a - 1), b - 0.05 * float(d.mean())
-    net.scale = (max(a, 1e-3), b)
-    hits = np.sort(net.scores([windows[i] for i in last]))
-    net.threshold = float(hits[int((1 - RECALL) * len(hits))])
     return net
 
 
-def fit(found: DataFrame, sample: int = SAMPLE) -> CharCnn | None:
-    """Train on at most `sample` distinct windows of either label, those with the smallest hashes."""
-    rows = found.select(F.explode("cand").alias("c")).select("c.window", "c.secret").filter(F.length("window") <= TRAINED + LEFT + RIGHT)
-    rows = rows.groupBy("window").agg(F.max("secret").alias("secret"))
-    parts = [rows.filter("secret" if label else "NOT secret").orderBy(F.xxhash64("window"), "window").limit(sample).collect() for label in (1, 0)]
-    if min(map(len, parts)) < LEAST:
+def settle(net: CharCnn, z: np.ndarray, y: np.ndarray, n: np.ndarray, hits: np.ndarray, times: np.ndarray) -> CharCnn:
+    """Calibrated on logits z of label y, each n times; the threshold is the greatest of the secrets' logits `hits`, each so many times, that keeps RECALL."""
+    a, b = 1.0, 0.0
+    for _ in range(200 if len(z) else 0):  # calibration by gradient steps on two numbers
+        d = (1 / (1 + np.exp(-np.clip(a * z + b, -40, 40))) - y) * n / n.sum()
+        a, b = a - 0.05 * float((d * z).sum()) - 1e-4 * (a - 1), b - 0.05 * float(d.sum())
+    a = max(a, 1e-3)
+    order = np.argsort(hits)
+    least = hits[order][np.searchsorted(np.cumsum(times[order]), int((1 - RECALL) * times.sum()), "right")]
+    # less by what the order of a sum may change
+    return replace(net, scale=(a, b), threshold=float(1 / (1 + np.exp(-np.clip(a * least + b, -40, 40)))) * (1 - 1e-9))
+
+
+def train(windows: list[bytes], y: np.ndarray, seed: int = 5, steps: int = 400, rate: float = 0.01) -> CharCnn | None:
+    """One share alone; None where a label has no window to train on or to set the threshold by."""
+    folds = np.array([fold(w) for w in windows])
+    own, held, last = np.flatnonzero(folds < 4), np.flatnonzero((folds == 4) | (folds == 5)), np.flatnonzero((folds > 5) & (y == 1))
+    if len(np.unique(y[own])) < 2 or not len(last):
         return None
-    return train([bytes(r.window) for p in parts for r in p], np.repeat([1.0, 0.0], [len(p) for p in parts]))
+    net = descend(CharCnn.fresh(np.random.default_rng(seed)), [windows[i] for i in own], y[own], [seed], steps, rate)
+    z, hits = net.logits([windows[i] for i in held]), net.logits([windows[i] for i in last])
+    return settle(net, z, y[held], np.ones(len(z)), hits, np.ones(len(hits)))
+
+
+def _params(net: CharCnn) -> np.ndarray:
+    return np.concatenate([np.ravel(x) for x in (net.embed, net.filters, net.bias, net.out, net.out_bias)])
+
+
+def _with_params(net: CharCnn, flat: np.ndarray) -> CharCnn:
+    parts = np.split(flat, np.cumsum([net.embed.size, net.filters.size, net.bias.size, net.out.size]))
+    return replace(net, embed=parts[0].reshape(net.embed.shape), filters=parts[1].reshape(net.filters.shape), bias=parts[2], out=parts[3], out_bias=float(parts[4][0]))
+
+
+def _round(rows: DataFrame, net: CharCnn, number: int) -> CharCnn | None:
+    """The mean of what the shares (share, window, secret) make of the net, weighted by their windows; None where no share has both labels."""
+    sent = rows.sparkSession.sparkContext.broadcast(net)
+
+    def run(table: pa.Table) -> pa.Table:
+        one_blas_thread()
+        table = table.sort_by("window")  # rows of a shuffle come in any order
+        y = table["secret"].to_numpy().astype(float)
+        flat = np.zeros(0)
+        if 0 < y.sum() < len(y):
+            flat = _params(descend(sent.value, table["window"].to_pylist(), y, [5, number, table["share"][0].as_py()], rate=0.01 / (number + 1))) * len(y)
+        return pa.table({"at": pa.array(np.arange(len(flat)), pa.int32()), "p": pa.array(flat), "n": pa.array(np.full(len(flat), len(y)))})
+
+    means = rows.groupBy("share").applyInArrow(run, "at int, p double, n long").groupBy("at").agg(F.round(F.sum("p") / F.sum("n"), 9).alias("p"))
+    got = means.toArrow().sort_by("at")  # a row for each parameter
+    return _with_params(net, got["p"].to_numpy()) if got.num_rows else None
+
+
+def fit(found: DataFrame) -> CharCnn | None:
+    """Train on all distinct windows, in shares of about SHARE bytes; calibrate and set the threshold by counts of logits over all the others."""
+    rows = found.select(F.explode("cand").alias("c")).select("c.window", "c.secret").groupBy("window").agg(F.max("secret").alias("secret"))
+    own = F.expr(f"substring(window, {LEFT + 1}, length(window) - {LEFT + RIGHT})")
+    rows = written(rows.withColumn("fold", F.pmod(F.crc32(own), F.lit(8)).cast("int")), "windows")
+    size = rows.agg(F.count_if("secret").alias("pos"), F.count_if(~F.col("secret")).alias("neg"), F.sum(F.when(F.col("fold") < 4, F.length("window"))).alias("bytes")).first()
+    if min(size.pos, size.neg) < LEAST or not size.bytes:
+        return None
+    shares = -(-size.bytes // SHARE)
+    dealt = rows.filter("fold < 4").select(F.pmod(F.xxhash64("window"), F.lit(shares)).alias("share"), "window", "secret").repartition(min(shares, 4096), "share")
+    net: CharCnn | None = CharCnn.fresh(np.random.default_rng(5))
+    for number in range(ROUNDS if shares > 1 else 1):
+        net = net and _round(dealt, net, number)
+    if net is None:
+        return None
+    sent = found.sparkSession.sparkContext.broadcast(net)
+
+    def logits(batch: pa.RecordBatch) -> pa.RecordBatch:
+        z = sent.value.logits(batch.column("window").to_pylist())
+        return pa.record_batch([batch.column("fold"), batch.column("secret"), pa.array(z)], names=["fold", "secret", "z"])
+
+    cell = F.floor(F.greatest(F.least("z", F.lit(40.0)), F.lit(-40.0)) * 256)
+    z = mapped(rows.filter("fold > 3"), logits, "fold int, secret boolean, z double", text="window")
+    cells = z.groupBy((F.col("fold") > 5).alias("last"), "secret", cell.alias("cell")).agg(F.count("*").alias("n"), F.avg("z").alias("mean"), F.min("z").alias("least")).toArrow()
+    last, y, n, mean, least = (cells[c].to_numpy().astype(float) for c in ("last", "secret", "n", "mean", "least"))
+    hit = (last == 1) & (y == 1)
+    return settle(net, mean[last == 0], y[last == 0], n[last == 0], least[hit], n[hit]) if hit.any() else None
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_assign, n_access, n_hex, n_cnn, base_sha256, spans) per row; spans as kind:start:end, comma-joined."""
     found = written(findings(docs, id_col, text_col), "findings")
-    net = fit(found, sample)
+    net = fit(found)
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         base, cand = batch.column("base").to_pylist(), batch.column("cand").to_pylist()

@@ -144,3 +144,28 @@ def test_recall_on_windows_of_no_other_fold():
 def test_copies_of_a_window_are_one_example(spark):
     row = spark.createDataFrame([(1, "password: hunter22 and")] * 50 + [(2, "see v1.22.3 of")] * 50, "doc_id long, text string")
     assert secret_scan.fit(secret_scan.findings(row)) is None  # one window of either label, not fifty
+
+
+def test_every_window_of_any_length_is_trained_on_and_counted(spark, monkeypatch):
+    r = random.Random(4)
+    word = lambda n, of: "".join(r.choice(of) for _ in range(n))
+    texts = [f"see {word(30, '0123456789abcdef')} now" if k % 2 else f"a {word(8, 'etaoin')}{k} b" for k in range(700)] + ["long " + word(5000, "xyzXYZ019+/") + " end"]
+    found = secret_scan.findings(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    monkeypatch.setattr(secret_scan, "SHARE", 9000)  # several shares, so several rounds
+    rounds, settled = [], []
+    one, settle = secret_scan._round, secret_scan.settle
+    monkeypatch.setattr(secret_scan, "_round", lambda rows, net, number: (rounds.append((rows.select("window").distinct().count(), rows.select("share").distinct().count())), one(rows, net, number))[1])
+    monkeypatch.setattr(secret_scan, "settle", lambda net, z, y, n, hits, times: (settled.append((n.sum(), times.sum())), settle(net, z, y, n, hits, times))[1])
+    net = secret_scan.fit(found)
+    windows = {bytes(c.window): c.secret for row in found.collect() for c in row.cand}
+    folds = [(secret_scan.fold(w), secret) for w, secret in windows.items()]
+    assert len(rounds) == secret_scan.ROUNDS and {n for n, _ in rounds} == {sum(f < 4 for f, _ in folds)} and rounds[0][1] > 1
+    assert settled == [(sum(f in (4, 5) for f, _ in folds), sum(f > 5 and s for f, s in folds))]
+    last = [w for w, secret in windows.items() if secret and secret_scan.fold(w) > 5]
+    assert (net.scores(last) >= net.threshold).mean() >= secret_scan.RECALL
+
+
+def test_each_window_is_dealt_once_before_any_is_again():
+    windows = [bytes(40)] * 90 + [bytes(5000)] * 10
+    at = secret_scan._dealt(np.random.default_rng(0), windows, np.arange(100), 400)
+    assert sorted(at[:100]) == list(range(100)) and max(at[100:]) < 90 and len(at) == 400
