@@ -65,6 +65,7 @@ END = np.uint64(0)  # stands for the end token among word hashes
 SLICE = 1 << 20  # bytes of text that a worker has in hand
 ROWS_AT_ONCE = 512  # spelled texts
 SPELLED_AT_ONCE = 8192  # words given to the tokenizer
+REMEMBERED = 1 << 18  # spelled words that a worker keeps from batch to batch
 
 
 @functools.cache
@@ -82,6 +83,11 @@ def pieces(path: str):
     return t, opens
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from each start, so many, end to end."""
+    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+
+
 @dataclass
 class Units:
     """Word hashes of the dictionary (sorted) with their unit numbers; then come 2 units per piece, end and begin."""
@@ -91,6 +97,7 @@ class Units:
     size: int  # of the dictionary
     n_pieces: int
     path: str
+    memo: tuple[np.ndarray, np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int64))  # hashes, pieces, sizes
 
     @property
     def end(self) -> int:
@@ -116,8 +123,8 @@ class Units:
         rare = np.flatnonzero(~known)
         if not len(rare):
             return unit, n
-        _, first, which = np.unique(h[rare], return_index=True, return_inverse=True)
-        flat, sizes = self._pieces(words, rare[first])
+        distinct, first, which = np.unique(h[rare], return_index=True, return_inverse=True)
+        flat, sizes = self._remembered(words, distinct, rare[first])
         begin = np.cumsum(sizes) - sizes
         k = sizes[which]
         n[rare] = k
@@ -128,6 +135,25 @@ class Units:
         out[np.repeat((total - n)[rare], k) + inner] = flat[np.repeat(begin[which], k) + inner]
         return out, n
 
+    def _remembered(self, words: Words, distinct: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece units of the chosen words, whose sorted hashes are `distinct`; what earlier batches of the worker spelled is in the memo."""
+        hashes, flat, sizes = self.memo
+        at = np.searchsorted(hashes, distinct).clip(0, max(len(hashes) - 1, 0))
+        met = hashes[at] == distinct if len(hashes) else np.zeros(len(distinct), bool)
+        new = np.flatnonzero(~met)
+        if len(new):
+            if len(hashes) > REMEMBERED:  # only what this batch holds stays
+                flat, sizes = flat[_ranges((np.cumsum(sizes) - sizes)[at[met]], sizes[at[met]])], sizes[at[met]]
+                hashes = distinct[met]
+            more, n = self._pieces(words, chosen[new])
+            order = np.argsort(np.concatenate([hashes, distinct[new]]), kind="stable")
+            sizes, flat = np.concatenate([sizes, n]), np.concatenate([flat, more.astype(np.int32)])
+            flat = flat[_ranges((np.cumsum(sizes) - sizes)[order], sizes[order])]
+            hashes, sizes = np.concatenate([hashes, distinct[new]])[order], sizes[order]
+            self.memo = hashes, flat, sizes
+            at = np.searchsorted(hashes, distinct)
+        return flat[_ranges((np.cumsum(sizes) - sizes)[at], sizes[at])].astype(np.int64), sizes[at]
+
     def _pieces(self, words: Words, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece units of the chosen words, end to end, and how many each has."""
         tokenizer, opens = pieces(self.path)
@@ -262,21 +288,34 @@ def windows(lens: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.where((at >= 0) & (at < lens[seq][:, None]), at + begin[seq][:, None], -1), seq
 
 
-def attend(p: dict[str, np.ndarray], tables: tuple[np.ndarray, ...], rows: np.ndarray, pad: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(log p of the classes, attention, mixed values) for input rows (windows, 2 * HALF)."""
+def _forward(p: dict[str, np.ndarray], tables: tuple[np.ndarray, ...], rows: np.ndarray, pad: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(logits of the classes less their largest, attention, mixed values, and the queries, keys and values) for input rows (windows, 2 * HALF)."""
     tq, tk, tv, tl = tables
-    s = tq[rows[:, HALF:]] @ tk[rows].transpose(0, 2, 1)
+    scored = np.ascontiguousarray(rows[:, HALF:])
+    q, k, v = tq.take(scored, 0), tk.take(rows, 0), tv.take(rows, 0)
+    s = q @ k.transpose(0, 2, 1)
     s *= DEPTH**-0.5
     s += p["near"] + _CAUSAL
     s += np.where(pad, np.float32(-1e9), np.float32(0))[:, None]
     s -= s.max(2, keepdims=True)
     np.exp(s, out=s)
-    s /= s.sum(2, keepdims=True)
-    h = s @ tv[rows]
+    s /= _sums(s)
+    h = s @ v
     z = (h.reshape(-1, DEPTH) @ p["seen"]).reshape(*h.shape[:2], -1)
-    z += tl[rows[:, HALF:]]
+    z += tl.take(scored, 0)
     z -= z.max(2, keepdims=True)
-    z -= np.log(np.exp(z).sum(2, keepdims=True))
+    return z, s, h, q, k, v
+
+
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Over the last axis, as a product with ones, which is faster for short rows."""
+    return (x.reshape(-1, x.shape[2]) @ np.ones((x.shape[2], 1), x.dtype)).reshape(*x.shape[:2], 1)
+
+
+def attend(p: dict[str, np.ndarray], tables: tuple[np.ndarray, ...], rows: np.ndarray, pad: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(log p of the classes, attention, mixed values) for input rows (windows, 2 * HALF)."""
+    z, s, h, *_ = _forward(p, tables, rows, pad)
+    z -= np.log(_sums(np.exp(z)))
     return z, s, h
 
 
@@ -288,31 +327,32 @@ def tables(p: dict[str, np.ndarray]) -> tuple[np.ndarray, ...]:
 def gradients(p: dict[str, np.ndarray], rows: np.ndarray, pad: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean log loss over positions whose target class is not -1."""
     made = tables(p)
-    z, a, h = attend(p, made, rows, pad)
-    n, kind = len(rows), z.dtype
+    dz, a, h, q, k, v = _forward(p, made, rows, pad)
+    n, kind = len(rows), dz.dtype
     live = target >= 0
-    dz = np.exp(z)
+    np.exp(dz, out=dz)
+    dz /= _sums(dz)
     i, j = np.nonzero(live)
     dz[i, j, target[i, j]] -= 1
     dz *= (live / max(1, live.sum())).astype(kind)[:, :, None]
     # all products with a matrix over rows of both axes at once
     ins, outs = rows.ravel(), rows[:, HALF:].ravel()
-    x, own = p["x"][ins], p["x"][outs]
+    x, own = p["x"].take(ins, 0), p["x"].take(outs, 0)
     flat = dz.reshape(n * HALF, -1)
     g = {"bias": flat.sum(0), "seen": h.reshape(-1, DEPTH).T @ flat, "last": own.T @ flat}
     dh = (flat @ p["seen"].T).reshape(n, HALF, DEPTH)
     dv = a.transpose(0, 2, 1) @ dh
-    ds = dh @ made[2][rows].transpose(0, 2, 1)
-    ds -= (a * ds).sum(2, keepdims=True)
+    ds = dh @ v.transpose(0, 2, 1)
+    ds -= _sums(a * ds)
     ds *= a
     g["near"] = ds.sum(0)
     ds *= kind.type(DEPTH**-0.5)
-    dq, dk = (ds @ made[1][rows]).reshape(-1, DEPTH), (ds.transpose(0, 2, 1) @ made[0][rows[:, HALF:]]).reshape(-1, DEPTH)
+    dq, dk = (ds @ k).reshape(-1, DEPTH), (ds.transpose(0, 2, 1) @ q).reshape(-1, DEPTH)
     dv = dv.reshape(-1, DEPTH)
     g["q"], g["k"], g["v"] = own.T @ dq, x.T @ dk, x.T @ dv
     dx = dk @ p["k"].T + dv @ p["v"].T
     dx.reshape(n, 2 * HALF, DEPTH)[:, HALF:] += (dq @ p["q"].T + flat @ p["last"].T).reshape(n, HALF, DEPTH)
-    g["x"] = np.stack([np.bincount(ins, d, len(p["x"])) for d in np.ascontiguousarray(dx.T)], 1).astype(kind)
+    g["x"] = np.bincount((ins[:, None] * DEPTH + np.arange(DEPTH)).ravel(), dx.ravel(), p["x"].size).reshape(p["x"].shape).astype(kind)
     return g
 
 
@@ -338,11 +378,11 @@ def local_training(model: Model, u: np.ndarray, off: np.ndarray, rate: float, se
         w = at[order[((t - 1) * BATCH + np.arange(min(BATCH, len(at)))) % len(at)]]
         target = np.where(w[:, HALF:] >= 0, classes[w[:, HALF:]], -1)
         g = gradients(p, rows[w], w < 0, target)
-        step = rate * (1 - 0.9 * t / steps) * np.sqrt(1 - 0.99**t) / (1 - 0.9**t)
+        step = rate * (1 - 0.9 * t / steps) * (1 - 0.99**t) ** 0.5 / (1 - 0.9**t)  # no numpy scalar, which would make all of the step double
         for n in p:
             m[n] += 0.1 * (g[n] - m[n])
             v[n] += 0.01 * (g[n] * g[n] - v[n])
-            p[n] -= (step * (m[n] / (np.sqrt(v[n]) + 1e-6) + DECAY * p[n] * (n != "bias"))).astype(np.float32)
+            p[n] -= step * (m[n] / (np.sqrt(v[n]) + 1e-6) + DECAY * p[n] * (n != "bias"))
     return p, len(at)
 
 

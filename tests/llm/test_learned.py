@@ -308,3 +308,27 @@ def test_toxicity_matches_brute_force(spark):
     left_out = [(raw(t, (entries[tuple(sorted(plain_terms(t).items()))], lab))[0], lab) for _, t, lab in train if vector(t)]
     bx, by = toxicity.isotonic(np.array([v for v, _ in left_out]), np.array([float(lab) for _, lab in left_out]), np.ones(len(left_out)))
     assert abs(np.interp([v for v, _ in left_out], bx, by).mean() - np.interp([v for v, _ in left_out], x, y).mean()) < 0.05
+
+
+def test_gradients_take_each_exponential_once(monkeypatch):
+    r = np.random.default_rng(2)
+    p = lm_scoring.fresh(np.zeros(lm_scoring.CLASSES))
+    rows, calls, exp = r.integers(0, lm_scoring.ROWS, (5, 2 * lm_scoring.HALF)), [], np.exp
+    monkeypatch.setattr(np, "exp", lambda *a, **more: (calls.append(1), exp(*a, **more))[1])
+    lm_scoring.gradients(p, rows, np.zeros(rows.shape, bool), r.integers(0, lm_scoring.CLASSES, (5, lm_scoring.HALF)))
+    assert len(calls) == 2  # of the attention, and of the classes
+
+
+@pytest.mark.parametrize("kept", [0, 3, 1 << 18])
+def test_words_spelled_in_a_batch_before_are_not_spelled_again(monkeypatch, kept):
+    monkeypatch.setattr(lm_scoring, "REMEMBERED", kept)
+    texts = [pa.array(t) for t in (["one twoish three", None, "fou$r one"], ["three fivé one one"], ["x", "six y twoish"], ["", " "], ["six one fivé"])]
+    empty = lambda: lm_scoring.Units(np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, len(lm_scoring.pieces(PATH)[1]), PATH)
+    units, spelled, plain = empty(), [], lm_scoring.Units._pieces
+    for batch in texts:
+        want = empty().spell(Words(batch))
+        monkeypatch.setattr(lm_scoring.Units, "_pieces", lambda self, words, chosen: (spelled.append(len(chosen)), plain(self, words, chosen))[1])
+        got = units.spell(Words(batch))
+        monkeypatch.setattr(lm_scoring.Units, "_pieces", plain)
+        assert all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
+    assert kept < 10 or spelled == [4, 1, 3]
