@@ -33,6 +33,7 @@ split; repeated rows are scored each; without training rows the counts are 0 and
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -40,7 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOW, Words, lists, mapped, mix, one_blas_thread, written
+from tessera.llm.common import LOW, Words, lists, mapped, mix, one_blas_thread, row_slices, written
+from tessera.llm.token_alignment import ranked
 from tessera.llm.toxicity import remainder
 
 DICTIONARY = 1 << 15
@@ -58,6 +60,7 @@ ROUNDS = 3
 STEPS = 400  # of Adam in a round, which a small share reaches by being gone over again, at most AGAIN times
 AGAIN = 6
 DECAY = 2e-3
+LOGIT = 60.0  # bound of all logits; sums of their exponentials stay finite in single precision, and above zero
 FLOOR = 0.1  # weight of the context-free class shares in the prediction
 BATCH = 256
 COMPANY = 8  # numbers that describe the company of a unit
@@ -83,6 +86,44 @@ def pieces(path: str):
     return t, opens
 
 
+fast_pieces = functools.cache(ranked)  # of a worker
+
+
+class Places:
+    """Sorted distinct 64-bit hashes, looked up through a table of where each leading bit pattern begins: hashes are evenly spread, so it is a step or two."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+
+    @functools.cached_property
+    def _begin(self) -> tuple[np.ndarray, np.uint64]:  # made in the worker, once
+        bits = len(self.keys).bit_length() + 2
+        shift = np.uint64(64 - bits)
+        return np.searchsorted(self.keys, np.arange(1 << bits, dtype=np.uint64) << shift).astype(np.int32), shift
+
+    def __getstate__(self) -> dict:
+        return {"keys": self.keys}
+
+    def __call__(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are among the keys, and where (any place for the others)."""
+        if not len(self.keys):
+            return np.zeros(len(h), bool), np.zeros(len(h), np.int64)
+        begin, shift = self._begin
+        at = begin.take((h >> shift).view(np.int64)).astype(np.int64)
+        last = len(self.keys) - 1
+        np.minimum(at, last, out=at)
+        key = self.keys.take(at)
+        met = key == h
+        left = np.flatnonzero(key < h)
+        while len(left):
+            left = left[at[left] < last]
+            at[left] += 1
+            key = self.keys.take(at[left])
+            met[left] = key == h[left]
+            left = left[key < h[left]]
+        return met, at
+
+
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The numbers from each start, so many, end to end."""
     return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
@@ -99,6 +140,10 @@ class Units:
     path: str
     memo: tuple[np.ndarray, np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int64))  # hashes, pieces, sizes
 
+    @functools.cached_property
+    def places(self) -> Places:
+        return Places(self.hashes)
+
     @property
     def end(self) -> int:
         return self.size + 2 * self.n_pieces
@@ -115,11 +160,8 @@ class Units:
         """Units of the words in order, and how many each has."""
         h = words.hash
         unit, n = np.zeros(len(h), np.int64), np.ones(len(h), np.int64)
-        known = np.zeros(len(h), bool)
-        if self.size:
-            at = np.searchsorted(self.hashes, h).clip(0, self.size - 1)
-            known = self.hashes[at] == h
-            unit[known] = self.numbers[at[known]]
+        known, at = self.places(h)
+        unit[known] = self.numbers[at[known]]
         rare = np.flatnonzero(~known)
         if not len(rare):
             return unit, n
@@ -156,17 +198,31 @@ class Units:
 
     def _pieces(self, words: Words, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece units of the chosen words, end to end, and how many each has."""
-        tokenizer, opens = pieces(self.path)
-        units, sizes = [], []
+        tokenizer, fast = pieces(self.path)[0], fast_pieces(self.path)
+        slow = lambda text: tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        if fast is None:
+            return self._cut(words, chosen, slow)
+        beyond = np.concatenate([[0], np.cumsum(words.data >= 0xC9, dtype=np.int32)])  # U+0240 and on, so that all below are under PLAIN
+        odd = beyond[words.end[chosen]] > beyond[words.start[chosen]]
+        flat, sizes = self._cut(words, chosen[~odd], fast.encode_ordinary)
+        if not odd.any():
+            return flat, sizes
+        more, n = self._cut(words, chosen[odd], slow)
+        order = np.argsort(np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)]))
+        flat, sizes = np.concatenate([flat, more]), np.concatenate([sizes, n])
+        return flat[_ranges((np.cumsum(sizes) - sizes)[order], sizes[order])], sizes[order]
+
+    def _cut(self, words: Words, chosen: np.ndarray, encode: Callable[[str], list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Units and sizes as a tokenizer gives them for the words with a space before each."""
+        opens = pieces(self.path)[1]
+        units, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for a in range(0, len(chosen), SPELLED_AT_ONCE):
             start, end = (x[chosen[a : a + SPELLED_AT_ONCE]] for x in (words.start, words.end))
             size = end - start + 1  # with a space before
             to = np.cumsum(size) - size
-            text = np.full(int(size.sum()), 32, np.uint8)
-            inner = np.arange(len(text)) - np.repeat(to, size)
-            own = inner > 0
-            text[own] = LOW[words.data[(np.repeat(start, size) + inner - 1)[own]]]
-            ids = np.array(tokenizer.encode_batch_fast([text.tobytes().decode()], add_special_tokens=False)[0].ids)  # without offsets
+            text = LOW[words.data.take(np.repeat(start - to - 1, size) + np.arange(size.sum()), mode="clip")]
+            text[to] = 32
+            ids = np.array(encode(text.tobytes().decode()))
             open_at = np.append(np.flatnonzero(opens[ids]), len(ids))
             last = np.zeros(len(ids), np.int64)
             last[open_at[1:] - 1] = 1
@@ -198,14 +254,14 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def spelled_table(rows: DataFrame, units: Units, known: np.ndarray, c: np.ndarray, spread: float, tail_size: float) -> DataFrame:
     """Each row (row, id, text, train) as its units, what the base score takes from the counts c of the `known` words, and the other words.
 
-    units: with the end unit; recalled: for each spelled word in order its share among the words outside the
+    units: with the end unit, 32 bits each; recalled: for each spelled word in order its share among the words outside the
     dictionary, or -1 where its count is not among the known ones; words: the hashes of those.
     """
     kind = rows.schema["id"].dataType.simpleString()
-    sent = rows.sparkSession.sparkContext.broadcast((units, known, c))  # of fixed sizes
+    sent = rows.sparkSession.sparkContext.broadcast((units, Places(known), c, int(c[known == END].sum())))  # of fixed sizes
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        units, known, c = sent.value
+        units, known, c, ends_known = sent.value
         words = Words(batch.column("text"))
         n = words.counts()
         u, per = units.spell(words)
@@ -214,10 +270,8 @@ def spelled_table(rows: DataFrame, units: Units, known: np.ndarray, c: np.ndarra
         lens = np.diff(done[words.first]) + 1
         doc = np.repeat(np.arange(len(n)), n)
         h = words.hash
-        at = np.searchsorted(known, h).clip(0, max(len(known) - 1, 0))
-        hit = known[at] == h if len(known) else np.zeros(len(h), bool)
-        seen = c[at] if len(known) else np.zeros(len(h))
-        ends_known = int(c[known == END].sum()) if len(known) else 0
+        hit, at = known(h)
+        seen = c[at] if len(c) else np.zeros(len(h))
         base = np.bincount(doc[hit], np.log10((seen[hit] + 1) / spread), len(n)) + np.log10((ends_known + 1) / spread)
         n_known = np.bincount(doc[hit], minlength=len(n)) + (ends_known > 0)
         spelled = u[done[:-1]] >= units.size
@@ -225,18 +279,34 @@ def spelled_table(rows: DataFrame, units: Units, known: np.ndarray, c: np.ndarra
         rest = np.flatnonzero(~hit)
         off = lambda chosen: np.searchsorted(doc[chosen], np.arange(len(n) + 1))
         return pa.record_batch(
-            [batch.column("row"), batch.column("id"), batch.column("train"), pa.array(n + 1), pa.array(n_known), pa.array(base), lists(full, np.concatenate([[0], np.cumsum(lens)]), pa.int32()), lists(recalled, off(np.flatnonzero(spelled)), pa.float32()), lists(h[rest].view(np.int64), off(rest), pa.int64())],
+            [batch.column("row"), batch.column("id"), batch.column("train"), pa.array(n + 1), pa.array(n_known), pa.array(base), packed(full.astype(np.int32), np.concatenate([[0], np.cumsum(lens)])), packed(recalled, off(np.flatnonzero(spelled))), packed(h[rest], off(rest))],
             names=["row", "id", "train", "n_tokens", "n_known", "base", "units", "recalled", "words"],
         )
 
-    return mapped(rows, each, f"row long, id {kind}, train boolean, n_tokens long, n_known long, base double, units array<int>, recalled array<float>, words array<long>", limit=SLICE)
+    return mapped(rows, each, f"row long, id {kind}, train boolean, n_tokens long, n_known long, base double, units binary, recalled binary, words binary", limit=SLICE)
+
+
+def packed(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Runs of numbers as their bytes, which Spark copies as a whole where it would take an array number by number."""
+    at = pa.py_buffer(np.ascontiguousarray(offsets * values.itemsize, np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, at, pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a batch end to end, and the len + 1 offsets of its rows."""
+    column = column.cast(pa.large_binary())
+    if not len(column):
+        return np.zeros(0, kind), np.zeros(1, np.int64)
+    off = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    own = np.frombuffer(data, np.uint8)[off[0] : off[-1]].view(kind) if data is not None and data.size else np.zeros(0, kind)
+    return own, (off - off[0]) // own.itemsize
 
 
 def _flat_units(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """The units of a batch end to end, and the len + 1 offsets of its texts."""
-    column = batch.column("units")
-    off = column.offsets.to_numpy()
-    return column.values.to_numpy()[off[0] : off[-1]].astype(np.int64), (off - off[0]).astype(np.int64)
+    u, off = unpacked(batch.column("units"), np.int32)
+    return u.astype(np.int64), off
 
 
 def _sequences(off: np.ndarray) -> np.ndarray:
@@ -288,23 +358,24 @@ def windows(lens: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.where((at >= 0) & (at < lens[seq][:, None]), at + begin[seq][:, None], -1), seq
 
 
-def _forward(p: dict[str, np.ndarray], tables: tuple[np.ndarray, ...], rows: np.ndarray, pad: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(logits of the classes less their largest, attention, mixed values, and the queries, keys and values) for input rows (windows, 2 * HALF)."""
-    tq, tk, tv, tl = tables
-    scored = np.ascontiguousarray(rows[:, HALF:])
-    q, k, v = tq.take(scored, 0), tk.take(rows, 0), tv.take(rows, 0)
-    s = q @ k.transpose(0, 2, 1)
-    s *= DEPTH**-0.5
-    s += p["near"] + _CAUSAL
-    s += np.where(pad, np.float32(-1e9), np.float32(0))[:, None]
-    s -= s.max(2, keepdims=True)
+def _forward(p: dict[str, np.ndarray], kv: np.ndarray, ql: np.ndarray, pad: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(logits of the classes, attention, mixed values) from the keys and values of all positions and the queries and direct logits of the scored ones.
+
+    All logits are bounded by LOGIT, so no largest one is taken off before the exponential.
+    """
+    s = ql[:, :, :DEPTH] @ kv[:, :, :DEPTH].transpose(0, 2, 1)
+    s += p["near"]
+    s.clip(-LOGIT, LOGIT, out=s)
+    s += _CAUSAL
+    if pad.any():
+        s += np.where(pad, np.float32(-1e9), np.float32(0))[:, None]
     np.exp(s, out=s)
     s /= _sums(s)
-    h = s @ v
+    h = s @ kv[:, :, DEPTH:]
     z = (h.reshape(-1, DEPTH) @ p["seen"]).reshape(*h.shape[:2], -1)
-    z += tl.take(scored, 0)
-    z -= z.max(2, keepdims=True)
-    return z, s, h, q, k, v
+    z += ql[:, :, DEPTH:]
+    z.clip(-LOGIT, LOGIT, out=z)
+    return z, s, h
 
 
 def _sums(x: np.ndarray) -> np.ndarray:
@@ -314,46 +385,70 @@ def _sums(x: np.ndarray) -> np.ndarray:
 
 def attend(p: dict[str, np.ndarray], tables: tuple[np.ndarray, ...], rows: np.ndarray, pad: np.ndarray) -> tuple[np.ndarray, ...]:
     """(log p of the classes, attention, mixed values) for input rows (windows, 2 * HALF)."""
-    z, s, h, *_ = _forward(p, tables, rows, pad)
+    z, s, h = _forward(p, tables[0].take(rows, 0), tables[1].take(rows[:, HALF:], 0), pad)
     z -= np.log(_sums(np.exp(z)))
     return z, s, h
 
 
-def tables(p: dict[str, np.ndarray]) -> tuple[np.ndarray, ...]:
-    """Queries, keys, values and direct logits of every input row, made once for many windows."""
-    return p["x"] @ p["q"], p["x"] @ p["k"], p["x"] @ p["v"], p["x"] @ p["last"] + p["bias"]
+def _joined(p: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The matrices for keys and values, and for scaled queries and direct logits, side by side: one product instead of two."""
+    return np.hstack([p["k"], p["v"]]), np.hstack([p["q"] * p["q"].dtype.type(DEPTH**-0.5), p["last"]])
+
+
+def tables(p: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and values, and queries and direct logits, of every input row, made once for many windows."""
+    inner, outer = _joined(p)
+    ql = p["x"] @ outer
+    ql[:, DEPTH:] += p["bias"]
+    return p["x"] @ inner, ql
+
+
+_PLACES = np.arange(ROWS * DEPTH // 2).reshape(ROWS, -1)  # of pairs of numbers in the table of input vectors
 
 
 def gradients(p: dict[str, np.ndarray], rows: np.ndarray, pad: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean log loss over positions whose target class is not -1."""
-    made = tables(p)
-    dz, a, h, q, k, v = _forward(p, made, rows, pad)
-    n, kind = len(rows), dz.dtype
-    live = target >= 0
+    n, kind = len(rows), p["x"].dtype
+    inner, outer = _joined(p)
+    x = p["x"].take(rows.ravel(), 0)
+    own = x.reshape(n, 2 * HALF, DEPTH)[:, HALF:].reshape(-1, DEPTH)
+    kv = (x @ inner).reshape(n, 2 * HALF, -1)
+    ql = own @ outer
+    ql[:, DEPTH:] += p["bias"]
+    ql = ql.reshape(n, HALF, -1)
+    dz, a, h = _forward(p, kv, ql, pad)
+    h = h.reshape(-1, DEPTH)
+    live = np.flatnonzero(target.ravel() >= 0)
     np.exp(dz, out=dz)
-    dz /= _sums(dz)
-    i, j = np.nonzero(live)
-    dz[i, j, target[i, j]] -= 1
-    dz *= (live / max(1, live.sum())).astype(kind)[:, :, None]
-    # all products with a matrix over rows of both axes at once
-    ins, outs = rows.ravel(), rows[:, HALF:].ravel()
-    x, own = p["x"].take(ins, 0), p["x"].take(outs, 0)
+    weight = np.zeros((n * HALF, 1), kind)
+    weight[live] = 1 / max(1, len(live))
+    weight /= _sums(dz).reshape(-1, 1)
     flat = dz.reshape(n * HALF, -1)
-    g = {"bias": flat.sum(0), "seen": h.reshape(-1, DEPTH).T @ flat, "last": own.T @ flat}
-    dh = (flat @ p["seen"].T).reshape(n, HALF, DEPTH)
-    dv = a.transpose(0, 2, 1) @ dh
-    ds = dh @ v.transpose(0, 2, 1)
-    ds -= _sums(a * ds)
+    flat *= weight
+    flat[live, target.ravel()[live]] -= kind.type(1 / max(1, len(live)))
+    # all products with a matrix over rows of both axes at once
+    g = {"bias": np.ones(len(flat), kind) @ flat, "seen": h.T @ flat}
+    dh = flat @ p["seen"].T
+    inner_sum = _sums((dh * h).reshape(n, HALF, -1))  # of attention times its slope, as the mixed values hold it
+    dh = dh.reshape(n, HALF, DEPTH)
+    ds = dh @ kv[:, :, DEPTH:].transpose(0, 2, 1)
+    ds -= inner_sum
     ds *= a
     g["near"] = ds.sum(0)
-    ds *= kind.type(DEPTH**-0.5)
-    dq, dk = (ds @ k).reshape(-1, DEPTH), (ds.transpose(0, 2, 1) @ q).reshape(-1, DEPTH)
-    dv = dv.reshape(-1, DEPTH)
-    g["q"], g["k"], g["v"] = own.T @ dq, x.T @ dk, x.T @ dv
-    dx = dk @ p["k"].T + dv @ p["v"].T
-    dx.reshape(n, 2 * HALF, DEPTH)[:, HALF:] += (dq @ p["q"].T + flat @ p["last"].T).reshape(n, HALF, DEPTH)
-    g["x"] = np.bincount((ins[:, None] * DEPTH + np.arange(DEPTH)).ravel(), dx.ravel(), p["x"].size).reshape(p["x"].shape).astype(kind)
-    return g
+    dkv = np.empty_like(kv)
+    np.matmul(ds.transpose(0, 2, 1), ql[:, :, :DEPTH], out=dkv[:, :, :DEPTH])
+    np.matmul(a.transpose(0, 2, 1), dh, out=dkv[:, :, DEPTH:])
+    dkv = dkv.reshape(-1, 2 * DEPTH)
+    dq = (ds @ kv[:, :, :DEPTH]).reshape(-1, DEPTH)
+    both = x.T @ dkv
+    g["k"], g["v"] = both[:, :DEPTH], both[:, DEPTH:]
+    g["q"], g["last"] = own.T @ dq * kind.type(DEPTH**-0.5), own.T @ flat
+    dx = dkv @ inner.T
+    dx.reshape(n, 2 * HALF, DEPTH)[:, HALF:] += (dq @ outer[:, :DEPTH].T + flat @ p["last"].T).reshape(n, HALF, DEPTH)
+    g["x"] = np.zeros_like(p["x"])
+    pair = np.result_type(kind, np.complex64)  # two numbers are added at a time
+    np.add.at(g["x"].ravel().view(pair), _PLACES.take(rows.ravel(), 0).ravel(), dx.ravel().view(pair))
+    return {name: g[name] for name in p}
 
 
 def local_training(model: Model, u: np.ndarray, off: np.ndarray, rate: float, seed: int, again: bool) -> tuple[dict[str, np.ndarray], int]:
@@ -367,8 +462,10 @@ def local_training(model: Model, u: np.ndarray, off: np.ndarray, rate: float, se
     rows[begin] = model.row[-1]
     classes = model.of[u]
     at, _ = windows(lens, begin)
-    p = {n: x.copy() for n, x in model.params.items()}
-    m, v = {n: np.zeros_like(x) for n, x in p.items()}, {n: np.zeros_like(x) for n, x in p.items()}
+    flat = _flat(model.params)
+    p = _views(flat, model.params)
+    decayed = flat[: -p["bias"].size]  # the bias comes last
+    m, v, part = np.zeros_like(flat), np.zeros_like(flat), np.empty_like(flat)
     r = np.random.default_rng(seed)
     once = -(-len(at) // BATCH)
     steps = max(once, min(STEPS, AGAIN * once)) if again else once
@@ -377,12 +474,22 @@ def local_training(model: Model, u: np.ndarray, off: np.ndarray, rate: float, se
             order = r.permutation(len(at))
         w = at[order[((t - 1) * BATCH + np.arange(min(BATCH, len(at)))) % len(at)]]
         target = np.where(w[:, HALF:] >= 0, classes[w[:, HALF:]], -1)
-        g = gradients(p, rows[w], w < 0, target)
+        g = _flat(gradients(p, rows[w], w < 0, target))
         step = rate * (1 - 0.9 * t / steps) * (1 - 0.99**t) ** 0.5 / (1 - 0.9**t)  # no numpy scalar, which would make all of the step double
-        for n in p:
-            m[n] += 0.1 * (g[n] - m[n])
-            v[n] += 0.01 * (g[n] * g[n] - v[n])
-            p[n] -= step * (m[n] / (np.sqrt(v[n]) + 1e-6) + DECAY * p[n] * (n != "bias"))
+        # in place: m += 0.1 (g - m), v += 0.01 (g g - v), p -= step (m / (sqrt(v) + 1e-6) + DECAY p)
+        np.subtract(g, m, out=part)
+        part *= 0.1
+        m += part
+        g *= g
+        g -= v
+        g *= 0.01
+        v += g
+        np.sqrt(v, out=part)
+        part += 1e-6
+        np.divide(m, part, out=part)
+        part *= step
+        decayed *= 1 - step * DECAY
+        flat -= part
     return p, len(at)
 
 
@@ -390,10 +497,11 @@ def _flat(p: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([x.ravel() for x in p.values()])
 
 
-def _shaped(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+def _views(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The parts of a flat array in the shapes of the parameters."""
     out, at = {}, 0
     for n, x in like.items():
-        out[n] = flat[at : at + x.size].reshape(x.shape).astype(np.float32)
+        out[n] = flat[at : at + x.size].reshape(x.shape)
         at += x.size
     return out
 
@@ -402,22 +510,29 @@ def describe(parts: DataFrame, units: Units) -> tuple[np.ndarray, np.ndarray]:
     """Per unit: how often it is in the sequences of the texts, and the mean of their projections.  One row per unit comes back."""
     signs = np.random.default_rng(9).normal(size=(2049, COMPANY)).astype(np.float32)
     signs[2048] = 0  # for all units but the commonest
+    ones = np.ones((COMPANY, 1), np.float32)
 
-    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        u, texts = _flat_units(batch)
-        off = _sequences(texts)
-        one = signs[np.minimum(u, 2048)]  # numbers rise as counts fall
-        total = np.add.reduceat(one, off[:-1]) if len(u) else one
-        around = np.repeat(total, np.diff(off), axis=0) - one
-        around /= np.maximum(np.sqrt((around * around).sum(1)), 1e-9)[:, None]
-        order = np.argsort(u, kind="stable")
-        unit, start = np.unique(u[order], return_index=True)
-        sums = np.add.reduceat(around[order], start) if len(start) else np.zeros((0, COMPANY), np.float32)
-        n = np.diff(np.append(start, len(u)))
-        return pa.record_batch({"unit": pa.array(unit, pa.int32()), "n": pa.array(n, pa.int64()), **{f"c{i}": pa.array(sums[:, i]) for i in range(COMPANY)}})
+    def run(batches):
+        one_blas_thread()
+        n, sums = np.zeros(units.total, np.int64), np.zeros((COMPANY, units.total))  # of a task
+        for batch in batches:
+            for part in row_slices(batch, ROWS_AT_ONCE):
+                u, texts = _flat_units(part)
+                if not len(u):
+                    continue
+                off = _sequences(texts)
+                one = signs.take(np.minimum(u, 2048), 0)  # numbers rise as counts fall
+                around = np.repeat(np.add.reduceat(one, off[:-1]), np.diff(off), axis=0)
+                around -= one
+                around /= np.maximum(np.sqrt((around * around) @ ones), 1e-9)
+                n += np.bincount(u, minlength=units.total)
+                for i in range(COMPANY):
+                    sums[i] += np.bincount(u, around[:, i], units.total)
+        unit = np.flatnonzero(n)
+        yield pa.record_batch({"unit": pa.array(unit, pa.int32()), "n": pa.array(n[unit]), **{c: pa.array(sums[i, unit]) for i, c in enumerate(cols)}})
 
     cols = [f"c{i}" for i in range(COMPANY)]
-    got = mapped(parts.select("units"), each, "unit int, n long, " + ", ".join(f"{c} float" for c in cols), text=None, limit=ROWS_AT_ONCE)
+    got = parts.select("units").mapInArrow(run, "unit int, n long, " + ", ".join(f"{c} double" for c in cols))
     got = got.groupBy("unit").agg(F.sum("n").alias("n"), *[F.sum(c).cast("float").alias(c) for c in cols])
     table = got.toArrow()  # at most one row for each unit
     n, company = np.zeros(units.total, np.int64), np.zeros((units.total, COMPANY), np.float32)
@@ -520,7 +635,7 @@ def _round(parts: DataFrame, model: Model, rate: float, seed: int) -> dict[str,
         return model.params
     flat = np.zeros(sum(x.size for x in model.params.values()))
     flat[got["at"].to_numpy()] = got["p"].to_numpy()
-    return _shaped(flat, model.params)
+    return _views(flat.astype(np.float32), model.params)
 
 
 def score_units(model: Model, u: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -533,16 +648,20 @@ def score_units(model: Model, u: np.ndarray, lens: np.ndarray) -> tuple[np.ndarr
     at, _ = windows(lens, begin)
     made = tables(model.params)
     got, enter = np.zeros(len(u)), np.zeros(len(u))
+    summed = np.zeros((CLASSES, 2), np.float32)  # over all classes, and over those of first pieces
+    summed[:, 0] = summed[FIRST, 1] = 1
+    opens = (target >= FIRST.start) & (target < FIRST.stop)
     for a in range(0, len(at), 512):
         w = at[a : a + 512]
-        z, _, _ = attend(model.params, made, rows[w], w < 0)
-        own = w[:, HALF:]
-        live = own >= 0
+        in_rows = rows[w]
+        z, _, _ = _forward(model.params, made[0].take(in_rows, 0), made[1].take(in_rows[:, HALF:], 0), w < 0)
+        z = np.exp(z, out=z).reshape(-1, CLASSES)
+        sums = z @ summed
+        own = w[:, HALF:].ravel()
+        live = np.flatnonzero(own >= 0)
         place = own[live]
-        z = z[live]
-        got[place] = np.exp(z[np.arange(len(place)), target[place]])
-        first = np.flatnonzero((target[place] >= FIRST.start) & (target[place] < FIRST.stop))
-        enter[place[first]] = np.exp(z[first, FIRST]).sum(1)
+        got[place] = z.ravel()[live * CLASSES + target[place]] / sums[live, 0]
+        enter[place] = np.where(opens[place], sums[live, 1] / sums[live, 0], 0)
     got = np.log10((1 - FLOOR) * got + FLOOR * model.share[target]) + model.log_share[u]
     return got, np.log10((1 - FLOOR) * enter + FLOOR * model.share[FIRST].sum())
 
@@ -582,7 +701,7 @@ def lm_scores(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         of_word = run[stop + 1] - run[start]
         doc = np.searchsorted(off, start, "right") - 1
         spelled = np.flatnonzero(u[start] >= units.size)
-        r = batch.column("recalled").flatten().to_numpy().astype(float)
+        r = unpacked(batch.column("recalled"), np.float32)[0].astype(float)
         met = spelled[r >= 0]
         of_word[met] = np.log10((1 - recall) * 10 ** of_word[met] + recall * 10 ** enter[start[met]] * r[r >= 0])
         here = np.ones(len(start), bool)
@@ -591,7 +710,7 @@ def lm_scores(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         rest = spelled[r < 0]
         cut = np.searchsorted(doc[rest], np.arange(len(off)))
         return pa.record_batch(
-            [*(batch.column(c) for c in ("row", "id", "n_tokens", "n_known", "base")), pa.array(score), batch.column("words"), lists(of_word[rest], cut, pa.float32()), lists(enter[start[rest]], cut, pa.float32())],
+            [*(batch.column(c) for c in ("row", "id", "n_tokens", "n_known", "base")), pa.array(score), lists(*unpacked(batch.column("words"), np.int64), pa.int64()), lists(of_word[rest], cut, pa.float32()), lists(enter[start[rest]], cut, pa.float32())],
             names=["row", "id", "n_tokens", "n_known", "base", "score", "words", "spelled", "enter"],
         )
 

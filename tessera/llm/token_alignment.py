@@ -60,6 +60,19 @@ def byte_values() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + n): b for n, b in enumerate(rest)}
 
 
+def ranked(path: str):
+    """The same vocabulary for the faster library, where its file of ranks stands beside it; used for characters below PLAIN only."""
+    ranks = path.removesuffix(".json") + ".tiktoken"
+    if path.endswith(".model") or not os.path.exists(ranks):
+        return None
+    import tiktoken
+
+    pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed value: the vocabulary's pattern
+    with open(ranks, "rb") as f:
+        table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+
+
 class Side:
     """A tokenizer with the bytes of its ids: .json for the tokenizers library, .model for sentencepiece."""
 
@@ -86,22 +99,9 @@ class Side:
             for entry, i in vocabulary.items():
                 self.entries[i] = entry.encode() if entry in special else bytes(values[c] for c in entry)
             self.splits = True
-        self.fast = self._fast(path)
+        self.fast = ranked(path)
         self.size = np.array([len(e) for e in self.entries], np.int64)
 
-    @staticmethod
-    def _fast(path: str):
-        """The same vocabulary for the faster library, where its file of ranks stands beside it; used for characters below PLAIN only."""
-        ranks = path.removesuffix(".json") + ".tiktoken"
-        if path.endswith(".model") or not os.path.exists(ranks):
-            return None
-        import tiktoken
-
-        pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed value: the vocabulary's pattern
-        with open(ranks, "rb") as f:
-            table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-        return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-
     def ids(self, texts: list[str]) -> list[list[int]]:
         """Ids of texts without special tokens; for A a space is put before each."""
         if self.model:

@@ -332,3 +332,55 @@ def test_words_spelled_in_a_batch_before_are_not_spelled_again(monkeypatch, kept
         monkeypatch.setattr(lm_scoring.Units, "_pieces", plain)
         assert all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
     assert kept < 10 or spelled == [4, 1, 3]
+
+
+def test_the_slower_tokenizer_is_given_only_words_with_characters_beyond_the_plain_ones(monkeypatch):
+    slow, plain = lm_scoring.pieces(PATH)
+    given = []
+
+    class Spy:
+        def encode_batch_fast(self, texts, **more):
+            given.extend(w for t in texts for w in t.split(" ")[1:])
+            return slow.encode_batch_fast(texts, **more)
+
+    monkeypatch.setattr(lm_scoring, "pieces", lambda path: (Spy(), plain))
+    units = lm_scoring.Units(np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, len(plain), PATH)
+    text = "Abc 日本 it's zzqx9 ɐb fivé <|endoftext|> naïveſ ʃo x y \x85 Ãƀ 12,3"
+    u, n = units.spell(Words(pa.array([text])))
+    assert sorted(given) == sorted(["日本", "ɐb", "ʃo"])
+    want = [slow.encode(" " + w, add_special_tokens=False).ids for w in re.split("[ \t-\r]+", text.translate({c: c + 32 for c in range(65, 91)}))]
+    assert (u // 2).tolist() == [i for ids in want for i in ids] and n.tolist() == [len(ids) for ids in want]
+
+
+@pytest.mark.parametrize("keys", [[], [0], [2**64 - 1], [0, 1, 2, 3, 2**63, 2**63 + 1, 2**64 - 2, 2**64 - 1], list(range(5, 400, 3)), None])
+def test_hashes_are_found_in_their_places(keys):
+    r = np.random.default_rng(1)
+    keys = np.unique(r.integers(0, 2**64, 5000, np.uint64)) if keys is None else np.array(keys, np.uint64)
+    asked = np.concatenate([keys, keys + np.uint64(1), keys - np.uint64(1), r.integers(0, 2**64, 1000, np.uint64)])
+    met, at = lm_scoring.Places(keys)(asked)
+    assert np.array_equal(met, np.isin(asked, keys)) and (keys[at[met]] == asked[met]).all()
+
+
+def test_a_task_describes_a_unit_in_one_row(spark, monkeypatch):
+    """However many batches it takes, and with the same sums."""
+    hashes = np.sort(Words(pa.array(["aa bb cc dd"])).hash)
+    units = lm_scoring.Units(hashes, np.arange(4), 4, len(lm_scoring.pieces(PATH)[1]), PATH)
+    docs = spark.createDataFrame([(i, i, "aa bb cc dd " * 3 + "aa zz" * (i % 2), True) for i in range(30)], "row long, id long, text string, train boolean").coalesce(1)
+    table = lm_scoring.spelled_table(docs, units, hashes, np.array([5, 4, 3, 2]), 100.0, 10.0).select("units")
+    n, company = lm_scoring.describe(table, units)
+    rows, plain = [], type(table).mapInArrow
+    monkeypatch.setattr(type(table), "mapInArrow", lambda self, run, schema: (out := plain(self, run, schema), "n long" in schema and rows.append(out.count()))[0])
+    monkeypatch.setattr(lm_scoring, "ROWS_AT_ONCE", 4)
+    n4, company4 = lm_scoring.describe(table, units)
+    assert np.array_equal(n, n4) and np.allclose(company, company4, atol=1e-5)
+    assert rows == [np.count_nonzero(n)]
+
+
+def test_logits_out_of_range_leave_probabilities_finite():
+    model = small_model()
+    model.params["near"] += 500 * np.sign(model.params["near"])
+    model.params["bias"] -= 500
+    got, enter = lm_scoring.score_units(model, np.arange(50) % 60, np.array([50]))
+    assert np.isfinite(got).all() and np.isfinite(enter).all() and (got < 0).all()
+    total = sum(10 ** lm_scoring.score_units(model, np.append(np.arange(40), k), np.array([41]))[0][-1] for k in range(60))
+    assert abs(total - 1) < 1e-3
