@@ -138,7 +138,7 @@ class Units:
     size: int  # of the dictionary
     n_pieces: int
     path: str
-    memo: tuple[np.ndarray, np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int64))  # hashes, pieces, sizes
+    memo: tuple[np.ndarray, ...] = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))  # sorted hashes, where their pieces begin, how many; pieces as they came
 
     @functools.cached_property
     def places(self) -> Places:
@@ -179,22 +179,23 @@ class Units:
 
     def _remembered(self, words: Words, distinct: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece units of the chosen words, whose sorted hashes are `distinct`; what earlier batches of the worker spelled is in the memo."""
-        hashes, flat, sizes = self.memo
-        at = np.searchsorted(hashes, distinct).clip(0, max(len(hashes) - 1, 0))
-        met = hashes[at] == distinct if len(hashes) else np.zeros(len(distinct), bool)
+        hashes, begin, sizes, flat = self.memo
+        at = np.searchsorted(hashes, distinct)
+        inside = at.clip(0, max(len(hashes) - 1, 0))
+        met = hashes[inside] == distinct if len(hashes) else np.zeros(len(distinct), bool)
         new = np.flatnonzero(~met)
         if len(new):
             if len(hashes) > REMEMBERED:  # only what this batch holds stays
-                flat, sizes = flat[_ranges((np.cumsum(sizes) - sizes)[at[met]], sizes[at[met]])], sizes[at[met]]
-                hashes = distinct[met]
+                held = inside[met]
+                flat, sizes = flat[_ranges(begin[held], sizes[held])], sizes[held]
+                hashes, begin = distinct[met], np.cumsum(sizes) - sizes
+                at = np.cumsum(met) - met
             more, n = self._pieces(words, chosen[new])
-            order = np.argsort(np.concatenate([hashes, distinct[new]]), kind="stable")
-            sizes, flat = np.concatenate([sizes, n]), np.concatenate([flat, more.astype(np.int32)])
-            flat = flat[_ranges((np.cumsum(sizes) - sizes)[order], sizes[order])]
-            hashes, sizes = np.concatenate([hashes, distinct[new]])[order], sizes[order]
-            self.memo = hashes, flat, sizes
-            at = np.searchsorted(hashes, distinct)
-        return flat[_ranges((np.cumsum(sizes) - sizes)[at], sizes[at])].astype(np.int64), sizes[at]
+            begin = np.insert(begin, at[new], np.cumsum(n) - n + len(flat))
+            hashes, sizes, flat = np.insert(hashes, at[new], distinct[new]), np.insert(sizes, at[new], n), np.concatenate([flat, more.astype(np.int32)])
+            self.memo = hashes, begin, sizes, flat
+            at = at + np.cumsum(~met) - ~met
+        return flat[_ranges(begin[at], sizes[at])].astype(np.int64), sizes[at]
 
     def _pieces(self, words: Words, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece units of the chosen words, end to end, and how many each has."""
@@ -353,9 +354,14 @@ def windows(lens: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Index matrix (windows, 2 * HALF) into positions begin[d] + 0..lens[d] - 1, -1 outside, and each window's sequence."""
     per = -(-lens // HALF)
     seq = np.repeat(np.arange(len(lens)), per)
-    nth = np.arange(len(seq)) - np.repeat(np.cumsum(per) - per, per)
-    at = (nth * HALF - HALF)[:, None] + np.arange(2 * HALF)
-    return np.where((at >= 0) & (at < lens[seq][:, None]), at + begin[seq][:, None], -1), seq
+    stop = np.cumsum(per)
+    nth = np.arange(len(seq)) - np.repeat(stop - per, per)
+    at = (begin[seq] + nth * HALF - HALF)[:, None] + np.arange(2 * HALF)
+    some = per > 0  # only the first and the last window of a sequence reach outside
+    at[(stop - per)[some], :HALF] = -1
+    last = at[stop[some] - 1]
+    at[stop[some] - 1] = np.where(last < (begin + lens)[some][:, None], last, -1)
+    return at, seq
 
 
 def _forward(p: dict[str, np.ndarray], kv: np.ndarray, ql: np.ndarray, pad: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -367,8 +373,9 @@ def _forward(p: dict[str, np.ndarray], kv: np.ndarray, ql: np.ndarray, pad: np.n
     s += p["near"]
     s.clip(-LOGIT, LOGIT, out=s)
     s += _CAUSAL
-    if pad.any():
-        s += np.where(pad, np.float32(-1e9), np.float32(0))[:, None]
+    edge = np.flatnonzero(pad.any(1))
+    if len(edge):
+        s[edge] += np.where(pad[edge], np.float32(-1e9), np.float32(0))[:, None]
     np.exp(s, out=s)
     s /= _sums(s)
     h = s @ kv[:, :, DEPTH:]
@@ -460,8 +467,10 @@ def local_training(model: Model, u: np.ndarray, off: np.ndarray, rate: float, se
     rows = np.empty(len(u), np.int64)
     rows[1:] = model.row[u[:-1]]
     rows[begin] = model.row[-1]
-    classes = model.of[u]
     at, _ = windows(lens, begin)
+    pad = at < 0
+    target = np.where(pad[:, HALF:], -1, model.of[u][at[:, HALF:]])
+    rows = rows[at]
     flat = _flat(model.params)
     p = _views(flat, model.params)
     decayed = flat[: -p["bias"].size]  # the bias comes last
@@ -472,9 +481,8 @@ def local_training(model: Model, u: np.ndarray, off: np.ndarray, rate: float, se
     for t in range(1, steps + 1):
         if (t - 1) * BATCH % max(len(at), 1) < BATCH:
             order = r.permutation(len(at))
-        w = at[order[((t - 1) * BATCH + np.arange(min(BATCH, len(at)))) % len(at)]]
-        target = np.where(w[:, HALF:] >= 0, classes[w[:, HALF:]], -1)
-        g = _flat(gradients(p, rows[w], w < 0, target))
+        w = order[((t - 1) * BATCH + np.arange(min(BATCH, len(at)))) % len(at)]
+        g = _flat(gradients(p, rows[w], pad[w], target[w]))
         step = rate * (1 - 0.9 * t / steps) * (1 - 0.99**t) ** 0.5 / (1 - 0.9**t)  # no numpy scalar, which would make all of the step double
         # in place: m += 0.1 (g - m), v += 0.01 (g g - v), p -= step (m / (sqrt(v) + 1e-6) + DECAY p)
         np.subtract(g, m, out=part)
@@ -639,7 +647,7 @@ def _round(parts: DataFrame, model: Model, rate: float, seed: int) -> dict[str,
 
 
 def score_units(model: Model, u: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """log10 p of each unit, and of a first piece, given what is before; u: sequences end to end, each with its end unit."""
+    """log10 p of each unit, and for first pieces that of any first piece (0 for others), given what is before; u: sequences end to end, each with its end unit."""
     begin = np.cumsum(lens) - lens
     rows = np.empty(len(u), np.int64)
     rows[1:] = model.row[u[:-1]]
@@ -661,9 +669,11 @@ def score_units(model: Model, u: np.ndarray, lens: np.ndarray) -> tuple[np.ndarr
         live = np.flatnonzero(own >= 0)
         place = own[live]
         got[place] = z.ravel()[live * CLASSES + target[place]] / sums[live, 0]
-        enter[place] = np.where(opens[place], sums[live, 1] / sums[live, 0], 0)
+        first = np.flatnonzero(opens[place])
+        enter[place[first]] = sums[live[first], 1] / sums[live[first], 0]
     got = np.log10((1 - FLOOR) * got + FLOOR * model.share[target]) + model.log_share[u]
-    return got, np.log10((1 - FLOOR) * enter + FLOOR * model.share[FIRST].sum())
+    enter[opens] = np.log10((1 - FLOOR) * enter[opens] + FLOOR * model.share[FIRST].sum())
+    return got, enter
 
 
 def lm_scores(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_fold: int = 2) -> DataFrame:
